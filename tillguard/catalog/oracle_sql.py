@@ -8,6 +8,16 @@ an independent SQL formulation of the same result.
 
 from __future__ import annotations
 
+from tillguard.functions.numeric import sql_round_half_up
+
+
+def r6(expr: str) -> str:
+    return sql_round_half_up(expr, 6)
+
+
+def r4(expr: str) -> str:
+    return sql_round_half_up(expr, 4)
+
 
 def _pad(prefix: str, expr: str, width: int) -> str:
     s = f"CAST({expr} AS VARCHAR)"
@@ -104,6 +114,36 @@ features AS (
 features_r AS (
   SELECT *, CASE WHEN bin_spend_rate = 0 THEN NULL ELSE amount_ngn / bin_spend_rate END AS amount_vs_bin_avg_ratio
   FROM features
+),
+scores_raw AS (
+  SELECT transaction_id,
+         least(1.0e0, {r4('amount_ngn / 200.0e0')}) AS x,
+         CASE WHEN ev_k >= 90 THEN -1.0e0 ELSE 1.0e0 END AS raw,
+         timestamp + to_minutes(CAST(ev_id % 90 AS INTEGER)) AS scored_at
+  FROM tx_all
+),
+scores_b AS (
+  SELECT *, 0.7e0 * x + (1.0e0 - 0.7e0) * iso AS p
+  FROM (SELECT *, greatest(0.0e0, least(1.0e0, (1.0e0 - raw) / 2.0e0)) AS iso FROM scores_raw)
+),
+scores AS (
+  SELECT transaction_id, {r4('p')} AS fraud_probability,
+         CASE WHEN p >= 0.85e0 THEN 'critical' WHEN p >= 0.6e0 THEN 'high'
+              WHEN p >= 0.3e0 THEN 'medium' ELSE 'low' END AS alert_tier,
+         {r4('x')} AS xgboost_score, {r4('iso')} AS isolation_forest_score,
+         'v1' AS model_version, scored_at
+  FROM scores_b
+),
+alerts AS (
+  SELECT sha256(s.transaction_id || '|' || s.alert_tier) AS alert_id, s.transaction_id,
+         t.terminal_id, t.merchant_id, t.card_bin, s.fraud_probability, s.alert_tier, t.state,
+         tr.terminal_name, mr.merchant_name, s.scored_at AS created_at
+  FROM scores s
+  JOIN transactions t ON s.transaction_id = t.transaction_id
+   AND t.timestamp >= s.scored_at - INTERVAL 1 HOUR AND t.timestamp <= s.scored_at + INTERVAL 1 HOUR
+  LEFT JOIN terminals tr ON t.terminal_id = tr.terminal_id
+  LEFT JOIN merchants mr ON t.merchant_id = mr.merchant_id
+  WHERE s.alert_tier IN ('medium', 'high', 'critical')
 )"""
 
 
@@ -111,12 +151,160 @@ def with_ctes(body: str) -> str:
     return f"WITH {TX_CTE}\n{body}"
 
 
-FEATURES_FULL = with_ctes("""
-SELECT transaction_id, terminal_id, card_bin, round(amount_ngn, 6) AS amount_ngn, velocity_1h,
-       round(geo_jump_km, 6) AS geo_jump_km, round(bin_spend_rate, 6) AS bin_spend_rate,
-       terminal_reversal_count, round(amount_vs_bin_avg_ratio, 6) AS amount_vs_bin_avg_ratio, timestamp
+FEATURES_FULL = with_ctes(f"""
+SELECT transaction_id, terminal_id, card_bin, {r6('amount_ngn')} AS amount_ngn, velocity_1h,
+       {r6('geo_jump_km')} AS geo_jump_km, {r6('bin_spend_rate')} AS bin_spend_rate,
+       terminal_reversal_count, {r6('amount_vs_bin_avg_ratio')} AS amount_vs_bin_avg_ratio, timestamp
 FROM features_r""")
 
+MINUTE_TX = """
+mtx AS (
+  SELECT transaction_id, terminal_id, card_bin, amount_ngn, epoch_us(date_trunc('minute', timestamp)) // 1000000 AS sec
+  FROM transactions
+)"""
+
+
+def _row_ties(group: str, seconds: int, value: str | None, out: str) -> str:
+    v = value or "1"
+    s_early = f"sum({v}) OVER (PARTITION BY {group} ORDER BY sec RANGE BETWEEN {seconds} PRECEDING AND 1 PRECEDING)"
+    s_peer = f"sum({v}) OVER (PARTITION BY {group}, sec ORDER BY transaction_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    n_early = f"count({v}) OVER (PARTITION BY {group} ORDER BY sec RANGE BETWEEN {seconds} PRECEDING AND 1 PRECEDING)"
+    n_peer = f"count({v}) OVER (PARTITION BY {group}, sec ORDER BY transaction_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    s = f"(coalesce({s_early}, 0) + coalesce({s_peer}, 0))"
+    n = f"(coalesce({n_early}, 0) + coalesce({n_peer}, 0))"
+    if value is None:
+        return f"CAST({n} AS BIGINT) AS {out}"
+    return f"{r6(f'CASE WHEN {n} = 0 THEN NULL ELSE CAST({s} AS DOUBLE) / {n} END')} AS {out}"
+
+
+TIERS_AXIS = "(SELECT * FROM (VALUES ('critical', 0), ('high', 1), ('medium', 2), ('low', 3)) AS v(alert_tier, pos))"
+
+TERMINAL_STATUS = """
+roll AS (
+  SELECT terminal_id, count(*) AS alert_count, max(coalesce(fraud_probability, 0.0e0)) AS max_p,
+         min(CASE alert_tier WHEN 'critical' THEN 0 WHEN 'high' THEN 1 WHEN 'medium' THEN 2
+                             WHEN 'low' THEN 3 END) AS rnk
+  FROM alerts GROUP BY terminal_id
+),
+status AS (
+  SELECT t.terminal_id, t.terminal_name, t.merchant_id, t.state, t.lga, t.latitude AS lat, t.longitude AS lon,
+         t.operator, t.is_active,
+         CASE r.rnk WHEN 0 THEN 'critical' WHEN 1 THEN 'high' WHEN 2 THEN 'medium' WHEN 3 THEN 'low' END AS tier,
+         CAST(coalesce(r.alert_count, 0) AS BIGINT) AS alert_count,
+         coalesce(r.max_p, 0.0e0) * 100.0e0 AS p100,
+         coalesce(m.merchant_name, t.merchant_id) AS merchant_name
+  FROM terminals t LEFT JOIN roll r ON t.terminal_id = r.terminal_id
+  LEFT JOIN merchants m ON t.merchant_id = m.merchant_id
+)"""
+
 ORACLES: dict[str, str] = {
     "features_full": FEATURES_FULL,
+    "features_plain": FEATURES_FULL,
+    "velocity_1h": with_ctes("SELECT transaction_id, terminal_id, velocity_1h FROM features_r"),
+    "geo_jump_km": with_ctes(f"SELECT transaction_id, terminal_id, {r6('geo_jump_km')} AS geo_jump_km FROM features_r"),
+    "bin_spend_rate": with_ctes(
+        f"SELECT transaction_id, card_bin, {r6('bin_spend_rate')} AS bin_spend_rate FROM features_r"),
+    "reversal_24h": with_ctes("SELECT transaction_id, terminal_id, terminal_reversal_count FROM features_r"),
+    "trailing_row_ties": with_ctes(f""",{MINUTE_TX}
+SELECT transaction_id, card_bin, {_row_ties('card_bin', 3600, None, 'trailing_count')} FROM mtx"""),
+    "trailing_mean_row_ties": with_ctes(f""",{MINUTE_TX}
+SELECT transaction_id, card_bin, {_row_ties('card_bin', 3600, 'amount_ngn', 'trailing_mean')} FROM mtx"""),
+    "trailing_mean_peers": with_ctes(f""",{MINUTE_TX}
+SELECT transaction_id, terminal_id,
+       {r6('avg(amount_ngn) OVER (PARTITION BY terminal_id ORDER BY sec RANGE BETWEEN 7200 PRECEDING AND CURRENT ROW)')}
+         AS trailing_mean
+FROM mtx"""),
+    "scores_blended": with_ctes("SELECT * FROM scores"),
+    "scoring_ratio_guard": with_ctes(f"""
+SELECT transaction_id, {r6('base')} AS base,
+       {r6('CASE WHEN base <= 0 THEN 0.0e0 ELSE amount_ngn / base END')} AS scoring_ratio,
+       {r6('CASE WHEN base = 0 THEN NULL ELSE amount_ngn / base END')} AS feature_ratio
+FROM (SELECT *, bin_spend_rate - 50.0e0 AS base FROM features_r)"""),
+    "alerts_enriched": with_ctes("SELECT * FROM alerts"),
+    "latest_reference": with_ctes("""
+SELECT terminal_id, arg_max(transaction_id, (timestamp, transaction_id)) AS transaction_id,
+       arg_max(amount_ngn, (timestamp, transaction_id)) AS amount_ngn,
+       arg_max(state, (timestamp, transaction_id)) AS state,
+       max(timestamp) AS timestamp
+FROM transactions GROUP BY terminal_id"""),
+    "labeled_features": with_ctes(f"""
+SELECT transaction_id, velocity_1h, {r6('geo_jump_km')} AS geo_jump_km, {r6('bin_spend_rate')} AS bin_spend_rate,
+       terminal_reversal_count, {r6('amount_ngn')} AS amount_ngn,
+       {r6('amount_vs_bin_avg_ratio')} AS amount_vs_bin_avg_ratio, coalesce(is_fraud, false) AS is_fraud
+FROM features_r"""),
+    "unseen_append": with_ctes("""
+SELECT b.transaction_id, b.terminal_id, b.amount_ngn, b.timestamp
+FROM transactions b
+WHERE b.timestamp >= TIMESTAMP '2024-01-15'
+  AND NOT EXISTS (SELECT 1 FROM transactions t
+                  WHERE t.timestamp < TIMESTAMP '2024-01-20' AND t.transaction_id = b.transaction_id)"""),
+    "alerts_filtered": with_ctes("""
+SELECT * FROM alerts
+WHERE alert_tier IN ('high', 'critical') AND state IN ('Lagos', 'Kano')
+  AND CAST(created_at AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"""),
+    "alert_facets": with_ctes("""
+SELECT (SELECT string_agg(alert_tier, ',' ORDER BY r) FROM (
+          SELECT DISTINCT alert_tier, CASE alert_tier WHEN 'critical' THEN 0 WHEN 'high' THEN 1
+                                      WHEN 'medium' THEN 2 WHEN 'low' THEN 3 END AS r
+          FROM alerts WHERE alert_tier IN ('critical', 'high', 'medium', 'low'))) AS tiers,
+       (SELECT string_agg(state, ',' ORDER BY state) FROM (
+          SELECT DISTINCT state FROM alerts WHERE state IS NOT NULL AND state <> '')) AS states,
+       (SELECT min(CAST(created_at AS DATE)) FROM alerts) AS min_date,
+       (SELECT max(CAST(created_at AS DATE)) FROM alerts) AS max_date"""),
+    "tier_counts": with_ctes(f"""
+SELECT a.alert_tier, CAST(coalesce(c.n, 0) AS BIGINT) AS alert_count
+FROM {TIERS_AXIS} a LEFT JOIN (SELECT alert_tier, count(*) AS n FROM scores GROUP BY 1) c
+  ON a.alert_tier = c.alert_tier"""),
+    "alert_tier_counts": with_ctes(f"""
+SELECT a.alert_tier, CAST(coalesce(c.n, 0) AS BIGINT) AS alert_count
+FROM {TIERS_AXIS} a LEFT JOIN (SELECT alert_tier, count(*) AS n FROM alerts GROUP BY 1) c
+  ON a.alert_tier = c.alert_tier"""),
+    "alert_kpis": with_ctes("""
+SELECT count(*) AS total_alerts, count(*) FILTER (WHERE alert_tier = 'critical') AS critical,
+       count(*) FILTER (WHERE alert_tier = 'high') AS high, count(*) FILTER (WHERE alert_tier = 'medium') AS medium
+FROM alerts"""),
+    "alerts_by_hour": with_ctes("""
+SELECT CAST(h.hour AS INTEGER) AS hour, CAST(coalesce(c.n, 0) AS BIGINT) AS alert_count
+FROM range(24) h(hour) LEFT JOIN (SELECT hour(created_at) AS hour, count(*) AS n FROM alerts
+                                  WHERE created_at IS NOT NULL GROUP BY 1) c ON h.hour = c.hour"""),
+    "score_histogram": with_ctes(f"""
+SELECT bin, count(*) AS n, {r6('0.0e0 + bin * 0.05e0')} AS bin_lo, {r6('0.0e0 + (bin + 1) * 0.05e0')} AS bin_hi
+FROM (SELECT CAST(greatest(0, least(19, floor((fraud_probability - 0.0e0) / 0.05e0))) AS INTEGER) AS bin
+      FROM scores WHERE fraud_probability IS NOT NULL AND NOT isnan(fraud_probability))
+GROUP BY bin"""),
+    "top_terminals": with_ctes("""
+SELECT terminal_id, count(*) AS alert_count FROM alerts GROUP BY terminal_id
+ORDER BY alert_count DESC, terminal_id LIMIT 5"""),
+    "top_states": with_ctes("""
+SELECT state, count(*) AS alert_count FROM alerts WHERE state IS NOT NULL AND state <> ''
+GROUP BY state ORDER BY alert_count DESC, state LIMIT 5"""),
+    "top_bins_avg": with_ctes(f"""
+SELECT card_bin, {r6('avg(coalesce(fraud_probability, 0.0e0))')} AS avg_fraud_probability
+FROM alerts WHERE card_bin IS NOT NULL AND card_bin <> ''
+GROUP BY card_bin ORDER BY avg(coalesce(fraud_probability, 0.0e0)) DESC, card_bin LIMIT 5"""),
+    "top_at_risk": with_ctes("""
+, worst AS (
+  SELECT terminal_id, fraud_probability, alert_tier FROM (
+    SELECT *, row_number() OVER (PARTITION BY terminal_id
+                                 ORDER BY fraud_probability DESC NULLS LAST, created_at, transaction_id) AS rn
+    FROM alerts) WHERE rn = 1
+), top AS (
+  SELECT * FROM worst ORDER BY fraud_probability DESC NULLS LAST, terminal_id LIMIT 5
+)
+SELECT top.terminal_id,
+       CASE WHEN t.terminal_id IS NULL THEN top.terminal_id ELSE t.terminal_name END AS terminal_name,
+       top.fraud_probability, top.alert_tier
+FROM top LEFT JOIN terminals t ON top.terminal_id = t.terminal_id"""),
+    "terminal_status": with_ctes(f""",{TERMINAL_STATUS}
+SELECT terminal_id, terminal_name, merchant_id, state, lga, {r6('lat')} AS lat, {r6('lon')} AS lon, operator,
+       is_active, tier, alert_count, {r6(sql_round_half_up('p100', 1))} AS fraud_probability_pct,
+       tier IS NOT NULL AS flagged,
+       CASE tier WHEN 'critical' THEN '#d62728' WHEN 'high' THEN '#ff7f0e' WHEN 'medium' THEN '#ffd700'
+                 WHEN 'low' THEN '#2ca02c' ELSE '#808080' END AS color_hex,
+       coalesce(tier, 'none') AS tier_label, merchant_name
+FROM status"""),
+    "map_summary": with_ctes(f""",{TERMINAL_STATUS}
+SELECT {r6('coalesce(avg(lat), 9.082e0)')} AS center_lat, {r6('coalesce(avg(lon), 8.6753e0)')} AS center_lon,
+       count(*) FILTER (WHERE tier IS NOT NULL) AS flagged_terminals, count(*) AS total_terminals
+FROM status"""),
 }

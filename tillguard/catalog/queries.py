@@ -32,3 +32,228 @@ def register(name: str):
 def features_full(spark, sf_dir):
     """WIN-1..5: the five trailing features per transaction (flagship)."""
     return feat.build_features(fx.transactions(spark, sf_dir))
+
+
+def _tx(spark, sf_dir):
+    return fx.transactions(spark, sf_dir)
+
+
+@register("features_plain")
+def features_plain(spark, sf_dir):
+    """WIN-5 with one window partition per key (reference layout); must equal
+    the bucketed default."""
+    return feat.build_features(_tx(spark, sf_dir), mode="plain")
+
+
+@register("velocity_1h")
+def velocity_1h(spark, sf_dir):
+    """WIN-1."""
+    return feat.with_velocity_1h(_tx(spark, sf_dir)).select("transaction_id", "terminal_id", "velocity_1h")
+
+
+@register("geo_jump_km")
+def geo_jump_km(spark, sf_dir):
+    """WIN-2 + PRJ-10."""
+    return feat.with_geo_jump(_tx(spark, sf_dir)).select("transaction_id", "terminal_id", "geo_jump_km")
+
+
+@register("bin_spend_rate")
+def bin_spend_rate(spark, sf_dir):
+    """WIN-3 (bucketed: the 10 BINs are hot keys)."""
+    return feat.with_bin_spend_rate(_tx(spark, sf_dir)).select("transaction_id", "card_bin", "bin_spend_rate")
+
+
+@register("reversal_24h")
+def reversal_24h(spark, sf_dir):
+    """WIN-4 + PRJ-13."""
+    return feat.with_terminal_reversal_count(_tx(spark, sf_dir)).select(
+        "transaction_id", "terminal_id", "terminal_reversal_count")
+
+
+def _minute_tx(spark, sf_dir):
+    from pyspark.sql import functions as F
+    return _tx(spark, sf_dir).withColumn("timestamp", F.date_trunc("minute", "timestamp"))
+
+
+@register("trailing_row_ties")
+def trailing_row_ties(spark, sf_dir):
+    """WIN-6 count with tie_policy='row' on minute-truncated times (ties)."""
+    from tillguard.operators.trailing import trailing_window_agg
+    d = trailing_window_agg(_minute_tx(spark, sf_dir), "card_bin", 3600, "sum", out="trailing_count",
+                            tie_policy="row", tie_order="transaction_id")
+    return d.select("transaction_id", "card_bin", "trailing_count")
+
+
+@register("trailing_mean_peers")
+def trailing_mean_peers(spark, sf_dir):
+    """WIN-6 mean with tie_policy='peers' on minute-truncated times."""
+    from tillguard.operators.trailing import trailing_window_agg
+    d = trailing_window_agg(_minute_tx(spark, sf_dir), "terminal_id", 7200, "mean", value="amount_ngn",
+                            out="trailing_mean")
+    return d.select("transaction_id", "terminal_id", "trailing_mean")
+
+
+@register("trailing_mean_row_ties")
+def trailing_mean_row_ties(spark, sf_dir):
+    """WIN-6 mean with tie_policy='row'."""
+    from tillguard.operators.trailing import trailing_window_agg
+    d = trailing_window_agg(_minute_tx(spark, sf_dir), "card_bin", 3600, "mean", value="amount_ngn",
+                            out="trailing_mean", tie_policy="row", tie_order="transaction_id")
+    return d.select("transaction_id", "card_bin", "trailing_mean")
+
+
+def _scores(spark, sf_dir):
+    from tillguard.plans.scoring import blend_scores
+    return blend_scores(fx.model_outputs(spark, sf_dir), scored_at="scored_at")
+
+
+@register("scores_blended")
+def scores_blended(spark, sf_dir):
+    """PRJ-4, PRJ-8, PRJ-9: blend, tier, 4-dp rounding."""
+    return _scores(spark, sf_dir)
+
+
+@register("scoring_ratio_guard")
+def scoring_ratio_guard(spark, sf_dir):
+    """PRJ-6 vs PRJ-7 on a shifted baseline that reaches <= 0."""
+    from pyspark.sql import functions as F
+    from tillguard.functions import amount_ratio_for_scoring, amount_vs_bin_avg_ratio
+    f = feat.build_features(_tx(spark, sf_dir)).withColumn("base", F.col("bin_spend_rate") - F.lit(50.0))
+    return f.select("transaction_id", "base",
+                    amount_ratio_for_scoring("amount_ngn", "base").alias("scoring_ratio"),
+                    amount_vs_bin_avg_ratio("amount_ngn", "base").alias("feature_ratio"))
+
+
+def _alerts(spark, sf_dir):
+    from tillguard.plans.alerts import build_alerts
+    return build_alerts(_scores(spark, sf_dir), _tx(spark, sf_dir), fx.terminals(spark, sf_dir),
+                        fx.merchants(spark, sf_dir))
+
+
+@register("alerts_enriched")
+def alerts_enriched(spark, sf_dir):
+    """JON-1..4 + PRJ-5: scores within 1 h of their transaction, alertable
+    tiers, terminal and merchant names."""
+    return _alerts(spark, sf_dir)
+
+
+@register("latest_reference")
+def latest_reference(spark, sf_dir):
+    """SRC-7: the transaction stream as a changelog keyed by terminal; the
+    latest record per terminal is its current row."""
+    from tillguard.sources.changelog import latest_by_key
+    t = _tx(spark, sf_dir).select("terminal_id", "transaction_id", "amount_ngn", "state", "timestamp")
+    return latest_by_key(t, "terminal_id", ["timestamp", "transaction_id"])
+
+
+@register("labeled_features")
+def labeled_features(spark, sf_dir):
+    """JON-5: features with the latest label per transaction (default false)."""
+    from tillguard.operators.joins import label_join
+    labels = _tx(spark, sf_dir).select("transaction_id", "is_fraud", "timestamp")
+    return label_join(feat.build_features(_tx(spark, sf_dir)), labels, order="timestamp").select(
+        "transaction_id", "velocity_1h", "geo_jump_km", "bin_spend_rate", "terminal_reversal_count",
+        "amount_ngn", "amount_vs_bin_avg_ratio", "is_fraud")
+
+
+@register("unseen_append")
+def unseen_append(spark, sf_dir):
+    """JON-6: a replayed batch (from Jan 15) against a table holding rows up to
+    Jan 20: only unseen transaction ids are appended."""
+    from pyspark.sql import functions as F
+    from tillguard.operators.joins import unseen
+    tx = _tx(spark, sf_dir)
+    target = tx.filter(F.col("timestamp") < F.lit("2024-01-20").cast("timestamp"))
+    batch = tx.filter(F.col("timestamp") >= F.lit("2024-01-15").cast("timestamp"))
+    return unseen(batch, target).select("transaction_id", "terminal_id", "amount_ngn", "timestamp")
+
+
+def _marts():
+    from tillguard.operators import marts
+    return marts
+
+
+@register("alerts_filtered")
+def alerts_filtered(spark, sf_dir):
+    """FLT-1 + SRT-1 (STR-8 view): high/critical alerts in two states between
+    two dates."""
+    return _marts().live_alerts(_alerts(spark, sf_dir), tiers=["high", "critical"], states=["Lagos", "Kano"],
+                                date_range=("2024-01-05", "2024-01-20"))
+
+
+@register("alert_facets")
+def alert_facets(spark, sf_dir):
+    """AGG-9 (arrays joined to text for comparison)."""
+    from pyspark.sql import functions as F
+    f = _marts().filter_facets(_alerts(spark, sf_dir))
+    return f.select(F.array_join("tiers", ",").alias("tiers"), F.array_join("states", ",").alias("states"),
+                    "min_date", "max_date")
+
+
+@register("tier_counts")
+def tier_counts(spark, sf_dir):
+    """AGG-1 over all scores (every tier present)."""
+    return _marts().tier_counts(_scores(spark, sf_dir))
+
+
+@register("alert_tier_counts")
+def alert_tier_counts(spark, sf_dir):
+    """AGG-1 over alerts (low is zero-filled)."""
+    return _marts().tier_counts(_alerts(spark, sf_dir))
+
+
+@register("alert_kpis")
+def alert_kpis(spark, sf_dir):
+    """AGG-6."""
+    return _marts().alert_kpis(_alerts(spark, sf_dir))
+
+
+@register("alerts_by_hour")
+def alerts_by_hour(spark, sf_dir):
+    """AGG-5."""
+    return _marts().alerts_by_hour(_alerts(spark, sf_dir))
+
+
+@register("score_histogram")
+def score_histogram(spark, sf_dir):
+    """AGG-10: 20 fixed-width bins of fraud_probability over all scores."""
+    return _marts().score_histogram(_scores(spark, sf_dir))
+
+
+@register("top_terminals")
+def top_terminals(spark, sf_dir):
+    """AGG-2."""
+    return _marts().top_terminals(_alerts(spark, sf_dir))
+
+
+@register("top_states")
+def top_states(spark, sf_dir):
+    """AGG-4."""
+    return _marts().top_states(_alerts(spark, sf_dir))
+
+
+@register("top_bins_avg")
+def top_bins_avg(spark, sf_dir):
+    """AGG-3."""
+    return _marts().top_bins_by_avg_probability(_alerts(spark, sf_dir))
+
+
+@register("top_at_risk")
+def top_at_risk(spark, sf_dir):
+    """WIN-7 + JON-7."""
+    return _marts().top_at_risk_terminals(_alerts(spark, sf_dir), fx.terminals(spark, sf_dir), n=5)
+
+
+@register("terminal_status")
+def terminal_status(spark, sf_dir):
+    """AGG-7 + JON-7/9 + PRJ-14/15 (hex colour; RGB array in unit tests)."""
+    s = _marts().terminal_status(fx.terminals(spark, sf_dir), _alerts(spark, sf_dir), fx.merchants(spark, sf_dir))
+    return s.drop("color")
+
+
+@register("map_summary")
+def map_summary(spark, sf_dir):
+    """AGG-8."""
+    m = _marts()
+    return m.map_summary(m.terminal_status(fx.terminals(spark, sf_dir), _alerts(spark, sf_dir),
+                                           fx.merchants(spark, sf_dir)))

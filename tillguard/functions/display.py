@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillguard.functions.numeric import round_half_up
+
 # Tier colours (RGB and hex) and the neutral grey for no tier.
 TIER_RGB = {
     "critical": [214, 39, 40],
@@ -25,7 +27,7 @@ def _c(x) -> Column:
 
 
 def pct(p, digits: int = 1) -> Column:
-    return F.round(_c(p) * 100.0, digits)
+    return round_half_up(_c(p) * 100.0, digits)
 
 
 def tier_rgb(tier) -> Column:

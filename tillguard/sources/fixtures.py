@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillguard.functions.numeric import round_half_up
 from tillguard.session import apply_engine_conf
 
 # State names assigned by id modulo 5 in the fixture mapping.
@@ -87,7 +88,7 @@ def model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _mapped_events(spark, sf_dir)
     return ev.select(
         "transaction_id",
-        F.least(F.lit(1.0), F.round(F.col("amount_ngn") / 200.0, 4)).alias("xgboost_score"),
+        F.least(F.lit(1.0), round_half_up(F.col("amount_ngn") / 200.0, 4)).alias("xgboost_score"),
         F.when(F.col("_k") >= 90, F.lit(-1.0)).otherwise(F.lit(1.0)).alias("raw_anomaly"),
         (F.col("timestamp") + F.make_dt_interval(mins=(F.col("_event_id") % 90).cast("int"))).alias("scored_at"),
     )
