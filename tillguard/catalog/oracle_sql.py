@@ -308,3 +308,146 @@ SELECT {r6('coalesce(avg(lat), 9.082e0)')} AS center_lat, {r6('coalesce(avg(lon)
        count(*) FILTER (WHERE tier IS NOT NULL) AS flagged_terminals, count(*) AS total_terminals
 FROM status"""),
 }
+
+FEATURES6 = ["velocity_1h", "geo_jump_km", "bin_spend_rate", "terminal_reversal_count", "amount_ngn",
+             "amount_vs_bin_avg_ratio"]
+CONTINUOUS4 = ["geo_jump_km", "bin_spend_rate", "amount_ngn", "amount_vs_bin_avg_ratio"]
+CATEGORICAL3 = ["is_fraud", "velocity_1h", "terminal_reversal_count"]
+
+LABELED = """
+, lab AS (
+  SELECT transaction_id, CAST(velocity_1h AS DOUBLE) AS velocity_1h, geo_jump_km, bin_spend_rate,
+         CAST(terminal_reversal_count AS DOUBLE) AS terminal_reversal_count, amount_ngn, amount_vs_bin_avg_ratio,
+         CAST(coalesce(is_fraud, false) AS INTEGER) AS is_fraud, ev_id
+  FROM features_r
+), real_rows AS (SELECT * FROM lab WHERE ev_id % 2 = 0),
+synth_rows AS (SELECT * FROM lab WHERE ev_id % 2 = 1),
+scored AS (
+  SELECT s.*, t.is_fraud FROM scores s JOIN transactions t ON s.transaction_id = t.transaction_id
+), score_counts AS (
+  SELECT fraud_probability AS score, sum(CAST(is_fraud AS INTEGER)) AS pos, sum(1 - CAST(is_fraud AS INTEGER)) AS neg
+  FROM scored GROUP BY 1
+), desc_cum AS (
+  SELECT score, pos, neg,
+         sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+         sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp,
+         sum(pos) OVER () AS P
+  FROM score_counts
+)"""
+
+
+def _union(parts):
+    return "\nUNION ALL\n".join(parts)
+
+
+def _two_sample(col: str) -> str:
+    return f"""(SELECT v AS value, sum(c1) AS c1, sum(c2) AS c2 FROM (
+      SELECT CAST({col} AS DOUBLE) AS v, 1 AS c1, 0 AS c2 FROM real_rows
+      UNION ALL SELECT CAST({col} AS DOUBLE), 0, 1 FROM synth_rows) u
+    WHERE v IS NOT NULL AND NOT isnan(v) GROUP BY v)"""
+
+
+def _ks(col: str) -> str:
+    return f"""SELECT '{col}' AS column, {r6('max(abs(cc1 / n1 - cc2 / n2))')} AS ks,
+       CAST(max(n1) AS BIGINT) AS n1, CAST(max(n2) AS BIGINT) AS n2
+FROM (SELECT sum(c1) OVER w AS cc1, sum(c2) OVER w AS cc2, sum(c1) OVER () AS n1, sum(c2) OVER () AS n2
+      FROM {_two_sample(col)} t WINDOW w AS (ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+def _wasserstein(col: str) -> str:
+    raw = "coalesce(sum(abs(cc1 / n1 - cc2 / n2) * (nv - value)), 0.0e0)"
+    sd = f"(SELECT stddev_samp(CAST({col} AS DOUBLE)) FROM real_rows)"
+    return f"""SELECT '{col}' AS column, {r6(raw)} AS raw_distance,
+       {r6(f'CASE WHEN {sd} > 0 THEN {raw} / {sd} ELSE CAST(' + "'inf'" + ' AS DOUBLE) END')} AS normalized_score
+FROM (SELECT value, lead(value) OVER (ORDER BY value) AS nv,
+             sum(c1) OVER w AS cc1, sum(c2) OVER w AS cc2, sum(c1) OVER () AS n1, sum(c2) OVER () AS n2
+      FROM {_two_sample(col)} t WINDOW w AS (ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+def _chi(col: str) -> str:
+    exp = "(CASE WHEN e = 0 THEN 1e-6 ELSE e END)"
+    return f"""SELECT '{col}' AS column, {r6(f'sum(pow(c1 - {exp}, 2) / {exp})')} AS chi2_statistic,
+       count(*) AS categories
+FROM (SELECT c1, c2 / (sum(c2) OVER ()) * (sum(c1) OVER ()) AS e FROM {_two_sample(col)} t)"""
+
+
+def _describe(col: str) -> str:
+    return f"""SELECT '{col}' AS column, count({col}) AS count, {r6(f'avg({col})')} AS mean,
+       {r6(f'stddev_samp({col})')} AS std, {r6(f'min({col})')} AS min,
+       {r6(f'quantile_cont({col}, 0.25)')} AS p25, {r6(f'quantile_cont({col}, 0.5)')} AS p50,
+       {r6(f'quantile_cont({col}, 0.75)')} AS p75, {r6(f'max({col})')} AS max
+FROM lab"""
+
+
+def _corr_pairs(cols):
+    parts = []
+    for i, a in enumerate(cols):
+        for b in cols[i:]:
+            expr = r6(f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))")
+            parts.append(f"SELECT '{a}' AS column_a, '{b}' AS column_b, {expr} AS corr FROM lab")
+            if a != b:
+                parts.append(f"SELECT '{b}' AS column_a, '{a}' AS column_b, {expr} AS corr FROM lab")
+    return _union(parts)
+
+
+def _mean_diff(col: str) -> str:
+    rm, sm = f"(SELECT avg({col}) FROM real_rows)", f"(SELECT avg({col}) FROM synth_rows)"
+    diff = f"CASE WHEN {rm} <> 0 THEN abs({rm} - {sm}) / abs({rm}) * 100.0e0 ELSE CAST('inf' AS DOUBLE) END"
+    return f"""SELECT '{col}' AS column, {r6(rm)} AS real_mean, {r6(sm)} AS synthetic_mean,
+       {r6(diff)} AS mean_pct_diff,
+       CASE WHEN {diff} <= 10 THEN 'ok' WHEN {diff} <= 20 THEN 'warn' ELSE 'fail' END AS flag"""
+
+
+ORACLES.update({
+    "class_balance": with_ctes(f"{LABELED}\nSELECT is_fraud, count(*) AS n FROM lab GROUP BY is_fraud"),
+    "missing_counts": with_ctes(LABELED + "\n" + _union([
+        f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL OR isnan({c})) AS missing FROM lab"
+        for c in FEATURES6])),
+    "describe_features": with_ctes(LABELED + "\n" + _union([_describe(c) for c in FEATURES6])),
+    "correlation": with_ctes(LABELED + "\n" + _corr_pairs(FEATURES6 + ["is_fraud"])),
+    "scale_pos_weight": with_ctes(f"""{LABELED}
+SELECT CAST(sum(is_fraud) AS BIGINT) AS positives, CAST(sum(1 - is_fraud) AS BIGINT) AS negatives,
+       {r6('CASE WHEN sum(is_fraud) = 0 THEN 1.0e0 ELSE sum(1 - is_fraud) / sum(is_fraud) END')} AS scale_pos_weight
+FROM lab"""),
+    "joint_counts": with_ctes(f"""{LABELED}
+SELECT is_fraud, CAST(terminal_reversal_count AS BIGINT) AS terminal_reversal_count,
+       CAST(velocity_1h AS BIGINT) AS velocity_1h, CAST(geo_jump_km > 0 AS INTEGER) AS has_geo_jump, count(*) AS n
+FROM lab GROUP BY ALL"""),
+    "dataset_rates": with_ctes(f"""{LABELED}
+SELECT 'real' AS dataset, count(*) AS n, CAST(coalesce(sum(is_fraud), 0) AS BIGINT) AS n_fraud,
+       {r6('avg(CAST(is_fraud AS DOUBLE))')} AS fraud_rate FROM real_rows
+UNION ALL
+SELECT 'synthetic', count(*), CAST(coalesce(sum(is_fraud), 0) AS BIGINT), {r6('avg(CAST(is_fraud AS DOUBLE))')}
+FROM synth_rows"""),
+    "binary_metrics": with_ctes(f"""{LABELED}
+SELECT 0.5e0 AS threshold, tp, fp, fn,
+       {r6('CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0e0 END')} AS precision,
+       {r6('CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0e0 END')} AS recall,
+       {r6('CASE WHEN tp > 0 THEN 2.0e0 * (tp / (tp + fp)) * (tp / (tp + fn)) / (tp / (tp + fp) + tp / (tp + fn)) ELSE 0.0e0 END')} AS f1
+FROM (SELECT CAST(count(*) FILTER (WHERE fraud_probability >= 0.5e0 AND is_fraud) AS BIGINT) AS tp,
+             CAST(count(*) FILTER (WHERE fraud_probability >= 0.5e0 AND NOT is_fraud) AS BIGINT) AS fp,
+             CAST(count(*) FILTER (WHERE fraud_probability < 0.5e0 AND is_fraud) AS BIGINT) AS fn
+      FROM scored)"""),
+    "best_threshold": with_ctes(f"""{LABELED}
+, f AS (SELECT score, tp / (tp + fp) AS precision, tp / P AS recall,
+               2 * (tp / (tp + fp)) * (tp / P) / (tp / (tp + fp) + tp / P + 1e-12) AS f1 FROM desc_cum)
+SELECT {r6('score')} AS threshold, {r6('f1')} AS f1, {r6('precision')} AS precision, {r6('recall')} AS recall
+FROM f ORDER BY f1 DESC, score ASC LIMIT 1"""),
+    "roc_auc": with_ctes(f"""{LABELED}
+SELECT {r6('sum(pos * (below + neg / 2.0e0)) / (sum(pos) * sum(neg))')} AS roc_auc,
+       CAST(sum(pos) AS BIGINT) AS positives, CAST(sum(neg) AS BIGINT) AS negatives
+FROM (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+             AS below FROM score_counts)"""),
+    "average_precision": with_ctes(f"""{LABELED}
+SELECT {r6('sum(pos * (tp / (tp + fp))) / sum(pos)')} AS average_precision, CAST(sum(pos) AS BIGINT) AS positives
+FROM desc_cum"""),
+    "precision_at_k": with_ctes(f"""{LABELED}
+, k AS (SELECT CAST(sum(CAST(is_fraud AS INTEGER)) AS BIGINT) AS k FROM scored)
+SELECT {r6('avg(CAST(is_fraud AS INTEGER))')} AS precision_at_k, (SELECT k FROM k) AS k
+FROM (SELECT is_fraud FROM scored ORDER BY 1.0e0 - fraud_probability, transaction_id
+      LIMIT (SELECT k FROM k))"""),
+    "summary_diff": with_ctes(LABELED + "\n" + _union([_mean_diff(c) for c in FEATURES6])),
+    "ks_2samp": with_ctes(LABELED + "\n" + _union([_ks(c) for c in CONTINUOUS4])),
+    "wasserstein": with_ctes(LABELED + "\n" + _union([_wasserstein(c) for c in CONTINUOUS4])),
+    "chi_square_stat": with_ctes(LABELED + "\n" + _union([_chi(c) for c in CATEGORICAL3])),
+})

@@ -257,3 +257,182 @@ def map_summary(spark, sf_dir):
     m = _marts()
     return m.map_summary(m.terminal_status(fx.terminals(spark, sf_dir), _alerts(spark, sf_dir),
                                            fx.merchants(spark, sf_dir)))
+
+
+def _labeled(spark, sf_dir):
+    """Feature frame with its label (JON-5) and the model-frame types (PRJ-3)."""
+    from tillguard.operators.joins import label_join
+    from tillguard.operators.profile import to_model_frame
+    labels = _tx(spark, sf_dir).select("transaction_id", "is_fraud", "timestamp")
+    lf = label_join(feat.build_features(_tx(spark, sf_dir)), labels, order="timestamp")
+    return to_model_frame(lf, keep=("transaction_id",))
+
+
+def _real_synth(spark, sf_dir):
+    """FIXTURES.md: real = even event ids, synthetic = odd event ids."""
+    from pyspark.sql import functions as F
+    lf = _labeled(spark, sf_dir)
+    parity = F.col("transaction_id").cast("long") % 2
+    return lf.filter(parity == 0), lf.filter(parity == 1)
+
+
+def _profile():
+    from tillguard.operators import profile
+    return profile
+
+
+@register("class_balance")
+def class_balance(spark, sf_dir):
+    """AGG-11."""
+    return _profile().class_balance(_labeled(spark, sf_dir))
+
+
+@register("missing_counts")
+def missing_counts(spark, sf_dir):
+    """AGG-12."""
+    from tillguard.schemas import FEATURE_COLUMNS
+    return _profile().missing_value_counts(_labeled(spark, sf_dir), FEATURE_COLUMNS)
+
+
+@register("describe_features")
+def describe_features(spark, sf_dir):
+    """AGG-13 with exact distributed percentiles."""
+    return _profile().describe_features(_labeled(spark, sf_dir))
+
+
+@register("correlation")
+def correlation(spark, sf_dir):
+    """AGG-14: features + label."""
+    from tillguard.schemas import FEATURE_COLUMNS
+    return _profile().correlation_matrix(_labeled(spark, sf_dir), [*FEATURE_COLUMNS, "is_fraud"])
+
+
+@register("scale_pos_weight")
+def scale_pos_weight(spark, sf_dir):
+    """AGG-15."""
+    return _profile().scale_pos_weight(_labeled(spark, sf_dir))
+
+
+@register("joint_counts")
+def joint_counts(spark, sf_dir):
+    """AGG-16."""
+    return _profile().joint_counts(_labeled(spark, sf_dir))
+
+
+@register("dataset_rates")
+def dataset_rates(spark, sf_dir):
+    """AGG-17 for the real and synthetic halves (SET-1 union of the two rows)."""
+    real, synth = _real_synth(spark, sf_dir)
+    p = _profile()
+    return p.dataset_rates(real, name="real").unionByName(p.dataset_rates(synth, name="synthetic"))
+
+
+def _scored_labeled(spark, sf_dir):
+    """Blended fraud probability joined with the transaction label."""
+    tx = _tx(spark, sf_dir).select("transaction_id", "is_fraud")
+    return _scores(spark, sf_dir).join(tx, "transaction_id")
+
+
+def _metrics():
+    from tillguard.operators import metrics
+    return metrics
+
+
+@register("binary_metrics")
+def binary_metrics(spark, sf_dir):
+    """ML-6 at the 0.5 threshold on the blended score."""
+    return _metrics().binary_metrics(_scored_labeled(spark, sf_dir), "fraud_probability", "is_fraud", 0.5)
+
+
+@register("best_threshold")
+def best_threshold(spark, sf_dir):
+    """ML-4: F1-optimal threshold on the blended score."""
+    return _metrics().best_threshold(_scored_labeled(spark, sf_dir), "fraud_probability", "is_fraud")
+
+
+@register("roc_auc")
+def roc_auc(spark, sf_dir):
+    """ML-7 (ties counted half)."""
+    return _metrics().roc_auc(_scored_labeled(spark, sf_dir), "fraud_probability", "is_fraud")
+
+
+@register("average_precision")
+def average_precision(spark, sf_dir):
+    """ML-8 (step-wise, not trapezoid)."""
+    return _metrics().average_precision(_scored_labeled(spark, sf_dir), "fraud_probability", "is_fraud")
+
+
+@register("precision_at_k")
+def precision_at_k(spark, sf_dir):
+    """WIN-8 + ML-13: mean label of the k lowest 'normality' scores, k = the
+    number of frauds (score = 1 - fraud_probability, ties by id)."""
+    from pyspark.sql import functions as F
+    d = _scored_labeled(spark, sf_dir).withColumn("normality", F.lit(1.0) - F.col("fraud_probability"))
+    k = d.agg(F.sum(F.col("is_fraud").cast("int"))).first()[0] or 0  # one scalar: the report size
+    return _metrics().precision_at_k(d, "normality", "is_fraud", int(k))
+
+
+def _validation():
+    from tillguard.operators import validation
+    return validation
+
+
+@register("summary_diff")
+def summary_diff(spark, sf_dir):
+    """VAL-1."""
+    real, synth = _real_synth(spark, sf_dir)
+    return _validation().summary_diff(real, synth)
+
+
+@register("ks_2samp")
+def ks_2samp(spark, sf_dir):
+    """VAL-3 statistic for the four continuous columns."""
+    from tillguard.schemas import CONTINUOUS_COLUMNS
+    real, synth = _real_synth(spark, sf_dir)
+    v = _validation()
+    out = None
+    for c in CONTINUOUS_COLUMNS:
+        r = v.ks_statistic(real, synth, c)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("wasserstein")
+def wasserstein(spark, sf_dir):
+    """VAL-5 for the four continuous columns."""
+    from tillguard.schemas import CONTINUOUS_COLUMNS
+    real, synth = _real_synth(spark, sf_dir)
+    v = _validation()
+    out = None
+    for c in CONTINUOUS_COLUMNS:
+        r = v.wasserstein(real, synth, c)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("chi_square_stat")
+def chi_square_stat(spark, sf_dir):
+    """VAL-4 statistic for the three categorical columns."""
+    from tillguard.schemas import CATEGORICAL_COLUMNS
+    real, synth = _real_synth(spark, sf_dir)
+    v = _validation()
+    out = None
+    for c in CATEGORICAL_COLUMNS:
+        r = v.chi_square(real, synth, c)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("validation_gate")
+def validation_gate(spark, sf_dir):
+    """VAL-8 + VAL-9 over levels 1 and 3 (rows-only check)."""
+    from pyspark.sql import functions as F
+    real, synth = _real_synth(spark, sf_dir)
+    v = _validation()
+    res = v.validate(real, synth)
+    gate = v.approve(res)
+    summ = v.validation_summary(res)
+    return summ.select("level", "failed", "checks").unionByName(
+        gate.select(F.lit("gate").alias("level"),
+                    F.when(F.col("approved"), F.lit(0)).otherwise(F.size("reasons")).cast("long").alias("failed"),
+                    F.lit(None).cast("long").alias("checks")))
