@@ -451,3 +451,36 @@ FROM (SELECT is_fraud FROM scored ORDER BY 1.0e0 - fraud_probability, transactio
     "wasserstein": with_ctes(LABELED + "\n" + _union([_wasserstein(c) for c in CONTINUOUS4])),
     "chi_square_stat": with_ctes(LABELED + "\n" + _union([_chi(c) for c in CATEGORICAL3])),
 })
+
+
+ORACLES.update({
+    "stream_features_state": FEATURES_FULL,
+    "stream_features_microbatch": with_ctes(f"""
+, sl AS (SELECT *, sec // {5 * 86400} AS slice FROM tx_all),
+slp AS (
+  SELECT *,
+         lag(latitude) OVER (PARTITION BY slice, terminal_id ORDER BY timestamp, transaction_id) AS p_lat,
+         lag(longitude) OVER (PARTITION BY slice, terminal_id ORDER BY timestamp, transaction_id) AS p_lon,
+         avg(amount_ngn) OVER (PARTITION BY slice, card_bin ORDER BY sec
+                               RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS rate
+  FROM sl
+)
+SELECT transaction_id, terminal_id, card_bin, {r6('amount_ngn')} AS amount_ngn,
+       count(transaction_id) OVER (PARTITION BY slice, terminal_id ORDER BY sec
+                                   RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS velocity_1h,
+       {r6(f"CASE WHEN p_lat IS NOT NULL THEN {haversine('p_lat', 'p_lon', 'latitude', 'longitude')} ELSE 0.0e0 END")}
+         AS geo_jump_km,
+       {r6('rate')} AS bin_spend_rate,
+       CAST(sum(CASE WHEN fraud_type = 'fake_reversal' THEN 1 ELSE 0 END)
+            OVER (PARTITION BY slice, terminal_id ORDER BY sec RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW)
+            AS BIGINT) AS terminal_reversal_count,
+       {r6('CASE WHEN rate = 0 THEN NULL ELSE amount_ngn / rate END')} AS amount_vs_bin_avg_ratio,
+       timestamp
+FROM slp"""),
+    "stream_alerts": with_ctes("SELECT * FROM alerts"),
+    "json_roundtrip": with_ctes(f"""
+SELECT transaction_id, terminal_id, merchant_id, card_bin, {r6('amount_ngn')} AS amount_ngn, state, lga,
+       {r6('latitude')} AS latitude, {r6('longitude')} AS longitude, timestamp, is_fraud, fraud_type
+FROM transactions"""),
+    "keyed_json": with_ctes("SELECT transaction_id AS key, alert_tier, fraud_probability FROM scores"),
+})

@@ -436,3 +436,85 @@ def validation_gate(spark, sf_dir):
         gate.select(F.lit("gate").alias("level"),
                     F.when(F.col("approved"), F.lit(0)).otherwise(F.size("reasons")).cast("long").alias("failed"),
                     F.lit(None).cast("long").alias("checks")))
+
+
+def _scratch(spark, name):
+    """A fresh folder under the shared checkpoint dir (never machine-local)."""
+    import uuid
+    from tillguard.session import checkpoint_path
+    return checkpoint_path(spark, f"tillguard-runs/{name}-{uuid.uuid4().hex[:12]}")
+
+
+SLICE_SECONDS = 5 * 86400
+
+
+def _write_time_slices(spark, tx, path):
+    """Transactions as JSON files, one file per 5-day slice, written in time
+    order (the file source then replays them as time-ordered micro-batches)."""
+    from pyspark.sql import functions as F
+    from tillguard.sources.events import to_wire_json
+    sl = F.floor(F.unix_seconds("timestamp") / SLICE_SECONDS)
+    slices = [r[0] for r in tx.select(sl.alias("s")).distinct().orderBy("s").collect()]  # one per 5 days
+    for s in slices:
+        to_wire_json(tx.filter(sl == s)).coalesce(1).write.mode("append").text(path)
+    return len(slices)
+
+
+def _stream_features(spark, sf_dir, history):
+    from tillguard.streaming import run_feature_stream, transaction_stream
+    base = _scratch(spark, f"features-{history}")
+    src = f"{base}/source"
+    _write_time_slices(spark, _tx(spark, sf_dir), src)
+    stream = transaction_stream(spark, path=src, max_files_per_trigger=1)
+    q = run_feature_stream(stream, f"{base}/features", f"{base}/checkpoint", history=history)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/features").drop("event_date")
+
+
+@register("stream_features_state")
+def stream_features_state(spark, sf_dir):
+    """STR-1 + STR-3 + STR-6: time-ordered micro-batches with table-backed
+    history; must equal the batch features."""
+    return _stream_features(spark, sf_dir, "table")
+
+
+@register("stream_features_microbatch")
+def stream_features_microbatch(spark, sf_dir):
+    """STR-2: features inside each micro-batch only (reference behaviour):
+    windows restart at every 5-day slice."""
+    return _stream_features(spark, sf_dir, "batch")
+
+
+@register("stream_alerts")
+def stream_alerts(spark, sf_dir):
+    """STR-5: score and transaction file streams, watermarked interval join,
+    static reference joins, parquet sink; must equal the batch alerts."""
+    from tillguard.sources.events import to_wire_json
+    from tillguard.streaming import alert_stream, score_stream, stream_to_table, transaction_stream
+    base = _scratch(spark, "alerts")
+    to_wire_json(_tx(spark, sf_dir)).write.text(f"{base}/tx")
+    to_wire_json(_scores(spark, sf_dir)).write.text(f"{base}/scores")
+    a = alert_stream(score_stream(spark, path=f"{base}/scores"), transaction_stream(spark, path=f"{base}/tx"),
+                     fx.terminals(spark, sf_dir), fx.merchants(spark, sf_dir))
+    stream_to_table(a, f"{base}/alerts", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/alerts")
+
+
+@register("json_roundtrip")
+def json_roundtrip(spark, sf_dir):
+    """SRC-2 + SRC-3: transactions -> JSON wire text -> decoded, valid rows."""
+    from pyspark.sql import functions as F
+    from tillguard.sources.events import decode_json, to_wire_json
+    d = decode_json(to_wire_json(_tx(spark, sf_dir)))
+    return d.filter("is_valid").drop("is_valid").withColumn("timestamp", F.col("timestamp"))
+
+
+@register("keyed_json")
+def keyed_json(spark, sf_dir):
+    """SNK-5: key + JSON value per score (the topic message form)."""
+    from tillguard.sinks.tables import keyed_json as kj
+    from pyspark.sql import functions as F
+    s = _scores(spark, sf_dir).select("transaction_id", "alert_tier", "fraud_probability")
+    return kj(s, "transaction_id").select("key", F.get_json_object("value", "$.alert_tier").alias("alert_tier"),
+                                          F.get_json_object("value", "$.fraud_probability")
+                                           .cast("double").alias("fraud_probability"))
