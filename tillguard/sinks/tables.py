@@ -41,7 +41,12 @@ def append_idempotent(batch: DataFrame, path: str, key: str = "transaction_id",
         dates = [r[0] for r in b.select(DATE_COL).distinct().collect()]  # touched partitions only
         target = spark.read.parquet(path).filter(F.col(DATE_COL).isin(dates)).select(key)
         b = b.join(target, on=key, how="left_anti")
-    b = b.persist()
+    # Fix the rows before writing: evaluated lazily afterwards, the anti-join
+    # would see the rows just written.  checkpoint() writes to the shared
+    # spark.checkpoint.dir, so the result survives executor loss.
+    from tillguard.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    b = b.checkpoint(eager=True)
     b.write.mode("append").partitionBy(DATE_COL).parquet(path)
     return b
 
