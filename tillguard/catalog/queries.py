@@ -518,3 +518,72 @@ def keyed_json(spark, sf_dir):
     return kj(s, "transaction_id").select("key", F.get_json_object("value", "$.alert_tier").alias("alert_tier"),
                                           F.get_json_object("value", "$.fraud_probability")
                                            .cast("double").alias("fraud_probability"))
+
+
+@register("stratified_split")
+def stratified_split(spark, sf_dir):
+    """ML-1: exact per-class 20 % test split by seeded id hash (rows-only:
+    the hash differs from other engines; class shares are exact)."""
+    from pyspark.sql import functions as F
+    from tillguard.plans.training import stratified_split as split
+    s = split(_labeled(spark, sf_dir), "is_fraud", 0.2)
+    return s.groupBy("is_fraud", "is_test").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("classifier_metrics")
+def classifier_metrics(spark, sf_dir):
+    """ML-2 + ML-4 + ML-5 + ML-6..8: holdout metrics of the boosted-tree
+    classifier at 0.5 and at the F1-tuned threshold (rows-only)."""
+    from tillguard.plans.training import train_with_holdout
+    _, m = train_with_holdout(_labeled(spark, sf_dir))
+    return m
+
+
+@register("feature_importance")
+def feature_importance(spark, sf_dir):
+    """ML-10 (+ ML-15 save/load round trip): importances of the classifier
+    trained on all real rows (rows-only)."""
+    from tillguard.plans import registry
+    from tillguard.plans.training import feature_importance as fi, train_classifier
+    real, _ = _real_synth(spark, sf_dir)
+    root = _scratch(spark, "registry")
+    registry.register_model(spark, train_classifier(real), root, "fraud-classifier")
+    return fi(registry.load_model(spark, root, "fraud-classifier"))
+
+
+def _iforest(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from tillguard.plans.isolation_forest import fit_isolation_forest
+    lab = _labeled(spark, sf_dir)
+    model = fit_isolation_forest(lab.filter(F.col("is_fraud") == 0))  # FLT-2: train on non-fraud rows
+    return model.transform(lab)
+
+
+@register("isolation_forest_scores")
+def isolation_forest_scores(spark, sf_dir):
+    """ML-11 + ML-12: anomaly score and raw +-1 label per transaction
+    (rows-only: randomised trees)."""
+    return _iforest(spark, sf_dir).select("transaction_id", "anomaly_score", "raw_anomaly", "is_fraud")
+
+
+@register("isolation_forest_eval")
+def isolation_forest_eval(spark, sf_dir):
+    """ML-13: AGG-18 score stats + WIN-8 precision@(fraud count) (rows-only)."""
+    from pyspark.sql import functions as F
+    from tillguard.operators.metrics import precision_at_k
+    from tillguard.operators.profile import score_stats
+    sc = _iforest(spark, sf_dir).cache()
+    k = sc.agg(F.sum("is_fraud")).first()[0] or 0
+    p = precision_at_k(sc, "anomaly_score", "is_fraud", int(k)).first()["precision_at_k"]
+    out = score_stats(sc, "anomaly_score", "is_fraud").withColumn("precision_at_k", F.lit(p))
+    return out
+
+
+@register("tstr_trtr")
+def tstr_trtr(spark, sf_dir):
+    """VAL-6: train-on-synthetic vs train-on-real AUC on a 30 % real test
+    split (rows-only)."""
+    from tillguard.plans.training import tstr_vs_trtr
+    real, synth = _real_synth(spark, sf_dir)
+    r = tstr_vs_trtr(real.drop("transaction_id"), synth.drop("transaction_id"))
+    return spark.createDataFrame([(k, str(v)) for k, v in r.items()], "metric string, value string")
