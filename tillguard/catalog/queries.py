@@ -389,12 +389,7 @@ def ks_2samp(spark, sf_dir):
     """VAL-3 statistic for the four continuous columns."""
     from tillguard.schemas import CONTINUOUS_COLUMNS
     real, synth = _real_synth(spark, sf_dir)
-    v = _validation()
-    out = None
-    for c in CONTINUOUS_COLUMNS:
-        r = v.ks_statistic(real, synth, c)
-        out = r if out is None else out.unionByName(r)
-    return out
+    return _validation().ks_statistics(real, synth, CONTINUOUS_COLUMNS)
 
 
 @register("wasserstein")
@@ -402,12 +397,7 @@ def wasserstein(spark, sf_dir):
     """VAL-5 for the four continuous columns."""
     from tillguard.schemas import CONTINUOUS_COLUMNS
     real, synth = _real_synth(spark, sf_dir)
-    v = _validation()
-    out = None
-    for c in CONTINUOUS_COLUMNS:
-        r = v.wasserstein(real, synth, c)
-        out = r if out is None else out.unionByName(r)
-    return out
+    return _validation().wasserstein_distances(real, synth, CONTINUOUS_COLUMNS)
 
 
 @register("chi_square_stat")
@@ -415,12 +405,7 @@ def chi_square_stat(spark, sf_dir):
     """VAL-4 statistic for the three categorical columns."""
     from tillguard.schemas import CATEGORICAL_COLUMNS
     real, synth = _real_synth(spark, sf_dir)
-    v = _validation()
-    out = None
-    for c in CATEGORICAL_COLUMNS:
-        r = v.chi_square(real, synth, c)
-        out = r if out is None else out.unionByName(r)
-    return out
+    return _validation().chi_squares(real, synth, CATEGORICAL_COLUMNS)
 
 
 @register("validation_gate")

@@ -1,19 +1,20 @@
 """Exact running totals over a value order without a single-task window.
 
 ROC AUC, average precision, the F1-optimal threshold, the two-sample KS
-statistic, the Wasserstein distance and exact percentiles all need running
-sums over values in sorted order.  A ``Window.orderBy`` without a partition
-key moves every row into one task.  Here the work is spread instead:
-
-1. collapse the input to one row per distinct value (a ``groupBy`` with
-   map-side partial aggregation, so one very frequent value is harmless);
-2. cut the value range into ``n_buckets`` ranges at approximate quantiles of
-   the distinct values (only the bucket boundaries reach the driver);
-3. per bucket: totals (one row per bucket) -> offsets of all earlier buckets
-   (a window over ``n_buckets`` rows) -> broadcast back (bounded by
-   ``n_buckets``);
-4. per bucket: local running sum in a window partitioned by bucket, plus the
-   offset.
+statistic, the Wasserstein distance, exact percentiles and the exact
+stratified split all need running sums over values in sorted order.  A
+``Window.orderBy`` without a partition key moves every row into one task.
+Here the work is spread instead, and the plan stays lazy (no driver action):
+
+1. the input holds one row per distinct value (see ``weights_by_value``: a
+   ``groupBy`` with map-side partial aggregation, so one very frequent value
+   is harmless) per optional ``group`` (e.g. a column name);
+2. ``percentile_approx`` per group gives ``n_buckets - 1`` cut points; each
+   row's bucket is the number of cut points below its value;
+3. per (group, bucket) totals -> offsets of all earlier buckets and group
+   totals, computed on that small table (at most groups x n_buckets rows)
+   and broadcast back;
+4. running sum inside each (group, bucket) window, plus the offset.
 
 The result is exact; only the balance of the buckets is approximate.
 """
@@ -22,7 +23,6 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,73 +37,100 @@ def default_buckets(df: DataFrame) -> int:
 
 
 def weights_by_value(df: DataFrame, value: str | Column, weights: dict[str, Column], out: str = "value",
-                     ) -> DataFrame:
-    """One row per distinct non-null, non-NaN value with summed weights."""
+                     group: Sequence[str] = ()) -> DataFrame:
+    """One row per (group, distinct non-null non-NaN value) with summed weights."""
     v = F.col(value) if isinstance(value, str) else value
-    d = df.select(v.alias(out), *[w.alias(k) for k, w in weights.items()])
+    d = df.select(*group, v.alias(out), *[w.alias(k) for k, w in weights.items()])
     d = d.filter(F.col(out).isNotNull())
     if dict(d.dtypes)[out] in ("double", "float"):
         d = d.filter(~F.isnan(out))
-    return d.groupBy(out).agg(*[F.sum(k).alias(k) for k in weights])
+    return d.groupBy(*group, out).agg(*[F.sum(k).alias(k) for k in weights])
 
 
-def _bucketize(df: DataFrame, key: str, n_buckets: int) -> DataFrame:
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = df.approxQuantile(key, probs, 1.0 / (4 * n_buckets)) if n_buckets > 1 else []
-    cuts = sorted({float(q) for q in qs if q is not None})
-    splits = [float("-inf")] + cuts + [float("inf")]
-    d = df.withColumn("_bkey", F.col(key).cast("double"))
-    return (Bucketizer(splits=splits, inputCol="_bkey", outputCol=BKT, handleInvalid="keep")
-            .transform(d).drop("_bkey"))
-
-
-def running_totals(df: DataFrame, key: str, sum_cols: Sequence[str], *, descending: bool = False,
-                   n_buckets: int | None = None, prefix: str = "cum_", with_next: bool = False) -> DataFrame:
-    """Add ``cum_<c>``: inclusive running sum of ``c`` over ``key`` order.
+def running_totals(df: DataFrame, key: str, sum_cols: Sequence[str], *, group: str | Sequence[str] | None = None,
+                   descending: bool = False, n_buckets: int | None = None, prefix: str = "cum_",
+                   with_next: bool = False) -> DataFrame:
+    """Add ``cum_<c>`` (inclusive running sum of ``c`` in ``key`` order within
+    the group) and ``tot_<c>`` (group total).
 
-    ``df`` must hold one row per distinct ``key`` (see ``weights_by_value``).
-    ``with_next`` also adds ``next_<key>``: the following distinct key value
-    (NULL for the last one).
+    ``df`` must hold one row per (group, distinct ``key``).  ``with_next``
+    also adds ``next_<key>``: the following distinct key of the group.
     """
+    gcols = [group] if isinstance(group, str) else list(group or [])
     n_buckets = n_buckets or default_buckets(df)
     okey = "_okey"
     d = df.withColumn(okey, -F.col(key) if descending else F.col(key))
-    d = _bucketize(d, okey, n_buckets)
-    totals = d.groupBy(BKT).agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols], F.min(okey).alias("_bmin"))
-    # a window over one row per bucket: bounded by n_buckets
-    wb = Window.orderBy(BKT).rowsBetween(Window.unboundedPreceding, -1)
+    internal_group = not gcols
+    if internal_group:  # one constant group: the bounds table is a single row
+        gcols = ["_g0"]
+        d = d.withColumn("_g0", F.lit(0))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    accuracy = max(10000, 4 * n_buckets * 100)
+    if probs:
+        cuts = F.percentile_approx(F.col(okey).cast("double"), probs, accuracy)
+        bounds = d.groupBy(*gcols).agg(cuts.alias("_bounds"))
+        d = d.join(F.broadcast(bounds), on=gcols, how="left")  # one row per group: bounded
+        bcol = F.coalesce(F.col("_bounds"), F.array().cast("array<double>"))
+        d = d.withColumn(BKT, F.size(F.filter(bcol, lambda b: b < F.col(okey).cast("double"))))
+    else:
+        d = d.withColumn(BKT, F.lit(0))
+    d = d.drop("_bounds")
+
+    part = [*gcols, BKT]
+    totals = d.groupBy(*part).agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols], F.min(okey).alias("_bmin"))
+    wg = Window.partitionBy(*gcols).orderBy(BKT)
     offsets = totals.select(
-        BKT, *[F.coalesce(F.sum(f"_t_{c}").over(wb), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
-        F.lead("_bmin").over(Window.orderBy(BKT)).alias("_next_bmin"))
-    d = d.join(F.broadcast(offsets), on=BKT, how="left")
-    wl = Window.partitionBy(BKT).orderBy(okey)
+        *part,
+        *[F.coalesce(F.sum(f"_t_{c}").over(wg.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+          .alias(f"_o_{c}") for c in sum_cols],
+        *[F.sum(f"_t_{c}").over(Window.partitionBy(*gcols)).alias(f"tot_{c}") for c in sum_cols],
+        F.lead("_bmin").over(wg).alias("_next_bmin"))
+    # at most (groups x n_buckets) rows: bounded, so broadcast is safe
+    d = d.join(F.broadcast(offsets), on=part, how="left")
+    wl = Window.partitionBy(*part).orderBy(okey)
     cols = {f"{prefix}{c}": F.col(f"_o_{c}") + F.sum(c).over(wl.rowsBetween(Window.unboundedPreceding, 0))
             for c in sum_cols}
     if with_next:
         nxt = F.coalesce(F.lead(okey).over(wl), F.col("_next_bmin"))
         cols[f"next_{key}"] = -nxt if descending else nxt
     d = d.withColumns(cols)
-    return d.drop(BKT, okey, "_next_bmin", *[f"_o_{c}" for c in sum_cols])
+    d = d.drop(BKT, okey, "_next_bmin", *[f"_o_{c}" for c in sum_cols])
+    return d.drop("_g0") if internal_group else d
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], *, n_buckets: int | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation (pandas/numpy default) for
-    each p in ``probs``; one row with ``q<pct>`` columns (NULL when empty)."""
-    import math
+def _qname(p: float) -> str:
+    return f"q{int(round(p * 100))}" if abs(p * 100 - round(p * 100)) < 1e-9 else f"q{p}"
+
 
-    counts = weights_by_value(df, col, {"n": F.lit(1).cast("long")})
-    total = counts.agg(F.sum("n")).first()[0] or 0  # one scalar
-    cum = running_totals(counts, "value", ["n"], n_buckets=n_buckets)
+def grouped_quantiles(df: DataFrame, value: str, probs: Sequence[float], *, group: Sequence[str] = (),
+                      n_buckets: int | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation (numpy/pandas default) per
+    group: one row per group with ``q<pct>`` columns."""
+    counts = weights_by_value(df, value, {"n": F.lit(1).cast("long")}, group=list(group))
+    cum = running_totals(counts, "value", ["n"], group=list(group) or None, n_buckets=n_buckets)
     exprs = []
     for p in probs:
-        name = f"q{int(round(p * 100))}" if abs(p * 100 - round(p * 100)) < 1e-9 else f"q{p}"
-        if total == 0:
-            exprs.append(F.lit(None).cast("double").alias(name))
-            continue
-        h = (total - 1) * float(p)
-        lo, hi = math.floor(h), math.ceil(h)
+        h = (F.col("tot_n") - 1).cast("double") * F.lit(float(p))
+        lo, hi = F.floor(h), F.ceil(h)
         # value at 0-based rank r = smallest value whose inclusive count > r
         v_lo = F.min(F.when(F.col("cum_n") > lo, F.col("value")))
         v_hi = F.min(F.when(F.col("cum_n") > hi, F.col("value")))
-        exprs.append((v_lo + F.lit(h - lo) * (v_hi - v_lo)).cast("double").alias(name))
-    return cum.agg(*exprs)
+        frac = F.first(h - lo)
+        exprs.append((v_lo + frac * (v_hi - v_lo)).cast("double").alias(_qname(p)))
+    return cum.groupBy(*group).agg(*exprs)
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], *, n_buckets: int | None = None) -> DataFrame:
+    """Exact quantiles of one column (one row; NULL when empty)."""
+    names = [_qname(p) for p in probs]
+    q = grouped_quantiles(df, col, probs, n_buckets=n_buckets).select(F.struct(*names).alias("_q"))
+    # one scalar subquery; an empty input gives a row of NULLs
+    return df.sparkSession.range(1).select(q.scalar().alias("_q")).select(*[F.col(f"_q.{n}").alias(n) for n in names])
+
+
+def melt(df: DataFrame, cols: Sequence[str], name: str = "column", value: str = "value",
+         keep: Sequence[str] = ()) -> DataFrame:
+    """Wide -> long (column, value) with the values cast to double."""
+    expr = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    return df.selectExpr(*[f"`{k}`" for k in keep], f"stack({len(cols)}, {expr}) as ({name}, {value})")
+

@@ -58,18 +58,20 @@ def roc_auc(df: DataFrame, score: str, label: str, *, n_buckets: int | None = No
 
 def pr_curve(df: DataFrame, score: str, label: str, *, n_buckets: int | None = None) -> DataFrame:
     """Per distinct threshold t: tp/fp for ``score >= t``, precision, recall, F1."""
-    counts = score_counts(df, score, label)
-    total_pos = counts.agg(F.sum("pos")).first()[0] or 0  # one scalar
-    c = running_totals(counts, "score", ["pos", "neg"], descending=True, n_buckets=n_buckets)
-    tp, fp = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
+    c = running_totals(score_counts(df, score, label), "score", ["pos", "neg"], descending=True,
+                       n_buckets=n_buckets)
+    return _with_pr(c).select(F.col("score").alias("threshold"), F.col("cum_pos").alias("tp"),
+                              F.col("cum_neg").alias("fp"), "pos", "neg", "precision", "recall", "f1")
+
+
+def _with_pr(c: DataFrame) -> DataFrame:
+    tp, fp, P = (F.col(x).cast("double") for x in ("cum_pos", "cum_neg", "tot_pos"))
     c = c.withColumns({
         "precision": F.when(tp + fp > 0, tp / (tp + fp)).otherwise(F.lit(0.0)),
-        "recall": tp / F.lit(float(total_pos)) if total_pos else F.lit(1.0),
+        "recall": F.when(P > 0, tp / P).otherwise(F.lit(1.0)),
     })
-    c = c.withColumn("f1", 2 * F.col("precision") * F.col("recall") /
-                     (F.col("precision") + F.col("recall") + F.lit(F1_EPS)))
-    return c.select(F.col("score").alias("threshold"), F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
-                    "pos", "neg", "precision", "recall", "f1")
+    return c.withColumn("f1", 2 * F.col("precision") * F.col("recall") /
+                        (F.col("precision") + F.col("recall") + F.lit(F1_EPS)))
 
 
 def average_precision(df: DataFrame, score: str, label: str, *, n_buckets: int | None = None) -> DataFrame:
@@ -85,17 +87,9 @@ def average_precision(df: DataFrame, score: str, label: str, *, n_buckets: int |
 def best_threshold(df: DataFrame, score: str, label: str, *, n_buckets: int | None = None) -> DataFrame:
     """ML-4: threshold with the highest F1 = 2PR/(P+R+1e-12); on equal F1 the
     lowest threshold wins."""
-    c = running_totals(score_counts(df, score, label), "score", ["pos", "neg"], descending=True,
-                       n_buckets=n_buckets)
-    tp, fp = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
-    c = c.withColumns({"_prec": tp / (tp + fp)})
-    tot = c.agg(F.sum("pos").alias("_P"))
-    total_pos = tot.first()["_P"] or 0  # one scalar
-    recall = tp / F.lit(float(total_pos)) if total_pos else F.lit(1.0)
-    f1 = 2 * F.col("_prec") * recall / (F.col("_prec") + recall + F.lit(F1_EPS))
-    c = c.withColumn("f1", f1).withColumn("_recall", recall)
-    best = F.max_by(F.struct(F.col("score").alias("threshold"), F.col("f1"), F.col("_prec").alias("precision"),
-                             F.col("_recall").alias("recall")),
+    c = _with_pr(running_totals(score_counts(df, score, label), "score", ["pos", "neg"], descending=True,
+                                n_buckets=n_buckets))
+    best = F.max_by(F.struct(F.col("score").alias("threshold"), "f1", "precision", "recall"),
                     F.struct(F.col("f1"), -F.col("score")))
     return c.agg(best.alias("b")).select("b.*")
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillguard.functions import has_geo_jump
-from tillguard.operators.cumulative import exact_quantiles
+from tillguard.operators.cumulative import grouped_quantiles, melt
 from tillguard.schemas import FEATURE_COLUMNS
 
 
@@ -43,16 +43,14 @@ def missing_value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def describe_features(df: DataFrame, cols: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
-    """AGG-13: count, mean, sample std, min, exact 25/50/75 % (linear), max."""
-    base = df.agg(*[F.struct(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-                             F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")).alias(c)
-                    for c in cols])
-    out = None
-    for c in cols:
-        q = exact_quantiles(df.select(F.col(c).cast("double").alias(c)), c, [0.25, 0.5, 0.75])
-        row = (base.select(F.lit(c).alias("column"), f"`{c}`.*").join(F.broadcast(q.withColumn("column", F.lit(c))),
-                                                                      "column"))
-        out = row if out is None else out.unionByName(row)
+    """AGG-13: count, mean, sample std, min, exact 25/50/75 % (linear), max,
+    for all columns in one pass over the long (column, value) form."""
+    long = melt(df, cols)
+    base = long.groupBy("column").agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
+                                      F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
+                                      F.max("value").alias("max"))
+    q = grouped_quantiles(long, "value", [0.25, 0.5, 0.75], group=["column"])
+    out = base.join(F.broadcast(q), "column", "left")  # one row per column: bounded
     return out.select("column", "count", "mean", "std", "min", F.col("q25").alias("p25"),
                       F.col("q50").alias("p50"), F.col("q75").alias("p75"), "max")
 

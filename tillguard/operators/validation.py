@@ -14,7 +14,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillguard.operators.cumulative import running_totals
+from tillguard.operators.cumulative import melt, running_totals
 from tillguard.schemas import CATEGORICAL_COLUMNS, CONTINUOUS_COLUMNS, FEATURE_COLUMNS
 
 # Rating bands used by the reference validation.
@@ -47,57 +47,64 @@ def summary_diff(real: DataFrame, synth: DataFrame, cols: Sequence[str] = FEATUR
                         .when(F.col("mean_pct_diff") <= MEAN_DIFF_WARN, "warn").otherwise("fail"))
 
 
-def _two_sample_counts(real: DataFrame, synth: DataFrame, col: str) -> DataFrame:
-    """One row per distinct value of the union: counts in real (c1), synth (c2)."""
-    v = F.col(col).cast("double")
-    both = (real.select(v.alias("value"), F.lit(1).cast("long").alias("c1"), F.lit(0).cast("long").alias("c2"))
-                .unionByName(synth.select(v.alias("value"), F.lit(0).cast("long").alias("c1"),
-                                          F.lit(1).cast("long").alias("c2"))))
-    both = both.filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    return both.groupBy("value").agg(F.sum("c1").alias("c1"), F.sum("c2").alias("c2"))
+def two_sample_counts(real: DataFrame, synth: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """One row per (column, distinct value of the union): counts in real (c1)
+    and synthetic (c2).  NULLs and NaNs are dropped per column."""
+    r = melt(real, cols).withColumns({"c1": F.lit(1).cast("long"), "c2": F.lit(0).cast("long")})
+    s = melt(synth, cols).withColumns({"c1": F.lit(0).cast("long"), "c2": F.lit(1).cast("long")})
+    both = r.unionByName(s).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    return both.groupBy("column", "value").agg(F.sum("c1").alias("c1"), F.sum("c2").alias("c2"))
+
+
+def ks_statistics(real: DataFrame, synth: DataFrame, cols: Sequence[str], *,
+                  n_buckets: int | None = None) -> DataFrame:
+    """VAL-3 statistic per column: D = max |F_real(x) - F_synth(x)|."""
+    c = running_totals(two_sample_counts(real, synth, cols), "value", ["c1", "c2"], group="column",
+                       n_buckets=n_buckets)
+    d = F.abs(F.col("cum_c1") / F.col("tot_c1") - F.col("cum_c2") / F.col("tot_c2"))
+    out = c.groupBy("column").agg(F.max(d).alias("ks"), F.first("tot_c1").alias("n1"),
+                                  F.first("tot_c2").alias("n2"))
+    return out.withColumn("ks", F.when((F.col("n1") > 0) & (F.col("n2") > 0), F.col("ks")))
 
 
 def ks_statistic(real: DataFrame, synth: DataFrame, col: str, *, n_buckets: int | None = None) -> DataFrame:
-    """VAL-3 statistic: D = max |F_real(x) - F_synth(x)| (NULLs and NaNs dropped)."""
-    c = running_totals(_two_sample_counts(real, synth, col), "value", ["c1", "c2"], n_buckets=n_buckets)
-    n = c.agg(F.sum("c1").alias("n1"), F.sum("c2").alias("n2")).first()
-    n1, n2 = (n["n1"] or 0), (n["n2"] or 0)
-    if n1 == 0 or n2 == 0:
-        return c.sparkSession.range(1).select(F.lit(col).alias("column"), F.lit(None).cast("double").alias("ks"),
-                                              F.lit(n1).alias("n1"), F.lit(n2).alias("n2"))
-    d = F.abs(F.col("cum_c1") / F.lit(float(n1)) - F.col("cum_c2") / F.lit(float(n2)))
-    return c.agg(F.max(d).alias("ks")).select(F.lit(col).alias("column"), "ks", F.lit(n1).alias("n1"),
-                                              F.lit(n2).alias("n2"))
+    return ks_statistics(real, synth, [col], n_buckets=n_buckets)
+
+
+def wasserstein_distances(real: DataFrame, synth: DataFrame, cols: Sequence[str], *,
+                          n_buckets: int | None = None) -> DataFrame:
+    """VAL-5 per column: W1 = integral |F_real - F_synth| dx, and W1 / sample
+    std of real (+inf when that std is 0)."""
+    c = running_totals(two_sample_counts(real, synth, cols), "value", ["c1", "c2"], group="column",
+                       n_buckets=n_buckets, with_next=True)
+    step = (F.abs(F.col("cum_c1") / F.col("tot_c1") - F.col("cum_c2") / F.col("tot_c2"))
+            * (F.col("next_value") - F.col("value")))
+    raw = c.groupBy("column").agg(F.coalesce(F.sum(step), F.lit(0.0)).alias("raw_distance"))
+    sd = melt(real, cols).groupBy("column").agg(F.stddev_samp("value").alias("_sd"))
+    out = raw.join(F.broadcast(sd), "column", "left")  # one row per column: bounded
+    return out.select("column", "raw_distance",
+                      F.when(F.col("_sd") > 0, F.col("raw_distance") / F.col("_sd"))
+                       .otherwise(F.lit(float("inf"))).alias("normalized_score"))
 
 
 def wasserstein(real: DataFrame, synth: DataFrame, col: str, *, n_buckets: int | None = None) -> DataFrame:
-    """VAL-5: W1 = integral |F_real - F_synth| dx, and W1 / sample std of real
-    (+inf when that std is 0)."""
-    c = running_totals(_two_sample_counts(real, synth, col), "value", ["c1", "c2"], n_buckets=n_buckets,
-                       with_next=True)
-    n = c.agg(F.sum("c1").alias("n1"), F.sum("c2").alias("n2")).first()
-    n1, n2 = float(n["n1"] or 0), float(n["n2"] or 0)
-    spark = c.sparkSession
-    if n1 == 0 or n2 == 0:
-        return spark.range(1).select(F.lit(col).alias("column"), F.lit(None).cast("double").alias("raw_distance"),
-                                     F.lit(None).cast("double").alias("normalized_score"))
-    step = F.abs(F.col("cum_c1") / F.lit(n1) - F.col("cum_c2") / F.lit(n2)) * (F.col("next_value") - F.col("value"))
-    sd = real.agg(F.stddev_samp(F.col(col).cast("double"))).first()[0]  # one scalar
-    raw = c.agg(F.coalesce(F.sum(step), F.lit(0.0)).alias("raw_distance"))
-    norm = (F.col("raw_distance") / F.lit(float(sd))) if sd and sd > 0 else F.lit(float("inf"))
-    return raw.select(F.lit(col).alias("column"), "raw_distance", norm.alias("normalized_score"))
+    return wasserstein_distances(real, synth, [col], n_buckets=n_buckets)
 
 
-def chi_square(real: DataFrame, synth: DataFrame, col: str) -> DataFrame:
-    """VAL-4 statistic: observed = real counts over the union of categories,
-    expected = synthetic share * real total (0 -> 1e-6)."""
-    c = _two_sample_counts(real, synth, col)
-    tot = c.agg(F.sum("c1").alias("n1"), F.sum("c2").alias("n2")).first()
-    n1, n2 = float(tot["n1"] or 0), float(tot["n2"] or 0)
-    exp = (F.col("c2") / F.lit(n2) if n2 else F.lit(0.0)) * F.lit(n1)
+def chi_squares(real: DataFrame, synth: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """VAL-4 statistic per column: observed = real counts over the union of
+    categories, expected = synthetic share * real total (0 -> 1e-6)."""
+    c = two_sample_counts(real, synth, cols)
+    tot = c.groupBy("column").agg(F.sum("c1").alias("n1"), F.sum("c2").alias("n2"))
+    c = c.join(F.broadcast(tot), "column")  # one row per column: bounded
+    exp = F.when(F.col("n2") > 0, F.col("c2") / F.col("n2")).otherwise(F.lit(0.0)) * F.col("n1")
     exp = F.when(exp == 0, F.lit(CHI_EXPECTED_FLOOR)).otherwise(exp)
-    return c.agg(F.sum(F.pow(F.col("c1") - exp, 2) / exp).alias("chi2_statistic"),
-                 F.count(F.lit(1)).alias("categories")).select(F.lit(col).alias("column"), "*")
+    return c.groupBy("column").agg(F.sum(F.pow(F.col("c1") - exp, 2) / exp).alias("chi2_statistic"),
+                                   F.count(F.lit(1)).alias("categories"))
+
+
+def chi_square(real: DataFrame, synth: DataFrame, col: str) -> DataFrame:
+    return chi_squares(real, synth, [col])
 
 
 # ---- p-values from scalar statistics (driver-side math on one number) ----
@@ -162,24 +169,28 @@ def validate(real: DataFrame, synth: DataFrame, *, continuous: Sequence[str] = C
     rows = []
     for r in summary_diff(real, synth, features).collect():  # one row per feature column
         rows.append(("level1", r["column"], "mean_pct_diff", r["mean_pct_diff"], r["flag"], r["flag"] != "fail"))
+    ks = {r["column"]: r for r in ks_statistics(real, synth, continuous).collect()}  # one row per column
+    ws = {r["column"]: r for r in wasserstein_distances(real, synth, continuous).collect()}
     for c in continuous:
-        k = ks_statistic(real, synth, c).first()
-        ks = k["ks"]
-        rating = None if ks is None else ("excellent" if ks < DIST_EXCELLENT else
-                                          "acceptable" if ks <= DIST_ACCEPTABLE else "poor")
-        rows.append(("level3a", c, "ks_statistic", ks, rating, rating not in (None, "poor")))
-        rows.append(("level3a", c, "p_value", ks_pvalue(ks, k["n1"], k["n2"]), None, None))
-        w = wasserstein(real, synth, c).first()
-        ns = w["normalized_score"]
+        k = ks.get(c)
+        d = None if k is None else k["ks"]
+        rating = None if d is None else ("excellent" if d < DIST_EXCELLENT else
+                                         "acceptable" if d <= DIST_ACCEPTABLE else "poor")
+        rows.append(("level3a", c, "ks_statistic", d, rating, rating not in (None, "poor")))
+        rows.append(("level3a", c, "p_value", ks_pvalue(d, k["n1"], k["n2"]) if k else float("nan"), None, None))
+        w = ws.get(c)
+        ns = None if w is None else w["normalized_score"]
         wr = None if ns is None else ("excellent" if ns < DIST_EXCELLENT else
                                       "acceptable" if ns <= DIST_ACCEPTABLE else "poor")
-        rows.append(("level3c", c, "raw_distance", w["raw_distance"], None, None))
+        rows.append(("level3c", c, "raw_distance", None if w is None else w["raw_distance"], None, None))
         rows.append(("level3c", c, "normalized_score", ns, wr, wr not in (None, "poor")))
+    chis = {r["column"]: r for r in chi_squares(real, synth, categorical).collect()}
     for c in categorical:
-        x = chi_square(real, synth, c).first()
-        p = chi2_pvalue(x["chi2_statistic"], int(x["categories"]) - 1)
+        x = chis.get(c)
+        stat = None if x is None else x["chi2_statistic"]
+        p = chi2_pvalue(stat, int(x["categories"]) - 1) if x else float("nan")
         aligned = bool(p > CHI_ALPHA) if not math.isnan(p) else False
-        rows.append(("level3b", c, "chi2_statistic", x["chi2_statistic"], None, None))
+        rows.append(("level3b", c, "chi2_statistic", stat, None, None))
         rows.append(("level3b", c, "p_value", p, "aligned" if aligned else "not_aligned", aligned))
     if level4:
         gap = level4["auc_gap"]

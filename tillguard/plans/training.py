@@ -33,42 +33,29 @@ def hash_key(id_col: str, seed: int = SEED):
 
 def stratified_split(df: DataFrame, label: str, test_frac: float, *, id_col: str = "transaction_id",
                      seed: int = SEED, out: str = "is_test") -> DataFrame:
-    """ML-1: per class exactly round(test_frac * n_class) rows marked test,
-    chosen by a seeded hash of the id (running counts per class, no global
-    sort).  Rows without id use a hash of all columns."""
+    """ML-1: per class exactly round(test_frac * n_class) rows marked test
+    (half up), chosen by a seeded hash of the id: running counts per class,
+    no global sort, no driver round trip.  Rows without an id column use a
+    hash of all columns."""
     key = hash_key(id_col, seed) if id_col in df.columns else F.xxhash64(*df.columns, F.lit(seed))
     d = df.withColumn("_h", key)
-    parts = []
-    classes = [r[0] for r in d.select(label).distinct().collect()]  # the label values (a handful)
-    for c in classes:
-        cls = d.filter(F.col(label) == F.lit(c)) if c is not None else d.filter(F.col(label).isNull())
-        n = cls.count()
-        k = int(round(test_frac * n))
-        counts = cls.groupBy("_h").agg(F.count(F.lit(1)).alias("n"))
-        cut = running_totals(counts, "_h", ["n"]).filter(F.col("cum_n") <= k).select("_h")
-        parts.append(cls.join(cut.withColumn(out, F.lit(True)), "_h", "left")
-                        .withColumn(out, F.coalesce(F.col(out), F.lit(False))))
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res.drop("_h")
+    counts = d.groupBy(label, "_h").agg(F.count(F.lit(1)).alias("n"))
+    cum = running_totals(counts, "_h", ["n"], group=label)
+    test_keys = (cum.filter(F.col("cum_n") <= F.round(F.col("tot_n") * F.lit(float(test_frac))))
+                    .select(label, "_h", F.lit(True).alias(out)))
+    res = d.join(test_keys, [label, "_h"], "left")
+    return res.withColumn(out, F.coalesce(F.col(out), F.lit(False))).drop("_h")
 
 
 def fold_column(df: DataFrame, label: str, k: int = 5, *, id_col: str = "transaction_id", seed: int = SEED,
                 out: str = "fold") -> DataFrame:
-    """ML-3 folds: stratified, fold = hash rank within class mod k."""
+    """ML-3 folds: stratified, fold = (hash rank within class) mod k."""
     key = hash_key(id_col, seed) if id_col in df.columns else F.xxhash64(*df.columns, F.lit(seed))
     d = df.withColumn("_h", key)
-    parts = []
-    for c in [r[0] for r in d.select(label).distinct().collect()]:
-        cls = d.filter(F.col(label) == F.lit(c))
-        counts = cls.groupBy("_h").agg(F.count(F.lit(1)).alias("n"))
-        ranks = running_totals(counts, "_h", ["n"]).select("_h", ((F.col("cum_n") - 1) % k).cast("int").alias(out))
-        parts.append(cls.join(ranks, "_h"))
-    res = parts[0]
-    for p in parts[1:]:
-        res = res.unionByName(p)
-    return res.drop("_h")
+    counts = d.groupBy(label, "_h").agg(F.count(F.lit(1)).alias("n"))
+    ranks = running_totals(counts, "_h", ["n"], group=label).select(
+        label, "_h", ((F.col("cum_n") - 1) % k).cast("int").alias(out))
+    return d.join(ranks, [label, "_h"]).drop("_h")
 
 
 def with_class_weight(df: DataFrame, label: str = "is_fraud", out: str = "weight") -> tuple[DataFrame, float]:
