@@ -484,3 +484,27 @@ SELECT transaction_id, terminal_id, merchant_id, card_bin, {r6('amount_ngn')} AS
 FROM transactions"""),
     "keyed_json": with_ctes("SELECT transaction_id AS key, alert_tier, fraud_probability FROM scores"),
 })
+
+
+def _dist(col: str) -> str:
+    return f"""SELECT \"column\", dataset, bin, {r6('lo + bin * w')} AS bin_lo, {r6('lo + (bin + 1) * w')} AS bin_hi, n,
+       {r6('CASE WHEN w > 0 THEN n / (sum(n) OVER (PARTITION BY \"column\", dataset)) / w END')} AS density
+FROM (SELECT '{col}' AS column, dataset,
+             CAST(CASE WHEN w > 0 THEN least(19, floor((v - lo) / w)) ELSE 0 END AS INTEGER) AS bin,
+             lo, w, count(*) AS n
+      FROM (SELECT dataset, v, min(v) OVER () AS lo, (max(v) OVER () - min(v) OVER ()) / 20.0e0 AS w
+            FROM (SELECT 'real' AS dataset, CAST({col} AS DOUBLE) AS v FROM real_rows
+                  UNION ALL SELECT 'synthetic', CAST({col} AS DOUBLE) FROM synth_rows)
+            WHERE v IS NOT NULL AND NOT isnan(v))
+      GROUP BY ALL)"""
+
+
+ORACLES.update({
+    "distribution_tables": with_ctes(LABELED + "\n" + _union([_dist(c) for c in FEATURES6])),
+    "scoring_request": with_ctes(f"""
+SELECT transaction_id, terminal_id, velocity_1h, {r6('geo_jump_km')} AS geo_jump_km,
+       {r6('bin_spend_rate')} AS bin_spend_rate, terminal_reversal_count, {r6('amount_ngn')} AS amount_ngn, timestamp,
+       {r6('CASE WHEN bin_spend_rate <= 0 THEN 0.0e0 ELSE amount_ngn / bin_spend_rate END')} AS amount_vs_bin_avg_ratio
+FROM features_r"""),
+    "stream_scores": with_ctes("SELECT * FROM scores"),
+})

@@ -572,3 +572,61 @@ def tstr_trtr(spark, sf_dir):
     real, synth = _real_synth(spark, sf_dir)
     r = tstr_vs_trtr(real.drop("transaction_id"), synth.drop("transaction_id"))
     return spark.createDataFrame([(k, str(v)) for k, v in r.items()], "metric string, value string")
+
+
+@register("eda_report")
+def eda_report(spark, sf_dir):
+    """AGG-19: rows, class balance, missing counts, describe, correlations
+    in long form."""
+    return _profile().eda_report(_labeled(spark, sf_dir))
+
+
+@register("distribution_tables")
+def distribution_tables(spark, sf_dir):
+    """VAL-2: 20-bin densities per column for real and synthetic."""
+    real, synth = _real_synth(spark, sf_dir)
+    return _validation().distribution_tables(real, synth)
+
+
+@register("deterministic_shuffle")
+def deterministic_shuffle(spark, sf_dir):
+    """SRT-3 + SET-1: real and synthetic rows in one bag, seeded order
+    (rows-only: the order itself is engine-specific)."""
+    real, synth = _real_synth(spark, sf_dir)
+    return _profile().deterministic_shuffle(real.unionByName(synth), 42, "transaction_id")
+
+
+@register("scoring_request")
+def scoring_request(spark, sf_dir):
+    """PRJ-2 + PRJ-6 + ML-14 blend on a feature stream's rows: the
+    scoring projection with the scorer's own ratio."""
+    from tillguard.plans.scoring import scoring_request as proj, with_scoring_ratio
+    return with_scoring_ratio(proj(feat.build_features(_tx(spark, sf_dir))))
+
+
+@register("stream_scores")
+def stream_scores(spark, sf_dir):
+    """STR-4 + SNK-7: a feature file stream scored per micro-batch
+    (blended stand-in model outputs) and dual-written to the score table."""
+    from pyspark.sql import functions as F
+    from tillguard.plans.scoring import blend_scores
+    from tillguard.sources.events import to_wire_json
+    from tillguard.streaming import run_score_stream
+    from tillguard.sources.events import decode_json
+    from tillguard.schemas import FEATURE_SCHEMA
+    base = _scratch(spark, "scores")
+    f = feat.to_feature_table(feat.build_features(_tx(spark, sf_dir)))
+    to_wire_json(f).write.text(f"{base}/features")
+    outputs = fx.model_outputs(spark, sf_dir)
+    stream = decode_json(spark.readStream.schema("value string").format("text").load(f"{base}/features"),
+                         FEATURE_SCHEMA, required=["transaction_id"]).drop("is_valid")
+
+    def score(batch):
+        return blend_scores(batch.join(outputs, "transaction_id"), scored_at="scored_at")
+
+    published = []
+    q = run_score_stream(stream, f"{base}/scores", f"{base}/checkpoint", score,
+                         publish=lambda d: published.append(d.count()))
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/scores").drop("event_date").withColumn(
+        "scored_at", F.col("scored_at"))

@@ -135,3 +135,10 @@ def eda_report(df: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, label:
         F.lit("pearson").alias("metric"), F.col("corr").alias("value"))
     del spark
     return rows.unionByName(cb).unionByName(mv).unionByName(de_long).unionByName(co)
+
+
+def deterministic_shuffle(df: DataFrame, seed: int = 42, id_col: str | None = None) -> DataFrame:
+    """SRT-3: a seeded pseudo-random order (by a hash of the id, or of all
+    columns), distributed: range-partitioned sort, no single task."""
+    key = F.xxhash64(F.col(id_col), F.lit(seed)) if id_col else F.xxhash64(*df.columns, F.lit(seed))
+    return df.withColumn("_shuffle_key", key).orderBy("_shuffle_key").drop("_shuffle_key")

@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillguard.operators.cumulative import melt, running_totals
@@ -221,3 +221,24 @@ def validation_summary(results: DataFrame) -> DataFrame:
     return (results.filter(F.col("passed").isNotNull())
                    .groupBy("level")
                    .agg(F.count_if(~F.col("passed")).alias("failed"), F.count(F.lit(1)).alias("checks")))
+
+
+def distribution_tables(real: DataFrame, synth: DataFrame, cols: Sequence[str] = FEATURE_COLUMNS,
+                        bins: int = 20) -> DataFrame:
+    """VAL-2 as data: equal-width density per column and dataset over the
+    common [min, max] range of both datasets (the reference draws these as
+    KDE plots; the correlation half is ``profile.correlation_matrix``)."""
+    r = melt(real, cols).withColumn("dataset", F.lit("real"))
+    s = melt(synth, cols).withColumn("dataset", F.lit("synthetic"))
+    both = r.unionByName(s).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    rng = both.groupBy("column").agg(F.min("value").alias("_lo"), F.max("value").alias("_hi"))
+    both = both.join(F.broadcast(rng), "column")  # one row per column: bounded
+    width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
+    b = F.when(width > 0, F.least(F.lit(bins - 1), F.floor((F.col("value") - F.col("_lo")) / width))).otherwise(0)
+    counts = both.groupBy("column", "dataset", b.cast("int").alias("bin"), "_lo", "_hi").agg(
+        F.count(F.lit(1)).alias("n"))
+    tot = F.sum("n").over(Window.partitionBy("column", "dataset"))
+    w = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
+    return counts.select("column", "dataset", "bin", (F.col("_lo") + F.col("bin") * w).alias("bin_lo"),
+                         (F.col("_lo") + (F.col("bin") + 1) * w).alias("bin_hi"), "n",
+                         F.when(w > 0, F.col("n") / tot / w).otherwise(F.lit(None).cast("double")).alias("density"))

@@ -62,3 +62,14 @@ def score_features(features: DataFrame, classifier=None, anomaly_model=None, *,
     d = positive_probability(classifier.transform(d), out="xgboost_score")
     d = anomaly_model.transform(d, out="raw_anomaly")
     return blend_scores(d, weight=weight, model_version=model_version)
+
+
+#: PRJ-2: the columns a feature row carries into scoring (8).
+SCORING_REQUEST_COLUMNS = ["transaction_id", "terminal_id", "velocity_1h", "geo_jump_km", "bin_spend_rate",
+                           "terminal_reversal_count", "amount_ngn", "timestamp"]
+
+
+def scoring_request(features: DataFrame) -> DataFrame:
+    """PRJ-2: the scoring projection of a feature row (the ratio is derived
+    again at scoring time, PRJ-6)."""
+    return features.select(*SCORING_REQUEST_COLUMNS)
