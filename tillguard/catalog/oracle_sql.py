@@ -508,3 +508,23 @@ SELECT transaction_id, terminal_id, velocity_1h, {r6('geo_jump_km')} AS geo_jump
 FROM features_r"""),
     "stream_scores": with_ctes("SELECT * FROM scores"),
 })
+
+
+def _dnnr() -> str:
+    st = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in FEATURES6)
+    z = ", ".join(f"({c} - m_{c}) / s_{c} AS z_{c}" for c in FEATURES6)
+    dist = "sqrt(" + " + ".join(f"pow(a.z_{c} - b.z_{c}, 2)" for c in FEATURES6) + ")"
+    return f"""
+, st AS (SELECT {st} FROM real_rows),
+zr AS (SELECT ev_id, {z} FROM real_rows, st),
+zs AS (SELECT ev_id, {z} FROM synth_rows, st),
+dsr AS (SELECT a.ev_id, min({dist}) AS d FROM zs a, zr b GROUP BY a.ev_id),
+drr AS (SELECT a.ev_id, min({dist}) AS d FROM zr a, zr b WHERE a.ev_id <> b.ev_id GROUP BY a.ev_id),
+med AS (SELECT (SELECT median(d) FROM dsr) AS sr, (SELECT median(d) FROM drr) AS rr)
+SELECT {r6('sr')} AS median_d_sr, {r6('rr')} AS median_d_rr, {r6('sr / rr')} AS dnnr,
+       CASE WHEN sr / rr > 1.5 THEN 'privacy_preserved' WHEN sr / rr > 1.0 THEN 'borderline'
+            ELSE 'memorization_risk' END AS interpretation
+FROM med"""
+
+
+ORACLES["dnnr"] = with_ctes(LABELED + _dnnr())

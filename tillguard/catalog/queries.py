@@ -630,3 +630,13 @@ def stream_scores(spark, sf_dir):
     q.awaitTermination()
     return spark.read.parquet(f"{base}/scores").drop("event_date").withColumn(
         "scored_at", F.col("scored_at"))
+
+
+@register("dnnr")
+def dnnr(spark, sf_dir):
+    """VAL-7: privacy distance ratio with exact nearest neighbours (k-d
+    leaves + bounding-box pruning, no pair join)."""
+    from tillguard.operators.nearest import dnnr as run
+    from tillguard.schemas import FEATURE_COLUMNS
+    real, synth = _real_synth(spark, sf_dir)
+    return run(real, synth, FEATURE_COLUMNS)
