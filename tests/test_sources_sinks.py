@@ -43,3 +43,30 @@ def test_latest_by_key_with_tombstone(spark):
                                 ("T2", 2, None, True)], "k string, v int, name string, deleted boolean")
     rows = {r.k: r.name for r in latest_by_key(df, "k", "v", tombstone_col="deleted").collect()}
     assert rows == {"T1": "b"}
+
+
+def test_gated_synthetic_reader(spark, scratch):
+    from tillguard.schemas import FEATURE_COLUMNS
+    from tillguard.sinks.tables import write_synthetic
+    from tillguard.sources.events import read_gated_synthetic
+    rows = spark.createDataFrame([(1.0, 0.0, 5.0, 0.0, 100.0, 1.0, 0)],
+                                 ", ".join(f"{c} double" for c in FEATURE_COLUMNS) + ", is_fraud int")
+    write_synthetic(rows, f"{scratch}/syn", FEATURE_COLUMNS + ["is_fraud"])
+    ok = spark.createDataFrame([(True,)], "approved boolean")
+    no = spark.createDataFrame([(False,)], "approved boolean")
+    df, why = read_gated_synthetic(spark, f"{scratch}/syn", ok, enabled=False)
+    assert df.count() == 0 and "not enabled" in why
+    df, why = read_gated_synthetic(spark, f"{scratch}/syn", no, enabled=True)
+    assert df.count() == 0 and "did not approve" in why
+    df, why = read_gated_synthetic(spark, f"{scratch}/syn", ok, enabled=True)
+    r = df.first()
+    assert why == "approved" and r.amount_ngn == 100.0 and r.transaction_id is None
+
+
+def test_overwrite_replaces_only_its_dates(spark, scratch):
+    from tillguard.sinks.tables import overwrite_table
+    a = tx_rows(spark, [{"id": 1, "t": 0}, {"id": 2, "t": 2 * 86400}])
+    overwrite_table(a, f"{scratch}/t")
+    overwrite_table(tx_rows(spark, [{"id": 3, "t": 10}]), f"{scratch}/t")
+    ids = sorted(r[0] for r in spark.read.parquet(f"{scratch}/t").select("transaction_id").collect())
+    assert ids == ["2", "3"]
