@@ -29,3 +29,13 @@ def test_dnnr_identical_sets_is_memorisation(spark):
     R = np.round(rng.normal(size=(200, 3)), 3)
     row = dnnr(_df(spark, R), _df(spark, R), ["a", "b", "c"], max_leaves=4).first()
     assert row.median_d_sr == 0.0 and row.interpretation == "memorization_risk"
+
+
+def test_nearest_salted_leaves_stay_exact(spark):
+    rng = np.random.default_rng(3)
+    R = np.round(rng.normal(size=(300, 3)), 2)
+    Q = np.round(rng.normal(size=(200, 3)), 2)
+    got = {tuple(r[:3]): r.nn_distance for r in nearest_distances(
+        _df(spark, Q), _df(spark, R), ["a", "b", "c"], max_leaves=4, max_queries_per_task=7).collect()}
+    want = np.sqrt(((Q[:, None] - R[None]) ** 2).sum(2)).min(1)
+    assert all(abs(got[tuple(q)] - w) < 1e-9 for q, w in zip(Q, want))

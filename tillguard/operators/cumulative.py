@@ -134,3 +134,24 @@ def melt(df: DataFrame, cols: Sequence[str], name: str = "column", value: str =
     expr = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
     return df.selectExpr(*[f"`{k}`" for k in keep], f"stack({len(cols)}, {expr}) as ({name}, {value})")
 
+
+
+def global_positions(df: DataFrame, order: Sequence[str | Column], out: str = "position") -> DataFrame:
+    """0-based position of every row in ``order`` (any orderable columns,
+    strings included), exact and distributed: a range-partitioned sort,
+    materialised once with ``checkpoint()``; then position = rows in earlier
+    partitions (a table of one row per partition) + index inside the
+    partition."""
+    from tillguard.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    s = (df.orderBy(*order)
+           .withColumn("_pid", F.spark_partition_id())
+           .withColumn("_mid", F.monotonically_increasing_id())
+           .checkpoint())
+    per = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offs = per.select("_pid", F.coalesce(F.sum("_n").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    # one row per partition: bounded
+    s = s.join(F.broadcast(offs), "_pid")
+    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    return s.withColumn(out, F.col("_off") + local).drop("_pid", "_mid", "_off")

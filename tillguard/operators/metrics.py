@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillguard.operators.cumulative import running_totals, weights_by_value
+from tillguard.operators.cumulative import global_positions, running_totals, weights_by_value
 
 F1_EPS = 1e-12
 
@@ -114,7 +114,10 @@ def precision_at_k(df: DataFrame, score: str, label: str, k: int, *, id_col: str
     below = c.filter(F.col("score") < F.lit(cut)).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("pos"), F.lit(0)).alias("pos")).first()
     rest = k - below["n"]
-    tie = (df.filter(F.col(score) == F.lit(cut)).orderBy(id_col).limit(int(rest))
-             .agg(F.coalesce(F.sum(_label(label)), F.lit(0)).alias("pos")).first()["pos"])
+    # only the rows of the cut-off score need an order: exact positions by id
+    ties = global_positions(df.filter(F.col(score) == F.lit(cut)).select(id_col, _label(label).alias("_y")),
+                            [id_col])
+    tie = (ties.filter(F.col("position") < F.lit(int(rest)))
+               .agg(F.coalesce(F.sum("_y"), F.lit(0)).alias("pos")).first()["pos"])
     return spark.range(1).select(F.lit((below["pos"] + tie) / float(k)).alias("precision_at_k"),
                                  F.lit(k).alias("k"))

@@ -97,7 +97,8 @@ def _min_dist(q: np.ndarray, p: np.ndarray, exclude_equal: bool) -> np.ndarray:
 
 
 def nearest_distances(queries: DataFrame, points: DataFrame, cols: Sequence[str], *, exclude_self: bool = False,
-                      max_leaves: int = 16384, sample_size: int = 200_000, seed: int = 42) -> DataFrame:
+                      max_leaves: int = 16384, sample_size: int = 200_000, seed: int = 42,
+                      max_queries_per_task: int = 50_000) -> DataFrame:
     """Distance to the nearest point per distinct query tuple:
     ``(<cols>, multiplicity, nn_distance)``.
 
@@ -151,8 +152,24 @@ def nearest_distances(queries: DataFrame, points: DataFrame, cols: Sequence[str]
         return out
 
     out_schema = ", ".join(f"`{c}` double" for c in cols) + ", _d double"
+
+    def salted_search(qs: DataFrame) -> DataFrame:
+        """Search each query's leaf; a leaf with many queries is split into
+        sub-groups, each with a copy of that leaf's points, so no task holds
+        more than about ``max_queries_per_task`` queries."""
+        salts = (qs.groupBy("_leaf").agg(F.count(F.lit(1)).alias("_nq"))
+                   .select("_leaf", F.greatest(F.lit(1), F.ceil(F.col("_nq") / F.lit(max_queries_per_task)))
+                           .cast("int").alias("_ns")))
+        qsalt = (qs.join(F.broadcast(salts), "_leaf")  # one row per leaf: bounded by max_leaves
+                   .withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col("_ns")).cast("int"))
+                   .drop("_ns"))
+        psalt = (Pl.join(F.broadcast(salts), "_leaf")
+                   .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1))).drop("_ns"))
+        return (qsalt.groupBy("_leaf", "_salt").cogroup(psalt.groupBy("_leaf", "_salt"))
+                     .applyInPandas(search, out_schema))
+
     # 3. upper bound from the home leaf
-    ub = Ql.groupBy("_leaf").cogroup(Pl.groupBy("_leaf")).applyInPandas(search, out_schema)
+    ub = salted_search(Ql)
     ub = ub.withColumnRenamed("_d", "_ub")
 
     # 4. candidate leaves: bounding box closer than the upper bound
@@ -189,7 +206,7 @@ def nearest_distances(queries: DataFrame, points: DataFrame, cols: Sequence[str]
     cand_schema = T.StructType([f for f in Ql.schema.fields if f.name in cols]
                                + [T.StructField("_leaf", T.IntegerType())])
     cand = qb.mapInPandas(candidates, cand_schema)
-    far = cand.groupBy("_leaf").cogroup(Pl.groupBy("_leaf")).applyInPandas(search, out_schema)
+    far = salted_search(cand)
     best = ub.withColumnRenamed("_ub", "_d").unionByName(far).groupBy(*cols).agg(F.min("_d").alias("_nn"))
 
     res = Qm.join(best, cols, "left")
