@@ -63,3 +63,22 @@ def test_isolation_forest(spark):
     mean_fraud = sc.filter("is_fraud = 1").agg(F.avg("anomaly_score")).first()[0]
     mean_ok = sc.filter("is_fraud = 0").agg(F.avg("anomaly_score")).first()[0]
     assert mean_fraud < mean_ok  # frauds look more anomalous (lower score)
+
+
+def test_grid_sweep_and_score_features(spark):
+    from tillguard.plans.scoring import score_features, ModelsNotReadyError
+    from tillguard.plans.training import grid_sweep
+    df = _frame(spark, 300)
+    g = grid_sweep(df, {"maxDepth": [2, 3], "maxIter": [2]}, k=2).collect()
+    assert len(g) == 2 and g[0].mean_average_precision >= g[1].mean_average_precision
+    clf = train_classifier(df, maxIter=3)
+    forest = fit_isolation_forest(df.filter("is_fraud = 0"), n_trees=10, sample_size=32)
+    feats = df.drop("amount_vs_bin_avg_ratio")
+    scored = score_features(feats, clf, forest).collect()
+    assert len(scored) == 300 and {r.alert_tier for r in scored} <= {"low", "medium", "high", "critical"}
+    assert all(0.0 <= r.fraud_probability <= 1.0 for r in scored)
+    try:
+        score_features(feats, None, forest)
+        raise AssertionError("expected ModelsNotReadyError")
+    except ModelsNotReadyError:
+        pass

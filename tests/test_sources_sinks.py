@@ -70,3 +70,35 @@ def test_overwrite_replaces_only_its_dates(spark, scratch):
     overwrite_table(tx_rows(spark, [{"id": 3, "t": 10}]), f"{scratch}/t")
     ids = sorted(r[0] for r in spark.read.parquet(f"{scratch}/t").select("transaction_id").collect())
     assert ids == ["2", "3"]
+
+
+def test_transactions_table_card_and_readers(spark, scratch):
+    import json
+    import os
+    from tillguard.operators.profile import enforce_zero_jump
+    from tillguard.sinks.tables import append_transactions, dataset_card
+    from tillguard.sources.events import read_table, read_transactions, read_validation_results
+    tx = tx_rows(spark, [{"id": 1, "t": 0}, {"id": 2, "t": 90000, "fraud_type": "cloned_card"}])
+    append_transactions(tx, f"{scratch}/tx")
+    back = read_table(spark, f"{scratch}/tx")
+    assert back.count() == 2 and "event_date" in back.columns
+    to_wire_json(tx).write.text(f"{scratch}/json")
+    assert read_transactions(spark, f"{scratch}/json").filter("timestamp is not null").count() == 2
+    card = {r.dataset: r for r in dataset_card(tx, tx.limit(1)).collect()}
+    assert card["real"].n_rows == 2 and card["real"].fraud_rate == 0.5
+    os.makedirs(scratch, exist_ok=True)
+    with open(f"{scratch}/gate.json", "w") as fh:
+        json.dump({"approved_for_training": True, "gate_failure_reasons": []}, fh, indent=2)
+    assert read_validation_results(spark, f"{scratch}/gate.json").first().approved_for_training
+    f = spark.createDataFrame([(2.0, 0.0, 1.0, 0.0, 1.0, 1.0, 0, 0), (1.0, 7.5, 1.0, 0.0, 1.0, 1.0, 1, 0)],
+                              "velocity_1h double, geo_jump_km double, bin_spend_rate double, "
+                              "terminal_reversal_count double, amount_ngn double, amount_vs_bin_avg_ratio double, "
+                              "is_fraud int, has_geo_jump int")
+    assert [r.geo_jump_km for r in enforce_zero_jump(f).collect()] == [0.0, 0.0]
+
+
+def test_record_key_fills_missing_id(spark):
+    df = spark.createDataFrame([("k1", '{"terminal_id":"T","merchant_id":"M","card_bin":"5","amount_ngn":1.0,'
+                                       '"timestamp":"2026-08-13T09:00:00+00:00"}')], "key string, value string")
+    r = decode_json(df, key_col="key").first()
+    assert r.transaction_id == "k1" and r.is_valid

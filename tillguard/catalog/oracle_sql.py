@@ -528,3 +528,25 @@ FROM med"""
 
 
 ORACLES["dnnr"] = with_ctes(LABELED + _dnnr())
+
+
+def _eda() -> str:
+    parts = ["SELECT 'rows' AS section, 'all' AS key, 'n' AS metric, CAST(count(*) AS DOUBLE) AS value FROM lab",
+             "SELECT 'class_balance', CAST(is_fraud AS VARCHAR), 'n', CAST(count(*) AS DOUBLE) FROM lab GROUP BY is_fraud"]
+    for c in FEATURES6:
+        parts.append(f"SELECT 'missing', '{c}', 'n', CAST(count(*) FILTER (WHERE {c} IS NULL OR isnan({c})) AS DOUBLE) "
+                     f"FROM lab")
+    for c in FEATURES6:
+        for m, e in (("count", f"CAST(count({c}) AS DOUBLE)"), ("mean", f"avg({c})"), ("std", f"stddev_samp({c})"),
+                     ("min", f"min({c})"), ("p25", f"quantile_cont({c}, 0.25)"), ("p50", f"quantile_cont({c}, 0.5)"),
+                     ("p75", f"quantile_cont({c}, 0.75)"), ("max", f"max({c})")):
+            parts.append(f"SELECT 'describe', '{c}', '{m}', {r6(e)} FROM lab")
+    cols = FEATURES6 + ["is_fraud"]
+    for a in cols:
+        for b in cols:
+            parts.append(f"SELECT 'correlation', '{a}|{b}', 'pearson', "
+                         f"{r6(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))')} FROM lab")
+    return "\n" + _union(parts)
+
+
+ORACLES["eda_report"] = with_ctes(LABELED + _eda())
