@@ -41,9 +41,11 @@ def weights_by_value(df: DataFrame, value: str | Column, weights: dict[str, Colu
     """One row per (group, distinct non-null non-NaN value) with summed weights."""
     v = F.col(value) if isinstance(value, str) else value
     d = df.select(*group, v.alias(out), *[w.alias(k) for k, w in weights.items()])
-    d = d.filter(F.col(out).isNotNull())
     if dict(d.dtypes)[out] in ("double", "float"):
-        d = d.filter(~F.isnan(out))
+        # NaN -> NULL, so one predicate remains (it is pushed below the
+        # projection and would otherwise re-evaluate the value expression)
+        d = d.withColumn(out, F.nanvl(F.col(out), F.lit(None).cast("double")))
+    d = d.filter(F.col(out).isNotNull())
     return d.groupBy(*group, out).agg(*[F.sum(k).alias(k) for k in weights])
 
 
@@ -56,25 +58,30 @@ def running_totals(df: DataFrame, key: str, sum_cols: Sequence[str], *, group: s
     ``df`` must hold one row per (group, distinct ``key``).  ``with_next``
     also adds ``next_<key>``: the following distinct key of the group.
     """
+    from tillguard.session import ensure_checkpoint_dir
+
     gcols = [group] if isinstance(group, str) else list(group or [])
     n_buckets = n_buckets or default_buckets(df)
     okey = "_okey"
-    d = df.withColumn(okey, -F.col(key) if descending else F.col(key))
-    internal_group = not gcols
-    if internal_group:  # one constant group: the bounds table is a single row
-        gcols = ["_g0"]
-        d = d.withColumn("_g0", F.lit(0))
+    ensure_checkpoint_dir(df.sparkSession)
+    # The bounds, the per-bucket totals and the running sums all read this
+    # table: materialise it once (shared checkpoint dir) instead of
+    # recomputing the upstream plan in every branch.
+    d = df.withColumn(okey, -F.col(key) if descending else F.col(key)).checkpoint()
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    accuracy = max(10000, 4 * n_buckets * 100)
-    if probs:
-        cuts = F.percentile_approx(F.col(okey).cast("double"), probs, accuracy)
+    if not probs:
+        d = d.withColumn(BKT, F.lit(0))
+    elif gcols:
+        cuts = F.percentile_approx(F.col(okey).cast("double"), probs, max(10000, 400 * n_buckets))
         bounds = d.groupBy(*gcols).agg(cuts.alias("_bounds"))
         d = d.join(F.broadcast(bounds), on=gcols, how="left")  # one row per group: bounded
         bcol = F.coalesce(F.col("_bounds"), F.array().cast("array<double>"))
-        d = d.withColumn(BKT, F.size(F.filter(bcol, lambda b: b < F.col(okey).cast("double"))))
+        d = d.withColumn(BKT, F.size(F.filter(bcol, lambda b: b < F.col(okey).cast("double")))).drop("_bounds")
     else:
-        d = d.withColumn(BKT, F.lit(0))
-    d = d.drop("_bounds")
+        qs = d.select(F.col(okey).cast("double").alias(okey)).approxQuantile(okey, probs, 1.0 / (4 * n_buckets))
+        cuts = sorted({float(q) for q in qs if q is not None})  # at most n_buckets - 1 numbers
+        arr = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
+        d = d.withColumn(BKT, F.size(F.filter(arr, lambda b: b < F.col(okey).cast("double"))))
 
     part = [*gcols, BKT]
     totals = d.groupBy(*part).agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols], F.min(okey).alias("_bmin"))
@@ -94,8 +101,7 @@ def running_totals(df: DataFrame, key: str, sum_cols: Sequence[str], *, group: s
         nxt = F.coalesce(F.lead(okey).over(wl), F.col("_next_bmin"))
         cols[f"next_{key}"] = -nxt if descending else nxt
     d = d.withColumns(cols)
-    d = d.drop(BKT, okey, "_next_bmin", *[f"_o_{c}" for c in sum_cols])
-    return d.drop("_g0") if internal_group else d
+    return d.drop(BKT, okey, "_next_bmin", *[f"_o_{c}" for c in sum_cols])
 
 
 def _qname(p: float) -> str:

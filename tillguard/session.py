@@ -15,6 +15,9 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # wide single-pass aggregates (e.g. all feature-pair correlations) keep
+    # whole-stage codegen; Spark still falls back if the code gets too big
+    "spark.sql.codegen.maxFields": "400",
 }
 
 
