@@ -7,7 +7,6 @@ never rewrites the table.
 
 from __future__ import annotations
 
-import os
 from typing import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -125,7 +124,3 @@ def dataset_card(real: DataFrame, synth: DataFrame, label: str = "is_fraud") ->
         return d.agg(F.count(F.lit(1)).alias("n_rows"), F.avg(y.cast("double")).alias("fraud_rate")).select(
             F.lit(name).alias("dataset"), "*")
     return rates(real, "real").unionByName(rates(synth, "synthetic"))
-
-
-def local_or_shared(path: str) -> str:
-    return path if "://" in path else os.path.abspath(path)

@@ -115,6 +115,11 @@ def feature_batch_writer(features_path: str, history_path: str | None,
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.dropDuplicates(["transaction_id"]).persist()
         try:
+            if batch.isEmpty():
+                # nothing to emit; carry the keyed state to this epoch's version
+                if history_path is not None:
+                    _update_last_state(batch, history_path, epoch_id)
+                return
             if history_path is None:
                 feats = build_features(batch)
             else:
@@ -133,10 +138,19 @@ def feature_batch_writer(features_path: str, history_path: str | None,
 
 def run_feature_stream(stream: DataFrame, features_path: str, checkpoint: str, *, history: str = "table",
                        history_path: str | None = None, available_now: bool = True,
-                       processing_time: str | None = None, on_batch=None):
-    """STR-1 (+STR-2/3/6).  Returns the started query."""
+                       processing_time: str | None = None, on_batch=None, watermark: str | None = None):
+    """STR-1 (+STR-2/3/6/7).  Returns the started query.
+
+    ``watermark`` (e.g. ``"1 hour"``): duplicates are dropped inside the
+    watermark before the batch is processed, and rows arriving later than
+    the watermark are dropped by Spark (see ``rows_dropped_by_watermark``).
+    Without it every row is processed; a late row then gets features from
+    the stored history, and rows emitted earlier are not revised.
+    """
     if history not in ("table", "batch"):
         raise ValueError("history must be 'table' or 'batch'")
+    if watermark is not None:
+        stream = dedupe_stream(stream, watermark=watermark)
     hp = None if history == "batch" else (history_path or features_path.rstrip("/") + "_transactions")
     w = stream.writeStream.foreachBatch(feature_batch_writer(features_path, hp, on_batch)).option(
         "checkpointLocation", checkpoint)
@@ -173,6 +187,17 @@ def dedupe_stream(stream: DataFrame, key: str = "transaction_id", ts_col: str =
     return stream.withWatermark(ts_col, watermark).dropDuplicatesWithinWatermark([key])
 
 
+def rows_dropped_by_watermark(query) -> int:
+    """Late rows dropped by the query's stateful operators so far."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) if isinstance(p, dict) else getattr(p, "stateOperators", []):
+            v = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else getattr(
+                op, "numRowsDroppedByWatermark", 0)
+            total += int(v or 0)
+    return total
+
+
 def write_json_files(df: DataFrame, path: str, partitions: int | None = None) -> None:
     """Write rows as JSON-lines text files (the wire form) for file streams."""
     from tillguard.sources.events import to_wire_json
@@ -189,4 +214,4 @@ def stream_to_table(stream: DataFrame, path: str, checkpoint: str):
 
 
 __all__ = ["transaction_stream", "score_stream", "run_feature_stream", "run_score_stream", "alert_stream",
-           "dedupe_stream", "write_json_files", "stream_to_table", "append_transactions", "wire_schema"]
+           "dedupe_stream", "rows_dropped_by_watermark", "write_json_files", "stream_to_table", "append_transactions", "wire_schema"]
