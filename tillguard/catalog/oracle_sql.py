@@ -511,7 +511,7 @@ FROM features_r"""),
 
 
 def _dnnr() -> str:
-    st = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in FEATURES6)
+    st = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in FEATURES6)
     z = ", ".join(f"({c} - m_{c}) / s_{c} AS z_{c}" for c in FEATURES6)
     dist = "sqrt(" + " + ".join(f"pow(a.z_{c} - b.z_{c}, 2)" for c in FEATURES6) + ")"
     return f"""

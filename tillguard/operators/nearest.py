@@ -216,9 +216,10 @@ def nearest_distances(queries: DataFrame, points: DataFrame, cols: Sequence[str]
 
 
 def zscore(df: DataFrame, reference: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Standardise ``cols`` with the mean and (sample) std of ``reference``."""
+    """Standardise ``cols`` with the mean and population std of ``reference``
+    (a standard scaler; a zero std leaves the column centred only)."""
     stats = reference.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
-                          *[F.stddev_samp(c).alias(f"s_{c}") for c in cols]).first()  # 2 x cols scalars
+                          *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()  # 2 x cols scalars
     out = []
     for c in cols:
         m, s = stats[f"m_{c}"], stats[f"s_{c}"]
