@@ -58,16 +58,15 @@ def running_totals(df: DataFrame, key: str, sum_cols: Sequence[str], *, group: s
     ``df`` must hold one row per (group, distinct ``key``).  ``with_next``
     also adds ``next_<key>``: the following distinct key of the group.
     """
-    from tillguard.session import ensure_checkpoint_dir
+    from tillguard.session import materialize
 
     gcols = [group] if isinstance(group, str) else list(group or [])
     n_buckets = n_buckets or default_buckets(df)
     okey = "_okey"
-    ensure_checkpoint_dir(df.sparkSession)
     # The bounds, the per-bucket totals and the running sums all read this
     # table: materialise it once (shared checkpoint dir) instead of
     # recomputing the upstream plan in every branch.
-    d = df.withColumn(okey, -F.col(key) if descending else F.col(key)).checkpoint()
+    d = materialize(df.withColumn(okey, -F.col(key) if descending else F.col(key)))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     if not probs:
         d = d.withColumn(BKT, F.lit(0))
@@ -148,12 +147,10 @@ def global_positions(df: DataFrame, order: Sequence[str | Column], out: str = "p
     materialised once with ``checkpoint()``; then position = rows in earlier
     partitions (a table of one row per partition) + index inside the
     partition."""
-    from tillguard.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    s = (df.orderBy(*order)
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_mid", F.monotonically_increasing_id())
-           .checkpoint())
+    from tillguard.session import materialize
+    s = materialize(df.orderBy(*order)
+                      .withColumn("_pid", F.spark_partition_id())
+                      .withColumn("_mid", F.monotonically_increasing_id()))
     per = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offs = per.select("_pid", F.coalesce(F.sum("_n").over(
         Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))

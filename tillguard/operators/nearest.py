@@ -105,14 +105,13 @@ def nearest_distances(queries: DataFrame, points: DataFrame, cols: Sequence[str]
     ``exclude_self``: queries and points are the same rows; a row's own
     tuple counts only when it occurs at least twice (distance 0).
     """
-    from tillguard.session import ensure_checkpoint_dir
+    from tillguard.session import hash_sample, materialize
 
     cols = list(cols)
     spark = points.sparkSession
-    ensure_checkpoint_dir(spark)
     # several passes read these: cut the lineage once (shared checkpoint dir)
-    P = points.select(*cols).dropna().groupBy(*cols).agg(F.count(F.lit(1)).alias("_pc")).checkpoint()
-    Q = queries.select(*cols).dropna().groupBy(*cols).agg(F.count(F.lit(1)).alias("multiplicity")).checkpoint()
+    P = materialize(points.select(*cols).dropna().groupBy(*cols).agg(F.count(F.lit(1)).alias("_pc")))
+    Q = materialize(queries.select(*cols).dropna().groupBy(*cols).agg(F.count(F.lit(1)).alias("multiplicity")))
 
     # 1. exact matches (equi-join on the whole tuple)
     need = F.lit(2) if exclude_self else F.lit(1)
@@ -121,8 +120,8 @@ def nearest_distances(queries: DataFrame, points: DataFrame, cols: Sequence[str]
     # 2. k-d partition from a bounded sample of distinct points
     n_p = P.count()
     frac = min(1.0, sample_size / max(n_p, 1))
-    sample = np.array([tuple(r) for r in P.select(*cols).sample(fraction=frac, seed=seed)
-                       .limit(sample_size).collect()], dtype=float)
+    sample = np.array([tuple(r) for r in hash_sample(P.select(*cols), frac, seed)
+                       .limit(sample_size).collect()], dtype=float)  # bounded by sample_size
     if len(sample) == 0:
         return Q.select(*cols, "multiplicity", F.lit(None).cast("double").alias("nn_distance"))
     leaves_wanted = int(max(1, min(max_leaves, n_p // 256)))
@@ -231,9 +230,8 @@ def zscore(df: DataFrame, reference: DataFrame, cols: Sequence[str]) -> DataFram
 def dnnr(real: DataFrame, synth: DataFrame, cols: Sequence[str], **kw) -> DataFrame:
     """VAL-7: median synthetic->real NN distance / median real->real NN
     distance (self excluded), on features z-scored by the real data."""
-    from tillguard.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(real.sparkSession)
-    real = real.select(*cols).checkpoint()
+    from tillguard.session import materialize
+    real = materialize(real.select(*cols))
     r, s = zscore(real, real, cols), zscore(synth, real, cols)
     d_sr = nearest_distances(s, r, cols, **kw).withColumn("which", F.lit("d_sr"))
     d_rr = nearest_distances(r, r, cols, exclude_self=True, **kw).withColumn("which", F.lit("d_rr"))

@@ -125,8 +125,8 @@ def fit_isolation_forest(df: DataFrame, features: Sequence[str] = FEATURE_COLUMN
     n = df.count()
     psi = int(min(sample_size, n))
     pool = min(1.0, 1.5 * psi * n_trees / max(n, 1))
-    sample = df.select(*[F.col(c).cast("double").alias(c) for c in feats]).sample(fraction=pool, seed=seed) \
-        if pool < 1.0 else df.select(*[F.col(c).cast("double").alias(c) for c in feats])
+    from tillguard.session import hash_sample
+    sample = hash_sample(df.select(*[F.col(c).cast("double").alias(c) for c in feats]), pool, seed)
     m = max(1, int(round(n * pool)))
     p_join = min(1.0, psi / m)
     # each sampled row joins each tree independently with probability p_join

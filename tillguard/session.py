@@ -77,3 +77,29 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     and streaming checkpoints)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df):
+    """Reliable checkpoint (lineage cut, files in the shared checkpoint dir)
+    computed once: persisted first, so the checkpoint write does not
+    recompute the plan, then unpersisted."""
+    from pyspark import StorageLevel
+
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
+
+
+def hash_sample(df, fraction: float, seed: int, cols=None):
+    """Deterministic Bernoulli sample: a row is kept by a hash of its values,
+    so a recomputed partition (e.g. after executor loss) keeps the same rows
+    whatever their order."""
+    from pyspark.sql import functions as F
+
+    if fraction >= 1.0:
+        return df
+    cols = list(cols or df.columns)
+    u = F.pmod(F.xxhash64(*[F.col(c) for c in cols], F.lit(seed)), F.lit(1 << 30)).cast("double") / float(1 << 30)
+    return df.filter(u < F.lit(float(fraction)))

@@ -43,9 +43,8 @@ def append_idempotent(batch: DataFrame, path: str, key: str = "transaction_id",
     # Fix the rows before writing: evaluated lazily afterwards, the anti-join
     # would see the rows just written.  checkpoint() writes to the shared
     # spark.checkpoint.dir, so the result survives executor loss.
-    from tillguard.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    b = b.checkpoint(eager=True)
+    from tillguard.session import materialize
+    b = materialize(b)
     b.write.mode("append").partitionBy(DATE_COL).parquet(path)
     return b
 
