@@ -64,3 +64,12 @@ def test_tier_colours(spark):
     assert r[1].rgb == [44, 160, 44]
     assert r[2].rgb == [128, 128, 128] and r[2].hex == "#808080"
     assert r[3].hex == "#808080"
+
+
+def test_scorer_matches_blend_scores(spark):
+    from tillguard.plans.scoring import Scorer, request_frame
+    req = {"transaction_id": "t9", "amount_ngn": 180000.0, "bin_spend_rate": 145000.0, "xgboost_score": 0.9,
+           "raw_anomaly": -1.0}
+    a = Scorer().score(request_frame(spark, req)).first()
+    b = blend_scores(request_frame(spark, req)).first()
+    assert (a.fraud_probability, a.alert_tier) == (b.fraud_probability, b.alert_tier) == (0.93, "critical")

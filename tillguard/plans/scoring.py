@@ -73,3 +73,42 @@ def scoring_request(features: DataFrame) -> DataFrame:
     """PRJ-2: the scoring projection of a feature row (the ratio is derived
     again at scoring time, PRJ-6)."""
     return features.select(*SCORING_REQUEST_COLUMNS)
+
+
+class Scorer:
+    """Blend + tier expressions built once and applied to any frame with
+    ``xgboost_score`` and ``raw_anomaly`` (and optionally ``amount_ngn`` /
+    ``bin_spend_rate`` for the scoring ratio).  Re-using the Column objects
+    keeps per-request overhead to a single ``select`` (low-latency path)."""
+
+    def __init__(self, weight: float = XGBOOST_WEIGHT, model_version: str = "v1"):
+        iso = normalize_anomaly("raw_anomaly")
+        p = blend_score("xgboost_score", iso, weight)
+        self.columns = [
+            "transaction_id",
+            round_half_up(p, 4).alias("fraud_probability"),
+            tier_for_probability(p).alias("alert_tier"),
+            round_half_up(F.col("xgboost_score"), 4).alias("xgboost_score"),
+            round_half_up(iso, 4).alias("isolation_forest_score"),
+            F.lit(model_version).alias("model_version"),
+            F.current_timestamp().alias("scored_at"),
+        ]
+
+    def score(self, df: DataFrame) -> DataFrame:
+        return df.select(*self.columns)
+
+
+def request_frame(spark, request: dict) -> DataFrame:
+    """One scoring request as a one-row frame (bound parameters, folded to a
+    local relation by the optimizer: no cluster job for a single request)."""
+    names = list(request)
+    typed = []
+    for k in names:
+        v = request[k]
+        if isinstance(v, bool) or v is None or isinstance(v, str):
+            typed.append(f":{k} AS `{k}`")
+        elif isinstance(v, int):
+            typed.append(f"CAST(:{k} AS BIGINT) AS `{k}`")
+        else:
+            typed.append(f"CAST(:{k} AS DOUBLE) AS `{k}`")
+    return spark.sql("SELECT " + ", ".join(typed), args={k: request[k] for k in names})
