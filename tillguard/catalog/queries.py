@@ -271,7 +271,9 @@ def _labeled(spark, sf_dir):
 def _real_synth(spark, sf_dir):
     """FIXTURES.md: real = even event ids, synthetic = odd event ids."""
     from pyspark.sql import functions as F
-    lf = _labeled(spark, sf_dir)
+    from tillguard.session import materialize
+    # both halves come from one feature build: compute it once
+    lf = materialize(_labeled(spark, sf_dir))
     parity = F.col("transaction_id").cast("long") % 2
     return lf.filter(parity == 0), lf.filter(parity == 1)
 
