@@ -94,3 +94,25 @@ def test_row_tie_policy(spark):
                                                                "card_bin", 3600, "mean", value="amount_ngn", out="m",
                                                                tie_policy="row", tie_order="transaction_id").collect()}
     assert mean["2"] == 1.5 and mean["3"] == 2.0
+
+
+def test_prefix_mode_equals_window(spark):
+    import random
+    from tillguard.operators.trailing import Trailing, trailing_aggregates, with_epoch_seconds
+    rnd = random.Random(5)
+    rows = [{"id": i, "t": rnd.randint(0, 3 * 86400) // 7 * 7, "bin": "539980" if i % 2 else f"53998{i % 5}",
+             "amount": float(rnd.randint(1, 900)) if i % 13 else None,
+             "fraud_type": "fake_reversal" if i % 6 == 0 else ""} for i in range(500)]
+    df = with_epoch_seconds(tx_rows(spark, rows)).withColumn("_rev", (F.col("fraud_type") == "fake_reversal").cast("int"))
+    specs = [Trailing("n", "count", "transaction_id", 3600), Trailing("r", "sum", "_rev", 86400),
+             Trailing("m", "mean", "amount_ngn", 3600)]
+    a = {r.transaction_id: r for r in trailing_aggregates(df, ["card_bin"], specs, mode="prefix").collect()}
+    b = {r.transaction_id: r for r in trailing_aggregates(df, ["card_bin"], specs, mode="plain").collect()}
+    for k, w in b.items():
+        g = a[k]
+        assert g.n == w.n and g.r == w.r
+        assert (g.m is None and w.m is None) or abs(g.m - w.m) < 1e-9
+    f1 = build_features(tx_rows(spark, rows), bin_mode="prefix").collect()
+    f2 = build_features(tx_rows(spark, rows), bin_mode="auto", max_rows_per_task=1).collect()  # forces prefix
+    assert sorted((r.transaction_id, r.bin_spend_rate) for r in f1) == sorted((r.transaction_id, r.bin_spend_rate)
+                                                                             for r in f2)

@@ -73,7 +73,8 @@ def running_totals(df: DataFrame, key: str, sum_cols: Sequence[str], *, group: s
     elif gcols:
         cuts = F.percentile_approx(F.col(okey).cast("double"), probs, max(10000, 400 * n_buckets))
         bounds = d.groupBy(*gcols).agg(cuts.alias("_bounds"))
-        d = d.join(F.broadcast(bounds), on=gcols, how="left")  # one row per group: bounded
+        # one row per group: AQE broadcasts it when it is measured small
+        d = d.join(bounds, on=gcols, how="left")
         bcol = F.coalesce(F.col("_bounds"), F.array().cast("array<double>"))
         d = d.withColumn(BKT, F.size(F.filter(bcol, lambda b: b < F.col(okey).cast("double")))).drop("_bounds")
     else:
@@ -91,8 +92,9 @@ def running_totals(df: DataFrame, key: str, sum_cols: Sequence[str], *, group: s
           .alias(f"_o_{c}") for c in sum_cols],
         *[F.sum(f"_t_{c}").over(Window.partitionBy(*gcols)).alias(f"tot_{c}") for c in sum_cols],
         F.lead("_bmin").over(wg).alias("_next_bmin"))
-    # at most (groups x n_buckets) rows: bounded, so broadcast is safe
-    d = d.join(F.broadcast(offsets), on=part, how="left")
+    # at most (groups x n_buckets) rows; broadcast outright only without
+    # groups (then bounded by n_buckets), else AQE decides by measured size
+    d = d.join(offsets if gcols else F.broadcast(offsets), on=part, how="left")
     wl = Window.partitionBy(*part).orderBy(okey)
     cols = {f"{prefix}{c}": F.col(f"_o_{c}") + F.sum(c).over(wl.rowsBetween(Window.unboundedPreceding, 0))
             for c in sum_cols}

@@ -89,6 +89,10 @@ def trailing_aggregates(df: DataFrame, keys: Sequence[str], specs: Sequence[Trai
     """
     keys = list(keys)
     lookback = max(s.lookback for s in specs) if specs else 0
+    if mode == "prefix":
+        if prev_cols:
+            raise ValueError("prefix mode computes aggregates only; use 'bucketed' for previous rows")
+        return trailing_prefix(df, keys, specs, sec_col=sec_col)
     if mode == "plain":
         part = Window.partitionBy(*keys)
         out = df
@@ -198,3 +202,65 @@ def _row_policy(d: DataFrame, group, seconds, tie_order, mode, bucket_seconds) -
     if mode != "plain":
         ex = ex.filter(F.col(OWN)).drop(BUCKET, OWN, "_own_bucket")
     return ex
+
+
+def trailing_prefix(df: DataFrame, keys: Sequence[str], specs: Sequence[Trailing], *, sec_col: str = SEC,
+                    n_buckets: int | None = None) -> DataFrame:
+    """Count/sum/mean trailing windows as differences of per-key prefix sums.
+
+    value(t) = P(t) - P(t - lookback - 1), where P(x) sums the key's rows with
+    second <= x.  Rows are first collapsed to one row per (key, second);
+    zero-weight probe rows at ``second - lookback - 1`` are added, and
+    ``cumulative.running_totals`` (grouped by key, each key split into
+    buckets at its own percentiles) gives P at every data and probe point.
+    No task ever holds a whole window of a hot key: work is split down to
+    single seconds.  Sums use DECIMAL(38, 12), so differences of prefixes are
+    exact (no floating-point cancellation).
+    """
+    from tillguard.operators.cumulative import running_totals
+
+    keys = list(keys)
+    w = {}
+    for i, s in enumerate(specs):
+        v = s.column()
+        if s.agg in ("count", "mean"):
+            w[f"_n{i}"] = F.count(v).cast("long")
+        if s.agg in ("sum", "mean"):
+            w[f"_s{i}"] = F.coalesce(F.sum(v.cast("decimal(38,12)")), F.lit(0).cast("decimal(38,12)"))
+        if s.agg not in ("count", "sum", "mean"):
+            raise ValueError(f"prefix mode supports count/sum/mean, not {s.agg!r}")
+    per_sec = df.groupBy(*keys, sec_col).agg(*[c.alias(k) for k, c in w.items()])
+    data = per_sec.select(*keys, (F.col(sec_col) * 2).alias("_ok"), *w)
+    lookbacks = sorted({s.lookback for s in specs})
+    probes = None
+    for lb in lookbacks:
+        p = per_sec.select(*keys, ((F.col(sec_col) - lb - 1) * 2 + 1).alias("_ok"))
+        probes = p if probes is None else probes.unionByName(p)
+    zero = {k: (F.lit(0).cast("long") if k.startswith("_n") else F.lit(0).cast("decimal(38,12)")) for k in w}
+    probes = probes.distinct().select(*keys, "_ok", *[c.alias(k) for k, c in zero.items()])
+    cum = running_totals(data.unionByName(probes), "_ok", list(w), group=keys, n_buckets=n_buckets)
+    cum = cum.select(*keys, "_ok", *[F.col(f"cum_{k}").alias(k) for k in w])
+
+    out = df.join(cum.filter(F.col("_ok") % 2 == 0).select(*keys, (F.col("_ok") / 2).cast("long").alias(sec_col),
+                                                         *[F.col(k).alias(f"{k}_now") for k in w]),
+                  on=[*keys, sec_col], how="left")
+    for lb in lookbacks:
+        then = cum.filter(F.col("_ok") % 2 == 1).select(
+            *keys, ((F.col("_ok") - 1) / 2 + lb + 1).cast("long").alias(sec_col),
+            *[F.col(k).alias(f"{k}_then{lb}") for k in w])
+        out = out.join(then, on=[*keys, sec_col], how="left")
+    cols = {}
+    for i, s in enumerate(specs):
+        def diff(k):
+            return F.col(f"{k}_now") - F.coalesce(F.col(f"{k}_then{s.lookback}"), F.lit(0))
+        if s.agg == "count":
+            cols[s.out] = diff(f"_n{i}").cast("long")
+        elif s.agg == "sum":
+            cols[s.out] = F.when(diff(f"_n{i}") > 0, diff(f"_s{i}")).cast("double") if f"_n{i}" in w \
+                else diff(f"_s{i}").cast("double")
+        else:
+            n = diff(f"_n{i}")
+            cols[s.out] = F.when(n > 0, (diff(f"_s{i}") / n).cast("double"))
+    out = out.withColumns(cols)
+    drop = [f"{k}_now" for k in w] + [f"{k}_then{lb}" for k in w for lb in lookbacks]
+    return out.drop(*drop)
