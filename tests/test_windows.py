@@ -116,3 +116,19 @@ def test_prefix_mode_equals_window(spark):
     f2 = build_features(tx_rows(spark, rows), bin_mode="auto", max_rows_per_task=1).collect()  # forces prefix
     assert sorted((r.transaction_id, r.bin_spend_rate) for r in f1) == sorted((r.transaction_id, r.bin_spend_rate)
                                                                              for r in f2)
+
+
+def test_hot_terminal_prefix_mode_equals_plain(spark):
+    import random
+    rnd = random.Random(9)
+    rows = [{"id": i, "t": rnd.randint(0, 4 * 86400), "terminal": "TRMHOT" if i % 3 else f"TRM{i % 7}",
+             "bin": f"53998{i % 3}", "amount": float(rnd.randint(1, 500)), "lat": 4 + rnd.random(),
+             "lon": 3 + rnd.random(), "fraud_type": "fake_reversal" if i % 5 == 0 else ""} for i in range(400)]
+    rows.append({"id": 999, "t": 9 * 86400, "terminal": "TRMHOT", "lat": 9.0, "lon": 7.0})  # long gap
+    a = {r.transaction_id: r for r in build_features(tx_rows(spark, rows), terminal_mode="prefix",
+                                                     bin_mode="prefix").collect()}
+    b = {r.transaction_id: r for r in build_features(tx_rows(spark, rows), mode="plain").collect()}
+    for k, w in b.items():
+        g = a[k]
+        assert g.velocity_1h == w.velocity_1h and g.terminal_reversal_count == w.terminal_reversal_count
+        assert abs(g.geo_jump_km - w.geo_jump_km) < 1e-9 and abs(g.bin_spend_rate - w.bin_spend_rate) < 1e-9

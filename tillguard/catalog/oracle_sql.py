@@ -200,6 +200,7 @@ status AS (
 ORACLES: dict[str, str] = {
     "features_full": FEATURES_FULL,
     "features_plain": FEATURES_FULL,
+    "features_prefix": FEATURES_FULL,
     "velocity_1h": with_ctes("SELECT transaction_id, terminal_id, velocity_1h FROM features_r"),
     "geo_jump_km": with_ctes(f"SELECT transaction_id, terminal_id, {r6('geo_jump_km')} AS geo_jump_km FROM features_r"),
     "bin_spend_rate": with_ctes(

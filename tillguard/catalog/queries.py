@@ -45,6 +45,14 @@ def features_plain(spark, sf_dir):
     return feat.build_features(_tx(spark, sf_dir), mode="plain")
 
 
+@register("features_prefix")
+def features_prefix(spark, sf_dir):
+    """WIN-5 in the hot-key form (chosen automatically when a key would
+    exceed a task): terminal and BIN counts/means from per-second prefix
+    sums, previous location from short buckets; must equal the windows."""
+    return feat.build_features(_tx(spark, sf_dir), terminal_mode="prefix", bin_mode="prefix")
+
+
 @register("velocity_1h")
 def velocity_1h(spark, sf_dir):
     """WIN-1."""

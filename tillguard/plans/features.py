@@ -63,39 +63,59 @@ def _bin_stage(df: DataFrame, mode: str, bucket_seconds: int | None) -> DataFram
 MAX_ROWS_PER_TASK = 5_000_000
 
 
-def _resolve_bin_mode(df: DataFrame, mode: str, bin_mode: str | None, bucket_seconds: int,
-                      max_rows_per_task: int) -> str:
+def _resolve_mode(df: DataFrame, key: str, mode: str, requested: str | None, bucket_seconds: int,
+                  lookback: int, max_rows_per_task: int) -> str:
     if mode == "plain":
         return "plain"
-    if bin_mode in (None, "bucketed", "prefix"):
-        return bin_mode or mode
-    if bin_mode != "auto":
-        raise ValueError(f"unknown bin_mode {bin_mode!r}")
-    # one aggregate: the largest (BIN, bucket) partition the window would see
-    widest = (df.groupBy("card_bin", F.floor(F.col(SEC) / F.lit(bucket_seconds)).alias("_b"))
+    if requested in (None, "bucketed", "prefix"):
+        return requested or mode
+    if requested != "auto":
+        raise ValueError(f"unknown mode {requested!r}")
+    # one aggregate: the largest (key, bucket) partition the window would see
+    widest = (df.groupBy(key, F.floor(F.col(SEC) / F.lit(bucket_seconds)).alias("_b"))
                 .agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0)
-    rows_per_task = widest * (1 + HOUR / bucket_seconds)
+    rows_per_task = widest * (1 + lookback / bucket_seconds)
     return "prefix" if rows_per_task > max_rows_per_task else "bucketed"
 
 
+def _terminal_stage_prefix(df: DataFrame, lag_bucket_seconds: int) -> DataFrame:
+    """Hot-terminal form: counts/sums from per-second prefix sums, previous
+    location from short buckets without context (exact fallback for gaps)."""
+    from tillguard.operators.trailing import trailing_prefix
+    d = df.withColumn("_is_reversal", is_reversal("fraud_type"))
+    d = trailing_prefix(d, ["terminal_id"], [Trailing("velocity_1h", "count", "transaction_id", HOUR),
+                                             Trailing("terminal_reversal_count", "sum", "_is_reversal", DAY)])
+    d = d.withColumn("terminal_reversal_count", F.col("terminal_reversal_count").cast("long"))
+    return _terminal_stage(d.drop("_is_reversal"), "bucketed", lag_bucket_seconds, with_geo=True, specs=[])
+
+
 def build_features(tx: DataFrame, *, mode: str = "bucketed", terminal_bucket_seconds: int = 2 * DAY,
                    bin_bucket_seconds: int = 4 * HOUR, bin_mode: str | None = "auto",
-                   max_rows_per_task: int = MAX_ROWS_PER_TASK) -> DataFrame:
+                   terminal_mode: str | None = "auto", max_rows_per_task: int = MAX_ROWS_PER_TASK,
+                   lag_bucket_seconds: int = HOUR) -> DataFrame:
     """WIN-5: all five features, 10 output columns in the fixed order.
 
     Counts stay integral (bigint); ``to_feature_table`` casts to the declared
     double schema at the table edge.  ``bin_mode='prefix'`` computes the BIN
     mean from per-second prefix sums (``operators.trailing.trailing_prefix``):
-    no task holds an hour of a hot BIN's rows.  ``'auto'`` (default) measures
-    the largest (BIN, bucket) partition first and uses prefix sums only when
-    it exceeds ``max_rows_per_task`` rows.
+    no task holds an hour of a hot BIN's rows.  ``terminal_mode='prefix'``
+    does the same for the terminal counts and looks up the previous location
+    in short buckets.  ``'auto'`` (default, both) measures the largest
+    (key, bucket) partition first and uses prefix sums only when it exceeds
+    ``max_rows_per_task`` rows.
     """
     d = with_epoch_seconds(tx.select("transaction_id", "terminal_id", "card_bin", "amount_ngn",
                                      "latitude", "longitude", "timestamp", "fraud_type"))
-    # decided on the input (a scan and a small aggregate), before any window
-    chosen = _resolve_bin_mode(d.select("card_bin", SEC), mode, bin_mode, bin_bucket_seconds, max_rows_per_task)
-    d = _terminal_stage(d, mode, terminal_bucket_seconds)
-    d = _bin_stage(d, chosen, bin_bucket_seconds)
+    # decided on the input (a scan and a small aggregate each), before any window
+    t_mode = _resolve_mode(d.select("terminal_id", SEC), "terminal_id", mode, terminal_mode,
+                           terminal_bucket_seconds, DAY, max_rows_per_task)
+    b_mode = _resolve_mode(d.select("card_bin", SEC), "card_bin", mode, bin_mode, bin_bucket_seconds, HOUR,
+                           max_rows_per_task)
+    if t_mode == "prefix":
+        d = _terminal_stage_prefix(d, lag_bucket_seconds)
+    else:
+        d = _terminal_stage(d, t_mode, terminal_bucket_seconds)
+    d = _bin_stage(d, b_mode, bin_bucket_seconds)
     d = d.withColumn("amount_vs_bin_avg_ratio", amount_vs_bin_avg_ratio("amount_ngn", "bin_spend_rate"))
     return d.select(*FEATURE_OUTPUT)
 
