@@ -29,6 +29,8 @@ def builder(master: str | None = None, shuffle_partitions: int | None = None,
     for k, v in ENGINE_CONF.items():
         b = b.config(k, v)
     b = b.config("spark.ui.enabled", "false")
+    # reliable checkpoints of dropped DataFrames are deleted by the cleaner
+    b = b.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     b = b.config("spark.sql.execution.arrow.pyspark.enabled", "true")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
