@@ -80,6 +80,19 @@ def train_classifier(df: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, l
     return classifier_pipeline(features, label, **params).fit(d)
 
 
+#: concurrent fits (each persists its own training input while it runs)
+FIT_PARALLELISM = 2
+
+
+def _fit_concurrently(frames: Sequence[DataFrame], features, label, params,
+                      parallelism: int = FIT_PARALLELISM) -> list[PipelineModel]:
+    """Independent fits submitted from at most ``parallelism`` driver threads."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(frames)))) as pool:
+        futures = [pool.submit(train_classifier, f, features, label, **params) for f in frames]
+        return [f.result() for f in futures]
+
+
 def positive_probability(pred: DataFrame, out: str = "probability_1") -> DataFrame:
     return pred.withColumn(out, vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability",
                                                                       "prediction")
@@ -95,9 +108,9 @@ def cross_validate(df: DataFrame, k: int = 5, features: Sequence[str] = FEATURE_
     over folds that contain both classes."""
     d = fold_column(df, label, k)
     rows = []
-    for f in range(k):
-        train, test = d.filter(F.col("fold") != f), d.filter(F.col("fold") == f)
-        m = train_classifier(train, features, label, **params)
+    models = _fit_concurrently([d.filter(F.col("fold") != f) for f in range(k)], features, label, params)
+    for f, m in enumerate(models):
+        test = d.filter(F.col("fold") == f)
         p = predict_proba(m, test)
         bm = metrics.binary_metrics(p, "probability_1", label, 0.5).first()
         auc = metrics.roc_auc(p, "probability_1", label).first()["roc_auc"]
@@ -123,9 +136,10 @@ def train_with_holdout(real: DataFrame, synthetic: DataFrame | None = None, feat
         trainval = trainval.unionByName(synthetic.select(*trainval.columns), allowMissingColumns=False)
     tv = stratified_split(trainval, label, 0.2, out="_val", id_col="transaction_id")
     train, val = tv.filter(~F.col("_val")).drop("_val"), tv.filter(F.col("_val")).drop("_val")
-    m_thr = train_classifier(train, features, label, **params)
+    # the threshold model and the final model are independent fits: run them
+    # as concurrent Spark jobs (as CrossValidator's ``parallelism`` does)
+    m_thr, model = _fit_concurrently([train, trainval], features, label, params)
     thr = metrics.best_threshold(predict_proba(m_thr, val), "probability_1", label).first()["threshold"]
-    model = train_classifier(trainval, features, label, **params)
     p = predict_proba(model, test).cache()
     out = []
     for name, t in (("default", 0.5), ("tuned", float(thr))):
@@ -177,10 +191,9 @@ def tstr_vs_trtr(real: DataFrame, synthetic: DataFrame, features: Sequence[str]
     70 % real (TRTR) and on the synthetic rows (TSTR)."""
     r = stratified_split(real, label, 0.3, out="_test")
     train, test = r.filter(~F.col("_test")).drop("_test"), r.filter(F.col("_test")).drop("_test")
-    trtr = metrics.roc_auc(predict_proba(train_classifier(train, features, label, **params), test),
-                           "probability_1", label).first()["roc_auc"]
-    tstr = metrics.roc_auc(predict_proba(train_classifier(synthetic, features, label, **params), test),
-                           "probability_1", label).first()["roc_auc"]
+    m_real, m_synth = _fit_concurrently([train, synthetic], features, label, params)
+    trtr = metrics.roc_auc(predict_proba(m_real, test), "probability_1", label).first()["roc_auc"]
+    tstr = metrics.roc_auc(predict_proba(m_synth, test), "probability_1", label).first()["roc_auc"]
     gap = abs(tstr - trtr)
     verdict = ("fully_equivalent" if gap < 0.02 else "acceptable_with_monitoring" if gap <= 0.05
                else "investigate_before_deployment")
