@@ -142,8 +142,9 @@ def run_feature_stream(stream: DataFrame, features_path: str, checkpoint: str, *
     """STR-1 (+STR-2/3/6/7).  Returns the started query.
 
     ``watermark`` (e.g. ``"1 hour"``): duplicates are dropped inside the
-    watermark before the batch is processed, and rows arriving later than
-    the watermark are dropped by Spark (see ``rows_dropped_by_watermark``).
+    watermark before the batch is processed (the dedupe state is evicted
+    behind the watermark; late-row counts that Spark reports for its
+    stateful operators are summed by ``rows_dropped_by_watermark``).
     Without it every row is processed; a late row then gets features from
     the stored history, and rows emitted earlier are not revised.
     """
