@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, packing
+from . import byte_bpe, packing, quality
 from .common import table
 
 
@@ -14,5 +14,9 @@ def op3_packing(spark, sf_dir):
     return packing.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_packing": op3_packing, "op9_byte_bpe": op9_byte_bpe}
+def op6_quality_rules(spark, sf_dir):
+    return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {"op6_quality_rules": op6_quality_rules, "op3_packing": op3_packing, "op9_byte_bpe": op9_byte_bpe}
 ORACLES: dict[str, str] = {}
