@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, packing, quality
+from . import byte_bpe, packing, quality, secrets, toxicity
 from .common import table
 
 
@@ -18,5 +18,13 @@ def op6_quality_rules(spark, sf_dir):
     return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op6_quality_rules": op6_quality_rules, "op3_packing": op3_packing, "op9_byte_bpe": op9_byte_bpe}
+def op4_secret_scan(spark, sf_dir):
+    return secrets.digest(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark, sf_dir):
+    return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {"op2_toxicity": op2_toxicity, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op3_packing": op3_packing, "op9_byte_bpe": op9_byte_bpe}
 ORACLES: dict[str, str] = {}
