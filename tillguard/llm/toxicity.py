@@ -2,9 +2,10 @@
 
 ``P(grade > k) = sigmoid(w . x - theta_k)``: one weight vector is shared by all
 ordered thresholds, and the expected severity is the sum of these over ``k``.
-``x`` marks which chosen hash buckets occur in the text: buckets of lower-case
-words and of the character 4- and 5-grams within them, chosen by their
-likelihood ratio for the label over the labelled rows.
+``x`` marks which chosen features occur in the text: hash buckets of lower-case
+words and of the character 4- and 5-grams within them, in one distinct word or
+in two at least, chosen by their likelihood ratio for the label over the
+labelled rows, and by the share of their documents that have it.
 
 The labels say toxic or not.  Grades follow from them: a toxic row's grade is
 1, 2 or 3 by the number of its distinct words that hold a chosen bucket; a
@@ -21,7 +22,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +39,8 @@ BUCKETS = 1 << 18
 MAX_FIT_ROWS = 20_000
 #: Most chosen buckets, and the least likelihood ratio (G squared) of one.
 MAX_FEATURES, LEAST_RATIO = 4096, 30.0
+#: Least share of the documents with a chosen bucket that have the label.
+LEAST_SHARE = 0.7
 #: Grade 2 and 3 begin at so many distinct words with a chosen bucket.
 GRADE_CUTS = (3, 6)
 #: Expected severity from which a document is rejected.
@@ -50,8 +55,13 @@ def buckets_of(word: str) -> set[int]:
     return {zlib.crc32(x.encode()) % BUCKETS for x in grams | {"word " + word}}
 
 
+def features_of(words_with: Counter) -> list[int]:
+    """Features from the number of distinct words that hold each bucket."""
+    return [*words_with, *(b + BUCKETS for b, n in words_with.items() if n > 1)]
+
+
 class Features:
-    """Chosen buckets (as column numbers) of words, remembered per process."""
+    """Chosen features (as column numbers) of words, remembered per process."""
 
     def __init__(self, chosen: np.ndarray, limit: int = 1_000_000):
         self.column = {int(b): i for i, b in enumerate(chosen)}
@@ -63,20 +73,20 @@ class Features:
         words -= self.plain
         if len(self.plain) > self.limit:
             self.plain.clear()
-        cols, n = set(), 0
+        seen, n = Counter(), 0
         for w in words:
             got = self.telling.get(w)
             if got is None:
-                got = frozenset(c for b in buckets_of(w) if (c := self.column.get(b)) is not None)
+                got = frozenset(b for b in buckets_of(w) if b in self.column or b + BUCKETS in self.column)
                 if not got:
                     self.plain.add(w)
                     continue
                 if len(self.telling) > self.limit:
                     self.telling.clear()
                 self.telling[w] = got
-            cols |= got
+            seen.update(got)
             n += 1
-        return cols, n
+        return {self.column[f] for f in features_of(seen) if f in self.column}, n
 
 
 @dataclass(frozen=True)
@@ -91,15 +101,15 @@ class SeverityModel:
 
 
 def choose_buckets(rows: DataFrame, max_features: int = MAX_FEATURES) -> np.ndarray:
-    """Buckets that occur with the label far more often than without it.
-    Each task counts documents by bucket (at most ``BUCKETS`` rows leave it)."""
+    """Features that occur with the label far more often than without it.
+    Each task counts documents by bucket (at most ``2 * BUCKETS`` rows leave it)."""
 
     def run(batches):
-        n = np.zeros((2, BUCKETS), np.int64)
+        n = np.zeros((2, 2 * BUCKETS), np.int64)
         for b in batches:
             for text, grade in zip(b.column("text").to_pylist(), b.column("label").to_pylist()):
-                hit = set().union(*map(buckets_of, set(_words((text or "").lower()))))
-                n[int(grade > 0), list(hit)] += 1
+                hit = Counter(chain.from_iterable(map(buckets_of, set(_words((text or "").lower())))))
+                n[int(grade > 0), features_of(hit)] += 1
         at = np.nonzero(n.sum(0))[0]
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[0, at]), pa.array(n[1, at])], ["bucket", "clean", "toxic"])
 
@@ -114,7 +124,7 @@ def choose_buckets(rows: DataFrame, max_features: int = MAX_FEATURES) -> np.ndar
     both = a + b
     ratio = 2 * (term(a, both * (n0 / n)) + term(b, both * (n1 / n))
                  + term(n0 - a, (n - both) * (n0 / n)) + term(n1 - b, (n - both) * (n1 / n)))
-    best = (counts.filter(b * n0 > a * n1).withColumn("ratio", ratio).filter(F.col("ratio") >= LEAST_RATIO)
+    best = (counts.filter((b * n0 > a * n1) & (b >= LEAST_SHARE * both)).withColumn("ratio", ratio).filter(F.col("ratio") >= LEAST_RATIO)
             .orderBy(F.desc("ratio"), "bucket").limit(max_features).select("bucket").collect())
     return np.array(sorted(r.bucket for r in best), np.int64)
 
