@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches, tokenizer_path
+from .common import Recent, bound_batches, tokenizer_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 _SHIFT = {b: 256 + b for b in range(256)}
@@ -87,28 +87,24 @@ class Codec:
         self.bytes_of = [bytes(ord(c) - 256 for c in self.model.id_to_piece(i)) for i in range(len(ranks))]
         self.whole = {to_chars(k): array("i", [v]).tobytes() for k, v in ranks.items()}
         self.pre_tokens = regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
-
-    def encode_batch(self, texts: list[str], limit: int = 600_000) -> list[bytes]:
-        """Ids of each text as native 32-bit integers.  Each pre-token that
-        this process has not met is encoded once; at most ``limit`` and one
-        batch's pre-tokens are remembered."""
+        self.known = Recent(self.learn)
+
+    def learn(self, pre_tokens: list[str]) -> list[bytes]:
+        """Ids of pre-tokens as native 32-bit integers: the rank of one that
+        is in the vocabulary, else the model's pieces."""
+        chars = [to_chars(x.encode()) for x in pre_tokens]
+        out = [self.whole.get(c) for c in chars]
+        rest = [i for i, x in enumerate(out) if x is None]
+        for i, ids in zip(rest, self.model.encode([chars[i] for i in rest], num_threads=1)):
+            out[i] = array("i", ids).tobytes()
+        return out
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; an unknown pre-token is encoded once."""
         cut = [self.pre_tokens(t) for t in texts]
-        new = set().union(*cut)
-        if len(self.known) + len(new) > limit:
-            self.known.clear()
-        new.difference_update(self.known)
-        rest = []
-        for x in new:
-            chars = to_chars(x.encode())
-            if (one := self.whole.get(chars)) is not None:
-                self.known[x] = one
-            else:
-                rest.append((x, chars))
-        for (x, _), ids in zip(rest, self.model.encode([c for _, c in rest], num_threads=1)):
-            self.known[x] = array("i", ids).tobytes()
-        known = self.known
-        return [b"".join([known[x] for x in pre]) for pre in cut]
+        distinct = list(set().union(*cut))
+        ids_of = dict(zip(distinct, self.known.get(distinct)))
+        return [b"".join([ids_of[x] for x in pre]) for pre in cut]
 
     def decode(self, ids) -> bytes:
         of = self.bytes_of

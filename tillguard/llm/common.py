@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import uuid
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from tillguard.session import checkpoint_path
@@ -47,18 +50,48 @@ def tokenizer_path(name: str) -> str:
     return os.path.abspath(public_tokenizers.path(name))
 
 
-class Memo(dict):
-    """A dictionary that fills itself from ``make(key)`` and forgets all of
-    its entries when it holds more than ``limit`` of them (bounded memory)."""
+class Recent:
+    """Values of recent keys, two generations of about ``limit`` entries at
+    most; ``make`` turns a list of unknown keys into their values."""
 
-    def __init__(self, make, limit: int = 400_000):
-        super().__init__()
+    def __init__(self, make, limit: int = 500_000):
         self.make, self.limit = make, limit
-
-    def __missing__(self, key):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self.make(key)
-        if len(key) <= 256:
-            self[key] = value
-        return value
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def get(self, keys: list) -> list:
+        new, old = self.new, self.old
+        out = list(map(new.get, keys))
+        ask = []
+        for i in [i for i, x in enumerate(out) if x is None]:
+            x = old.get(keys[i])
+            if x is None:
+                ask.append(i)
+            else:
+                out[i] = new[keys[i]] = x
+        if ask:
+            for i, x in zip(ask, self.make([keys[i] for i in ask])):
+                out[i] = x
+                if len(keys[i]) <= 256:
+                    new[keys[i]] = x
+        if len(new) > self.limit:
+            self.old, self.new = new, {}
+        return out
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Words of a column of texts (null: none): offsets of each text's words,
+    the number of each word, and the distinct words by number.  A word of no
+    letters stands where white space begins or ends a text."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    coded = lists.flatten().dictionary_encode()
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    return offsets - offsets[0], coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+
+
+def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """values[s:s + n] for each start and size, one after another."""
+    ends = np.cumsum(sizes)
+    at = np.repeat(starts - (ends - sizes), sizes)
+    at += np.arange(len(at))
+    return values[at]

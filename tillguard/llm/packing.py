@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import os
 import zlib
-from array import array
 from collections import defaultdict
 from functools import lru_cache
 
@@ -34,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, tokenizer_path, written
+from .common import Recent, bound_batches, gather, split_words, tokenizer_path, written
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
@@ -43,10 +42,13 @@ MAX_QUEUES = 256
 
 
 class WordTokens:
-    """Ids of the white-space words of texts, remembered between texts.  The
+    """Ids of the white-space words of texts, remembered between batches.  The
     tokenizer drops white space and joins nothing across it, so words can be
     encoded alone."""
 
+    #: A character that the tokenizer keeps as a token of its own between spaces.
+    MARK = "\x01"
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -55,20 +57,41 @@ class WordTokens:
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids are kept in 16 bits")
-        self.known: dict[str, bytes] = {}
-
-    def encode_batch(self, texts: list[str], limit: int = 600_000) -> list[bytes]:
-        """16-bit ids of each text."""
-        cut = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        new = set().union(*cut)
-        if len(self.known) + len(new) > limit:
-            self.known.clear()
-        new.difference_update(self.known)
-        new = list(new)
-        for x, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[x] = array("H", e.ids).tobytes()
-        known = self.known
-        return [b"".join([known[w] for w in words]) for words in cut]
+        (self.mark,) = self.ids(self.MARK)
+        self.known = Recent(self.learn)
+
+    def ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def learn(self, words: list[str]) -> list[bytes]:
+        """16-bit ids of words; many are encoded as one text, with a mark
+        after each, since a call costs more than a word."""
+        out = [self.tokens(w) if self.MARK in w else None for w in words]
+        plain = [i for i, x in enumerate(out) if x is None]
+        for lo in range(0, len(plain), 4096):
+            some = plain[lo:lo + 4096]
+            ids = np.array(self.ids(" ".join([f"{words[i]} {self.MARK}" for i in some])), np.uint16)
+            at = 0
+            for i, end in zip(some, np.nonzero(ids == self.mark)[0].tolist(), strict=True):
+                out[i] = ids[at:end].tobytes()
+                at = end + 1
+        return out
+
+    def tokens(self, word: str) -> bytes:
+        return np.array(self.ids(word), np.uint16).tobytes()
+
+    def encode_batch(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets of each text's ids, and all ids; each text's end with ``end``."""
+        offsets, number, words = split_words(texts)
+        parts = self.known.get(words)
+        size = np.array([len(p) // 2 for p in parts] + [1], np.int64)
+        start = np.cumsum(size) - size
+        values = np.frombuffer(b"".join(parts) + np.uint16(end).tobytes(), np.uint16)
+        # the end id goes after the last word of each text
+        number = np.insert(number, offsets[1:], len(parts))
+        sizes = size[number]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return ends[offsets + np.arange(len(offsets))], gather(values, start[number], sizes)
 
 
 @lru_cache(maxsize=2)
@@ -83,20 +106,20 @@ def tokenise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     same source before the row in partition ``part``."""
     path = vocabulary or tokenizer_path(VOCABULARY)
     bound_batches(docs.sparkSession)
-    end = array("H", [END_ID]).tobytes()
 
     def run(batches):
         tok, part, before = word_tokens(path), TaskContext.get().partitionId(), defaultdict(int)
         for b in batches:
             doc_ids, texts, sources = b.columns
-            ids = [x + end for x in tok.encode_batch([t or "" for t in texts.to_pylist()])]
-            sizes, places = [len(x) // 2 for x in ids], []
-            for s, n in zip(sources.to_pylist(), sizes):
+            offsets, ids = tok.encode_batch(texts, END_ID)
+            sizes, places = np.diff(offsets), []
+            for s, n in zip(sources.to_pylist(), sizes.tolist()):
                 places.append(before[s])
                 before[s] += n
+            packed = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(2 * offsets), pa.py_buffer(ids)])
             yield pa.RecordBatch.from_arrays(
-                [doc_ids, sources, pa.array([part] * len(ids), pa.int32()), pa.array(places, pa.int64()),
-                 pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())],
+                [doc_ids, sources, pa.array([part] * len(sizes), pa.int32()), pa.array(places, pa.int64()),
+                 pa.array(sizes, pa.int64()), packed.cast(pa.binary())],
                 ["doc_id", "source", "part", "place", "n_tokens", "ids"])
 
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
@@ -174,11 +197,12 @@ def pack(docs: DataFrame, shares: dict[str, float] | None = None, window: int =
     weights = [float(n) if not shares else max(float(shares.get(q, 0.0)), low) for q, n in totals]
     rounds = Rounds([n for _, n in totals], [w or 1.0 for w in weights], quantum)
     queue_of = {q: i for i, (q, _) in enumerate(totals)}
-    # prefix sums over one row for each (partition, source); joined by size as
-    # the planner measures it, never by hint
+    # prefix sums over one row for each (partition, source), written so that the
+    # planner knows their size when it chooses the join; never a hint
     base = parts.withColumn("queue", key).withColumn(
         "base", F.sum("n").over(Window.partitionBy("queue").orderBy("source", "part")) - F.col("n"))
     base = base.select(F.col("source").alias("b_source"), F.col("part").alias("b_part"), "queue", "base")
+    base = written(base, "packing-base")
     placed = ids.join(base, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("part") == F.col("b_part")))
 
     def run(batches):
