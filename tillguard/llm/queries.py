@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, packing, quality, secrets, toxicity
+from . import byte_bpe, packing, quality, secrets, sharding, toxicity, warc
 from .common import table
 
 
@@ -26,5 +26,22 @@ def op2_toxicity(spark, sf_dir):
     return toxicity.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op2_toxicity": op2_toxicity, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op3_packing": op3_packing, "op9_byte_bpe": op9_byte_bpe}
-ORACLES: dict[str, str] = {}
+def op1_kd_sharding(spark, sf_dir):
+    return sharding.digest(table(spark, sf_dir, "documents"))
+
+
+def op10_warc(spark, sf_dir):
+    return warc.digest(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {"op1_kd_sharding": op1_kd_sharding, "op10_warc": op10_warc, "op2_toxicity": op2_toxicity, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op3_packing": op3_packing, "op9_byte_bpe": op9_byte_bpe}
+ORACLES: dict[str, str] = {
+    "op10_warc": """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+q AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM q""",
+}
