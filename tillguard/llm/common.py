@@ -95,3 +95,44 @@ def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndar
     at = np.repeat(starts - (ends - sizes), sizes)
     at += np.arange(len(at))
     return values[at]
+
+
+def sorted_groups(batches, keys: list[str], rows: int = 4096):
+    """Runs of whole groups from batches that are sorted by ``keys``: dicts of
+    columns (numpy, or lists for binary) with ``starts``, the groups' offsets
+    and the end.  A run is handed out once it has ``rows`` rows."""
+    held: list[pa.RecordBatch] = []
+
+    def columns(t: pa.Table) -> dict:
+        out = {}
+        for name in t.column_names:
+            c = t.column(name).combine_chunks()
+            out[name] = c.to_pylist() if pa.types.is_binary(c.type) else c.to_numpy(zero_copy_only=False)
+        change = np.zeros(max(0, t.num_rows - 1), bool)
+        for k in keys:
+            change |= out[k][1:] != out[k][:-1]
+        out["starts"] = np.concatenate([[0], np.nonzero(change)[0] + 1, [t.num_rows]]) if t.num_rows else np.zeros(1, np.int64)
+        return out
+
+    def last_start(t: pa.Table) -> int:
+        same = np.ones(t.num_rows, bool)
+        for k in keys:
+            v = t.column(k).to_numpy()
+            same &= v == v[-1]
+        return int(np.argmin(same[::-1])) and t.num_rows - int(np.argmin(same[::-1])) if not same.all() else 0
+
+    n = 0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            t = pa.Table.from_batches(held)
+            cut = last_start(t)  # the last group may go on in the next batch
+            if cut:
+                yield columns(t.slice(0, cut))
+                t = t.slice(cut)
+            held, n = t.to_batches(), t.num_rows
+    if held:
+        yield columns(pa.Table.from_batches(held))
