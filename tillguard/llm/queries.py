@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, imatch, jaccard, packing, quality, secrets, sharding, toxicity, warc
+from . import byte_bpe, html_diff, imatch, jaccard, packing, quality, secrets, sharding, toxicity, warc
 from .common import table
 
 
@@ -42,7 +42,11 @@ def op5_imatch(spark, sf_dir):
     return imatch.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op5_imatch": op5_imatch, "op8_jaccard_join": op8_jaccard_join, "op1_kd_sharding": op1_kd_sharding, "op10_warc": op10_warc, "op2_toxicity": op2_toxicity, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op3_packing": op3_packing, "op9_byte_bpe": op9_byte_bpe}
+def op7_html_extraction(spark, sf_dir):
+    return html_diff.digest(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {"op7_html_extraction": op7_html_extraction, "op5_imatch": op5_imatch, "op8_jaccard_join": op8_jaccard_join, "op1_kd_sharding": op1_kd_sharding, "op10_warc": op10_warc, "op2_toxicity": op2_toxicity, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op3_packing": op3_packing, "op9_byte_bpe": op9_byte_bpe}
 ORACLES: dict[str, str] = {
     "op10_warc": """
 WITH p AS (
