@@ -113,9 +113,11 @@ def test_prefix_mode_equals_window(spark):
         assert g.n == w.n and g.r == w.r
         assert (g.m is None and w.m is None) or abs(g.m - w.m) < 1e-9
     f1 = build_features(tx_rows(spark, rows), bin_mode="prefix").collect()
-    f2 = build_features(tx_rows(spark, rows), bin_mode="auto", max_rows_per_task=1).collect()  # forces prefix
-    assert sorted((r.transaction_id, r.bin_spend_rate) for r in f1) == sorted((r.transaction_id, r.bin_spend_rate)
-                                                                             for r in f2)
+    f2 = build_features(tx_rows(spark, rows), bin_mode="by_second").collect()
+    rates = [{r.transaction_id: r.bin_spend_rate for r in f} for f in (f1, f2)]
+    assert rates[0].keys() == rates[1].keys()
+    for k, v in rates[0].items():
+        assert (v is None and rates[1][k] is None) or abs(v - rates[1][k]) < 1e-9
 
 
 def test_hot_terminal_prefix_mode_equals_plain(spark):
@@ -132,3 +134,25 @@ def test_hot_terminal_prefix_mode_equals_plain(spark):
         g = a[k]
         assert g.velocity_1h == w.velocity_1h and g.terminal_reversal_count == w.terminal_reversal_count
         assert abs(g.geo_jump_km - w.geo_jump_km) < 1e-9 and abs(g.bin_spend_rate - w.bin_spend_rate) < 1e-9
+
+
+def test_default_path_equals_plain_on_nulls_nan_and_tiny_amounts(spark):
+    import math
+    rows = [{"id": 1, "t": 0, "bin": None}, {"id": 2, "t": 60, "bin": None, "terminal": None, "lat": 1.0, "lon": 1.0},
+            {"id": 3, "t": 90, "terminal": None, "lat": 2.0, "lon": 1.0}, {"id": 4, "t": 3 * 86400, "terminal": None, "lat": 3.0, "lon": 1.0},
+            {"id": 5, "t": 100, "bin": "B", "amount": 1e-13}, {"id": 6, "t": 101, "bin": "B", "amount": 3e-13},
+            {"id": 7, "t": 5, "bin": "N", "amount": float("nan")}, {"id": 8, "t": 6, "bin": "N", "amount": 2500.0},
+            {"id": 9, "t": 7, "terminal": "T9"}, {"id": 10, "t": 8, "terminal": "T9"}, {"id": 11, "t": 8, "terminal": "T9", "lat": 7.0}]
+    df = tx_rows(spark, rows)
+    df = df.withColumn("timestamp", F.when(F.col("transaction_id") != "9", F.col("timestamp")))
+    plain = {r.transaction_id: r for r in build_features(df, mode="plain").collect()}
+    assert len(plain) == len(rows)
+    for mode in ("by_second", "bucketed"):
+        got = {r.transaction_id: r for r in build_features(df, mode=mode).collect()}
+        assert set(got) == set(plain), mode
+        for k, w in plain.items():
+            for c in ("velocity_1h", "terminal_reversal_count", "geo_jump_km", "bin_spend_rate"):
+                a, b = got[k][c], w[c]
+                same = a == b or (a is not None and b is not None and (math.isclose(a, b, rel_tol=1e-9) or (math.isnan(a) and math.isnan(b))))
+                assert same, (mode, k, c, a, b)
+    assert plain["2"].bin_spend_rate == 5000.0 and plain["5"].bin_spend_rate == 1e-13

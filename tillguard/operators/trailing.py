@@ -59,6 +59,16 @@ def _agg_over(spec: Trailing, w) -> Column:
     raise ValueError(f"unknown trailing aggregate {spec.agg!r}")
 
 
+def null_safe_left_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join in which NULL keys match each other; ``right`` adds its other columns."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in on})
+    cond = None
+    for k in on:
+        c = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        cond = c if cond is None else cond & c
+    return left.join(renamed, cond, "left").drop(*[f"_r_{k}" for k in on])
+
+
 def explode_to_buckets(df: DataFrame, sec_col: str, bucket_seconds: int, lookback: int) -> DataFrame:
     """Tag each row with its own time bucket and duplicate the tail of every
     bucket (rows within ``lookback`` of the next bucket) into the next bucket
@@ -71,7 +81,7 @@ def explode_to_buckets(df: DataFrame, sec_col: str, bucket_seconds: int, lookbac
     buckets = F.when(needs_context, F.array(F.col("_own_bucket"), F.col("_own_bucket") + 1)).otherwise(
         F.array(F.col("_own_bucket")))
     return (df.withColumn(BUCKET, F.explode(buckets))
-              .withColumn(OWN, F.col(BUCKET) == F.col("_own_bucket")))
+              .withColumn(OWN, F.col(BUCKET).eqNullSafe(F.col("_own_bucket"))))  # NULL clocks stay
 
 
 def trailing_aggregates(df: DataFrame, keys: Sequence[str], specs: Sequence[Trailing], *,
@@ -101,6 +111,9 @@ def trailing_aggregates(df: DataFrame, keys: Sequence[str], specs: Sequence[Trai
             out = out.withColumns({f"{prev_prefix}{c}": F.lag(c).over(wp) for c in prev_cols})
         wr = part.orderBy(F.col(sec_col))
         return out.withColumns({s.out: _agg_over(s, wr.rangeBetween(-s.lookback, 0)) for s in specs})
+    if mode == "by_second":
+        return trailing_by_second(df, keys, specs, sec_col=sec_col, bucket_seconds=bucket_seconds, prev_cols=prev_cols,
+                                  prev_order=prev_order, prev_prefix=prev_prefix)
     if mode != "bucketed":
         raise ValueError(f"unknown mode {mode!r}")
 
@@ -136,7 +149,7 @@ def _fill_prev_from_earlier_buckets(base: DataFrame, ex: DataFrame, keys, sec_co
     lookup = (last.withColumn("_carry", F.lag("_last").over(wl))
                   .withColumn("_carry_ok", F.lag(F.lit(True), 1, False).over(wl))
                   .select(*keys, F.col("_own_bucket").alias(BUCKET), "_carry", "_carry_ok"))
-    joined = ex.join(lookup, on=[*keys, BUCKET], how="left")
+    joined = null_safe_left_join(ex, lookup, [*keys, BUCKET])
     has_prev = F.col("_has_prev")
     cols = {f"{prev_prefix}{c}": F.when(has_prev, F.col(f"{prev_prefix}{c}")).otherwise(F.col(f"_carry.{c}"))
             for c in prev_cols}
@@ -144,6 +157,53 @@ def _fill_prev_from_earlier_buckets(base: DataFrame, ex: DataFrame, keys, sec_co
     return joined.withColumns(cols).drop("_carry", "_carry_ok")
 
 
+def trailing_by_second(df: DataFrame, keys: Sequence[str], specs: Sequence[Trailing], *, sec_col: str = SEC,
+                       bucket_seconds: int | None = None, prev_cols: Sequence[str] = (),
+                       prev_order: Sequence[str] = (), prev_prefix: str = "prev_") -> DataFrame:
+    """The same values as ``trailing_aggregates`` for any skew of the keys.
+
+    Rows of one second are peers, so trailing values are a property of
+    ``(key, second)``.  Rows are first reduced to one per key and second with
+    map-side partial sums; the bucketed windows run over those, so a task's
+    rows are bounded by the seconds of its bucket whatever the volume; the
+    values go back to the rows by a join on ``(key, second)``.  A row's
+    predecessor is the one before it in its second, else the last row of the
+    key's previous second.  NULL keys and NULL clocks are groups like others.
+    """
+    keys = list(keys)
+    parts = {}
+    for i, s in enumerate(specs):
+        if s.agg not in ("count", "sum", "mean"):
+            raise ValueError(f"unknown trailing aggregate {s.agg!r}")
+        if s.agg in ("count", "mean"):
+            parts[f"_n{i}"] = F.count(s.column())
+        if s.agg in ("sum", "mean"):
+            parts[f"_s{i}"] = F.sum(s.column())
+    if prev_cols:
+        order = F.struct(*[F.col(c) for c in prev_order])
+        parts["_last"] = F.max_by(F.struct(*[F.col(c) for c in prev_cols]), order)
+    per_second = df.groupBy(*keys, sec_col).agg(*[c.alias(k) for k, c in parts.items()])
+    inner = [Trailing(f"_t{k}", "sum", k, specs[int(k[2:])].lookback) for k in parts if k != "_last"]
+    t = trailing_aggregates(per_second, keys, inner, sec_col=sec_col, bucket_seconds=bucket_seconds,
+                            prev_cols=["_last"] if prev_cols else (), prev_prefix="_before")
+    values = {}
+    for i, s in enumerate(specs):
+        if s.agg == "count":
+            values[s.out] = F.col(f"_t_n{i}")
+        elif s.agg == "sum":
+            values[s.out] = F.col(f"_t_s{i}")
+        else:
+            values[s.out] = F.try_divide(F.col(f"_t_s{i}").cast("double"), F.col(f"_t_n{i}").cast("double"))
+    t = t.withColumns(values).select(*keys, sec_col, *values, *(["_before_last"] if prev_cols else []))
+    out = null_safe_left_join(df, t, [*keys, sec_col])
+    if prev_cols:
+        w = Window.partitionBy(*keys, sec_col).orderBy(*[F.col(c) for c in prev_order])
+        out = out.withColumn("_has_prev", F.lag(F.lit(True), 1, False).over(w))
+        out = out.withColumns({f"{prev_prefix}{c}": F.when(F.col("_has_prev"), F.lag(c).over(w))
+                              .otherwise(F.col(f"_before_last.{c}")) for c in prev_cols}).drop("_has_prev", "_before_last")
+    return out
+
+
 def trailing_window_agg(df: DataFrame, group: Sequence[str] | str, seconds: int, how: str = "sum",
                         value: str | None = None, out: str = "trailing", *, ts_col: str = "timestamp",
                         tie_policy: str = "peers", tie_order: str | None = None,
@@ -215,7 +275,8 @@ def trailing_prefix(df: DataFrame, keys: Sequence[str], specs: Sequence[Trailing
     buckets at its own percentiles) gives P at every data and probe point.
     No task ever holds a whole window of a hot key: work is split down to
     single seconds.  Sums use DECIMAL(38, 12), so differences of prefixes are
-    exact (no floating-point cancellation).
+    exact (no floating-point cancellation) for finite values of at most twelve
+    decimals; it is used on request only, never chosen by size.
     """
     from tillguard.operators.cumulative import running_totals
 
@@ -241,14 +302,13 @@ def trailing_prefix(df: DataFrame, keys: Sequence[str], specs: Sequence[Trailing
     cum = running_totals(data.unionByName(probes), "_ok", list(w), group=keys, n_buckets=n_buckets)
     cum = cum.select(*keys, "_ok", *[F.col(f"cum_{k}").alias(k) for k in w])
 
-    out = df.join(cum.filter(F.col("_ok") % 2 == 0).select(*keys, (F.col("_ok") / 2).cast("long").alias(sec_col),
-                                                         *[F.col(k).alias(f"{k}_now") for k in w]),
-                  on=[*keys, sec_col], how="left")
+    out = null_safe_left_join(df, cum.filter(F.col("_ok") % 2 == 0).select(
+        *keys, (F.col("_ok") / 2).cast("long").alias(sec_col), *[F.col(k).alias(f"{k}_now") for k in w]), [*keys, sec_col])
     for lb in lookbacks:
         then = cum.filter(F.col("_ok") % 2 == 1).select(
             *keys, ((F.col("_ok") - 1) / 2 + lb + 1).cast("long").alias(sec_col),
             *[F.col(k).alias(f"{k}_then{lb}") for k in w])
-        out = out.join(then, on=[*keys, sec_col], how="left")
+        out = null_safe_left_join(out, then, [*keys, sec_col])
     cols = {}
     for i, s in enumerate(specs):
         def diff(k):

@@ -9,10 +9,9 @@ Per transaction, over whole epoch seconds with inclusive trailing frames:
 * ``terminal_reversal_count``: fake reversals of the terminal in the last 24 h;
 * ``amount_vs_bin_avg_ratio``: amount / bin_spend_rate (NULL for a 0 base).
 
-Physical shape: one shuffle on ``(terminal_id, day-bucket)`` computes all
-terminal features in one sort; one shuffle on ``(card_bin, hour-bucket)``
-computes the BIN feature on the same rows, so no join on transaction_id is
-needed.  Both are skew-safe (see ``operators.trailing``).
+Physical shape: rows are reduced to one per (key, second), the windows run
+over those, and the values join back on (key, second); no task's rows grow
+with a hot key, and there is no switch by size (see ``operators.trailing``).
 """
 
 from __future__ import annotations
@@ -58,26 +57,6 @@ def _bin_stage(df: DataFrame, mode: str, bucket_seconds: int | None) -> DataFram
                                mode=mode, bucket_seconds=bucket_seconds)
 
 
-#: rows one task may sort for a trailing window before the BIN stage switches
-#: to per-second prefix sums (``bin_mode="auto"``)
-MAX_ROWS_PER_TASK = 5_000_000
-
-
-def _resolve_mode(df: DataFrame, key: str, mode: str, requested: str | None, bucket_seconds: int,
-                  lookback: int, max_rows_per_task: int) -> str:
-    if mode == "plain":
-        return "plain"
-    if requested in (None, "bucketed", "prefix"):
-        return requested or mode
-    if requested != "auto":
-        raise ValueError(f"unknown mode {requested!r}")
-    # one aggregate: the largest (key, bucket) partition the window would see
-    widest = (df.groupBy(key, F.floor(F.col(SEC) / F.lit(bucket_seconds)).alias("_b"))
-                .agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0)
-    rows_per_task = widest * (1 + lookback / bucket_seconds)
-    return "prefix" if rows_per_task > max_rows_per_task else "bucketed"
-
-
 def _terminal_stage_prefix(df: DataFrame, lag_bucket_seconds: int) -> DataFrame:
     """Hot-terminal form: counts/sums from per-second prefix sums, previous
     location from short buckets without context (exact fallback for gaps)."""
@@ -89,38 +68,29 @@ def _terminal_stage_prefix(df: DataFrame, lag_bucket_seconds: int) -> DataFrame:
     return _terminal_stage(d.drop("_is_reversal"), "bucketed", lag_bucket_seconds, with_geo=True, specs=[])
 
 
-def build_features(tx: DataFrame, *, mode: str = "bucketed", terminal_bucket_seconds: int = 2 * DAY,
-                   bin_bucket_seconds: int = 4 * HOUR, bin_mode: str | None = "auto",
-                   terminal_mode: str | None = "auto", max_rows_per_task: int = MAX_ROWS_PER_TASK,
-                   lag_bucket_seconds: int = HOUR) -> DataFrame:
+def build_features(tx: DataFrame, *, mode: str = "by_second", terminal_bucket_seconds: int = 2 * DAY,
+                   bin_bucket_seconds: int = 4 * HOUR, bin_mode: str | None = None,
+                   terminal_mode: str | None = None, lag_bucket_seconds: int = HOUR) -> DataFrame:
     """WIN-5: all five features, 10 output columns in the fixed order.
 
     Counts stay integral (bigint); ``to_feature_table`` casts to the declared
-    double schema at the table edge.  ``bin_mode='prefix'`` computes the BIN
-    mean from per-second prefix sums (``operators.trailing.trailing_prefix``):
-    no task holds an hour of a hot BIN's rows.  ``terminal_mode='prefix'``
-    does the same for the terminal counts and looks up the previous location
-    in short buckets.  ``'auto'`` (default, both) measures the largest
-    (key, bucket) partition first and uses prefix sums only when it exceeds
-    ``max_rows_per_task`` rows.
+    double schema at the table edge.  One lazy plan for every size: trailing
+    values per (key, second) (``operators.trailing.trailing_by_second``).
+    Other modes run only when asked for: ``'bucketed'`` and ``'plain'`` windows
+    over rows, ``'prefix'`` per-second prefix sums.
     """
     d = with_epoch_seconds(tx.select("transaction_id", "terminal_id", "card_bin", "amount_ngn",
                                      "latitude", "longitude", "timestamp", "fraud_type"))
-    # decided on the input (a scan and a small aggregate each), before any window
-    t_mode = _resolve_mode(d.select("terminal_id", SEC), "terminal_id", mode, terminal_mode,
-                           terminal_bucket_seconds, DAY, max_rows_per_task)
-    b_mode = _resolve_mode(d.select("card_bin", SEC), "card_bin", mode, bin_mode, bin_bucket_seconds, HOUR,
-                           max_rows_per_task)
-    if t_mode == "prefix":
+    if terminal_mode == "prefix":
         d = _terminal_stage_prefix(d, lag_bucket_seconds)
     else:
-        d = _terminal_stage(d, t_mode, terminal_bucket_seconds)
-    d = _bin_stage(d, b_mode, bin_bucket_seconds)
+        d = _terminal_stage(d, terminal_mode or mode, terminal_bucket_seconds)
+    d = _bin_stage(d, bin_mode or mode, bin_bucket_seconds)
     d = d.withColumn("amount_vs_bin_avg_ratio", amount_vs_bin_avg_ratio("amount_ngn", "bin_spend_rate"))
     return d.select(*FEATURE_OUTPUT)
 
 
-def with_velocity_1h(tx: DataFrame, *, mode: str = "bucketed", bucket_seconds: int = 4 * HOUR) -> DataFrame:
+def with_velocity_1h(tx: DataFrame, *, mode: str = "by_second", bucket_seconds: int = 4 * HOUR) -> DataFrame:
     """WIN-1 alone."""
     d = with_epoch_seconds(tx)
     d = _terminal_stage(d, mode, bucket_seconds, with_geo=False,
@@ -128,19 +98,19 @@ def with_velocity_1h(tx: DataFrame, *, mode: str = "bucketed", bucket_seconds: i
     return d.drop(SEC)
 
 
-def with_geo_jump(tx: DataFrame, *, mode: str = "bucketed", bucket_seconds: int = DAY) -> DataFrame:
+def with_geo_jump(tx: DataFrame, *, mode: str = "by_second", bucket_seconds: int = DAY) -> DataFrame:
     """WIN-2 alone."""
     d = with_epoch_seconds(tx)
     d = _terminal_stage(d, mode, bucket_seconds, with_geo=True, specs=[])
     return d.drop(SEC)
 
 
-def with_bin_spend_rate(tx: DataFrame, *, mode: str = "bucketed", bucket_seconds: int = 4 * HOUR) -> DataFrame:
+def with_bin_spend_rate(tx: DataFrame, *, mode: str = "by_second", bucket_seconds: int = 4 * HOUR) -> DataFrame:
     """WIN-3 alone (the BIN key is hot: only a handful of BINs exist)."""
     return _bin_stage(with_epoch_seconds(tx), mode, bucket_seconds).drop(SEC)
 
 
-def with_terminal_reversal_count(tx: DataFrame, *, mode: str = "bucketed",
+def with_terminal_reversal_count(tx: DataFrame, *, mode: str = "by_second",
                                  bucket_seconds: int = 2 * DAY) -> DataFrame:
     """WIN-4 alone."""
     d = with_epoch_seconds(tx)
