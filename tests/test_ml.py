@@ -82,3 +82,26 @@ def test_grid_sweep_and_score_features(spark):
         raise AssertionError("expected ModelsNotReadyError")
     except ModelsNotReadyError:
         pass
+
+
+def test_split_and_folds_of_rows_without_ids(spark):
+    from pyspark.sql import functions as F
+    from tillguard.plans.training import fold_column, stratified_split
+    df = spark.range(200).select(F.lit(None).cast("string").alias("transaction_id"), (F.col("id") % 100).cast("double").alias("x"),
+                                 (F.col("id") % 2 == 0).alias("is_fraud"))
+    s = stratified_split(df, "is_fraud", 0.2)
+    assert {(r.is_fraud, r.n) for r in s.filter("is_test").groupBy("is_fraud").agg(F.count("*").alias("n")).collect()} == {(True, 20), (False, 20)}
+    assert s.count() == 200
+    sizes = {r.n for r in fold_column(df, "is_fraud", 5).groupBy("is_fraud", "fold").agg(F.count("*").alias("n")).collect()}
+    assert sizes == {20}
+
+
+def test_isolation_forest_has_every_tree_whatever_the_repeats(spark):
+    from pyspark.sql import functions as F
+    from tillguard.plans.isolation_forest import fit_isolation_forest
+    df = spark.range(5).select(F.lit(1.0).alias("x"))
+    m = fit_isolation_forest(df, ["x"], n_trees=20)
+    assert len(m.trees) == 20
+    df = spark.range(3000).select(F.when(F.col("id") < 2000, 1.0).otherwise(F.col("id").cast("double")).alias("x"))
+    m = fit_isolation_forest(df, ["x"], n_trees=10, sample_size=64)
+    assert [t[4][0] for t in m.trees] == [64] * 10 or all(max(t[4]) <= 64 for t in m.trees) and len(m.trees) == 10

@@ -63,11 +63,11 @@ def test_gated_synthetic_reader(spark, scratch):
     assert why == "approved" and r.amount_ngn == 100.0 and r.transaction_id is None
 
 
-def test_overwrite_replaces_only_its_dates(spark, scratch):
-    from tillguard.sinks.tables import overwrite_table
+def test_overwrite_dates_replaces_only_its_dates(spark, scratch):
+    from tillguard.sinks.tables import overwrite_dates
     a = tx_rows(spark, [{"id": 1, "t": 0}, {"id": 2, "t": 2 * 86400}])
-    overwrite_table(a, f"{scratch}/t")
-    overwrite_table(tx_rows(spark, [{"id": 3, "t": 10}]), f"{scratch}/t")
+    overwrite_dates(a, f"{scratch}/t")
+    overwrite_dates(tx_rows(spark, [{"id": 3, "t": 10}]), f"{scratch}/t")
     ids = sorted(r[0] for r in spark.read.parquet(f"{scratch}/t").select("transaction_id").collect())
     assert ids == ["2", "3"]
 
@@ -102,3 +102,33 @@ def test_record_key_fills_missing_id(spark):
                                        '"timestamp":"2026-08-13T09:00:00+00:00"}')], "key string, value string")
     r = decode_json(df, key_col="key").first()
     assert r.transaction_id == "k1" and r.is_valid
+
+
+def test_written_gate_document_approves_and_names_its_reasons(spark, scratch):
+    from tillguard.schemas import MODEL_FRAME_SCHEMA
+    from tillguard.sources.events import gate_document, read_gated_synthetic, read_validation_results
+    import os
+    os.makedirs(scratch, exist_ok=True)
+    for name, doc in (("yes", gate_document(True, [])), ("no", gate_document(False, ["level4: no results"]))):
+        with open(f"{scratch}/{name}.json", "w") as fh:
+            fh.write(doc)
+    spark.range(1).select([F.lit(1).cast(f.dataType).alias(f.name) for f in MODEL_FRAME_SCHEMA.fields]).write.option("header", True).csv(f"{scratch}/rows")
+    rows, why = read_gated_synthetic(spark, f"{scratch}/rows", read_validation_results(spark, f"{scratch}/yes.json"), True)
+    assert why == "approved" and rows.count() == 1
+    r = rows.first()
+    assert r.transaction_id is None and r.terminal_id is None and r.card_bin is None
+    rows, why = read_gated_synthetic(spark, f"{scratch}/rows", read_validation_results(spark, f"{scratch}/no.json"), True)
+    assert rows.count() == 0 and "level4" in why
+
+
+def test_overwrite_replaces_the_table_and_append_sees_other_dates(spark, scratch):
+    from tillguard.sinks.tables import append_idempotent, overwrite_dates, overwrite_table
+    rows = tx_rows(spark, [{"id": 1, "t": 0}, {"id": 2, "t": 3 * 86400}])
+    overwrite_table(rows, f"{scratch}/full")
+    overwrite_table(rows.filter("transaction_id = '1'"), f"{scratch}/full")
+    assert [r.transaction_id for r in spark.read.parquet(f"{scratch}/full").collect()] == ["1"]
+    overwrite_dates(rows.filter("transaction_id = '2'"), f"{scratch}/full")
+    assert sorted(r.transaction_id for r in spark.read.parquet(f"{scratch}/full").collect()) == ["1", "2"]
+    append_idempotent(tx_rows(spark, [{"id": 1, "t": 0}]), f"{scratch}/log")
+    assert append_idempotent(tx_rows(spark, [{"id": 1, "t": 3 * 86400}]), f"{scratch}/log").count() == 0
+    assert append_idempotent(tx_rows(spark, [{"id": 1, "t": 2 * 86400}]), f"{scratch}/log", replay_days=2).count() == 0

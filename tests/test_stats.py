@@ -79,3 +79,12 @@ def test_gate(spark):
     bad = validation.validate(real, synth, level5={"dnnr": 0.5})
     g2 = validation.approve(bad).first()
     assert not g2.approved and any("level5" in r for r in g2.reasons)
+
+
+def test_gate_fails_closed(spark):
+    from tillguard.operators import validation
+    schema = "level string, column string, metric string, value double, rating string, passed boolean"
+    assert not validation.approve(spark.createDataFrame([], schema)).first().approved
+    one = spark.createDataFrame([("level3a", "x", "ks_statistic", 0.01, "excellent", True)], schema)
+    g = validation.approve(one).first()
+    assert not g.approved and "level4: no results" in g.reasons and "level5: no results" in g.reasons

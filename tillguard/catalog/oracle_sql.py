@@ -79,7 +79,7 @@ terminals AS (
          3.0e0 + (c_custkey % 110) / 10.0e0 AS longitude,
          c_mktsegment AS operator,
          c_acctbal >= 0 AS is_active
-  FROM customer WHERE c_custkey % 10 <> 7
+  FROM customer
 ),
 merchants AS (
   SELECT {_pad('MRC', 's_suppkey', 4)} AS merchant_id,

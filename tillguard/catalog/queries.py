@@ -420,11 +420,16 @@ def chi_square_stat(spark, sf_dir):
 
 @register("validation_gate")
 def validation_gate(spark, sf_dir):
-    """VAL-8 + VAL-9 over levels 1 and 3 (rows-only check)."""
+    """VAL-8 + VAL-9 over every gating level (rows-only check)."""
     from pyspark.sql import functions as F
+    from tillguard.operators.nearest import dnnr as privacy
+    from tillguard.plans.training import tstr_vs_trtr
+    from tillguard.schemas import FEATURE_COLUMNS
     real, synth = _real_synth(spark, sf_dir)
     v = _validation()
-    res = v.validate(real, synth)
+    model = tstr_vs_trtr(real.drop("transaction_id"), synth.drop("transaction_id"))
+    res = v.validate(real, synth, level4={"auc_gap": model["auc_gap"]},
+                     level5={"dnnr": privacy(real, synth, FEATURE_COLUMNS).first()["dnnr"]})
     gate = v.approve(res)
     summ = v.validation_summary(res)
     return summ.select("level", "failed", "checks").unionByName(

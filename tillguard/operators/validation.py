@@ -160,6 +160,15 @@ def ks_pvalue(d: float, n1: int, n2: int) -> float:
     return min(1.0, max(0.0, s))
 
 
+def _distance_band(d: float | None) -> str | None:
+    return None if d is None else "excellent" if d < DIST_EXCELLENT else "acceptable" if d <= DIST_ACCEPTABLE else "poor"
+
+
+def auc_gap_verdict(gap: float) -> str:
+    return ("fully_equivalent" if gap < AUC_GAP_EQUIVALENT else
+            "acceptable_with_monitoring" if gap <= AUC_GAP_ACCEPTABLE else "investigate_before_deployment")
+
+
 def validate(real: DataFrame, synth: DataFrame, *, continuous: Sequence[str] = CONTINUOUS_COLUMNS,
              categorical: Sequence[str] = CATEGORICAL_COLUMNS, features: Sequence[str] = FEATURE_COLUMNS,
              level4: dict | None = None, level5: dict | None = None) -> DataFrame:
@@ -174,14 +183,12 @@ def validate(real: DataFrame, synth: DataFrame, *, continuous: Sequence[str] = C
     for c in continuous:
         k = ks.get(c)
         d = None if k is None else k["ks"]
-        rating = None if d is None else ("excellent" if d < DIST_EXCELLENT else
-                                         "acceptable" if d <= DIST_ACCEPTABLE else "poor")
+        rating = _distance_band(d)
         rows.append(("level3a", c, "ks_statistic", d, rating, rating not in (None, "poor")))
         rows.append(("level3a", c, "p_value", ks_pvalue(d, k["n1"], k["n2"]) if k else float("nan"), None, None))
         w = ws.get(c)
         ns = None if w is None else w["normalized_score"]
-        wr = None if ns is None else ("excellent" if ns < DIST_EXCELLENT else
-                                      "acceptable" if ns <= DIST_ACCEPTABLE else "poor")
+        wr = _distance_band(ns)
         rows.append(("level3c", c, "raw_distance", None if w is None else w["raw_distance"], None, None))
         rows.append(("level3c", c, "normalized_score", ns, wr, wr not in (None, "poor")))
     chis = {r["column"]: r for r in chi_squares(real, synth, categorical).collect()}
@@ -194,8 +201,7 @@ def validate(real: DataFrame, synth: DataFrame, *, continuous: Sequence[str] = C
         rows.append(("level3b", c, "p_value", p, "aligned" if aligned else "not_aligned", aligned))
     if level4:
         gap = level4["auc_gap"]
-        verdict = ("fully_equivalent" if gap < AUC_GAP_EQUIVALENT else
-                   "acceptable_with_monitoring" if gap <= AUC_GAP_ACCEPTABLE else "investigate_before_deployment")
+        verdict = auc_gap_verdict(gap)
         rows.append(("level4", "model", "auc_gap", gap, verdict, verdict != "investigate_before_deployment"))
     if level5:
         d = level5["dnnr"]
@@ -207,13 +213,19 @@ def validate(real: DataFrame, synth: DataFrame, *, continuous: Sequence[str] = C
                                  schema)
 
 
-def approve(results: DataFrame) -> DataFrame:
-    """VAL-8: approved iff every gating check passed; reasons listed.
-    Level 1 is informational (not gating)."""
-    gating = results.filter(F.col("passed").isNotNull() & (F.col("level") != "level1"))
-    failed = F.when(~F.col("passed"), F.concat_ws(": ", "level", "column", "metric"))
-    return gating.agg(F.coalesce(F.bool_and("passed"), F.lit(True)).alias("approved"),
-                      F.array_sort(F.collect_list(failed)).alias("reasons"))
+#: Levels that must have results before data can be approved.
+REQUIRED_LEVELS = ("level1", "level3a", "level3b", "level3c", "level4", "level5")
+
+
+def approve(results: DataFrame, required: Sequence[str] = REQUIRED_LEVELS) -> DataFrame:
+    """VAL-8: approved iff every required level has results and every gating
+    check passed; reasons listed, a missing level is one.  Level 1 must be
+    there but its ratings are informational (not gating)."""
+    failed = F.when(~F.col("passed") & (F.col("level") != "level1"), F.concat_ws(": ", "level", "column", "metric"))
+    seen = results.agg(F.collect_set("level").alias("levels"), F.collect_list(failed).alias("failed"))  # a few rows a level
+    missing = F.transform(F.array_except(F.array(*map(F.lit, required)), "levels"), lambda x: F.concat(x, F.lit(": no results")))
+    reasons = F.array_sort(F.concat("failed", missing))
+    return seen.select((F.size(reasons) == 0).alias("approved"), reasons.alias("reasons"))
 
 
 def validation_summary(results: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from typing import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillguard.operators.cumulative import exact_quantiles
@@ -125,16 +125,22 @@ def fit_isolation_forest(df: DataFrame, features: Sequence[str] = FEATURE_COLUMN
     n = df.count()
     psi = int(min(sample_size, n))
     pool = min(1.0, 1.5 * psi * n_trees / max(n, 1))
-    from tillguard.session import hash_sample
-    sample = hash_sample(df.select(*[F.col(c).cast("double").alias(c) for c in feats]), pool, seed)
-    m = max(1, int(round(n * pool)))
-    p_join = min(1.0, psi / m)
-    # each sampled row joins each tree independently with probability p_join
-    # (a deterministic hash, so a retried task assigns the same rows)
+    from tillguard.session import hash_sample, materialize
+    # every row has a position of its own (fixed by the checkpoint), so equal
+    # rows are sampled apart from each other
+    rows = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in feats])
+                       .withColumn("_row", F.monotonically_increasing_id()))
+    sample = materialize(hash_sample(rows, pool, seed, cols=["_row"]))
+    m = max(1, sample.count())
+    # each sampled row joins each tree with a probability that gives psi rows
+    # and six standard deviations more; the psi smallest hashes stay
+    p_join = min(1.0, (psi + 6 * math.sqrt(psi) + 6) / m)
+    draw = lambda t: F.pmod(F.xxhash64(F.col("_row"), t, F.lit(seed)), F.lit(1 << 40))
     trees_col = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)),
-                         lambda t: F.pmod(F.xxhash64(*[F.col(c) for c in feats], t, F.lit(seed)), F.lit(1000000))
-                         .cast("double") / 1e6 < F.lit(p_join))
-    assigned = sample.withColumn("_tree", F.explode(trees_col))
+                         lambda t: draw(t).cast("double") / float(1 << 40) < F.lit(p_join))
+    assigned = sample.withColumn("_tree", F.explode(trees_col)).withColumn("_draw", draw(F.col("_tree")))
+    order = Window.partitionBy("_tree").orderBy("_draw", "_row")  # bounded by p_join * m rows a tree
+    assigned = assigned.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= psi).drop("_rank", "_draw", "_row")
     depth = int(math.ceil(math.log2(max(psi, 2))))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -142,8 +148,6 @@ def fit_isolation_forest(df: DataFrame, features: Sequence[str] = FEATURE_COLUMN
         rng = np.random.default_rng(seed * 100003 + t)
         x = pdf[feats].to_numpy(dtype=float)
         x = np.nan_to_num(x, nan=0.0)
-        if len(x) > psi:
-            x = x[rng.choice(len(x), psi, replace=False)]
         f, th, l, r, s = _grow(x, rng, depth)
         return pd.DataFrame({"tree": [t], "feat": [f], "thr": [th], "left": [l], "right": [r], "size": [s]})
 

@@ -15,11 +15,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillguard.operators import metrics
 from tillguard.operators.cumulative import running_totals
+from tillguard.operators.validation import auc_gap_verdict
 from tillguard.schemas import FEATURE_COLUMNS
 
 # Classifier hyper-parameters chosen by the reference's sweep.
@@ -31,31 +32,41 @@ def hash_key(id_col: str, seed: int = SEED):
     return F.xxhash64(F.col(id_col).cast("string"), F.lit(seed))
 
 
+def _row_hash(df: DataFrame, id_col: str, seed: int):
+    """Hash of the id; of all columns where the id is NULL or there is none
+    (synthetic rows have no ids), so that such rows don't share one hash."""
+    every = F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed))
+    return F.when(F.col(id_col).isNull(), every).otherwise(hash_key(id_col, seed)) if id_col in df.columns else every
+
+
+def _class_position(df: DataFrame, label: str, id_col: str, seed: int) -> DataFrame:
+    """Adds ``_pos``, each row's place (from 1) in its class's hash order, and
+    ``_tot``, the size of its class.  Rows of equal hash are numbered among
+    themselves: they are equal rows, so which is which does not matter."""
+    d = df.withColumn("_h", _row_hash(df, id_col, seed))
+    counts = d.groupBy(label, "_h").agg(F.count(F.lit(1)).alias("n"))
+    cum = running_totals(counts, "_h", ["n"], group=label).select(
+        F.col(label).alias("_l"), F.col("_h").alias("_g"), (F.col("cum_n") - F.col("n")).alias("_before"), F.col("tot_n").alias("_tot"))
+    rank = F.row_number().over(Window.partitionBy(label, "_h").orderBy(F.lit(0)))
+    return (d.join(cum, F.col(label).eqNullSafe(F.col("_l")) & (F.col("_h") == F.col("_g")))
+             .withColumn("_pos", F.col("_before") + rank).drop("_l", "_g", "_h", "_before"))
+
+
 def stratified_split(df: DataFrame, label: str, test_frac: float, *, id_col: str = "transaction_id",
                      seed: int = SEED, out: str = "is_test") -> DataFrame:
     """ML-1: per class exactly round(test_frac * n_class) rows marked test
     (half up), chosen by a seeded hash of the id: running counts per class,
-    no global sort, no driver round trip.  Rows without an id column use a
-    hash of all columns."""
-    key = hash_key(id_col, seed) if id_col in df.columns else F.xxhash64(*df.columns, F.lit(seed))
-    d = df.withColumn("_h", key)
-    counts = d.groupBy(label, "_h").agg(F.count(F.lit(1)).alias("n"))
-    cum = running_totals(counts, "_h", ["n"], group=label)
-    test_keys = (cum.filter(F.col("cum_n") <= F.round(F.col("tot_n") * F.lit(float(test_frac))))
-                    .select(label, "_h", F.lit(True).alias(out)))
-    res = d.join(test_keys, [label, "_h"], "left")
-    return res.withColumn(out, F.coalesce(F.col(out), F.lit(False))).drop("_h")
+    no global sort, no driver round trip.  Rows without an id use a hash of
+    all columns."""
+    d = _class_position(df, label, id_col, seed)
+    return d.withColumn(out, F.col("_pos") <= F.round(F.col("_tot") * F.lit(float(test_frac)))).drop("_pos", "_tot")
 
 
 def fold_column(df: DataFrame, label: str, k: int = 5, *, id_col: str = "transaction_id", seed: int = SEED,
                 out: str = "fold") -> DataFrame:
     """ML-3 folds: stratified, fold = (hash rank within class) mod k."""
-    key = hash_key(id_col, seed) if id_col in df.columns else F.xxhash64(*df.columns, F.lit(seed))
-    d = df.withColumn("_h", key)
-    counts = d.groupBy(label, "_h").agg(F.count(F.lit(1)).alias("n"))
-    ranks = running_totals(counts, "_h", ["n"], group=label).select(
-        label, "_h", ((F.col("cum_n") - 1) % k).cast("int").alias(out))
-    return d.join(ranks, [label, "_h"]).drop("_h")
+    d = _class_position(df, label, id_col, seed)
+    return d.withColumn(out, ((F.col("_pos") - 1) % k).cast("int")).drop("_pos", "_tot")
 
 
 def with_class_weight(df: DataFrame, label: str = "is_fraud", out: str = "weight") -> tuple[DataFrame, float]:
@@ -195,7 +206,6 @@ def tstr_vs_trtr(real: DataFrame, synthetic: DataFrame, features: Sequence[str]
     trtr = metrics.roc_auc(predict_proba(m_real, test), "probability_1", label).first()["roc_auc"]
     tstr = metrics.roc_auc(predict_proba(m_synth, test), "probability_1", label).first()["roc_auc"]
     gap = abs(tstr - trtr)
-    verdict = ("fully_equivalent" if gap < 0.02 else "acceptable_with_monitoring" if gap <= 0.05
-               else "investigate_before_deployment")
+    verdict = auc_gap_verdict(gap)
     rate = test.agg(F.avg(F.col(label).cast("double"))).first()[0]
     return {"trtr_auc": trtr, "tstr_auc": tstr, "auc_gap": gap, "verdict": verdict, "real_test_fraud_rate": rate}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -68,12 +69,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = os.path.join(tempfile.gettempdir(), "tillguard-checkpoints")
     sc.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)
     return path
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors once per application, so that
+    Python tasks can import it whatever their working directory."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tillguard_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="tillguard-"), "tillguard"), "zip",
+                                  os.path.dirname(root), os.path.basename(root))
+    sc.addPyFile(archive)
+    sc._tillguard_shipped = True
+
+
 def checkpoint_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint dir (for written intermediate tables
     and streaming checkpoints)."""

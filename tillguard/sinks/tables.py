@@ -31,15 +31,21 @@ def with_event_date(df: DataFrame, ts_col: str) -> DataFrame:
 
 
 def append_idempotent(batch: DataFrame, path: str, key: str = "transaction_id", ts_col: str = "timestamp",
-                      ) -> DataFrame:
-    """SNK-1/SNK-4: append only keys not yet in the table (replay-safe);
-    duplicates inside the batch are dropped too.  Returns the appended rows."""
+                      replay_days: int | None = None) -> DataFrame:
+    """SNK-1/SNK-4: append only keys not yet in the table, whatever their date
+    (replay-safe); duplicates inside the batch are dropped too.  Returns the
+    appended rows.  ``replay_days``: replays come with dates at most this many
+    days from the first's, so that only those partitions' keys are read; by
+    default the key column of the whole table is."""
     spark = batch.sparkSession
     b = with_event_date(batch, ts_col).dropDuplicates([key])
     if _exists(spark, path):
-        dates = [r[0] for r in b.select(DATE_COL).distinct().collect()]  # touched partitions only
-        target = spark.read.parquet(path).filter(F.col(DATE_COL).isin(dates)).select(key)
-        b = b.join(target, on=key, how="left_anti")
+        target = spark.read.parquet(path)
+        if replay_days is not None:
+            first, last = b.agg(F.min(DATE_COL), F.max(DATE_COL)).first()
+            near = F.col(DATE_COL).between(F.date_sub(F.lit(first), replay_days), F.date_add(F.lit(last), replay_days))
+            target = target.filter(near | F.col(DATE_COL).isNull())
+        b = b.join(target.select(key), on=key, how="left_anti")
     # Fix the rows before writing: evaluated lazily afterwards, the anti-join
     # would see the rows just written.  checkpoint() writes to the shared
     # spark.checkpoint.dir, so the result survives executor loss.
@@ -50,11 +56,15 @@ def append_idempotent(batch: DataFrame, path: str, key: str = "transaction_id",
 
 
 def overwrite_table(df: DataFrame, path: str, ts_col: str = "timestamp") -> None:
-    """SNK-2: full recompute replaces the partitions it covers (dynamic
-    partition overwrite); other dates stay."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    with_event_date(df, ts_col).write.mode("overwrite").partitionBy(DATE_COL).parquet(path)
+    """SNK-2: a full recompute replaces the table; dates it no longer has go."""
+    (with_event_date(df, ts_col).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy(DATE_COL).parquet(path))
+
+
+def overwrite_dates(df: DataFrame, path: str, ts_col: str = "timestamp") -> None:
+    """A rebuild of some dates: replaces the partitions it covers, others stay."""
+    (with_event_date(df, ts_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(DATE_COL).parquet(path))
 
 
 def append_transactions(df: DataFrame, path: str) -> None:

@@ -92,25 +92,30 @@ def read_validation_results(spark: SparkSession, path: str) -> DataFrame:
 
 def read_gated_synthetic(spark: SparkSession, csv_path: str, gate: DataFrame | None, enabled: bool,
                          ) -> tuple[DataFrame, str]:
-    """SRC-9: synthetic rows only when opted in *and* approved by the gate.
+    """SRC-9: synthetic rows only when opted in *and* approved by the gate
+    (``gate_document`` as read back, or the row of ``validation.approve``).
 
     Returns ``(rows, reason)``; rows carry the model-frame schema plus NULL
-    ``transaction_id``/``timestamp`` (synthetic rows have no identity).
+    ids and ``timestamp`` (synthetic rows have no identity).
     """
     empty = spark.createDataFrame([], MODEL_FRAME_SCHEMA)
     if not enabled:
         return _with_null_ids(empty), "synthetic augmentation not enabled"
     if gate is None:
         return _with_null_ids(empty), "no validation results"
-    row = gate.select("approved").first() if "approved" in gate.columns else None
-    if row is None or not row["approved"]:
-        return _with_null_ids(empty), "validation gate did not approve the synthetic data"
+    # the written document's key; "approved" is the column of validation.approve
+    key = next((c for c in ("approved_for_training", "approved") if c in gate.columns), None)
+    row = gate.first() if key else None
+    if row is None or row[key] is not True:
+        reasons = next((row[c] for c in ("gate_failure_reasons", "reasons") if row is not None and c in gate.columns and row[c]), None)
+        return _with_null_ids(empty), "validation gate did not approve the synthetic data" + (
+            f": {'; '.join(reasons)}" if reasons else "")
     rows = spark.read.option("header", True).schema(MODEL_FRAME_SCHEMA).csv(csv_path)
     return _with_null_ids(rows), "approved"
 
 
 def _with_null_ids(df: DataFrame) -> DataFrame:
-    return df.withColumns({"transaction_id": F.lit(None).cast("string"),
+    return df.withColumns({**{c: F.lit(None).cast("string") for c in ("transaction_id", "terminal_id", "card_bin")},
                            "timestamp": F.lit(None).cast("timestamp")})
 
 
