@@ -20,13 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bound_batches(spark: SparkSession, rows: int = 512) -> None:
-    """At most ``rows`` rows in an Arrow batch, so that a batch of long texts
-    stays within a Python worker's memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key, "10000"))
-    if now <= 0 or now > rows:
-        spark.conf.set(key, str(rows))
+def bound_batches(spark: SparkSession, rows: int = 4096, size: int = 8 << 20) -> None:
+    """At most ``rows`` rows and about ``size`` bytes in an Arrow batch, so that
+    batches of long texts stay within a Python worker's memory."""
+    for key, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        key = f"spark.sql.execution.arrow.{key}"
+        now = int(spark.conf.get(key).rstrip("b"))
+        if now <= 0 or now > most:
+            spark.conf.set(key, str(most))
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -54,11 +55,14 @@ class Recent:
     """Values of recent keys, two generations of about ``limit`` entries at
     most; ``make`` turns a list of unknown keys into their values."""
 
-    def __init__(self, make, limit: int = 500_000):
+    def __init__(self, make, limit: int = 200_000):
         self.make, self.limit = make, limit
         self.new: dict = {}
         self.old: dict = {}
 
+    def clear(self) -> None:
+        self.new, self.old = {}, {}
+
     def get(self, keys: list) -> list:
         new, old = self.new, self.old
         out = list(map(new.get, keys))
@@ -89,6 +93,28 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     return offsets - offsets[0], coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
 
 
+def char_grams(words: list[str], sizes: tuple[int, ...], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash buckets of the character n-grams of words between boundary marks,
+    and the number of the word each is from."""
+    codes = np.frombuffer("".join([f"\x02{w}\x03" for w in words]).encode("utf-32-le"), np.uint32)
+    word = np.repeat(np.arange(len(words)), [len(w) + 2 for w in words])
+    out, of = [], []
+    for n in sizes:
+        last = len(codes) - n + 1
+        if last <= 0:
+            continue
+        h = np.full(last, n * 0x9E3779B1 & 0xFFFFFFFF, np.uint32)
+        for j in range(n):
+            h = (h ^ codes[j:last + j]) * np.uint32(0x85EBCA6B)
+            h ^= h >> np.uint32(13)
+        within = word[:last] == word[n - 1:]
+        out.append((h % np.uint32(buckets))[within])
+        of.append(word[:last][within])
+    if not out:
+        return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    return np.concatenate(out), np.concatenate(of)
+
+
 def gather(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """values[s:s + n] for each start and size, one after another."""
     ends = np.cumsum(sizes)
