@@ -63,25 +63,15 @@ def running_totals(df: DataFrame, key: str, sum_cols: Sequence[str], *, group: s
     gcols = [group] if isinstance(group, str) else list(group or [])
     n_buckets = n_buckets or default_buckets(df)
     okey = "_okey"
-    # The bounds, the per-bucket totals and the running sums all read this
-    # table: materialise it once (shared checkpoint dir) instead of
-    # recomputing the upstream plan in every branch.
-    d = materialize(df.withColumn(okey, -F.col(key) if descending else F.col(key)))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    if not probs:
-        d = d.withColumn(BKT, F.lit(0))
-    elif gcols:
-        cuts = F.percentile_approx(F.col(okey).cast("double"), probs, max(10000, 400 * n_buckets))
-        bounds = d.groupBy(*gcols).agg(cuts.alias("_bounds"))
-        # one row per group: AQE broadcasts it when it is measured small
-        d = d.join(bounds, on=gcols, how="left")
-        bcol = F.coalesce(F.col("_bounds"), F.array().cast("array<double>"))
-        d = d.withColumn(BKT, F.size(F.filter(bcol, lambda b: b < F.col(okey).cast("double")))).drop("_bounds")
+    # Buckets are ranges of (group, key) from one range partitioning.  The
+    # per-bucket totals and the running sums both read this table: it is
+    # materialised once (shared checkpoint dir), with its bucket numbers.
+    d = df.withColumn(okey, -F.col(key) if descending else F.col(key))
+    if n_buckets > 1:
+        d = d.repartitionByRange(n_buckets, *gcols, okey).withColumn(BKT, F.spark_partition_id())
     else:
-        qs = d.select(F.col(okey).cast("double").alias(okey)).approxQuantile(okey, probs, 1.0 / (4 * n_buckets))
-        cuts = sorted({float(q) for q in qs if q is not None})  # at most n_buckets - 1 numbers
-        arr = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<double>")
-        d = d.withColumn(BKT, F.size(F.filter(arr, lambda b: b < F.col(okey).cast("double"))))
+        d = d.withColumn(BKT, F.lit(0))
+    d = materialize(d)
 
     part = [*gcols, BKT]
     totals = d.groupBy(*part).agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols], F.min(okey).alias("_bmin"))
