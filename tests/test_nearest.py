@@ -39,3 +39,12 @@ def test_nearest_salted_leaves_stay_exact(spark):
         _df(spark, Q), _df(spark, R), ["a", "b", "c"], max_leaves=4, max_queries_per_task=7).collect()}
     want = np.sqrt(((Q[:, None] - R[None]) ** 2).sum(2)).min(1)
     assert all(abs(got[tuple(q)] - w) < 1e-9 for q, w in zip(Q, want))
+
+
+def test_large_leaf_is_searched_exactly():
+    from tillguard.operators.nearest import _brute_dist, _min_dist
+    rng = np.random.default_rng(4)
+    p = np.unique(np.round(rng.normal(size=(6000, 3)), 2), axis=0)
+    q = np.concatenate([np.round(rng.normal(size=(500, 3)) * 3, 2), p[:200]])
+    for exclude in (False, True):
+        assert np.allclose(_min_dist(q, p, exclude), _brute_dist(q, p, exclude))

@@ -14,7 +14,8 @@ comparing every query with every point:
    those parameters, whatever the data size) and broadcast.  Every point and
    query is routed to its leaf.
 3. Upper bound: each query is compared with the points of its own leaf
-   (``cogroup(...).applyInPandas``, numpy).
+   (``cogroup(...).applyInPandas``, numpy; a leaf with many points is
+   partitioned again within the task, so its cost does not grow with their square).
 4. Candidates: leaves whose bounding box (from the data) is closer than the
    upper bound; only those leaves are searched, again per leaf with numpy.
    Only per-query minima leave a task, never pairs.
@@ -79,7 +80,48 @@ def _route(x: np.ndarray, tree) -> np.ndarray:
 BLOCK_CELLS = 20_000_000
 
 
+#: points of a leaf that are searched without a partition of their own
+BRUTE_POINTS, LOCAL_LEAF = 2048, 256
+
+
 def _min_dist(q: np.ndarray, p: np.ndarray, exclude_equal: bool) -> np.ndarray:
+    """Min distance from each q to the points p.  Many points are partitioned
+    again within the task (leaves of about LOCAL_LEAF points, as many as the
+    points need), and only leaves whose box is nearer than the best distance so
+    far are searched, so a leaf that grows with the data stays cheap."""
+    if len(p) <= BRUTE_POINTS or len(q) == 0:
+        return _brute_dist(q, p, exclude_equal)
+    tree = _grow_kd(p, len(p) // LOCAL_LEAF)
+    leaf = _route(p, tree)
+    order = np.argsort(leaf, kind="stable")
+    ids, starts = np.unique(leaf[order], return_index=True)
+    p, ends = p[order], np.append(starts[1:], len(p))
+    lo, hi = np.minimum.reduceat(p, starts), np.maximum.reduceat(p, starts)
+    home = np.searchsorted(ids, _route(q, tree))
+    home = np.where((home < len(ids)) & (ids[np.minimum(home, len(ids) - 1)] == _route(q, tree)), home, -1)
+    out = np.full(len(q), np.inf)
+
+    def search(rows: np.ndarray, where: np.ndarray) -> None:
+        by = np.argsort(where, kind="stable")
+        rows, where = rows[by], where[by]
+        cut = np.nonzero(np.diff(where))[0] + 1
+        for part, w in zip(np.split(rows, cut), where[np.concatenate([[0], cut])] if len(where) else ()):
+            d = _brute_dist(q[part], p[starts[w]:ends[w]], exclude_equal)
+            out[part] = np.minimum(out[part], d)
+
+    known = np.nonzero(home >= 0)[0]
+    search(known, home[known])
+    step = max(1, BLOCK_CELLS // max(1, lo.size))
+    for s in range(0, len(q), step):
+        gap = np.maximum(0.0, np.maximum(lo[None] - q[s:s + step, None], q[s:s + step, None] - hi[None]))
+        near = (gap ** 2).sum(axis=2) < out[s:s + step, None] ** 2
+        near[np.arange(len(near)), np.maximum(home[s:s + step], 0)] &= home[s:s + step] < 0
+        rows, where = np.nonzero(near)
+        search(rows + s, where)
+    return out
+
+
+def _brute_dist(q: np.ndarray, p: np.ndarray, exclude_equal: bool) -> np.ndarray:
     """Min distance from each q to the points p; with ``exclude_equal`` a
     point with the very same coordinates does not count (distinct tuples
     always have a positive distance)."""
