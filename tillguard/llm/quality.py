@@ -16,22 +16,22 @@ with an output column raises ``ValueError``.
 
 from __future__ import annotations
 
-import re
 import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD, bound_batches, table, written
+from .common import Recent, bound_batches, char_grams, gather, split_words, table, written
 
 #: Hash buckets of the features.
 BUCKETS = 1 << 16
 #: The fit uses a hash sample of at most about this many labelled rows.
-MAX_FIT_ROWS = 20_000
+MAX_FIT_ROWS = 8_000
 #: Feature shares are multiplied by this, so that weights are of order one.
 SCALE = 64.0
 #: Probability of good quality from which a document is kept.
@@ -39,55 +39,45 @@ KEEP_AT = 0.5
 #: Base rules (fixed values).
 MIN_WORDS, REPEAT_WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 
-_words = re.compile(WORD).findall
-_symbols = re.compile(r"[#*$%&|<>]+").findall
+SYMBOLS = "[#*$%&|<>]"
 _MULT = np.uint32(0x9E3779B1)
 
 
-def _grams(word: str) -> np.ndarray:
-    """Buckets of a word's 1-gram and of its character 3- and 4-grams."""
-    w = f"\x02{word}\x03"
-    out = [zlib.crc32(b"w" + word.encode())]
-    out += [zlib.crc32(w[i:i + n].encode()) for n in (3, 4) for i in range(len(w) - n + 1)]
-    return np.array(out, np.uint32) & np.uint32(BUCKETS - 1)
+def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of words' 1-grams and of their character 3- and 4-grams, and
+    the number of the word each is from."""
+    whole = np.array([zlib.crc32(b"w" + w.encode()) for w in words], np.uint32) % np.uint32(BUCKETS)
+    grams, word = char_grams(words, (3, 4), BUCKETS)
+    return np.concatenate([whole, grams]), np.concatenate([np.arange(len(words)), word])
 
 
 class Lexicon:
-    """Numbers the words of a process and keeps a few figures for each."""
-
-    def __init__(self, weights: np.ndarray | None = None, limit: int = 600_000):
-        self.weights, self.limit = weights, limit
-        self.clear()
-
-    def clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.hash = np.zeros(1 << 12, np.uint32)
-        self.score = np.zeros(1 << 12)
-        self.count = np.zeros(1 << 12, np.int32)
-
-    def learn(self, cut: list[list[str]]) -> None:
-        new = set().union(*cut)
-        if len(self.index) + len(new) > self.limit:
-            self.clear()
-        new.difference_update(self.index)
-        at = len(self.index)
-        if at + len(new) > len(self.hash):
-            more = at + len(new) + len(self.hash)
-            for name in ("hash", "score", "count"):
-                old = getattr(self, name)
-                grown = np.zeros(more, old.dtype)
-                grown[:len(old)] = old
-                setattr(self, name, grown)
-        for i, w in enumerate(new, at):
-            self.index[w] = i
-            self.hash[i] = zlib.crc32(w.encode())
-            if self.weights is not None:
-                g = _grams(w)
-                self.score[i], self.count[i] = self.weights[g].sum(), len(g)
-
-    def of(self, words: list[str]) -> np.ndarray:
-        index = self.index
-        return np.fromiter([index[w] for w in words], np.int64, len(words))
+    """Figures of a process's recent words: their hash, and the summed weight
+    and number of their n-grams."""
+
+    def __init__(self, weights: np.ndarray | None = None):
+        self.weights = weights
+        self.recent = Recent(self._learn, 150_000)
+
+    def _learn(self, words: list[str]) -> list[tuple[int, float, int]]:
+        if self.weights is None:
+            return [(zlib.crc32(w.encode()), 0.0, 0) for w in words]
+        grams, word = _grams(words)
+        sums = np.bincount(word, self.weights[grams], len(words))
+        return list(zip([zlib.crc32(w.encode()) for w in words], sums.tolist(), np.bincount(word, minlength=len(words)).tolist()))
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        hashes, sums, sizes = zip(*self.recent.get(words)) if words else ((), (), ())
+        return np.array(hashes, np.uint32), np.array(sums, float), np.array(sizes, np.int64)
+
+
+def real_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """As split_words, without the empty ones at a text's edges."""
+    offsets, number, distinct = split_words(texts)
+    if "" in distinct:
+        real = number != distinct.index("")
+        offsets, number = np.concatenate([[0], np.cumsum(real)])[offsets], number[real]
+    return offsets, number, distinct
 
 
 def bigrams(hashes: np.ndarray) -> np.ndarray:
@@ -154,12 +144,15 @@ def _features(rows: DataFrame) -> DataFrame:
     def run(batches):
         lex = Lexicon()
         for b in batches:
-            cut = [_words(t or "") for t in b.column("text").to_pylist()]
-            lex.learn(cut)
+            offsets, number, distinct = real_words(b.column("text"))
+            hashes = lex.of(distinct)[0]
+            grams, word = _grams(distinct)
+            grams, sizes = grams[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(distinct))
+            starts = np.cumsum(sizes) - sizes
             index, value = [], []
-            for words in cut:
-                parts = [_grams(w) for w in words] + ([bigrams(lex.hash[lex.of(words)])] if len(words) > 1 else [])
-                got = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+            for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+                words = number[s:e]
+                got = np.concatenate([gather(grams, starts[words], sizes[words]), bigrams(hashes[words])])
                 i, n = np.unique(got, return_counts=True)
                 index.append(i.astype(np.int32))
                 value.append(SCALE * n / max(1, len(got)))
@@ -190,7 +183,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS
         return None
     vector = F.udf(lambda i, v: Vectors.sparse(BUCKETS, i, v), VectorUDT())
     data = feats.select("label", "fold", vector("indices", "values").alias("features"))
-    lr = LogisticRegression(maxIter=60, regParam=1e-5, standardization=False)
+    lr = LogisticRegression(maxIter=40, regParam=1e-5, standardization=False)
     fitted = lr.fit(data.filter("fold = 0"))
     weights, intercept = fitted.coefficients.toArray(), float(fitted.intercept)
 
@@ -243,17 +236,19 @@ def score_quality(docs: DataFrame, model: QualityModel | None, text_col: str = "
     def run(batches):
         lex = Lexicon(model.weights if model else None)
         for b in batches:
-            texts = [t or "" for t in b.column(text_col).to_pylist()]
-            cut = [_words(t) for t in texts]
-            lex.learn(cut)
+            texts = pc.fill_null(b.column(text_col), "")
+            offsets, number, distinct = real_words(texts)
+            hashes, sums, sizes = lex.of(distinct)
+            chars = pc.utf8_length(pa.array(distinct, pa.string())).to_numpy()
+            symbols = pc.count_substring_regex(texts, SYMBOLS).to_pylist()
             out = []
-            for text, words in zip(texts, cut):
-                ids, n, share = lex.of(words), len(words), 0.0
+            for text, n_symbols, s, e in zip(texts.to_pylist(), symbols, offsets[:-1].tolist(), offsets[1:].tolist()):
+                ids, n, share = number[s:e], e - s, 0.0
                 if model and n:
-                    pairs = model.weights[bigrams(lex.hash[ids])] if n > 1 else np.zeros(0)
-                    share = SCALE * (lex.score[ids].sum() + pairs.sum()) / (int(lex.count[ids].sum()) + len(pairs))
+                    pairs = model.weights[bigrams(hashes[ids])]
+                    share = SCALE * (sums[ids].sum() + pairs.sum()) / (int(sizes[ids].sum()) + len(pairs))
                 again = repeat_words(ids)
-                out.append((n, sum(map(len, words)), sum(map(len, _symbols(text))), duplicate_lines(text), again,
+                out.append((n, int(chars[ids].sum()), n_symbols, duplicate_lines(text), again,
                             n < MIN_WORDS or 100 * again > MAX_REPEAT_PERCENT * n, share))
             cols = list(zip(*out)) if out else [()] * 7
             prob = model.probability(np.array(cols[6])) if model else [None] * len(out)
