@@ -12,8 +12,8 @@ form or reader comments is deleted.  Pages without an article element keep
 what the differencing leaves; if a pair shares nearly everything there (two
 copies of a page), the markup alone decides.
 
-Pairs need no group per host: pages are dealt by ranges of (host, path), and
-the last page of each range goes along to the next one.
+Pairs need no group per host: pages are dealt by ranges of (host, path, id),
+and the pages at the ends of a range go along to its neighbours.
 
 Text: character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined by line feeds.  Defined results: a null
@@ -27,10 +27,13 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
+from itertools import chain
 from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +50,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|menu|nav\w*|breadcrumbs?|sidebar|aside|footer|header|masthead|"
                    r"cookies?|consent|notice|popup|modal|newsletter|subscribe|signup|login|share|social|related|"
                    r"comments?|disqus|replies|complementary|contentinfo|search)(?:$|[\s_-])", re.I)
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|replies|disqus|related|ads?)(?:$|[\s_-])", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true""", re.I)
@@ -59,10 +63,10 @@ COPIES = 0.8
 def blocks(page: str) -> list[tuple[str, int]]:
     """Text blocks of a page in order, with their zones."""
     out: list[tuple[str, int]] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements: name, noisy, article
+    stack: list[tuple[str, int, bool]] = []  # open elements: name, noise, article
     text: list[str] = []
     noisy = inside = False
-    end_raw, at = "", 0
+    at = 0
 
     def flush():
         if text:
@@ -71,17 +75,11 @@ def blocks(page: str) -> list[tuple[str, int]]:
             if words:
                 out.append((" ".join(words), NOISY if noisy else ARTICLE if inside else PLAIN))
 
-    for m in TOKEN.finditer(page):
-        if m.start() < at:
-            continue
-        name = (m[2] or "").lower()
-        if end_raw:  # raw text ends at its own end tag only
-            if not (m[1] and name == end_raw):
-                continue
-            at, end_raw = m.start(), ""
+    while m := TOKEN.search(page, at):
         if at < m.start():
             text.append(page[at:m.start()])
         at = m.end()
+        name = (m[2] or "").lower()
         if not name:
             continue  # a comment or declaration
         if name in INLINE and name not in VOID:
@@ -98,26 +96,30 @@ def blocks(page: str) -> list[tuple[str, int]]:
             if m[3].endswith("/") and name in ("svg", "iframe"):
                 continue
             marks = m[3]
-            bad = name in DROPPED or (name not in ("html", "body", "article", "main") and bool(marks) and bool(
-                _HIDDEN.search(marks) or any(NOISE.search(x.strip("\"'")) for x in _MARKS.findall(marks))))
+            # 2: noise whatever is in it; 1: unless an article is (a wrapper's class may name its parts)
+            bad = 2 if name in DROPPED or (marks and _HIDDEN.search(marks)) else 0
+            if not bad and marks and name not in ("html", "body", "article", "main"):
+                values = [x.strip("\"'") for x in _MARKS.findall(marks)]
+                bad = 2 if any(COMMENTS.search(x) for x in values) else int(any(NOISE.search(x) for x in values))
             # a header inside an article holds its title
             if name == "header" and inside:
-                bad = False
+                bad = 0
             if name == "p" or name == "li":  # these end themselves
                 while stack and stack[-1][0] == name:
                     stack.pop()
             stack.append((name, bad, name in ("article", "main")))
-            if name in RAW:
-                end_raw = name
+            if name in RAW:  # raw text ends at its own end tag only, and is no text
+                close = re.compile(f"</{name}(?=[\\s/>]|$)", re.I).search(page, at)
+                at = close.start() if close else len(page)
         else:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
                     del stack[i:]
                     break
-        noisy = any(x[1] for x in stack)
         inside = any(x[2] for x in stack)
-    if not end_raw:
-        text.append(page[at:])
+        within = max((i for i, x in enumerate(stack) if x[2]), default=0)
+        noisy = any(x[1] > (i < within) for i, x in enumerate(stack))
+    text.append(page[at:])
     flush()
     return out
 
@@ -131,7 +133,7 @@ def address(url: str | None) -> tuple[str, str]:
         return "", url or ""
 
 
-def shared_lines(a: list[str], b: list[str]) -> list[bool]:
+def shared_lines(a: list, b: list) -> list[bool]:
     """Which lines of ``a`` are in a longest common subsequence with ``b``."""
     lo, hi = 0, 0  # common ends need no table
     while lo < min(len(a), len(b)) and a[lo] == b[lo]:
@@ -173,102 +175,143 @@ def affinity(a: tuple[str, str], b: tuple[str, str] | None) -> int:
     return n
 
 
-def main_text(lines: list[tuple[str, int]], other: list[tuple[str, int]] | None) -> tuple[str, int, int]:
-    """Text of a page, given its pair's lines; how many lines the differencing
-    deleted, and how many of those the check of the markup gave back."""
-    shared = shared_lines([t for t, _ in lines], [t for t, _ in other]) if other is not None else [False] * len(lines)
-    article = any(z == ARTICLE for _, z in lines)
+def kept_lines(lines: list, zones: list[int], other: list | None) -> tuple[list[bool], int, int]:
+    """Which lines of a page stay, given its pair's lines (or their hashes);
+    how many the differencing deleted, and how many of those the check of the
+    markup gave back."""
+    shared = shared_lines(lines, other) if other is not None else [False] * len(lines)
+    article = ARTICLE in zones
     if not article:
-        open_ = [s for s, (_, z) in zip(shared, lines) if z != NOISY]
+        open_ = [s for s, z in zip(shared, zones) if z != NOISY]
         if open_ and sum(open_) > COPIES * len(open_):
             shared = [False] * len(lines)
-    keep, back = [], 0
-    for (text, zone), same in zip(lines, shared):
-        if same and zone == ARTICLE:
-            back += 1
-        if zone == ARTICLE or (not article and zone == PLAIN and not same):
-            keep.append(text)
-    return "\n".join(keep), sum(shared), back
-
+    back = sum(s and z == ARTICLE for s, z in zip(shared, zones))
+    return [z == ARTICLE or (not article and z == PLAIN and not s) for s, z in zip(shared, zones)], sum(shared), back
 
-PAGES = "page_id long, url string, host string, path string, lines array<string>, zones array<int>"
 
+#: Keys that are sampled, by hash, to place the bounds of the ranges.
+SAMPLED_KEYS = 20_000
+KEY = ["host", "path", "id"]
 
-def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Rows (page_id, url, host, path, lines, zones)."""
-    bound_batches(pages.sparkSession)
 
+def _keys(pages: DataFrame) -> DataFrame:
+    """(host, path, id) of each page, from the id and URL columns alone."""
     def run(batches):
         for b in batches:
-            ids, urls, pages_ = b.columns
+            ids, urls = b.columns
             where = [address(u) for u in urls.to_pylist()]
-            lines = [blocks(p or "") for p in pages_.to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [ids, urls, pa.array([x[0] for x in where], pa.string()), pa.array([x[1] for x in where], pa.string()),
-                 pa.array([[t for t, _ in x] for x in lines], pa.list_(pa.string())), pa.array([[z for _, z in x] for x in lines], pa.list_(pa.int32()))],
-                ["page_id", "url", "host", "path", "lines", "zones"])
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in where], pa.string()), pa.array([x[1] for x in where], pa.string()),
+                                              pc.fill_null(ids, -1)], KEY)
+
+    return pages.select("page_id", "url").mapInArrow(run, "host string, path string, id long")
+
+
+def _ranges(pages: DataFrame, n: int) -> tuple[list[tuple], dict[tuple, list[int]]]:
+    """Bounds of ``n`` ranges of keys, and the keys that go along to other
+    ranges: the last of the range before and the first of the range after
+    (ranges without pages are passed over).  Both are bounded by ``n``."""
+    keys = written(_keys(pages), "html-keys")
+    share = SAMPLED_KEYS / max(1, keys.count())
+    sample = keys.filter(F.pmod(F.xxhash64(*KEY), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, share))))
+    sample = sorted(tuple(r) for r in sample.distinct().limit(4 * SAMPLED_KEYS).collect())
+    bounds = sorted({sample[len(sample) * i // n] for i in range(1, n)}) if sample else []
+
+    def run(batches):
+        for b in batches:
+            bins = [bisect_right(bounds, k) for k in zip(*(c.to_pylist() for c in b.columns))]
+            yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), *b.columns], ["bin", *KEY])
 
-    cols = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    return cols.mapInArrow(run, PAGES)
+    ends = keys.mapInArrow(run, "bin int, host string, path string, id long").groupBy("bin").agg(
+        F.min(F.struct(*KEY)).alias("first"), F.max(F.struct(*KEY)).alias("last"))
+    ends = sorted(ends.collect())  # a row for each range
+    guests: dict[tuple, list[int]] = {}
+    for a, b in zip(ends, ends[1:]):
+        guests.setdefault(tuple(a["last"]), []).append(b["bin"])
+        guests.setdefault(tuple(b["first"]), []).append(a["bin"])
+    return bounds, guests
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row for each page: page_id, url, text, pair_url (of the page it was
     compared with), n_deleted (lines the differencing deleted) and n_restored
-    (lines of the article that the check gave back)."""
+    (lines of the article that the check gave back).
+
+    Pages move once, as hashes of their lines and the compressed text of the
+    lines that may stay."""
     spark = pages.sparkSession
-    order = ["host", "path", "page_id", "url"]
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    rows = parsed(pages, id_col, url_col, html_col).repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-    rows = written(rows.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()), "html-lines")
-    # the first and last page of each range go along to its neighbours; ranges
-    # without rows are passed over
-    ends = rows.groupBy("part").agg(F.min("at").alias("first"), F.max("at").alias("last"))
-    from pyspark.sql import Window
-
-    by = Window.orderBy("part")  # one row for each range
-    ends = ends.select(F.lead("part").over(by).alias("after"), F.lag("part").over(by).alias("before"), "first", "last")
-    near = ends.select(F.explode(F.array(F.struct(F.col("last").alias("e_at"), F.col("after").alias("e_part")),
-                                         F.struct(F.col("first").alias("e_at"), F.col("before").alias("e_part")))).alias("e")).select("e.*")
-    near = near.filter(F.col("e_part").isNotNull())
-    extra = rows.join(near, F.col("at") == F.col("e_at")).select(
-        "page_id", "url", "host", "path", "lines", "zones", F.col("e_part").alias("part"), "at", F.lit(True).alias("guest"))
-    full = rows.withColumn("guest", F.lit(False)).unionByName(extra).repartition(partitions, "part").sortWithinPartitions("part", "at")
+    bound_batches(spark)
+    pages = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
+                         F.col(html_col).cast("string").alias("html"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    bounds, guests = _ranges(pages, n)
+
+    def parse(batches):
+        import xxhash
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            out = []
+            for page_id, url, page in zip(*(c.to_pylist() for c in b.columns)):
+                host, path = address(url)
+                key = (host, path, -1 if page_id is None else page_id)
+                found = blocks(page or "")
+                zones = bytes(z for _, z in found)
+                may = ARTICLE if ARTICLE in zones else PLAIN
+                hashes = np.array([xxhash.xxh3_64_intdigest(t) for t, _ in found], np.uint64).tobytes()
+                text = pack("\n".join(t for t, z in found if z == may).encode())
+                out.append((bisect_right(bounds, key), False, page_id, url, *key, hashes, zones, text))
+                out += [(g, True, page_id, url, *key, hashes, zones, b"") for g in guests.get(key, ())]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), KINDS)], NAMES)
+
+    rows = pages.mapInArrow(parse, LINES).repartition(n, "bin").sortWithinPartitions("bin", *KEY, "url", "hashes")
+
+    def pair(batches):
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
 
-    def run(batches):
         def rows_of():
             for b in batches:
-                yield from zip(*(b.column(n).to_pylist() for n in ("part", "guest", "page_id", "url", "host", "path", "lines", "zones")))
+                yield from zip(*(c.to_pylist() for c in b.columns))
 
         def row(prev, cur, nxt):
-            a = (cur[4], cur[5])
-            best = max([x for x in (prev, nxt) if x is not None and x[0] == cur[0]], key=lambda x: affinity(a, (x[4], x[5])), default=None)
-            if best is not None and affinity(a, (best[4], best[5])) < 0:
-                best = None
-            other = list(zip(best[6], best[7])) if best else None
-            return (cur[2], cur[3], *main_text(list(zip(cur[6], cur[7])), other), best[3] if best else None)
+            near = [(affinity(cur[4:6], x[4:6]), x) for x in (prev, nxt) if x is not None and x[0] == cur[0]]
+            score, best = max(near, key=lambda x: x[0], default=(-1, None))
+            best = best if score >= 0 else None
+            hashes, zones = np.frombuffer(cur[7], np.uint64).tolist(), list(cur[8])
+            other = np.frombuffer(best[7], np.uint64).tolist() if best else None
+            keep, deleted, back = kept_lines(hashes, zones, other)
+            may = ARTICLE if ARTICLE in zones else PLAIN
+            stays = [k for k, z in zip(keep, zones) if z == may]
+            text = unpack(cur[9]).decode()
+            if not all(stays):
+                text = "\n".join(t for t, k in zip(text.split("\n"), stays) if k)
+            return (cur[2], cur[3], text, best[3] if best else None, deleted, back)
 
         def batch(out):
-            ids, urls, texts, deleted, back, pairs = zip(*out)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(urls, pa.string()), pa.array(texts, pa.string()), pa.array(pairs, pa.string()),
-                 pa.array(deleted, pa.int64()), pa.array(back, pa.int64())], ["page_id", "url", "text", "pair_url", "n_deleted", "n_restored"])
+            kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
+                                              ["page_id", "url", "text", "pair_url", "n_deleted", "n_restored"])
 
         out, prev, cur = [], None, None
-        for nxt in rows_of():
+        for nxt in chain(rows_of(), [None]):
             if cur is not None and not cur[1]:
                 out.append(row(prev, cur, nxt))
                 if len(out) >= 256:
                     yield batch(out)
                     out = []
             prev, cur = cur, nxt
-        if cur is not None and not cur[1]:
-            out.append(row(prev, cur, None))
         if out:
             yield batch(out)
 
-    return full.select("part", "guest", "page_id", "url", "host", "path", "lines", "zones").mapInArrow(
-        run, "page_id long, url string, text string, pair_url string, n_deleted long, n_restored long")
+    return rows.mapInArrow(pair, "page_id long, url string, text string, pair_url string, n_deleted long, n_restored long")
+
+
+LINES = "bin int, guest boolean, page_id long, url string, host string, path string, id long, hashes binary, zones binary, text binary"
+NAMES = [x.split()[0] for x in LINES.split(", ")]
+KINDS = [pa.int32(), pa.bool_(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
 
 def digest(pages: DataFrame) -> DataFrame:
