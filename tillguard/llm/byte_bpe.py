@@ -18,12 +18,14 @@ import struct
 from array import array
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Recent, bound_batches, tokenizer_path
+from .common import Recent, bound_batches, gather, tokenizer_path
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 _SHIFT = {b: 256 + b for b in range(256)}
@@ -75,6 +77,10 @@ def model_proto(ranks: dict[bytes, int]) -> bytes:
     return bytes(out)
 
 
+#: White space (as the pattern has it, or wider) before a space.
+ODD_SPACE = "[\\s\\x0b\\x1c-\\x1f\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}] "
+
+
 class Codec:
     """Encodes texts to ids and ids to bytes; one for each worker process."""
 
@@ -84,10 +90,14 @@ class Codec:
 
         ranks = read_ranks(path)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_proto(ranks))
-        self.bytes_of = [bytes(ord(c) - 256 for c in self.model.id_to_piece(i)) for i in range(len(ranks))]
         self.whole = {to_chars(k): array("i", [v]).tobytes() for k, v in ranks.items()}
         self.pre_tokens = regex.compile(pattern).findall
-        self.known = Recent(self.learn)
+        self.known = Recent(self.learn, 150_000)
+        self.spaced = Recent(lambda words: self.encode_chunks([" " + w for w in words]))
+
+    def clear(self) -> None:
+        self.known.clear()
+        self.spaced.clear()
 
     def learn(self, pre_tokens: list[str]) -> list[bytes]:
         """Ids of pre-tokens as native 32-bit integers: the rank of one that
@@ -99,16 +109,47 @@ class Codec:
             out[i] = array("i", ids).tobytes()
         return out
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text; an unknown pre-token is encoded once."""
-        cut = [self.pre_tokens(t) for t in texts]
+    def encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of texts, each pre-token alone; an unknown one is encoded once."""
+        cut = [self.pre_tokens(t) for t in chunks]
         distinct = list(set().union(*cut))
         ids_of = dict(zip(distinct, self.known.get(distinct)))
         return [b"".join([ids_of[x] for x in pre]) for pre in cut]
 
-    def decode(self, ids) -> bytes:
-        of = self.bytes_of
-        return b"".join([of[i] for i in ids])
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Offsets of each text's ids, and all ids (null: none).
+
+        No pre-token crosses a space that follows a non-space, so a text whose
+        every space does so is cut at its spaces, and its distinct chunks (a
+        space and a word) are encoded once; other texts are encoded whole."""
+        texts = pc.fill_null(texts, "")
+        odd = pc.match_substring_regex(texts, ODD_SPACE)
+        whole = self.encode_chunks(texts.filter(odd).to_pylist())
+        lists = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        coded = lists.flatten().dictionary_encode()
+        words, number = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        offsets -= offsets[0]
+        # the first word of a text has no space before it: an entry of its own
+        first = self.encode_chunks([words[i] for i in number[offsets[:-1]].tolist()])
+        for i, x in zip(np.nonzero(odd.to_numpy(zero_copy_only=False))[0].tolist(), whole):
+            first[i] = x
+        parts = self.spaced.get(words) + first
+        number[offsets[:-1]] = len(words) + np.arange(len(texts))
+        size = np.array([len(x) // 4 for x in parts], np.int64)
+        ends = np.concatenate([[0], np.cumsum(size[number])])
+        return ends[offsets], gather(np.frombuffer(b"".join(parts), np.int32), (np.cumsum(size) - size)[number], size[number])
+
+def from_chars(piece: str) -> bytes:
+    """Inverse of to_chars."""
+    return bytes(ord(c) - 256 for c in piece)
+
+
+@lru_cache(maxsize=2)
+def piece_bytes(path: str) -> list[bytes]:
+    """The bytes of each id: the model's pieces, mapped back."""
+    ranks = read_ranks(path)
+    return [from_chars(to_chars(x)) for x in sorted(ranks, key=ranks.get)]
 
 
 @lru_cache(maxsize=2)
@@ -138,28 +179,31 @@ def encode(df: DataFrame, text_col: str = "text", ids_col: str = "ids", vocabula
     def run(batches):
         c = codec(path, pattern)
         for b in batches:
-            parts = c.encode_batch([t or "" for t in b.column(text_col).to_pylist()])
-            ends = array("i", [0])
-            for p in parts:
-                ends.append(ends[-1] + len(p) // 4)
-            ids = pa.ListArray.from_arrays(pa.Array.from_buffers(pa.int32(), len(ends), [None, pa.py_buffer(ends)]),
-                                           pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(parts))]))
+            offsets, values = c.encode_batch(b.column(text_col))
+            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
             yield pa.RecordBatch.from_arrays([*b.columns, ids], [*b.schema.names, ids_col])
+        c.clear()  # the next task's worker may be another
 
     return df.mapInArrow(run, schema)
 
 
-def decode(df: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded", vocabulary: str | None = None,
-           pattern: str | None = None) -> DataFrame:
+def decode(df: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded", vocabulary: str | None = None) -> DataFrame:
     """Adds ``bytes_col``, the bytes that the ids stand for (null ids: none)."""
-    path, pattern = vocabulary or tokenizer_path(VOCABULARY), pattern or _pattern()
+    path = vocabulary or tokenizer_path(VOCABULARY)
     bound_batches(df.sparkSession)
     schema = _added(df, bytes_col, T.BinaryType())
 
     def run(batches):
-        c = codec(path, pattern)
+        pieces = piece_bytes(path)
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        size = np.array([len(x) for x in pieces], np.int64)
+        start = np.cumsum(size) - size
         for b in batches:
-            out = pa.array([c.decode(x or ()) for x in b.column(ids_col).to_pylist()], pa.binary())
+            lists = b.column(ids_col)
+            ids, offsets = lists.flatten().to_numpy(), lists.offsets.to_numpy().astype(np.int64)
+            ends = np.concatenate([[0], np.cumsum(size[ids])])[offsets - offsets[0]]
+            out = pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(ends), pa.py_buffer(gather(data, start[ids], size[ids]))])
+            out = out.cast(pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns, out], [*b.schema.names, bytes_col])
 
     return df.mapInArrow(run, schema)
