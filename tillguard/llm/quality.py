@@ -1,8 +1,8 @@
 """Quality rules: exact base rules and a learned verdict.
 
 The learned rule is a logistic regression over hashed word 1- and 2-grams and
-character 3- and 4-grams, fitted with MLlib on labelled rows, calibrated on
-held-out rows (Platt scaling) and scored in Arrow batches against a fixed
+character 3- and 4-grams, fitted on a bounded sample of labelled rows (features
+from Spark tasks, descent on the driver), calibrated on held-out rows (Platt scaling) and scored in Arrow batches against a fixed
 threshold.  A word's character n-grams lie within the word, so their summed
 weight is a property of the word and is computed once per distinct word.
 
@@ -26,16 +26,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Recent, bound_batches, char_grams, gather, split_words, table, written
+from .common import Recent, bound_batches, char_grams, gather, split_words, table
 
 #: Hash buckets of the features.
 BUCKETS = 1 << 16
 #: The fit uses a hash sample of at most about this many labelled rows.
-MAX_FIT_ROWS = 8_000
+MAX_FIT_ROWS = 3_000
 #: Feature shares are multiplied by this, so that weights are of order one.
 SCALE = 64.0
 #: Probability of good quality from which a document is kept.
-KEEP_AT = 0.5
+KEEP_AT = 0.35
 #: Base rules (fixed values).
 MIN_WORDS, REPEAT_WINDOW, MAX_REPEAT_PERCENT = 20, 8, 30
 
@@ -139,7 +139,8 @@ class QualityModel:
 
 
 def _features(rows: DataFrame) -> DataFrame:
-    """(label, fold, indices, values) of labelled texts: feature shares."""
+    """(label, fold, buckets, counts) of labelled texts: the buckets that occur
+    (32 bits each) and how often (16 bits)."""
 
     def run(batches):
         lex = Lexicon()
@@ -149,53 +150,66 @@ def _features(rows: DataFrame) -> DataFrame:
             grams, word = _grams(distinct)
             grams, sizes = grams[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(distinct))
             starts = np.cumsum(sizes) - sizes
-            index, value = [], []
+            index, count = [], []
             for s, e in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
                 words = number[s:e]
                 got = np.concatenate([gather(grams, starts[words], sizes[words]), bigrams(hashes[words])])
                 i, n = np.unique(got, return_counts=True)
-                index.append(i.astype(np.int32))
-                value.append(SCALE * n / max(1, len(got)))
+                index.append(i.astype(np.int32).tobytes())
+                count.append(np.minimum(n, 65535).astype(np.uint16).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [b.column("label"), b.column("fold"), pa.array(index, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float64()))],
-                ["label", "fold", "indices", "values"])
+                [b.column("label"), b.column("fold"), pa.array(index, pa.binary()), pa.array(count, pa.binary())],
+                ["label", "fold", "buckets", "counts"])
 
-    return rows.mapInArrow(run, "label double, fold int, indices array<int>, values array<double>")
+    return rows.mapInArrow(run, "label double, fold int, buckets binary, counts binary")
+
+
+def fit_logistic(index: np.ndarray, value: np.ndarray, ends: np.ndarray, label: np.ndarray, l2: float = 1e-6,
+                 steps: int = 150) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a ridge logistic regression over sparse rows
+    (``index`` and ``value`` up to each of ``ends``), by Adam."""
+    sizes = np.diff(np.concatenate([[0], ends]))
+    row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    p, m, v = (np.zeros(BUCKETS + 1, np.float64) for _ in range(3))
+    for t in range(1, steps + 1):
+        z = np.bincount(row, p.astype(np.float32)[index] * value, len(sizes)) + p[-1]
+        slope = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - label) / len(label)
+        g = np.append(np.bincount(index, slope.astype(np.float32)[row] * value, BUCKETS) + l2 * p[:-1], slope.sum())
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        p -= 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-9)
+    return p[:-1], float(p[-1])
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROWS, id_col: str = "doc_id",
                 text_col: str = "text", label_col: str = "quality") -> QualityModel | None:
     """A model from labelled documents, or None if either label is missing."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.linalg import Vectors, VectorUDT
-
-    spark = docs.sparkSession
-    bound_batches(spark)
+    bound_batches(docs.sparkSession)
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label")).dropna()
-    n = known.count()
     u = F.pmod(F.xxhash64("id", F.lit(6)), F.lit(1 << 20))
-    known = known.filter(u < F.lit(int((1 << 20) * min(1.0, max_rows / max(1, n)))))
+    known = known.filter(u < F.lit(int((1 << 20) * min(1.0, max_rows / max(1, known.count())))))
     known = known.withColumn("fold", (F.pmod(F.xxhash64("id", F.lit(7)), F.lit(5)) == 0).cast("int"))
-    # the sample is bounded by max_rows, so it may be broadcast
+    # the sample is bounded by max_rows, so it may be broadcast, and its features collected
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id")
-    feats = written(_features(rows.select("text", "label", "fold")), "quality-features")
-    if feats.filter("fold = 0").select("label").distinct().count() < 2:
+    sample = _features(rows.select("text", "label", "fold")).collect()
+    folds = [[r for r in sample if r.fold == k] for k in (0, 1)]
+    del sample
+    label = np.array([r.label for r in folds[0]])
+    if len(np.unique(label)) < 2:
         return None
-    vector = F.udf(lambda i, v: Vectors.sparse(BUCKETS, i, v), VectorUDT())
-    data = feats.select("label", "fold", vector("indices", "values").alias("features"))
-    lr = LogisticRegression(maxIter=40, regParam=1e-5, standardization=False)
-    fitted = lr.fit(data.filter("fold = 0"))
-    weights, intercept = fitted.coefficients.toArray(), float(fitted.intercept)
+    weights, intercept = fit_logistic(*_sparse(folds[0]), label)
+    index, value, ends = _sparse(folds[1])
+    sizes = np.diff(np.concatenate([[0], ends]))
+    margin = np.bincount(np.repeat(np.arange(len(ends)), sizes), weights[index] * value, len(ends)) + intercept
+    slope, offset = platt(margin, np.array([r.label for r in folds[1]]))
+    return QualityModel(weights, intercept, slope, offset)
 
-    def margins(batches):
-        for b in batches:
-            m = [float(weights[np.asarray(i, np.int64)] @ np.asarray(v, float)) + intercept
-                 for i, v in zip(b.column("indices").to_pylist(), b.column("values").to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(m, pa.float64())], ["label", "margin"])
 
-    held = feats.filter("fold = 1").mapInArrow(margins, "label double, margin double").toPandas()  # max_rows / 5 rows at most
-    slope, offset = platt(held["margin"].to_numpy(), held["label"].to_numpy())
-    return QualityModel(weights, intercept, slope, offset)
+def _sparse(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets, scaled shares and ends of rows."""
+    index = [np.frombuffer(r.buckets, np.int32) for r in rows]
+    share = [(n * (SCALE / max(1, n.sum()))).astype(np.float32) for n in (np.frombuffer(r.counts, np.uint16).astype(np.float32) for r in rows)]
+    ends = np.cumsum([len(i) for i in index]).astype(np.int64)
+    return (np.concatenate(index), np.concatenate(share), ends) if rows else (np.zeros(0, np.int32), np.zeros(0, np.float32), ends)
 
 
 def platt(margin: np.ndarray, label: np.ndarray, steps: int = 50) -> tuple[float, float]:
