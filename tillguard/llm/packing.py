@@ -73,9 +73,6 @@ class WordTokens:
             self.ends[i] = token.endswith("</w>")
         self.known = Recent(self.learn, 300_000)
 
-    def clear(self) -> None:
-        self.known.clear()
-
     def learn_any(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint16).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
@@ -147,7 +144,7 @@ def tokenise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
                 [doc_ids, sources, pa.array([part] * len(sizes), pa.int32()), pa.array(places, pa.int64()),
                  pa.array(sizes, pa.int64()), packed.cast(pa.binary())],
                 ["doc_id", "source", "part", "place", "n_tokens", "ids"])
-        tok.clear()  # the next task's worker may be another
+        word_tokens.cache_clear()  # an idle worker holds no vocabulary or words
 
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.col(source_col).cast("string").alias("source"))

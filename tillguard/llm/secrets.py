@@ -127,6 +127,7 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", voca
                 found = scan(t, encode) if t else []
                 new.append(redacted(t, [{"start": s, "end": e} for s, _, e in found], mark) if found else t)
             yield b.set_column(at, b.schema.field(at).name, pa.array(new, pa.string()))
+        _encoding.cache_clear()  # an idle worker holds no vocabulary
 
     return docs.mapInArrow(run, docs.schema)
 
