@@ -48,6 +48,25 @@ def op7_html_extraction(spark, sf_dir):
 
 QUERIES = {"op7_html_extraction": op7_html_extraction, "op5_imatch": op5_imatch, "op8_jaccard_join": op8_jaccard_join, "op1_kd_sharding": op1_kd_sharding, "op10_warc": op10_warc, "op2_toxicity": op2_toxicity, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op3_packing": op3_packing, "op9_byte_bpe": op9_byte_bpe}
 ORACLES: dict[str, str] = {
+    # all pairs by common shingles, exact; classes by transitive closure
+    "op8_jaccard_join": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')))
+                             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM d),
+size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+copy AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS text_id FROM d),
+link AS (
+  SELECT x, y FROM shared JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y WHERE 5 * c >= 4 * (p.n + q.n - c)
+  UNION SELECT a.doc_id, b.doc_id FROM copy a JOIN copy b ON a.text_id = b.text_id AND a.doc_id < b.doc_id),
+pair AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+reach AS (SELECT x, y FROM pair UNION SELECT r.x, p.y FROM reach r JOIN pair p ON r.y = p.x)
+SELECT c.doc_id, c.text_id, least(c.doc_id, coalesce((SELECT min(y) FROM reach r WHERE r.x = c.doc_id), c.doc_id)) AS class_id,
+       (SELECT count(*) FROM pair p WHERE p.x = c.doc_id) AS n_links,
+       (SELECT count(DISTINCT o.text_id) FROM pair p JOIN copy o ON o.doc_id = p.y WHERE p.x = c.doc_id AND o.text_id <> c.text_id) AS n_text_links
+FROM copy c""",
     "op10_warc": """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
