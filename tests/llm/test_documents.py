@@ -67,8 +67,9 @@ def test_quality_without_labels_uses_base_rules(spark):
     assert quality.fit_quality(docs.limit(0), labels) is None
     out = quality.score_quality(docs, None).collect()
     assert all(r.quality_prob is None and r.kept != r.base_failed for r in out)
-    with pytest.raises(ValueError):
-        quality.score_quality(docs.withColumn("kept", F.lit(1)), None)
+    assert quality.score_quality(docs.withColumn("Kept", F.lit(1)), None).first().kept is not None
+    assert toxicity.score_severity(docs.withColumn("toxic", F.lit(1)), None).first().toxic is False
+    assert secrets.find_secrets(docs.withColumn("spans", F.lit(1))).first().spans == []
 
 
 def test_platt_orders_probabilities():

@@ -150,6 +150,7 @@ def test_pipeline_stages_take_effect(spark, scratch):
     docs = docs.select("doc_id", "text", F.lit("en").alias("lang"), F.concat(F.lit("s"), F.col("doc_id") % 3).alias("source"),
                        F.length("text").cast("long").alias("n_chars"))
     labels.write.parquet(f"{scratch}/labels.parquet")
+    docs = docs.withColumns({c: F.lit(1) for c in ("kept", "toxic", "spans", "k", "node", "ids", "queue", "severity", "root")})
     docs.write.parquet(f"{scratch}/documents.parquet")
     now, ids = docs, []
     for i, (_, stage) in enumerate(p.STAGES):

@@ -34,8 +34,10 @@ def test_bpe_equals_tiktoken_and_round_trips(spark):
 
 
 def test_bpe_clash_and_empty_table(spark):
+    clash = byte_bpe.encode(_docs(spark))  # it has a column ids, which is replaced
+    assert clash.columns == ["doc_id", "text", "source", "ids"] and clash.filter("doc_id = 2").first().ids != 7
     with pytest.raises(ValueError):
-        byte_bpe.encode(_docs(spark))  # has a column ids
+        byte_bpe.encode(_docs(spark), ids_col="text")
     assert byte_bpe.digest(_docs(spark).limit(0)).count() == 0
 
 

@@ -8,7 +8,7 @@ pre-token pattern is encoded alone; decoding maps ids back to bytes.
 
 Defined results: a null text is the empty text (no ids, empty bytes); repeated
 rows each give a row; an empty table gives an empty table; extra columns are
-kept, and a clash with the output columns raises ``ValueError``.
+kept, one with an output's name is replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Recent, bound_batches, gather, tokenizer_path
+from .common import Recent, bound_batches, gather, tokenizer_path, without
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 _SHIFT = {b: 256 + b for b in range(256)}
@@ -163,18 +163,13 @@ def _pattern() -> str:
     return public_tokenizers.PATTERN
 
 
-def _added(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    if name.lower() in (c.lower() for c in df.columns):
-        raise ValueError(f"the input already has a column {name!r}")
-    return T.StructType([*df.schema.fields, T.StructField(name, kind)])
-
-
 def encode(df: DataFrame, text_col: str = "text", ids_col: str = "ids", vocabulary: str | None = None,
            pattern: str | None = None) -> DataFrame:
     """Adds ``ids_col``, an array of token ids, to the rows of ``df``."""
     path, pattern = vocabulary or tokenizer_path(VOCABULARY), pattern or _pattern()
     bound_batches(df.sparkSession)
-    schema = _added(df, ids_col, T.ArrayType(T.IntegerType()))
+    df = without(df, [ids_col], text_col)
+    schema = T.StructType([*df.schema.fields, T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
 
     def run(batches):
         c = codec(path, pattern)
@@ -191,7 +186,8 @@ def decode(df: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded", voca
     """Adds ``bytes_col``, the bytes that the ids stand for (null ids: none)."""
     path = vocabulary or tokenizer_path(VOCABULARY)
     bound_batches(df.sparkSession)
-    schema = _added(df, bytes_col, T.BinaryType())
+    df = without(df, [bytes_col], ids_col)
+    schema = T.StructType([*df.schema.fields, T.StructField(bytes_col, T.BinaryType())])
 
     def run(batches):
         pieces = piece_bytes(path)

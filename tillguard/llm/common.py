@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillguard.session import checkpoint_path
 
@@ -30,6 +31,15 @@ def bound_batches(spark: SparkSession, rows: int = 4096, size: int = 8 << 20) ->
             spark.conf.set(key, str(most))
 
 
+def without(df: DataFrame, names, keep: str) -> DataFrame:
+    """``df`` without the columns that an operator is about to add (names
+    compare without case); its own input column ``keep`` can't be one."""
+    names = {n.lower() for n in names}
+    if keep.lower() in names:
+        raise ValueError(f"the input column {keep!r} has the name of an output")
+    return df.select([F.col(f"`{c}`") for c in df.columns if c.lower() not in names])
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder of the shared checkpoint folder (``spark.checkpoint.dir``)."""
     return checkpoint_path(spark, f"llm/{name}-{uuid.uuid4().hex}")

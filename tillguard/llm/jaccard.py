@@ -377,6 +377,6 @@ def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each class one document stays (its smallest id); rows
     that repeat its id go too, rows without an id stay."""
     classes = join(docs)
-    keep = classes.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("k")).distinct()
-    kept = docs.filter(F.col("doc_id").isNotNull()).join(written(keep, "jaccard-kept"), F.col("doc_id") == F.col("k"), "left_semi")
+    keep = classes.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("_jaccard_kept")).distinct()
+    kept = docs.filter(F.col("doc_id").isNotNull()).join(written(keep, "jaccard-kept"), F.col("doc_id") == F.col("_jaccard_kept"), "left_semi")
     return kept.dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))

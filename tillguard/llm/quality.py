@@ -10,8 +10,8 @@ Defined results: a null or empty text has no words and fails the base rules;
 texts of any length are scored whole; repeated rows are scored each, repeated
 labels of a document are all used; null labels are ignored.  Without labels of
 both kinds there is no model, the probability is null and the base rules
-decide.  An empty table gives an empty table; extra columns are kept, a clash
-with an output column raises ``ValueError``.
+decide.  An empty table gives an empty table; extra columns are kept, one with an
+output's name is replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Recent, bound_batches, char_grams, gather, split_words, table
+from .common import Recent, bound_batches, char_grams, gather, split_words, table, without
 
 #: Hash buckets of the features.
 BUCKETS = 1 << 16
@@ -242,8 +242,7 @@ ADDED = (("n_words", "long"), ("word_chars", "long"), ("n_symbols", "long"), ("n
 
 def score_quality(docs: DataFrame, model: QualityModel | None, text_col: str = "text", keep_at: float = KEEP_AT) -> DataFrame:
     """Adds the base counts, the calibrated probability and the verdict."""
-    if clash := {c.lower() for c in docs.columns} & {n for n, _ in ADDED}:
-        raise ValueError(f"the input already has columns {sorted(clash)}")
+    docs = without(docs, [n for n, _ in ADDED], text_col)
     bound_batches(docs.sparkSession)
     schema = T.StructType([*docs.schema.fields, *T._parse_datatype_string(", ".join(f"{n} {t}" for n, t in ADDED)).fields])
 

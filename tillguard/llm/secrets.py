@@ -8,8 +8,8 @@ camel case, numbers) are excluded from that test; the base patterns stand.
 
 Positions are code points, ends exclusive.  Defined results: a null or empty
 text has no spans; texts of any length are scanned whole; repeated rows are
-scanned each; an empty table gives an empty table; extra columns are kept, a
-clash with the output column raises ``ValueError``.
+scanned each; an empty table gives an empty table; extra columns are kept,
+one with the output's name is replaced.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches, tokenizer_path
+from .common import bound_batches, tokenizer_path, without
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Kinds in the order that breaks ties at one start.
@@ -88,8 +88,7 @@ def find_secrets(docs: DataFrame, text_col: str = "text", out_col: str = "spans"
                  most: float = MAX_CHARS_PER_TOKEN) -> DataFrame:
     """Adds ``out_col``: the spans (kind, start, end) of each whole text."""
     path = vocabulary or tokenizer_path(VOCABULARY)
-    if out_col.lower() in (c.lower() for c in docs.columns):
-        raise ValueError(f"the input already has a column {out_col!r}")
+    docs = without(docs, [out_col], text_col)
     bound_batches(docs.sparkSession)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 

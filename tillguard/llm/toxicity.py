@@ -15,7 +15,7 @@ Defined results: null and empty texts have no features (the least severity);
 texts of any length are scored whole; labels that are null are ignored; equal
 labelled texts count once.  Without labelled rows of both kinds there is no
 model, the severity is 0 and nothing is rejected.  An empty table gives an
-empty table; extra columns are kept, clashes raise ``ValueError``.
+empty table; extra columns are kept, one with an output's name is replaced.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Recent, bound_batches, char_grams, table, written
+from .common import Recent, bound_batches, char_grams, table, without, written
 
 #: Hash buckets: so many that rare and telling n-grams seldom share one.
 BUCKETS = 1 << 22
@@ -222,8 +222,7 @@ def fit_severity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROW
 
 def score_severity(docs: DataFrame, model: SeverityModel | None, text_col: str = "text", reject_at: float = REJECT_AT) -> DataFrame:
     """Adds severity (expected grade) and toxic (whether it is rejected)."""
-    if clash := {c.lower() for c in docs.columns} & {"severity", "toxic"}:
-        raise ValueError(f"the input already has columns {sorted(clash)}")
+    docs = without(docs, ["severity", "toxic"], text_col)
     if model is None:
         return docs.withColumns({"severity": F.lit(0.0), "toxic": F.lit(False)})
     bound_batches(docs.sparkSession)
