@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Recent, bound_batches, gather, tokenizer_path, without
+from .common import bound_batches, gather, Recent, releasing, tokenizer_path, without
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 _SHIFT = {b: 256 + b for b in range(256)}
@@ -179,7 +179,7 @@ def encode(df: DataFrame, text_col: str = "text", ids_col: str = "ids", vocabula
             yield pa.RecordBatch.from_arrays([*b.columns, ids], [*b.schema.names, ids_col])
         c.clear()  # the next task's worker may be another
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(releasing(run), schema)
 
 
 def decode(df: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded", vocabulary: str | None = None) -> DataFrame:
@@ -202,7 +202,7 @@ def decode(df: DataFrame, ids_col: str = "ids", bytes_col: str = "decoded", voca
             out = out.cast(pa.binary())
             yield pa.RecordBatch.from_arrays([*b.columns, out], [*b.schema.names, bytes_col])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(releasing(run), schema)
 
 
 def digest(docs: DataFrame) -> DataFrame:

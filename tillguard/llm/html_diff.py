@@ -37,7 +37,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, written
+from .common import bound_batches, releasing, written
 
 # Elements by what they do to text.
 DROPPED = frozenset("nav header footer aside form script style noscript template iframe svg canvas object select button "
@@ -203,7 +203,7 @@ def _keys(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in where], pa.string()), pa.array([x[1] for x in where], pa.string()),
                                               pc.fill_null(ids, -1)], KEY)
 
-    return pages.select("page_id", "url").mapInArrow(run, "host string, path string, id long")
+    return pages.select("page_id", "url").mapInArrow(releasing(run), "host string, path string, id long")
 
 
 def _ranges(pages: DataFrame, n: int) -> tuple[list[tuple], dict[tuple, list[int]]]:
@@ -221,7 +221,7 @@ def _ranges(pages: DataFrame, n: int) -> tuple[list[tuple], dict[tuple, list[int
             bins = [bisect_right(bounds, k) for k in zip(*(c.to_pylist() for c in b.columns))]
             yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), *b.columns], ["bin", *KEY])
 
-    ends = keys.mapInArrow(run, "bin int, host string, path string, id long").groupBy("bin").agg(
+    ends = keys.mapInArrow(releasing(run), "bin int, host string, path string, id long").groupBy("bin").agg(
         F.min(F.struct(*KEY)).alias("first"), F.max(F.struct(*KEY)).alias("last"))
     ends = sorted(ends.collect())  # a row for each range
     guests: dict[tuple, list[int]] = {}
@@ -265,7 +265,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), KINDS)], NAMES)
 
-    rows = pages.mapInArrow(parse, LINES).repartition(n, "bin").sortWithinPartitions("bin", *KEY, "url", "hashes")
+    rows = pages.mapInArrow(releasing(parse), LINES).repartition(n, "bin").sortWithinPartitions("bin", *KEY, "url", "hashes")
 
     def pair(batches):
         import zstandard
@@ -306,7 +306,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         if out:
             yield batch(out)
 
-    return rows.mapInArrow(pair, "page_id long, url string, text string, pair_url string, n_deleted long, n_restored long")
+    return rows.mapInArrow(releasing(pair), "page_id long, url string, text string, pair_url string, n_deleted long, n_restored long")
 
 
 LINES = "bin int, guest boolean, page_id long, url string, host string, path string, id long, hashes binary, zones binary, text binary"

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, sorted_groups, split_words, written
+from .common import bound_batches, releasing, sorted_groups, split_words, written
 
 SHINGLE, THRESHOLD = 5, (4, 5)  # the similarity as a fraction, compared in integers
 VALUES, BAND, STEP = 128, 4, 16
@@ -226,7 +226,7 @@ def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             yield pa.RecordBatch.from_arrays([ids, pa.array(digests[::2]), pa.array(digests[1::2]), sigs], ["doc_id", "h1", "h2", "sig"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, h1 long, h2 long, sig binary")
+        releasing(run), "doc_id long, h1 long, h2 long, sig binary")
 
 
 def _bands(reps: DataFrame) -> DataFrame:
@@ -237,7 +237,7 @@ def _bands(reps: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), b.column("node").take(pa.array(np.repeat(np.arange(len(sig)), keys.shape[1])))],
                                              ["key", "node"])
 
-    return reps.mapInArrow(run, "key long, node long")
+    return reps.mapInArrow(releasing(run), "key long, node long")
 
 
 def _bucket_edges(rows: DataFrame) -> DataFrame:
@@ -259,7 +259,7 @@ def _bucket_edges(rows: DataFrame) -> DataFrame:
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(releasing(run), "a long, b long")
 
 
 def _verified(rows: DataFrame) -> DataFrame:
@@ -322,7 +322,7 @@ def _verified(rows: DataFrame) -> DataFrame:
                      pa.array(np.concatenate(out_l).astype(np.int64)), pa.array(np.concatenate(out_t).astype(np.int64))],
                     ["node", "to", "links", "text_links"])
 
-    return rows.mapInArrow(run, "node long, to long, links long, text_links long")
+    return rows.mapInArrow(releasing(run), "node long, to long, links long, text_links long")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -356,7 +356,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
                                               pa.array([s.tobytes() for s in sig], pa.binary()), pa.array(sets, pa.binary())],
                                              ["root", "size", "node", "n", "sig", "shingles"])
 
-    sets = meet.mapInArrow(hashed, "root long, size long, node long, n long, sig binary, shingles binary")
+    sets = meet.mapInArrow(releasing(hashed), "root long, size long, node long, n long, sig binary, shingles binary")
     sets = _dealt(sets, "size").select("root", "lo", "hi", "node", "n", "chunk", "sig", "shingles")
     links = written(_verified(_sorted_in(sets, "root", "lo", "hi")), "jaccard-links")
     counts = links.filter(F.col("to").isNull()).groupBy("node").agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Recent, bound_batches, gather, split_words, tokenizer_path, written
+from .common import bound_batches, gather, Recent, releasing, split_words, tokenizer_path, written
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
@@ -71,7 +71,7 @@ class WordTokens:
         self.ends = np.zeros(1 << 16, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
-        self.known = Recent(self.learn, 300_000)
+        self.known = Recent(self.learn, 200_000)
 
     def learn_any(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint16).tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -148,7 +148,7 @@ def tokenise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
     cols = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        F.col(source_col).cast("string").alias("source"))
-    return cols.mapInArrow(run, "doc_id long, source string, part int, place long, n_tokens long, ids binary")
+    return cols.mapInArrow(releasing(run), "doc_id long, source string, part int, place long, n_tokens long, ids binary")
 
 
 class Rounds:
@@ -246,7 +246,7 @@ def pack(docs: DataFrame, shares: dict[str, float] | None = None, window: int =
                 ["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
     return placed.select("doc_id", "source", "queue", (F.col("base") + F.col("place")).alias("at"), "n_tokens", "ids").mapInArrow(
-        run, "doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
+        releasing(run), "doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 
 
 def with_ids_crc32(pieces: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Recent, bound_batches, char_grams, gather, split_words, table, without
+from .common import bound_batches, char_grams, gather, Recent, releasing, split_words, table, without
 
 #: Hash buckets of the features.
 BUCKETS = 1 << 16
@@ -161,7 +161,7 @@ def _features(rows: DataFrame) -> DataFrame:
                 [b.column("label"), b.column("fold"), pa.array(index, pa.binary()), pa.array(count, pa.binary())],
                 ["label", "fold", "buckets", "counts"])
 
-    return rows.mapInArrow(run, "label double, fold int, buckets binary, counts binary")
+    return rows.mapInArrow(releasing(run), "label double, fold int, buckets binary, counts binary")
 
 
 def fit_logistic(index: np.ndarray, value: np.ndarray, ends: np.ndarray, label: np.ndarray, l2: float = 1e-6,
@@ -269,7 +269,7 @@ def score_quality(docs: DataFrame, model: QualityModel | None, text_col: str = "
             made = [pa.array(c, k) for c, k in zip([*cols[:6], prob, kept], [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()])]
             yield pa.RecordBatch.from_arrays([*b.columns, *made], [*b.schema.names, *(x for x, _ in ADDED)])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(releasing(run), schema)
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

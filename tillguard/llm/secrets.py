@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bound_batches, tokenizer_path, without
+from .common import bound_batches, releasing, tokenizer_path, without
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Kinds in the order that breaks ties at one start.
@@ -99,7 +99,7 @@ def find_secrets(docs: DataFrame, text_col: str = "text", out_col: str = "spans"
                      for t in b.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(spans, kind)], [*b.schema.names, out_col])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out_col, SPANS)]))
+    return docs.mapInArrow(releasing(run), T.StructType([*docs.schema.fields, T.StructField(out_col, SPANS)]))
 
 
 def redacted(text: str, spans, mark: str) -> str:
@@ -128,7 +128,7 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", voca
             yield b.set_column(at, b.schema.field(at).name, pa.array(new, pa.string()))
         _encoding.cache_clear()  # an idle worker holds no vocabulary
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)
 
 
 def joined(spans: Column) -> Column:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Recent, bound_batches, char_grams, table, without, written
+from .common import bound_batches, char_grams, Recent, releasing, table, without, written
 
 #: Hash buckets: so many that rare and telling n-grams seldom share one.
 BUCKETS = 1 << 22
@@ -139,7 +139,7 @@ def choose_buckets(rows: DataFrame, max_features: int = MAX_FEATURES) -> tuple[n
     if len(totals) < 2:
         return np.zeros(0, np.int64), np.zeros(0)
     n0, n1 = totals[False], totals[True]
-    counts = rows.mapInArrow(run, "bucket long, clean long, toxic long").groupBy("bucket").agg(
+    counts = rows.mapInArrow(releasing(run), "bucket long, clean long, toxic long").groupBy("bucket").agg(
         F.sum("clean").alias("a"), F.sum("toxic").alias("b"))
     term = lambda x, e: F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
     a, b, n = F.col("a"), F.col("b"), n0 + n1
@@ -211,7 +211,7 @@ def fit_severity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_FIT_ROW
                 [b.column("label"), pa.array([sorted(c) for c, _ in got], pa.list_(pa.int32())), pa.array([n for _, n in got], pa.int32())],
                 ["label", "cols", "n"])
 
-    sample = rows.mapInArrow(run, "label int, cols array<int>, n int").toPandas()  # max_rows rows at most
+    sample = rows.mapInArrow(releasing(run), "label int, cols array<int>, n int").toPandas()  # max_rows rows at most
     label, n = sample["label"].to_numpy(), sample["n"].to_numpy()
     if label.max() <= 1:
         label = np.where(label > 0, 1 + sum((n >= c).astype(int) for c in GRADE_CUTS), 0)
@@ -235,7 +235,7 @@ def score_severity(docs: DataFrame, model: SeverityModel | None, text_col: str =
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64()), pa.array([x >= reject_at for x in s], pa.bool_())],
                                              [*b.schema.names, "severity", "toxic"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("severity", T.DoubleType()),
+    return docs.mapInArrow(releasing(run), T.StructType([*docs.schema.fields, T.StructField("severity", T.DoubleType()),
                                               T.StructField("toxic", T.BooleanType())]))
 
 

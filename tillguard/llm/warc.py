@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, scratch, written
+from .common import bound_batches, releasing, scratch, written
 
 #: Least payload that another record may refer to.
 MIN_REVISIT = 100
@@ -116,7 +116,7 @@ def write(records: DataFrame, folder: str | None = None, archive_bytes: int = AR
                                          ["path", "bytes", "records"])
 
     cols = records.select("page_id", "url", "payload", "digest", "refers_to")
-    return written(cols.mapInArrow(run, "path string, bytes long, records long"), "warc-manifest")
+    return written(cols.mapInArrow(releasing(run), "path string, bytes long, records long"), "warc-manifest")
 
 
 class _Window:
@@ -225,7 +225,7 @@ def read(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
                 if rows:
                     yield batch(rows)
 
-    return splits.repartition(min(n, 100_000)).mapInArrow(run, RECORDS)
+    return splits.repartition(min(n, 100_000)).mapInArrow(releasing(run), RECORDS)
 
 
 def digest(pages: DataFrame) -> DataFrame:
