@@ -60,6 +60,31 @@ def test_pages_without_article_lose_what_neighbours_share(spark, partitions):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+def test_the_alignment_decides_on_pages_with_an_article(spark):
+    passage = "A passage that two pages print. " * 10
+    rows = []
+    for i in range(12):
+        both = f"<p>Quoted by two {i // 2}</p>"
+        body = (f"<div>Same strap line</div><div id=content><p>Main text {i}</p></div><article><p>Teaser {i}</p></article>"
+                f"<main><p>Printed on every page</p><p>{'Terms of every page. ' * 20}</p><p>Story {i}</p>{both}</main>")
+        rows.append((i, f"http://many.example/a/{i // 2}/{i}", _page(body)))
+    two = "<main><p>Short and shared</p><p>{}</p><p>Own {}</p></main>"
+    rows += [(20 + i, f"http://two.example/{i}", _page(two.format(passage, i))) for i in range(2)]
+    twin = "<div id=content><p>One</p><p>Two</p></div><article><p>Tease</p></article>"
+    rows += [(30 + i, f"http://twins.example/{i}", _page(twin)) for i in range(2)]
+    rows += [(40 + i, f"http://edge.example/a/{x}", _page(f"<main><p>Strap</p>{''.join(f'<p>{y} {k}</p>' for k in range(9))}</main>"))
+             for i, (x, y) in enumerate([("0", "Other"), ("10", "Twin"), ("11", "Twin"), ("2", "More")])]
+    rows += [(50, "http://alone.example/", _page("<div>Main</div><article><p>Teaser</p></article>"))]
+    out = {r.page_id: r for r in html_diff.digest(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(1, 11):  # the pages at the ends have one neighbour
+        assert out[i].text == f"Main text {i}\nTeaser {i}\nStory {i}\nQuoted by two {i // 2}" and out[i].n_restored == 1
+    for i in range(2):
+        assert out[20 + i].text == f"{passage.strip()}\nOwn {i}"
+        assert out[30 + i].text == "One\nTwo\nTease"
+        assert out[41 + i].text == "\n".join(f"Twin {k}" for k in range(9))
+    assert out[50].text == "Main\nTeaser"
+
+
 def test_any_split_of_an_archive_gives_each_record_once():
     rnd = random.Random(1)
     bodies = [bytes(rnd.choices(b"abc <>", k=rnd.choice([0, 5, 400, 60000]))) for _ in range(60)]

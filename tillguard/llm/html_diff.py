@@ -2,15 +2,19 @@
 
 Pages of a host are ordered by URL path and each is paired with the neighbour
 that shares the longer path prefix.  The text lines (blocks) of both are
-aligned by a longest common subsequence, and shared lines are deleted: menus,
-notices and footers repeat from page to page, the article does not.
-
-An exact check of the markup follows.  A shared line that lies in the page's
-article is given back (a passage that two pages both print is content), and a
-line of its own that lies in a menu, header, footer, sidebar, notice, advert,
-form or reader comments is deleted.  Pages without an article element keep
-what the differencing leaves; if a pair shares nearly everything there (two
-copies of a page), the markup alone decides.
+aligned by a longest common subsequence, and shared lines are deleted, in and
+outside of an article element: menus, notices and footers repeat from page to
+page, the text does not.  Lines of a page's own stay wherever they lie.
+
+A narrow exact check follows, with the page's neighbour on the other side as
+witness.  A shared line of an article is given back if the witness does not
+print it (a passage that two pages both print is content; what all neighbours
+print is not), or, without a witness, if it is a passage of ``PASSAGE``
+characters.  If a pair shares nearly everything (two copies of a page), the
+lines that the witness prints are deleted, and without one the markup alone
+decides.  A copy of the page is no witness.  Last, a line of its own that lies
+in a menu, header, footer, sidebar, notice, advert, form or reader comments is
+deleted.
 
 Pairs need no group per host: pages are dealt by ranges of (host, path, id),
 and the pages at the ends of a range go along to its neighbours.
@@ -56,8 +60,10 @@ _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""",
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true""", re.I)
 #: Zones of a block: what the markup says of it.
 NOISY, PLAIN, ARTICLE = 0, 1, 2
-#: Share of common lines above which a pair without articles counts as copies.
+#: Share of common lines, of those that are no noise, above which a pair counts as copies.
 COPIES = 0.8
+#: Least characters of a shared line of an article that stays without a witness.
+PASSAGE = 200
 
 
 def blocks(page: str) -> list[tuple[str, int]]:
@@ -175,18 +181,23 @@ def affinity(a: tuple[str, str], b: tuple[str, str] | None) -> int:
     return n
 
 
-def kept_lines(lines: list, zones: list[int], other: list | None) -> tuple[list[bool], int, int]:
-    """Which lines of a page stay, given its pair's lines (or their hashes);
-    how many the differencing deleted, and how many of those the check of the
-    markup gave back."""
+def kept_lines(lines: list, zones: list[int], sizes: list[int], other: list | None, third: list | None) -> tuple[list[bool], int, int]:
+    """Which lines of a page stay, given its lines (or their hashes) and their
+    characters, its pair's lines and those of the neighbour on the other side;
+    how many the differencing deleted, and how many of those the check gave
+    back."""
     shared = shared_lines(lines, other) if other is not None else [False] * len(lines)
-    article = ARTICLE in zones
-    if not article:
-        open_ = [s for s, z in zip(shared, zones) if z != NOISY]
-        if open_ and sum(open_) > COPIES * len(open_):
-            shared = [False] * len(lines)
-    back = sum(s and z == ARTICLE for s, z in zip(shared, zones))
-    return [z == ARTICLE or (not article and z == PLAIN and not s) for s, z in zip(shared, zones)], sum(shared), back
+    here = [i for i, z in enumerate(zones) if z != NOISY]
+    witness = set(third) if third is not None else None
+    if witness is not None and sum(lines[i] in witness for i in here) > COPIES * len(here):
+        witness = None
+    if sum(shared[i] for i in here) > COPIES * len(here):
+        back = [i for i in here if shared[i] and (witness is None or lines[i] not in witness)]
+    else:
+        back = [i for i in here if shared[i] and zones[i] == ARTICLE
+                and (sizes[i] >= PASSAGE if witness is None else lines[i] not in witness)]
+    given = set(back)
+    return [z != NOISY and (not s or i in given) for i, (s, z) in enumerate(zip(shared, zones))], sum(shared), len(back)
 
 
 #: Keys that are sampled, by hash, to place the bounds of the ranges.
@@ -234,7 +245,7 @@ def _ranges(pages: DataFrame, n: int) -> tuple[list[tuple], dict[tuple, list[int
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row for each page: page_id, url, text, pair_url (of the page it was
     compared with), n_deleted (lines the differencing deleted) and n_restored
-    (lines of the article that the check gave back).
+    (lines that the check gave back).
 
     Pages move once, as hashes of their lines and the compressed text of the
     lines that may stay."""
@@ -257,9 +268,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
                 key = (host, path, -1 if page_id is None else page_id)
                 found = blocks(page or "")
                 zones = bytes(z for _, z in found)
-                may = ARTICLE if ARTICLE in zones else PLAIN
                 hashes = np.array([xxhash.xxh3_64_intdigest(t) for t, _ in found], np.uint64).tobytes()
-                text = pack("\n".join(t for t, z in found if z == may).encode())
+                text = pack("\n".join(t for t, z in found if z != NOISY).encode())
                 out.append((bisect_right(bounds, key), False, page_id, url, *key, hashes, zones, text))
                 out += [(g, True, page_id, url, *key, hashes, zones, b"") for g in guests.get(key, ())]
             if out:
@@ -278,16 +288,15 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
         def row(prev, cur, nxt):
             near = [(affinity(cur[4:6], x[4:6]), x) for x in (prev, nxt) if x is not None and x[0] == cur[0]]
-            score, best = max(near, key=lambda x: x[0], default=(-1, None))
-            best = best if score >= 0 else None
-            hashes, zones = np.frombuffer(cur[7], np.uint64).tolist(), list(cur[8])
-            other = np.frombuffer(best[7], np.uint64).tolist() if best else None
-            keep, deleted, back = kept_lines(hashes, zones, other)
-            may = ARTICLE if ARTICLE in zones else PLAIN
-            stays = [k for k, z in zip(keep, zones) if z == may]
-            text = unpack(cur[9]).decode()
-            if not all(stays):
-                text = "\n".join(t for t, k in zip(text.split("\n"), stays) if k)
+            near = sorted((x for x in near if x[0] >= 0), key=lambda x: -x[0])  # the one before comes first on a tie
+            best = near[0][1] if near else None
+            lines_of = lambda x: np.frombuffer(x[7], np.uint64).tolist()
+            zones, texts = list(cur[8]), unpack(cur[9]).decode().split("\n")
+            # lines that are noise have no text here, and need no size
+            size = iter(texts)
+            sizes = [len(next(size)) if z != NOISY else 0 for z in zones]
+            keep, deleted, back = kept_lines(lines_of(cur), zones, sizes, *[lines_of(x) for _, x in near], *[None] * (2 - len(near)))
+            text = "\n".join(t for t, k in zip(texts, (k for k, z in zip(keep, zones) if z != NOISY)) if k)
             return (cur[2], cur[3], text, best[3] if best else None, deleted, back)
 
         def batch(out):
