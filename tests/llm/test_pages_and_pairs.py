@@ -112,6 +112,21 @@ def test_warc_round_trip_with_revisits(spark):
     assert warc.digest(pages.limit(0)).count() == 0
 
 
+def test_warc_null_page_id(spark):
+    assert warc.parse(warc.record(None, None, b"x", "", None))[0] is None and warc.parse(warc.record(0, None, b"x", "", None))[0] == 0
+    big, only = "x" * 150, "y" * 150
+    rows = [(None, "http://a", big), (None, None, big), (3, "http://b", big), (4, "http://c", big), (None, "http://d", only),
+            (None, "http://e", only), (None, "http://f", None), (-1, "http://g", "small"), (None, "http://h", "small")]
+    out = warc.read(warc.write(warc.with_revisits(spark.createDataFrame(rows, "page_id long, url string, html string")))).collect()
+    got = collections.Counter((r.page_id, r.url, r.payload and bytes(r.payload).decode(), r.payload_digest, r.record_type, r.refers_to) for r in out)
+    want = collections.Counter()
+    for i, u, h in rows:
+        ref = 3 if i == 4 else None  # a null id is neither referred to nor a revisit
+        want[i, u, "" if h is None else None if ref else h, hashlib.sha256((h or "").encode()).hexdigest(), "revisit" if ref else "response", ref] += 1
+    assert {(r[0], r[1], r[2] or "", *r[3:]) for r in got} == {(r[0], r[1], r[2] or "", *r[3:]) for r in want} and sum(got.values()) == len(rows)
+    assert warc.digest(spark.createDataFrame(rows, "page_id long, url string, html string")).filter("page_id is null").count() == 6
+
+
 def _shingles(t):
     w = (t or "").split()
     return {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}

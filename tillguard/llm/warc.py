@@ -12,7 +12,8 @@ attempt that wrote it; the manifest lists the attempts that succeeded, so what
 a lost task leaves behind is never read.
 
 Defined results: a null html is the empty payload; a null URL leaves the
-header out; repeated rows are written each; payloads under ``MIN_REVISIT``
+header out; a null page id is the empty urn, read as null, and its record is
+always a response that no other refers to; repeated rows are written each; payloads under ``MIN_REVISIT``
 bytes are never revisits; records of any length are kept whole; an empty table
 gives no records; extra columns are ignored.
 """
@@ -46,12 +47,13 @@ def _open(path: str, mode: str):
     return store.open_input_file(name) if mode == "r" else store.open_output_stream(name, compression=None)
 
 
-def record(page_id: int, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
     """One record, not compressed; a revisit keeps the HTTP header only."""
+    urn = "<urn:page:>" if page_id is None else f"<urn:page:{page_id}>"
     http = (f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n").encode()
     block = http if refers_to is not None else http + payload
     head = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-            f"WARC-Record-ID: <urn:page:{page_id}>", f"WARC-Date: {DATE}"]
+            f"WARC-Record-ID: {urn}", f"WARC-Date: {DATE}"]
     if url is not None:
         head.append(f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=%~')}")
     if refers_to is not None:
@@ -189,7 +191,8 @@ def parse(data: bytes) -> tuple:
     h = _header(head)
     block = rest[:int(h["content-length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
-    page = lambda x: int(x.removeprefix("<urn:page:").removesuffix(">"))
+    number = lambda x: x.removeprefix("<urn:page:").removesuffix(">")
+    page = lambda x: int(number(x)) if number(x) else None
     kind = h["warc-type"]
     if kind == "revisit":
         return (page(h["warc-record-id"]), h.get("warc-target-uri"), None, int(_header(http)["content-length"]),
