@@ -72,6 +72,33 @@ def test_quality_without_labels_uses_base_rules(spark):
     assert secrets.find_secrets(docs.withColumn("spans", F.lit(1))).first().spans == []
 
 
+def test_secrets_next_to_words():
+    import random
+    import string
+
+    from tillguard.llm.common import tokenizer_path
+
+    encode = secrets._encoding(tokenizer_path(secrets.VOCABULARY)).encode_ordinary
+    rnd = random.Random(8)
+    found = lambda t: [(s, e) for s, k, e in secrets.scan(t, encode) if k == 3]
+    around = [(a, b) for a in ("/static/resources/javascript/", "https://example.com/download/documents/report/", "session_identifier_",
+                               "build-artifact-release-", "") for b in ("", "/index/overview", "_of_customer")]
+    for letters, whole in ((string.ascii_letters + string.digits, True), (string.ascii_letters + string.digits + "+/", False)):
+        missed = cut = 0
+        for a, b in around * 20:
+            key = "".join(rnd.choices(letters, k=32))
+            text = f"é see {a}{key}{b} there"
+            at = text.index(key)
+            hits = [(s, e) for s, e in found(text) if s < at + 32 and e > at]
+            missed += not hits
+            cut += bool(hits) and not any(s <= at and e >= at + 32 for s, e in hits)
+        assert missed <= 3 and cut <= (0 if whole else 9), (missed, cut)
+    for text in ("/static/resources/javascript/jquery-ui/themes/smoothness", "users/550e8400-e29b-41d4-a716-446655440000/profile", "",
+                 "objects/da39a3ee5e6b4b0d3255bfef95601890afd80709/download", "get_user_by_id_v2_from_cache_with_lock",
+                 "https://example.com/2024/01/02/some-article-about-things-15", "de-DE_phoneBook/i18n/utf8_general_ci"):
+        assert found(text) == [], text
+
+
 def test_platt_orders_probabilities():
     import numpy as np
 

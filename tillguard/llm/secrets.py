@@ -6,6 +6,10 @@ words, names and numbers together, but not keys.  Known digests (hexadecimal,
 of a digest's length) and identifiers (UUIDs, runs of letters in one case or in
 camel case, numbers) are excluded from that test; the base patterns stand.
 
+A run that passes as a whole may hold a key next to words (a path, a prefixed
+name).  Its segments between / _ - + are tested each, and neighbours that are
+random, or too short to tell, count as one string: keys may hold separators.
+
 Positions are code points, ends exclusive.  Defined results: a null or empty
 text has no spans; texts of any length are scanned whole; repeated rows are
 scanned each; an empty table gives an empty table; extra columns are kept,
@@ -37,6 +41,10 @@ ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}")
 MAX_CHARS_PER_TOKEN = 1.9
 DIGEST_LENGTHS = frozenset((32, 40, 48, 56, 64, 96, 128))
+#: Segments of a run: UUIDs, and what lies between separators.
+SEGMENT = re.compile(r"(?<![^/_+-])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![^/_+-])|[^/_+-]+")
+#: Least characters of a candidate, of a segment that marks one, and most of a word that may be a piece of one.
+RUN_LEAST, SEGMENT_LEAST, SHORT = 16, 8, 3
 _hex_only = re.compile(r"[0-9a-f]+|[0-9A-F]+").fullmatch
 _uuid = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}").fullmatch
 _turns = re.compile(r"[a-z](?=[A-Z])|[A-Z](?=[a-z])").findall
@@ -68,6 +76,36 @@ def is_identifier(run: str) -> bool:
     return len(_turns(run)) * 3 < len(letters)
 
 
+def keys_within(run: str, encode, most: float) -> list[tuple[int, int]]:
+    """Spans of random strings next to words in a run."""
+    parts = [(m.start(), m.end(), m[0]) for m in SEGMENT.finditer(run)]
+    marks = {a for a, b, x in parts if b - a >= SEGMENT_LEAST and not is_identifier(x)}
+    if len(parts) < 2 or not marks:
+        return []
+    out, held = [], []  # held: neighbours that may be one string, and whether each is random
+
+    def close():
+        sure = [(a, b) for a, b, random in held if random]
+        # all of them, else from the first to the last that is random, else each of these
+        for spans in ([(held[0][0], held[-1][1])], [(sure[0][0], sure[-1][1])], sure) if sure else ():
+            good = [(a, b) for a, b in spans if b - a >= RUN_LEAST and any(a <= x < b for x in marks)
+                    and not is_identifier(run[a:b]) and b - a <= most * len(encode(run[a:b]))]
+            if good:
+                out.extend(good)
+                break
+        held.clear()
+
+    for a, b, x in parts:
+        known = _uuid(x) or (_hex_only(x) and b - a in DIGEST_LENGTHS)
+        random = not known and b - a <= most * len(encode(x))
+        if random or (b - a < SEGMENT_LEAST and not is_identifier(x)) or (held and b - a <= SHORT):
+            held.append((a, b, random))
+        else:
+            close()
+    close()
+    return out
+
+
 def scan(text: str, encode, most: float = MAX_CHARS_PER_TOKEN) -> list[tuple[int, int, int]]:
     """Spans (start, kind's number, end) of one text in order."""
     out = []
@@ -79,8 +117,12 @@ def scan(text: str, encode, most: float = MAX_CHARS_PER_TOKEN) -> list[tuple[int
     out += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     for m in RUN.finditer(text):
         run = m[0]
-        if not is_identifier(run) and len(run) <= most * len(encode(run)):
+        if is_identifier(run):
+            continue
+        if len(run) <= most * len(encode(run)):
             out.append((m.start(), 3, m.end()))
+        else:
+            out += [(m.start() + a, 3, m.start() + b) for a, b in keys_within(run, encode, most)]
     return sorted(out)
 
 
