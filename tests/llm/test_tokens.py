@@ -113,6 +113,30 @@ def test_packing_by_target_shares_carries_on_when_a_queue_is_empty(spark):
     assert all(s == "big" for _, _, s in seqs[max(seqs) - 1])
 
 
+def test_packing_keeps_target_shares_of_300_sources(spark):
+    texts = ["one " * (699 if i < 10 else 99) for i in range(300)]
+    docs = _docs(spark, texts, source=lambda i: f"s{i}" if i else None)
+    shares = {f"s{i}" if i else None: 10 if i < 10 else 1 for i in range(300)}
+    rows = packing.with_ids_crc32(packing.pack(docs, shares=shares, window=390 * 16, quantum=16)).collect()
+    seqs = _check_pieces(rows, texts, 390 * 16)
+    for q in range(4):
+        got = {}
+        for _, n, s in seqs[q]:
+            got[s] = got.get(s, 0) + n
+        assert all(abs(got.get(s, 0) - 16 * w) <= 16 for s, w in shares.items())
+
+
+def test_packing_by_sort_equals_packing_by_totals(spark, monkeypatch):
+    texts = TEXTS + [" ".join(f"word{i % 97} other" for i in range(50 * (k % 9))) for k in range(60)]
+    for shares in (None, {"s0": 3, "s1": 1, None: 2, "absent": 5}):
+        out = []
+        for most in (256, 3):
+            monkeypatch.setattr(packing, "MAX_QUEUES", most)
+            monkeypatch.setattr(packing, "LISTED", 7)
+            out.append(sorted(map(str, packing.with_ids_crc32(packing.pack(_docs(spark, texts), shares, window=256, quantum=16)).collect())))
+        assert out[0] == out[1] and len(out[0]) > 100
+
+
 def test_ranks_are_a_permutation():
     r = packing.Rounds([1000, 10, 333, 0, 7777], [1000.0, 10.0, 333.0, 1.0, 7777.0], 8)
     q = np.repeat(np.arange(5), r.full)

@@ -7,13 +7,16 @@ carried into the next round, window and partition.  Because deficits are
 linear in the rounds, the ``k``-th quantum of a queue with weight ``w`` is due
 at time ``(k + 1/2) / w``; its place in the output is the number of quanta of
 all queues that are due earlier.  So every task places its own documents from
-the queue totals alone, without a scan over windows.  A queue that runs out
+the queue totals alone, without a scan over windows.  With more sources than
+``MAX_QUEUES`` each still has its queue: the quanta are then ranked by one
+range sort on (due time, source), with the same places as a result.  A queue that runs out
 leaves its share to the others in proportion.  Windows are full but for the
 last; each queue's rest below one quantum goes to the end.
 
 Tokenising happens once: ids go to a Parquet table in the shared checkpoint
 folder together with each row's place in its partition's queues, so placing
-needs no shuffle of tokens, only prefix sums over (partition, queue) totals.
+needs no shuffle of tokens, only prefix sums over (partition, queue) totals;
+above ``MAX_QUEUES`` sources tokens move once, to meet their places.
 
 Defined results: a null text is the empty text (only the end id); a null
 source is a queue of its own; repeated rows are packed each; an empty table
@@ -34,12 +37,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillguard.operators.cumulative import global_positions, running_totals
+
 from .common import bound_batches, gather, Recent, releasing, split_words, tokenizer_path, written
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-#: Most queues; with more sources than this, sources share queues by hash.
+#: Most queues whose totals every task holds; with more, the quanta are ranked by a sort.
 MAX_QUEUES = 256
+#: Quanta of one queue that are listed at once.
+LISTED = 1 << 16
 
 
 #: Punctuation that ends a word (a pre-token of its own), and words of letters
@@ -177,25 +184,64 @@ class Rounds:
         return out
 
     def pieces(self, queue: np.ndarray, start: np.ndarray, length: np.ndarray, window: int):
-        """Cuts rows at ``start`` of their queue into pieces: (row, start in
-        the row, length, window, offset), in the rows' order."""
-        first, last = start // self.q, (start + length - 1) // self.q
-        n = last - first + 1
-        row = np.repeat(np.arange(len(start)), n)
-        k = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        lo = np.maximum(k * self.q, start[row])
-        hi = np.minimum((k + 1) * self.q, (start + length)[row])
-        s = queue[row]
-        at = np.where(k < self.full[s], self.rank(s, k) * self.q, self.rest_at[s]) + lo - k * self.q
-        split = np.nonzero(at // window != (at + hi - lo - 1) // window)[0]  # only rests lie across windows
-        cut = (at[split] // window + 1) * window - at[split]
-        row, lo, at, hi = (np.insert(row, split + 1, row[split]), np.insert(lo, split + 1, lo[split] + cut),
-                           np.insert(at, split + 1, at[split] + cut), np.insert(hi, split, lo[split] + cut))
-        joins = (row[1:] == row[:-1]) & (hi[:-1] == lo[1:]) & (at[1:] == at[:-1] + hi[:-1] - lo[:-1]) & (at[1:] // window == at[:-1] // window)
-        begin = np.concatenate([[True], ~joins]) if len(row) else np.zeros(0, bool)
-        ends = hi[np.concatenate([~joins, [True]])] if len(row) else hi
-        row, lo, at = row[begin], lo[begin], at[begin]
-        return row, lo - start[row], ends - lo, at // window, at % window
+        """Cuts rows at ``start`` of their queue into pieces; see ``cut``."""
+        def place(row, k):
+            s = queue[row]
+            return np.where(k < self.full[s], self.rank(s, k) * self.q, self.rest_at[s])
+
+        return cut(start, length, self.q, window, place)
+
+
+def cut(start: np.ndarray, length: np.ndarray, q: int, window: int, place):
+    """Cuts rows at ``start`` of their queue into pieces: (row, start in the
+    row, length, window, offset), in the rows' order.  ``place`` gives where
+    quantum ``k`` of a row's queue lies."""
+    first, last = start // q, (start + length - 1) // q
+    n = last - first + 1
+    row = np.repeat(np.arange(len(start)), n)
+    k = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    lo = np.maximum(k * q, start[row])
+    hi = np.minimum((k + 1) * q, (start + length)[row])
+    at = place(row, k) + lo - k * q
+    split = np.nonzero(at // window != (at + hi - lo - 1) // window)[0]  # only rests lie across windows
+    more = (at[split] // window + 1) * window - at[split]
+    row, lo, at, hi = (np.insert(row, split + 1, row[split]), np.insert(lo, split + 1, lo[split] + more),
+                       np.insert(at, split + 1, at[split] + more), np.insert(hi, split, lo[split] + more))
+    joins = (row[1:] == row[:-1]) & (hi[:-1] == lo[1:]) & (at[1:] == at[:-1] + hi[:-1] - lo[:-1]) & (at[1:] // window == at[:-1] // window)
+    begin = np.concatenate([[True], ~joins]) if len(row) else np.zeros(0, bool)
+    ends = hi[np.concatenate([~joins, [True]])] if len(row) else hi
+    row, lo, at = row[begin], lo[begin], at[begin]
+    return row, lo - start[row], ends - lo, at // window, at % window
+
+
+def _places(rows: DataFrame, sources: DataFrame, shares: dict | None, low: float, quantum: int) -> DataFrame:
+    """(p_source, p_part, p_place, at, places) for each row (source, part,
+    place, n_tokens, base) of any number of queues: where the row begins in its
+    queue, and where each of its quanta lies in the output."""
+    spark = rows.sparkSession
+    same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
+    weighed = sources.withColumn("w", F.col("n").cast("double"))
+    if shares:
+        targets = spark.createDataFrame([(k, float(v)) for k, v in shares.items()], "t_source string, share double")
+        weighed = sources.join(targets, same("source", "t_source"), "left").withColumn(
+            "w", F.greatest(F.coalesce("share", F.lit(0.0)), F.lit(low)))
+    weighed = weighed.select("source", "w", F.expr(f"n div {quantum}").alias("full"), (F.col("n") % quantum).alias("rest"))
+    weighed = written(weighed, "packing-weights")
+    rests = running_totals(weighed.select("source", "full", "rest"), "source", ["full", "rest"]).select(
+        F.col("source").alias("r_source"), (F.col("tot_full") * quantum + F.col("cum_rest") - F.col("rest")).alias("rest_at"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    lists = weighed.filter("full > 0").select("source", "w", "full", F.explode(F.expr(f"sequence(0L, (full - 1) div {LISTED})")).alias("c"))
+    quanta = lists.repartition(n, "source", "c").select("source", "w", F.explode(F.expr(
+        f"sequence(c * {LISTED}, least(full, (c + 1) * {LISTED}) - 1)")).alias("k"))
+    due = quanta.select(F.col("source").alias("q_source"), F.col("k").alias("q_k"), ((F.col("k") + 0.5) / F.col("w")).alias("due"))
+    ranked = global_positions(due, [F.col("due"), F.col("q_source").asc_nulls_first()], "rank").select("q_source", "q_k", "rank")
+    needs = rows.join(rests, same("source", "r_source")).withColumn("at", F.col("base") + F.col("place"))
+    needs = needs.select("source", "part", "place", "at", "rest_at", F.explode(F.expr(
+        f"sequence(at div {quantum}, (at + n_tokens - 1) div {quantum})")).alias("k"))
+    found = needs.join(ranked, same("source", "q_source") & (F.col("k") == F.col("q_k")), "left").withColumn(
+        "lies", F.coalesce(F.col("rank") * quantum, "rest_at"))
+    return found.groupBy(F.col("source").alias("p_source"), F.col("part").alias("p_part"), F.col("place").alias("p_place")).agg(
+        F.first("at").alias("at"), F.transform(F.sort_array(F.collect_list(F.struct("k", "lies"))), lambda x: x["lies"]).alias("places"))
 
 
 def pack(docs: DataFrame, shares: dict[str, float] | None = None, window: int = 2048, quantum: int = 128,
@@ -214,38 +260,51 @@ def pack(docs: DataFrame, shares: dict[str, float] | None = None, window: int =
     parts = ids.groupBy("source", "part").agg(F.sum("n_tokens").alias("n"))
     sources = written(parts.groupBy("source").agg(F.sum("n").alias("n")), "packing-sources")
     few = sources.limit(MAX_QUEUES + 1).count() <= MAX_QUEUES
-    key = F.col("source") if few else F.pmod(F.xxhash64("source"), F.lit(MAX_QUEUES)).cast("string")
-    totals = [(r.queue, r.n) for r in sources.groupBy(key.alias("queue")).agg(F.sum("n").alias("n"))
-              .orderBy(F.col("queue").asc_nulls_first()).collect()]  # MAX_QUEUES rows at most
     low = min([x for x in (shares or {}).values() if x > 0], default=1.0) * 1e-9
-    weights = [float(n) if not shares else max(float(shares.get(q, 0.0)), low) for q, n in totals]
-    rounds = Rounds([n for _, n in totals], [w or 1.0 for w in weights], quantum)
-    queue_of = {q: i for i, (q, _) in enumerate(totals)}
     # prefix sums over one row for each (partition, source), written so that the
     # planner knows their size when it chooses the join; never a hint
-    base = parts.withColumn("queue", key).withColumn(
-        "base", F.sum("n").over(Window.partitionBy("queue").orderBy("source", "part")) - F.col("n"))
-    base = base.select(F.col("source").alias("b_source"), F.col("part").alias("b_part"), "queue", "base")
+    base = parts.withColumn("base", F.sum("n").over(Window.partitionBy("source").orderBy("part")) - F.col("n"))
+    base = base.select(F.col("source").alias("b_source"), F.col("part").alias("b_part"), "base")
     base = written(base, "packing-base")
-    placed = ids.join(base, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("part") == F.col("b_part")))
-
-    def run(batches):
-        for b in batches:
-            doc_ids, srcs, queues, starts, sizes, tokens = b.columns
-            if not b.num_rows:
-                continue
-            q = np.array([queue_of[x] for x in queues.to_pylist()], np.int64)
-            size = sizes.to_numpy()
-            row, start, length, seq, offset = rounds.pieces(q, starts.to_numpy(), size, window)
-            data = [np.frombuffer(x, "<u2").astype("<u4").tobytes() for x in tokens.to_pylist()]
-            cut = [data[r][4 * a:4 * (a + n)] for r, a, n in zip(row.tolist(), start.tolist(), length.tolist())]
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [doc_ids.take(take), srcs.take(take), pa.array(start), pa.array(length), pa.array(size[row]),
-                 pa.array(seq), pa.array(offset), pa.array(cut, pa.binary())],
-                ["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
-
-    return placed.select("doc_id", "source", "queue", (F.col("base") + F.col("place")).alias("at"), "n_tokens", "ids").mapInArrow(
+    on_base = F.col("source").eqNullSafe(F.col("b_source")) & (F.col("part") == F.col("b_part"))
+
+    def emit(doc_ids, srcs, sizes, tokens, row, start, length, seq, offset):
+        data = [np.frombuffer(x, "<u2").astype("<u4").tobytes() for x in tokens.to_pylist()]
+        ids_of = [data[r][4 * a:4 * (a + n)] for r, a, n in zip(row.tolist(), start.tolist(), length.tolist())]
+        take = pa.array(row)
+        return pa.RecordBatch.from_arrays(
+            [doc_ids.take(take), srcs.take(take), pa.array(start), pa.array(length), pa.array(sizes.to_numpy()[row]),
+             pa.array(seq), pa.array(offset), pa.array(ids_of, pa.binary())],
+            ["doc_id", "source", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
+
+    if few:
+        totals = [(r.source, r.n) for r in sources.orderBy(F.col("source").asc_nulls_first()).collect()]  # MAX_QUEUES rows at most
+        weights = [float(n) if not shares else max(float(shares.get(q, 0.0)), low) for q, n in totals]
+        rounds = Rounds([n for _, n in totals], [w or 1.0 for w in weights], quantum)
+        queue_of = {q: i for i, (q, _) in enumerate(totals)}
+
+        def run(batches):
+            for b in batches:
+                doc_ids, srcs, starts, sizes, tokens = b.columns
+                if b.num_rows:
+                    q = np.array([queue_of[x] for x in srcs.to_pylist()], np.int64)
+                    yield emit(doc_ids, srcs, sizes, tokens, *rounds.pieces(q, starts.to_numpy(), sizes.to_numpy(), window))
+
+        placed = ids.join(base, on_base).select("doc_id", "source", (F.col("base") + F.col("place")).alias("at"), "n_tokens", "ids")
+    else:
+        def run(batches):
+            for b in batches:
+                doc_ids, srcs, starts, sizes, tokens, places = b.columns
+                if b.num_rows:
+                    at = places.flatten().to_numpy()
+                    yield emit(doc_ids, srcs, sizes, tokens, *cut(starts.to_numpy(), sizes.to_numpy(), quantum, window, lambda row, k: at))
+
+        rows = ids.select("source", "part", "place", "n_tokens").join(base, on_base)
+        places = _places(rows, sources, shares, low, quantum)
+        placed = ids.join(places, F.col("source").eqNullSafe(F.col("p_source")) & (F.col("part") == F.col("p_part"))
+                          & (F.col("place") == F.col("p_place"))).select("doc_id", "source", "at", "n_tokens", "ids", "places")
+
+    return placed.mapInArrow(
         releasing(run), "doc_id long, source string, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary")
 
 
