@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, html_diff, imatch, jaccard, packing, quality, secrets, sharding, toxicity, warc
+from . import byte_bpe, html_diff, imatch, jaccard, lexical, packing, quality, secrets, sharding, topk, toxicity, warc, whitening
 from .common import table
 
 
@@ -46,7 +46,20 @@ def op7_html_extraction(spark, sf_dir):
     return html_diff.digest(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {"op7_html_extraction": op7_html_extraction, "op5_imatch": op5_imatch, "op8_jaccard_join": op8_jaccard_join, "op1_kd_sharding": op1_kd_sharding, "op10_warc": op10_warc, "op2_toxicity": op2_toxicity, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op3_packing": op3_packing, "op9_byte_bpe": op9_byte_bpe}
+def op11_whitening(spark, sf_dir):
+    return whitening.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_topk(spark, sf_dir):
+    return topk.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op13_lexical_search(spark, sf_dir):
+    return lexical.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {"op11_whitening": op11_whitening, "op12_topk": op12_topk, "op13_lexical_search": op13_lexical_search,
+           "op7_html_extraction": op7_html_extraction, "op5_imatch": op5_imatch, "op8_jaccard_join": op8_jaccard_join, "op1_kd_sharding": op1_kd_sharding, "op10_warc": op10_warc, "op2_toxicity": op2_toxicity, "op4_secret_scan": op4_secret_scan, "op6_quality_rules": op6_quality_rules, "op3_packing": op3_packing, "op9_byte_bpe": op9_byte_bpe}
 ORACLES: dict[str, str] = {
     # all pairs by common shingles, exact; classes by transitive closure
     "op8_jaccard_join": r"""
@@ -75,4 +88,31 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
 FROM q""",
+    # every product of a query and a row
+    "op12_topk": """
+WITH f AS (
+  SELECT vec_id, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM f q JOIN f c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5""",
+    # every document with a term of the item, by its terms' counts
+    "op13_lexical_search": r"""
+WITH d AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+size AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+a AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM size),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w FROM tf, a GROUP BY term, docs),
+b AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+s AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total)))) AS BIGINT) AS score
+  FROM b JOIN w USING (term) JOIN tf USING (term) JOIN size USING (doc_id), a GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10""",
 }
