@@ -314,18 +314,15 @@ def _as_batch(number: int, m: np.ndarray | None):
 
 def _merged(parts: DataFrame, tasks: int, merge) -> DataFrame:
     """Parts (task, r) merged ``FAN_IN`` at a time until one is left."""
+    def run(key, table):
+        held = None
+        for r in table.column("r").to_pylist():
+            held = merge(held, np.frombuffer(r, "<f8"))
+        return pa.Table.from_batches([_as_batch(key[0].as_py(), held)])
+
     while tasks > 1:
         tasks = -(-tasks // FAN_IN)
-        groups = tasks
-
-        def run(key, batches, groups=groups):
-            held = None
-            for batch in batches:
-                for r in batch.column("r").to_pylist():
-                    held = merge(held, np.frombuffer(r, "<f8"))
-            yield _as_batch(key[0].as_py(), held)
-
-        parts = parts.withColumn("task", F.col("task") % groups).groupBy("task").applyInArrow(run, "task long, r binary")
+        parts = parts.withColumn("task", F.col("task") % tasks).groupBy("task").applyInArrow(run, "task long, r binary")
     return parts
 
 
