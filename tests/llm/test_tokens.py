@@ -61,6 +61,20 @@ def test_word_ids_equal_the_library():
         assert ids[offsets[i]:offsets[i + 1]].tolist() == want, TEXTS[i]
 
 
+def test_word_ids_of_odd_letters_equal_the_library():
+    """Turkish, Greek, extended Latin, combining marks, CJK and separators."""
+    import random
+    r = random.Random(9)
+    letters = "İıŞşĞğŚśŐőŒœŸÿÀéÑßẞſµΣσςΩΆώЖжЁё日本語ªº½\u0301\u0307\u0323\u0130\u0149ﬁǅ١٢\u200d🙂" + "aAzZ09" * 3
+    marks = "   \n\t.,;:!?*#$%&|'\"-_/()\u00a0\u2028"
+    texts = ["İstanbul Şirket Ğazi", "TARİHİ. Son", "İzmir Şubat ayı.", "İ. İ, İ", "Şubat Ğ Ś", "ΟΔΟΣ. ΣΑΣ", "I\u0307stanbul i\u0307."]
+    texts += ["".join(r.choice(letters if r.random() < 0.75 else marks) for _ in range(r.randrange(1, 40))) for _ in range(6000)]
+    tok = packing.WordTokens(tokenizer_path(packing.VOCABULARY))
+    offsets, ids = tok.encode_batch(pa.array(texts, pa.string()), packing.END_ID)
+    wrong = [t for i, (t, want) in enumerate(zip(texts, _library_ids(texts))) if ids[offsets[i]:offsets[i + 1]].tolist() != want]
+    assert not wrong, (len(wrong), wrong[:3])
+
+
 def _check_pieces(rows, texts, window):
     ids = _library_ids(texts)
     docs, seqs = {}, {}

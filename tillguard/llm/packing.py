@@ -52,7 +52,7 @@ LISTED = 1 << 16
 #: Punctuation that ends a word (a pre-token of its own), and words of letters
 #: that normalisation keeps as they are.
 TAIL = r"([\p{L}\p{N}])([.,;:!?*#$%&|]+)(?:[ \n]|$)"
-LATIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u017f]+").fullmatch
+LATIN = re.compile("[%s]+" % "".join(c for c in map(chr, range(ord("a"), 0x180)) if c.islower() and c.lower() == c and c not in "\u00aa\u00b5\u00ba")).fullmatch
 #: The byte alphabet of byte-level vocabularies: printable bytes stand for
 #: themselves, the others for characters from 256 on.
 _PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -109,10 +109,11 @@ class WordTokens:
         """Offsets of each text's ids, and all ids; each text's end with ``end``.
 
         Lower case and a space before punctuation that follows a letter or a
-        number change nothing for the tokenizer, and leave far fewer words."""
+        number change nothing for the tokenizer, and leave far fewer words.  Not
+        so with U+0130, whose lower case is two characters: such texts stay."""
         texts = pc.fill_null(texts, "")
-        texts = pc.if_else(pc.match_substring(texts, "\u0130"), texts, pc.utf8_lower(texts))
-        offsets, number, words = split_words(pc.replace_substring_regex(texts, TAIL, r"\1 \2 "))
+        plain = pc.replace_substring_regex(pc.utf8_lower(texts), TAIL, r"\1 \2 ")
+        offsets, number, words = split_words(pc.if_else(pc.match_substring(texts, "\u0130"), texts, plain))
         parts = self.known.get(words)
         size = np.array([len(p) // 2 for p in parts] + [1], np.int64)
         start = np.cumsum(size) - size
