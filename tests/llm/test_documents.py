@@ -206,6 +206,20 @@ def test_imatch_edits_and_equal_fingerprints(spark):
     assert imatch.digest(docs.limit(0)).count() == 0
 
 
+def test_imatch_short_texts_have_fingerprints_of_their_own(spark):
+    rows = [(i, f"w{(i * 7) % 500} w{(i * 31) % 493} w{(i * 57) % 479}") for i in range(1500)] + [(2000, ""), (2001, None), (2002, "alone"), (2003, "a\n")]
+    rows += [(3000 + i, "w1 w2 w3 copied") for i in range(4)]
+    out = {r.doc_id: r for r in imatch.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(out) == len(rows) and all(r.fingerprint and r.edited_fingerprint for r in out.values())
+    text, order = dict(rows), sorted(out, reverse=True)
+    for a, b in zip(order, order[1:] + order[:1]):
+        if (text[a] or "") == (text[b] or ""):
+            assert out[a].near_next == 1 and out[a].fingerprint == out[b].fingerprint
+        elif not set((text[a] or "").split()) & set((text[b] or "").split()):
+            assert out[a].near_next == 0
+    assert out[2001].fingerprint == out[2000].fingerprint != out[2002].fingerprint
+
+
 def test_imatch_hash_equals_a_plain_version(spark):
     codes = [(1 << 48) + 5, (1 << 48) + 3, (7 << 48) + 9, (1 << 62) + (1 << 48) + 3, (1 << 62) + (1 << 48) + 5]
     df = spark.createDataFrame([(codes,)], "codes array<long>")

@@ -2,7 +2,8 @@
 
 A text's terms are its distinct lower-case words.  Terms whose inverse document
 frequency lies in a band form the lexicon; each of several randomised lexicon
-subsets keeps a term with a set probability.  The hash of a text's sorted terms
+subsets keeps a term with a set probability, and a term that none keeps goes to
+one of the densest, so every term counts.  The hash of a text's sorted terms
 within a subset is that subset's hash; subsets in which the text has no term
 give none.  The fingerprint lists the subset hashes; the likeness of two is the
 share of equal hashes among the subsets that either has.  Subsets of several
@@ -19,8 +20,8 @@ does not make its own words common (there are at most 10 / GREATEST_SHARE such
 groups).
 
 Defined results: a null text is the empty text; a text without lexicon terms
-has the empty fingerprint, and its likeness to any other is 1 if both are
-empty, else 0; rows that repeat id and text are one document with a row each; a
+has a hash of the whole text as its fingerprint, so its likeness to an equal
+text is 1 and to any other 0; rows that repeat id and text are one document with a row each; a
 null id counts as the least id; one document alone is its own next; an empty table gives an
 empty table; extra columns are ignored.
 """
@@ -118,7 +119,8 @@ def lexicon(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     kept = [F.when(F.pmod(F.xxhash64("term", F.lit(k)), F.lit(DENSITIES[k // each])) == 0,
                    F.lit(k << _TERM_BITS) + F.pmod(F.xxhash64("term", F.lit(-1)), F.lit(1 << _TERM_BITS))) for k in range(SUBSETS)]
     codes = F.filter(F.array(*kept), lambda c: c.isNotNull())
-    return band.select("term", codes.alias("codes")).filter(F.size("codes") > 0)
+    dense = F.shiftleft(F.pmod(F.xxhash64("term", F.lit(SUBSETS)), F.lit(each)), _TERM_BITS) + F.pmod(F.xxhash64("term", F.lit(-1)), F.lit(1 << _TERM_BITS))
+    return band.select("term", codes.alias("codes")).withColumn("codes", F.when(F.size("codes") > 0, F.col("codes")).otherwise(F.array(dense)))
 
 
 _SIDE_BIT = 62  # of a code: set for the edited text
@@ -141,8 +143,7 @@ def subset_hashes(codes: Column) -> Column:
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal hashes among the subsets that either fingerprint has."""
     subsets = lambda x: F.transform(x, lambda e: F.shiftright(e, _HASH_BITS))
-    either = F.size(F.array_union(subsets(a), subsets(b)))
-    return F.when(either == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / either)
+    return F.size(F.array_intersect(a, b)) / F.size(F.array_union(subsets(a), subsets(b)))
 
 
 def as_text(fingerprint: Column) -> Column:
@@ -152,7 +153,9 @@ def as_text(fingerprint: Column) -> Column:
 def fingerprints(texts: DataFrame, lex: DataFrame) -> DataFrame:
     """From (id, h, text, edited, ...): a row for each (id, h) with the subset
     hashes of both texts (own, other), the number of equal rows (copies) and
-    the first value of each further column."""
+    the first value of each further column.  Where no subset has a hash, that
+    of the whole text stands in, as of a subset of its own."""
+    texts = texts.withColumn("e_h", F.xxhash64("edited"))
     more = [c for c in texts.columns if c not in ("id", "h", "text", "edited")]
     side = lambda col, bit: F.transform(terms(F.col(col)), lambda t: t + F.lit(bit))
     every = F.concat(F.array(F.lit(MARK)), side("text", 0), side("edited", 1))
@@ -171,7 +174,9 @@ def fingerprints(texts: DataFrame, lex: DataFrame) -> DataFrame:
     shift = _SIDE_BIT - _TERM_BITS + _HASH_BITS
     own = F.filter("all", lambda e: F.shiftright(e, shift) == 0)
     other = F.transform(F.filter("all", lambda e: F.shiftright(e, shift) == 1), lambda e: e - F.lit(1 << shift))
-    return hashes.select("id", "h", "copies", *more, own.alias("own"), other.alias("other"))
+    whole = lambda found, h: F.when(F.size(found) > 0, found).otherwise(
+        F.array(F.lit(SUBSETS << _HASH_BITS) + F.pmod(F.col(h), F.lit(1 << _HASH_BITS))))
+    return hashes.select("id", "h", "copies", *[c for c in more if c != "e_h"], whole(own, "h").alias("own"), whole(other, "e_h").alias("other"))
 
 
 def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
