@@ -147,7 +147,7 @@ def test_default_path_equals_plain_on_nulls_nan_and_tiny_amounts(spark):
     df = df.withColumn("timestamp", F.when(F.col("transaction_id") != "9", F.col("timestamp")))
     plain = {r.transaction_id: r for r in build_features(df, mode="plain").collect()}
     assert len(plain) == len(rows)
-    for mode in ("by_second", "bucketed"):
+    for mode in ("blocks", "by_second", "bucketed"):
         got = {r.transaction_id: r for r in build_features(df, mode=mode).collect()}
         assert set(got) == set(plain), mode
         for k, w in plain.items():
@@ -156,3 +156,37 @@ def test_default_path_equals_plain_on_nulls_nan_and_tiny_amounts(spark):
                 same = a == b or (a is not None and b is not None and (math.isclose(a, b, rel_tol=1e-9) or (math.isnan(a) and math.isnan(b))))
                 assert same, (mode, k, c, a, b)
     assert plain["2"].bin_spend_rate == 5000.0 and plain["5"].bin_spend_rate == 1e-13
+
+
+def test_blocks_equal_plain_at_every_edge_of_a_block(spark):
+    import random
+    from tillguard.operators.trailing import Trailing, trailing_blocks, trailing_aggregates, with_epoch_seconds
+    rnd = random.Random(3)
+    edges = [0, 1, 299, 300, 301, 599, 600, 3599, 3600, 3601, 3899, 3900, 86399, 86400, 86401, 86700]
+    rows = [{"id": i, "t": rnd.choice(edges) + rnd.choice([0, 86400, 600]), "terminal": rnd.choice(["A", "B"]), "lat": rnd.choice([None, rnd.random()]),
+             "amount": rnd.choice([None, rnd.uniform(0, 1e6), 1e-9])} for i in range(400)]
+    df = with_epoch_seconds(tx_rows(spark, rows))
+    specs = [Trailing("n", "count", "amount_ngn", 3600), Trailing("d", "sum", "amount_ngn", 86400), Trailing("m", "mean", "amount_ngn", 300)]
+    how = dict(prev_cols=["latitude"], prev_order=["timestamp", "transaction_id"])
+    got = {r.transaction_id: r for r in trailing_blocks(df, ["terminal_id"], specs, **how).collect()}
+    for r in trailing_aggregates(df, ["terminal_id"], specs, mode="plain", **how).collect():
+        g = got[r.transaction_id]
+        assert g.n == r.n and g.prev_latitude == r.prev_latitude
+        for c in ("d", "m"):
+            assert (g[c] is None) == (r[c] is None) and (r[c] is None or abs(g[c] - r[c]) <= 1e-9 * max(1, abs(r[c])))
+
+
+def test_feature_plan_has_few_exchanges_and_no_join(spark):
+    df = tx_rows(spark, [{"id": i, "t": i} for i in range(50)])
+    plan = build_features(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 6 and "Join" not in plan
+
+
+def test_hot_bin_is_spread_over_its_blocks(spark):
+    rows = [{"id": i, "t": i * 7, "bin": "539980", "terminal": "T", "amount": 1.0 * (i % 9)} for i in range(4000)]
+    df = tx_rows(spark, rows)
+    a = {r.transaction_id: r for r in build_features(df).collect()}
+    b = {r.transaction_id: r for r in build_features(df, mode="plain").collect()}
+    assert all(abs(a[k].bin_spend_rate - w.bin_spend_rate) < 1e-9 and a[k].velocity_1h == w.velocity_1h for k, w in b.items())
+    from tillguard.operators.trailing import BLOCK_SECONDS
+    assert max(sum(r["t"] // BLOCK_SECONDS == x for r in rows) for x in range(100)) <= BLOCK_SECONDS // 7 + 1  # own rows of a partition

@@ -454,8 +454,52 @@ FROM (SELECT is_fraud FROM scored ORDER BY 1.0e0 - fraud_probability, transactio
 })
 
 
+#: Greatest event time (ms) less an hour's wait: seconds before it went out.
+CLOCK = "CAST(floor((max(epoch_us(timestamp)) // 1000 - 3600000) / 1000) AS BIGINT)"
+
+STREAM_CORRECTED = FEATURES_FULL.rstrip() + f"""
+WHERE epoch_us(timestamp) // 1000000 < (SELECT {CLOCK} FROM transactions)"""
+
+# every slice's state: windows over what has come, and whether a second is out
+STREAM_CORRECTIONS = with_ctes(f"""
+, come AS (
+  SELECT *, sec // {5 * 86400} + CASE WHEN ev_id % 8 = 3 THEN 1 ELSE 0 END AS slice FROM tx_all),
+clocks AS (
+  SELECT slice, max(clock) OVER (ORDER BY slice) AS clock, max(clock) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM (SELECT slice, {CLOCK} AS clock FROM come GROUP BY slice)),
+-- by run: the rows that had come by then
+held AS (
+  SELECT c.slice AS run, c.clock, c.before, t.terminal_id, t.card_bin, t.sec, t.timestamp, t.transaction_id, t.slice, t.latitude, t.longitude,
+         CAST(round(t.amount_ngn * 1000000) AS HUGEINT) AS amount, t.amount_ngn IS NOT NULL AS has, CASE WHEN t.fraud_type = 'fake_reversal' THEN 1 ELSE 0 END AS rev
+  FROM clocks c JOIN come t ON t.slice <= c.slice),
+w AS (
+  SELECT *, count(*) OVER (PARTITION BY run, terminal_id ORDER BY sec RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS velocity,
+         sum(rev) OVER (PARTITION BY run, terminal_id ORDER BY sec RANGE BETWEEN 86400 PRECEDING AND CURRENT ROW) AS reversals,
+         count(amount) OVER (PARTITION BY run, card_bin ORDER BY sec RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS n,
+         sum(amount) OVER (PARTITION BY run, card_bin ORDER BY sec RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW) AS s,
+         lag(latitude) OVER (PARTITION BY run, terminal_id ORDER BY timestamp, transaction_id) AS p_lat,
+         lag(longitude) OVER (PARTITION BY run, terminal_id ORDER BY timestamp, transaction_id) AS p_lon
+  FROM held),
+jump AS (SELECT *, CASE WHEN p_lat IS NOT NULL THEN {haversine('p_lat', 'p_lon', 'latitude', 'longitude')} ELSE 0.0e0 END AS geo FROM w),
+v AS (
+  SELECT 'velocity_1h' AS feature, run, clock, before, terminal_id AS k, sec, '' AS id, min(slice) AS first_slice, any_value(velocity) AS a, 1 AS b FROM jump GROUP BY ALL
+  UNION ALL SELECT 'terminal_reversal_count', run, clock, before, terminal_id, sec, '', min(slice), any_value(reversals), 1 FROM jump GROUP BY ALL
+  UNION ALL SELECT 'bin_spend_rate', run, clock, before, card_bin, sec, '', min(slice), any_value(s), any_value(n) FROM jump GROUP BY ALL
+  UNION ALL SELECT 'geo_jump_km', run, clock, before, terminal_id, sec, transaction_id, slice, CAST(round(geo * 1000000) AS HUGEINT), 1 FROM jump),
+-- values that are out at the end of a run, and those of the run before
+o AS (
+  SELECT *, lag(a) OVER (PARTITION BY feature, k, sec, id ORDER BY run) AS pa, lag(b) OVER (PARTITION BY feature, k, sec, id ORDER BY run) AS pb,
+         lag(run) OVER (PARTITION BY feature, k, sec, id ORDER BY run) AS was
+  FROM v WHERE sec < clock)
+SELECT feature, count(*) FILTER (was IS NULL) AS n_first,
+       count(*) FILTER (was IS NULL AND first_slice = run AND sec < before) AS n_late,
+       count(*) FILTER (was IS NOT NULL AND a * pb <> pa * b) AS n_corrections
+FROM o GROUP BY feature""")
+
 ORACLES.update({
     "stream_features_state": FEATURES_FULL,
+    "stream_corrected_features": STREAM_CORRECTED,
+    "stream_corrections": STREAM_CORRECTIONS,
     "stream_features_microbatch": with_ctes(f"""
 , sl AS (SELECT *, sec // {5 * 86400} AS slice FROM tx_all),
 slp AS (
@@ -551,3 +595,32 @@ def _eda() -> str:
 
 
 ORACLES["eda_report"] = with_ctes(LABELED + _eda())
+
+
+def _checks(level: str, metric: str, value: str, cols, one) -> list[str]:
+    return [f"SELECT '{level}' AS level, q.\"column\" AS column, '{metric}' AS metric, CAST(q.{value} AS DOUBLE) AS value FROM ({one(c)}) q" for c in cols]
+
+
+ORACLES.update({
+    "alert_stream_read": with_ctes("SELECT * FROM alerts"),
+    # the rows; their seeded order is the engine's own
+    "deterministic_shuffle": with_ctes(LABELED + "\nSELECT transaction_id, " + ", ".join(f"{r6(c)} AS {c}" for c in FEATURES6) + ", is_fraud FROM lab"),
+    # per class, 20 % of the real rows, then 20 % of what is left and the synthetic ones
+    "training_pools": with_ctes(f"""{LABELED}
+, n AS (SELECT is_fraud, count(*) FILTER (WHERE ev_id % 2 = 0) AS r, count(*) FILTER (WHERE ev_id % 2 = 1) AS s FROM lab GROUP BY is_fraud),
+t AS (SELECT *, CAST(floor(0.2e0 * r + 0.5e0) AS BIGINT) AS test FROM n),
+v AS (SELECT *, r - test + s AS rest, CAST(floor(0.2e0 * (r - test + s) + 0.5e0) AS BIGINT) AS val FROM t)
+SELECT pool, is_fraud, n, 0 AS n_synthetic_in_test FROM (
+  SELECT 'test' AS pool, is_fraud, test AS n FROM v UNION ALL SELECT 'val', is_fraud, val FROM v UNION ALL SELECT 'train', is_fraud, rest - val FROM v)
+WHERE n > 0"""),
+    "stratified_split": with_ctes(f"""{LABELED}
+, n AS (SELECT is_fraud, count(*) AS n, CAST(floor(0.2e0 * count(*) + 0.5e0) AS BIGINT) AS test FROM lab GROUP BY is_fraud)
+SELECT is_fraud, is_test, n FROM (SELECT is_fraud, true AS is_test, test AS n FROM n UNION ALL SELECT is_fraud, false, n - test FROM n) WHERE n > 0"""),
+    "fitted_scores": with_ctes("""
+SELECT transaction_id, true AS same_probability, true AS same_blend, true AS same_tier, true AS same_score FROM transactions"""),
+    "gate_document": with_ctes(LABELED + "\n" + _union(
+        _checks("level1", "mean_pct_diff", "mean_pct_diff", FEATURES6, _mean_diff) + _checks("level3a", "ks_statistic", "ks", CONTINUOUS4, _ks)
+        + _checks("level3c", "normalized_score", "normalized_score", CONTINUOUS4, _wasserstein)
+        + _checks("level3b", "chi2_statistic", "chi2_statistic", CATEGORICAL3, _chi)
+        + ["SELECT 'gate', 'all', 'approved', 0.0e0", "SELECT 'gate', 'all', 'rows', 0.0e0"])),
+})

@@ -47,9 +47,8 @@ def features_plain(spark, sf_dir):
 
 @register("features_prefix")
 def features_prefix(spark, sf_dir):
-    """WIN-5 in the hot-key form (chosen automatically when a key would
-    exceed a task): terminal and BIN counts/means from per-second prefix
-    sums, previous location from short buckets; must equal the windows."""
+    """WIN-5 from per-second prefix sums, previous location from short
+    buckets; must equal the windows."""
     return feat.build_features(_tx(spark, sf_dir), terminal_mode="prefix", bin_mode="prefix")
 
 
@@ -357,19 +356,19 @@ def binary_metrics(spark, sf_dir):
 @register("best_threshold")
 def best_threshold(spark, sf_dir):
     """ML-4: F1-optimal threshold on the blended score."""
-    return _metrics().best_threshold(_scored_labeled(spark, sf_dir), "fraud_probability", "is_fraud")
+    return _metrics().best_threshold(_scored_labeled(spark, sf_dir), "fraud_probability", "is_fraud", decimals=4)
 
 
 @register("roc_auc")
 def roc_auc(spark, sf_dir):
     """ML-7 (ties counted half)."""
-    return _metrics().roc_auc(_scored_labeled(spark, sf_dir), "fraud_probability", "is_fraud")
+    return _metrics().roc_auc(_scored_labeled(spark, sf_dir), "fraud_probability", "is_fraud", decimals=4)
 
 
 @register("average_precision")
 def average_precision(spark, sf_dir):
     """ML-8 (step-wise, not trapezoid)."""
-    return _metrics().average_precision(_scored_labeled(spark, sf_dir), "fraud_probability", "is_fraud")
+    return _metrics().average_precision(_scored_labeled(spark, sf_dir), "fraud_probability", "is_fraud", decimals=4)
 
 
 @register("precision_at_k")
@@ -448,29 +447,74 @@ def _scratch(spark, name):
 SLICE_SECONDS = 5 * 86400
 
 
-def _write_time_slices(spark, tx, path):
-    """Transactions as JSON files, one file per 5-day slice, written in time
-    order (the file source then replays them as time-ordered micro-batches)."""
+def _staged_slices(spark, tx, slice_col, path):
+    """Writes transactions once, by slice, each slice as several files dealt by
+    id; returns the slices in order and a reader of one slice's files."""
     from pyspark.sql import functions as F
-    from tillguard.sources.events import to_wire_json
-    sl = F.floor(F.unix_seconds("timestamp") / SLICE_SECONDS)
-    slices = [r[0] for r in tx.select(sl.alias("s")).distinct().orderBy("s").collect()]  # one per 5 days
-    for s in slices:
-        to_wire_json(tx.filter(sl == s)).coalesce(1).write.mode("append").text(path)
-    return len(slices)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    staged = tx.withColumn("_slice", slice_col)
+    (staged.repartitionByRange(n, F.col("_slice"), F.xxhash64("transaction_id"))
+           .write.partitionBy("_slice").parquet(path))
+    held = spark.read.parquet(path)
+    slices = [r[0] for r in held.select("_slice").distinct().orderBy("_slice").collect()]  # a folder each
+    return slices, lambda s: held.filter(F.col("_slice") == s).drop("_slice")
+
+
+def _time_slice():
+    from pyspark.sql import functions as F
+    return F.floor(F.unix_seconds("timestamp") / SLICE_SECONDS)
 
 
 def _stream_features(spark, sf_dir, history):
+    """Slices arrive as JSON files, one after another; the stream takes what
+    has come, stops, and goes on from its checkpoint with the next slice."""
+    from tillguard.sources.events import to_wire_json
     from tillguard.streaming import run_feature_stream, transaction_stream
     base = _scratch(spark, f"features-{history}")
-    src = f"{base}/source"
-    _write_time_slices(spark, _tx(spark, sf_dir), src)
-    stream = transaction_stream(spark, path=src, max_files_per_trigger=1)
-    q = run_feature_stream(stream, f"{base}/features", f"{base}/checkpoint", history=history)
-    q.awaitTermination()
+    slices, rows_of = _staged_slices(spark, _tx(spark, sf_dir), _time_slice(), f"{base}/staged")
+    for s in slices:
+        to_wire_json(rows_of(s)).write.mode("append").text(f"{base}/source")
+        run_feature_stream(transaction_stream(spark, path=f"{base}/source"), f"{base}/features", f"{base}/checkpoint",
+                           history=history).awaitTermination()
     return spark.read.parquet(f"{base}/features").drop("event_date")
 
 
+#: Of the transactions, those that come a slice late.
+LATE_EVERY = 8
+
+
+def _corrected(spark, sf_dir):
+    """Transactions replayed in slices, some a slice (up to ten days) late, into
+    a transaction table that both keyed operators follow."""
+    from pyspark.sql import functions as F
+    from tillguard.sinks.tables import append_transactions
+    from tillguard.streaming.corrected import changes, run_corrected_features
+    base = _scratch(spark, "corrected")
+    late = F.when(F.col("transaction_id").cast("long") % LATE_EVERY == 3, F.lit(1)).otherwise(F.lit(0))
+    slices, rows_of = _staged_slices(spark, _tx(spark, sf_dir), _time_slice() + late, f"{base}/staged")
+    for s in slices:
+        append_transactions(rows_of(s), f"{base}/transactions")
+        for q in run_corrected_features(spark, f"{base}/transactions", f"{base}/changes", delay=3600, horizon=11 * 86400):
+            q.awaitTermination()
+    return spark.read.parquet(f"{base}/transactions"), changes(spark, f"{base}/changes")
+
+
+@register("stream_corrected_features")
+def stream_corrected_features(spark, sf_dir):
+    """STR-3: keyed event-time state, rows out of order and up to ten days
+    late, an hour's wait before values go out; first values with corrections
+    applied equal the batch features of all seconds that went out."""
+    from tillguard.streaming.corrected import corrected_features
+    return corrected_features(*_corrected(spark, sf_dir))
+
+
+@register("stream_corrections")
+def stream_corrections(spark, sf_dir):
+    """STR-7: first values, late ones and corrections by feature."""
+    from tillguard.streaming.corrected import change_counts
+    return change_counts(_corrected(spark, sf_dir)[1])
+
+
 @register("stream_features_state")
 def stream_features_state(spark, sf_dir):
     """STR-1 + STR-3 + STR-6: time-ordered micro-batches with table-backed
@@ -500,6 +544,70 @@ def stream_alerts(spark, sf_dir):
     return spark.read.parquet(f"{base}/alerts")
 
 
+@register("alert_stream_read")
+def alert_stream_read(spark, sf_dir):
+    """SRC-8: alerts published as JSON with upper-case names, read back as a
+    typed stream into a table."""
+    from tillguard.sources.events import to_wire_json
+    from tillguard.streaming import read_alert_stream, stream_to_table
+    base = _scratch(spark, "alert-events")
+    alerts = _alerts(spark, sf_dir)
+    to_wire_json(alerts.toDF(*[c.upper() for c in alerts.columns])).write.text(f"{base}/events")
+    stream = read_alert_stream(spark, path=f"{base}/events", schema=alerts.schema)
+    stream_to_table(stream, f"{base}/alerts", f"{base}/checkpoint").awaitTermination()
+    return spark.read.schema(alerts.schema).parquet(f"{base}/alerts")
+
+
+@register("training_pools")
+def training_pools(spark, sf_dir):
+    """ML-5 + SET-1: rows by pool and class once synthetic rows are added; the
+    test pool holds real rows only."""
+    from pyspark.sql import functions as F
+    from tillguard.plans.training import training_pools as pools
+    real, synth = _real_synth(spark, sf_dir)
+    synthetic = synth.withColumn("transaction_id", F.lit(None).cast("string"))  # synthetic rows have no ids
+    return pools(real, synthetic).groupBy(F.col("pool"), F.col("is_fraud").cast("int").alias("is_fraud")).agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when((F.col("pool") == "test") & (F.col("origin") != "real"), 1)).alias("n_synthetic_in_test"))
+
+
+@register("augmented_training")
+def augmented_training(spark, sf_dir):
+    """ML-5: holdout metrics with synthetic rows added to the training pool
+    (rows-only)."""
+    from pyspark.sql import functions as F
+    from tillguard.plans.training import train_with_holdout
+    real, synth = _real_synth(spark, sf_dir)
+    return train_with_holdout(real, synth.withColumn("transaction_id", F.lit(None).cast("string")))[1]
+
+
+@register("gate_document")
+def gate_document(spark, sf_dir):
+    """SNK-8 + SRC-9 + SRC-10: the nested results document of every level,
+    written, read back and flattened again; opted-in synthetic rows come back
+    only if it approves them.  The levels that SQL can state."""
+    from pyspark.sql import functions as F
+    from tillguard.schemas import FEATURE_COLUMNS
+    from tillguard.sinks.tables import write_synthetic, write_validation_results
+    from tillguard.sources.events import read_gated_synthetic, read_validation_results
+    real, synth = _real_synth(spark, sf_dir)
+    v, base = _validation(), _scratch(spark, "gate")
+    write_validation_results(v.results_document(v.validate(real, synth)), f"{base}/results")
+    write_synthetic(synth, f"{base}/synthetic", [*FEATURE_COLUMNS, "is_fraud"])
+    document = read_validation_results(spark, f"{base}/results")
+    rows, _ = read_gated_synthetic(spark, f"{base}/synthetic", document, True)
+    metrics = [("level1", FEATURE_COLUMNS, "mean_pct_diff"), ("level3a", v.CONTINUOUS_COLUMNS, "ks_statistic"),
+               ("level3c", v.CONTINUOUS_COLUMNS, "normalized_score"), ("level3b", v.CATEGORICAL_COLUMNS, "chi2_statistic")]
+    entries = [F.struct(F.lit(level).alias("level"), F.lit(c).alias("column"), F.lit(m).alias("metric"),
+                        F.col(f"{level}.{c}.metrics.{m}").cast("double").alias("value")) for level, cols, m in metrics for c in cols]
+    flat = document.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    # levels 4 and 5 did not run, so the gate must be closed and no row come back
+    return flat.unionByName(document.select(
+        F.lit("gate").alias("level"), F.lit("all").alias("column"), F.lit("approved").alias("metric"),
+        F.col("approved_for_training").cast("int").cast("double").alias("value"))).unionByName(
+        rows.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+            F.lit("gate").alias("level"), F.lit("all").alias("column"), F.lit("rows").alias("metric"), "value"))
+
+
 @register("json_roundtrip")
 def json_roundtrip(spark, sf_dir):
     """SRC-2 + SRC-3: transactions -> JSON wire text -> decoded, valid rows."""
@@ -542,12 +650,12 @@ def classifier_metrics(spark, sf_dir):
 @register("feature_importance")
 def feature_importance(spark, sf_dir):
     """ML-10 (+ ML-15 save/load round trip): importances of the classifier
-    trained on all real rows (rows-only)."""
+    trained on all labelled rows (rows-only)."""
     from tillguard.plans import registry
     from tillguard.plans.training import feature_importance as fi, train_classifier
-    real, _ = _real_synth(spark, sf_dir)
+    from tillguard.session import materialize
     root = _scratch(spark, "registry")
-    registry.register_model(spark, train_classifier(real), root, "fraud-classifier")
+    registry.register_model(spark, train_classifier(materialize(_labeled(spark, sf_dir))), root, "fraud-classifier")
     return fi(registry.load_model(spark, root, "fraud-classifier"))
 
 
@@ -647,6 +755,55 @@ def stream_scores(spark, sf_dir):
         "scored_at", F.col("scored_at"))
 
 
+def _fitted_scorer(spark, lab):
+    from pyspark.sql import functions as F
+    from tillguard.plans.ensemble import FittedScorer, flatten_classifier, flatten_forest
+    from tillguard.plans.isolation_forest import fit_isolation_forest
+    from tillguard.plans.training import train_classifier
+    gbt, forest = train_classifier(lab, maxIter=50), fit_isolation_forest(lab.filter(F.col("is_fraud") == 0))
+    return gbt, FittedScorer(flatten_classifier(gbt), flatten_forest(forest))
+
+
+@register("fitted_scores")
+def fitted_scores(spark, sf_dir):
+    """ML-14 + STR-4: classifier and isolation forest fitted on the labelled
+    rows, both as node arrays; every feature row scored by a stream into the
+    score table and read back.  Each row says whether the array model's
+    probability is MLlib's (1e-9) and whether blend and tier follow from the
+    written outputs; the oracle expects that of every transaction."""
+    from pyspark.sql import functions as F
+    from tillguard.plans.training import predict_proba
+    from tillguard.session import materialize
+    from tillguard.streaming import run_score_stream
+    base = _scratch(spark, "fitted-scores")
+    lab = materialize(_labeled(spark, sf_dir))
+    gbt, scorer = _fitted_scorer(spark, lab)
+    lab.withColumn("timestamp", F.lit("2026-01-01").cast("timestamp")).write.parquet(f"{base}/features")
+    features = spark.read.parquet(f"{base}/features")
+    run_score_stream(spark.readStream.schema(features.schema).parquet(f"{base}/features"), f"{base}/scores", f"{base}/checkpoint",
+                     lambda d: scorer.score(d, scored_at="timestamp")).awaitTermination()
+    scored = spark.read.parquet(f"{base}/scores").drop("event_date")
+    arrays = scorer.outputs(features).select("transaction_id", F.col("xgboost_score").alias("p"), "raw_anomaly")
+    from tillguard.plans.scoring import with_scoring_ratio
+    mllib = predict_proba(gbt, with_scoring_ratio(features)).select("transaction_id", "probability_1")
+    d = scored.join(arrays, "transaction_id").join(mllib, "transaction_id")
+    blend = F.expr("0.7 * p + (1 - 0.7) * (1 - raw_anomaly) / 2")
+    tier = F.expr("CASE WHEN b >= 0.85 THEN 'critical' WHEN b >= 0.6 THEN 'high' WHEN b >= 0.3 THEN 'medium' ELSE 'low' END")
+    return d.withColumn("b", blend).select(
+        "transaction_id", (F.abs(F.col("p") - F.col("probability_1")) <= 1e-9).alias("same_probability"),
+        (F.abs(F.col("fraud_probability") - F.col("b")) <= 0.50001e-4).alias("same_blend"), (F.col("alert_tier") == tier).alias("same_tier"),
+        (F.abs(F.col("xgboost_score") - F.col("p")) <= 0.50001e-4).alias("same_score"))
+
+
+@register("grid_sweep")
+def grid_sweep(spark, sf_dir):
+    """ML-9 on a grid cut to short fits (the declared one is
+    ``ensemble.PARAM_GRID``): one row a combination (rows-only)."""
+    from tillguard.plans.ensemble import staged_sweep
+    from tillguard.session import materialize
+    return staged_sweep(materialize(_labeled(spark, sf_dir)), {"maxDepth": [3, 4], "stepSize": [0.1], "maxIter": [5, 10]}, k=2)
+
+
 @register("dnnr")
 def dnnr(spark, sf_dir):
     """VAL-7: privacy distance ratio with exact nearest neighbours (k-d

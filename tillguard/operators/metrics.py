@@ -8,7 +8,7 @@ scores form one threshold step.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillguard.operators.cumulative import global_positions, running_totals, weights_by_value
@@ -27,6 +27,21 @@ def score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
     return weights_by_value(df, score, {"pos": y, "neg": F.lit(1).cast("long") - y}, out="score")
 
 
+def _curve(df: DataFrame, score: str, label: str, sums, *, descending: bool = False, n_buckets: int | None = None,
+           decimals: int | None = None) -> DataFrame:
+    """Per-score counts with running totals ``cum_`` and totals ``tot_``.  With
+    ``decimals`` the scores are probabilities of so many decimals: then there
+    are at most 10**decimals + 1 rows, and one window over them will do."""
+    if decimals is None:
+        return running_totals(score_counts(df, score, label), "score", sums, descending=descending, n_buckets=n_buckets)
+    s = F.col(score)
+    step = F.when((s < 0) | (s > 1), F.raise_error(F.lit("scores must lie in 0 to 1")).cast("double")).otherwise(F.round(s, decimals))
+    c = score_counts(df.withColumn(score, step), score, label)
+    order = Window.orderBy(F.desc("score") if descending else F.asc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    every = Window.partitionBy()
+    return c.withColumns({**{f"cum_{x}": F.sum(x).over(order) for x in sums}, **{f"tot_{x}": F.sum(x).over(every) for x in sums}})
+
+
 def binary_metrics(df: DataFrame, score: str, label: str, threshold: float = 0.5) -> DataFrame:
     """ML-6: precision, recall, F1 at ``score >= threshold`` (0 when undefined)."""
     y = _label(label)
@@ -44,9 +59,9 @@ def binary_metrics(df: DataFrame, score: str, label: str, threshold: float = 0.5
              .withColumn("f1", f1))
 
 
-def roc_auc(df: DataFrame, score: str, label: str, *, n_buckets: int | None = None) -> DataFrame:
+def roc_auc(df: DataFrame, score: str, label: str, *, n_buckets: int | None = None, decimals: int | None = None) -> DataFrame:
     """ML-7: exact ROC AUC with ties counted half.  NULL if a class is absent."""
-    c = running_totals(score_counts(df, score, label), "score", ["neg"], n_buckets=n_buckets)
+    c = _curve(df, score, label, ["neg"], n_buckets=n_buckets, decimals=decimals)
     below = F.col("cum_neg") - F.col("neg")
     return c.agg(
         (F.sum(F.col("pos") * (below + F.col("neg") / 2.0)) /
@@ -74,21 +89,21 @@ def _with_pr(c: DataFrame) -> DataFrame:
                         (F.col("precision") + F.col("recall") + F.lit(F1_EPS)))
 
 
-def average_precision(df: DataFrame, score: str, label: str, *, n_buckets: int | None = None) -> DataFrame:
+def average_precision(df: DataFrame, score: str, label: str, *, n_buckets: int | None = None,
+                      decimals: int | None = None) -> DataFrame:
     """ML-8: step-wise AP = sum over thresholds of (recall gain) * precision."""
-    c = running_totals(score_counts(df, score, label), "score", ["pos", "neg"], descending=True,
-                       n_buckets=n_buckets)
+    c = _curve(df, score, label, ["pos", "neg"], descending=True, n_buckets=n_buckets, decimals=decimals)
     tp, fp = F.col("cum_pos").cast("double"), F.col("cum_neg").cast("double")
     agg = c.agg(F.sum(F.col("pos") * (tp / (tp + fp))).alias("_s"), F.sum("pos").alias("positives"))
     return agg.select(F.when(F.col("positives") > 0, F.col("_s") / F.col("positives")).alias("average_precision"),
                       "positives")
 
 
-def best_threshold(df: DataFrame, score: str, label: str, *, n_buckets: int | None = None) -> DataFrame:
+def best_threshold(df: DataFrame, score: str, label: str, *, n_buckets: int | None = None,
+                   decimals: int | None = None) -> DataFrame:
     """ML-4: threshold with the highest F1 = 2PR/(P+R+1e-12); on equal F1 the
     lowest threshold wins."""
-    c = _with_pr(running_totals(score_counts(df, score, label), "score", ["pos", "neg"], descending=True,
-                                n_buckets=n_buckets))
+    c = _with_pr(_curve(df, score, label, ["pos", "neg"], descending=True, n_buckets=n_buckets, decimals=decimals))
     best = F.max_by(F.struct(F.col("score").alias("threshold"), "f1", "precision", "recall"),
                     F.struct(F.col("f1"), -F.col("score")))
     return c.agg(best.alias("b")).select("b.*")

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillguard.functions import has_geo_jump
-from tillguard.operators.cumulative import grouped_quantiles, melt
 from tillguard.schemas import FEATURE_COLUMNS
 
 
@@ -43,16 +42,18 @@ def missing_value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def describe_features(df: DataFrame, cols: Sequence[str] = FEATURE_COLUMNS) -> DataFrame:
-    """AGG-13: count, mean, sample std, min, exact 25/50/75 % (linear), max,
-    for all columns in one pass over the long (column, value) form."""
-    long = melt(df, cols)
-    base = long.groupBy("column").agg(F.count("value").alias("count"), F.avg("value").alias("mean"),
-                                      F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-                                      F.max("value").alias("max"))
-    q = grouped_quantiles(long, "value", [0.25, 0.5, 0.75], group=["column"])
-    out = base.join(F.broadcast(q), "column", "left")  # one row per column: bounded
-    return out.select("column", "count", "mean", "std", "min", F.col("q25").alias("p25"),
-                      F.col("q50").alias("p50"), F.col("q75").alias("p75"), "max")
+    """AGG-13: count, mean, sample std, min, exact 25/50/75 % (linear), max:
+    one aggregate for all columns, and their quantiles by selection
+    (``operators.selection``: values are counted in place, none moves)."""
+    from tillguard.operators.selection import quantiles
+    from tillguard.session import materialize
+    d = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    how = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    row = d.agg(*[f(c).alias(f"{c}__{k}") for c in cols for k, f in how.items()]).first()
+    q = quantiles(d, cols, [0.25, 0.5, 0.75])
+    rows = [(c, *[row[f"{c}__{k}"] for k in ("count", "mean", "std", "min")], *q[c], row[f"{c}__max"]) for c in cols]
+    return df.sparkSession.createDataFrame(rows, "column string, count long, mean double, std double, min double, p25 double, "
+                                                 "p50 double, p75 double, max double")
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

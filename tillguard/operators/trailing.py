@@ -111,6 +111,8 @@ def trailing_aggregates(df: DataFrame, keys: Sequence[str], specs: Sequence[Trai
             out = out.withColumns({f"{prev_prefix}{c}": F.lag(c).over(wp) for c in prev_cols})
         wr = part.orderBy(F.col(sec_col))
         return out.withColumns({s.out: _agg_over(s, wr.rangeBetween(-s.lookback, 0)) for s in specs})
+    if mode == "blocks":
+        return trailing_blocks(df, keys, specs, sec_col=sec_col, prev_cols=prev_cols, prev_order=prev_order, prev_prefix=prev_prefix)
     if mode == "by_second":
         return trailing_by_second(df, keys, specs, sec_col=sec_col, bucket_seconds=bucket_seconds, prev_cols=prev_cols,
                                   prev_order=prev_order, prev_prefix=prev_prefix)
@@ -204,6 +206,94 @@ def trailing_by_second(df: DataFrame, keys: Sequence[str], specs: Sequence[Trail
     return out
 
 
+#: Width of the blocks of ``trailing_blocks``; lookbacks are multiples of it.
+BLOCK_SECONDS = 300
+
+
+def trailing_blocks(df: DataFrame, keys: Sequence[str], specs: Sequence[Trailing], *, sec_col: str = SEC,
+                    block_seconds: int = BLOCK_SECONDS, prev_cols: Sequence[str] = (), prev_order: Sequence[str] = (),
+                    prev_prefix: str = "prev_") -> DataFrame:
+    """The same values from two-level sums, without a join back to the rows.
+
+    A trailing window that ends in a block of seconds is the block up to the
+    row, the whole blocks before it, and the end of the block in which it
+    begins.  A (key, block) partition holds the block's rows, thin copies of
+    the rows of the block where its windows begin, and one header: the sums of
+    the whole blocks between (a window over one row a block) and the key's
+    last row before the block.  All frames only grow, so a partition takes
+    linear time; nothing is subtracted, so sums lose no digits; a hot key is
+    spread over its blocks.  NULL keys and NULL clocks are groups like others.
+    """
+    keys = list(keys)
+    parts: dict[str, tuple[Column, int]] = {}
+    for i, s in enumerate(specs):
+        if s.agg not in ("count", "sum", "mean"):
+            raise ValueError(f"unknown trailing aggregate {s.agg!r}")
+        if s.lookback % block_seconds:
+            raise ValueError("lookbacks must be multiples of the block")
+        if s.agg in ("count", "mean"):
+            parts[f"n{i}"] = (F.when(s.column().isNotNull(), F.lit(1).cast("long")), s.lookback)
+        if s.agg in ("sum", "mean"):
+            parts[f"s{i}"] = (s.column(), s.lookback)
+    key_names = [f"_k{j}" for j in range(len(keys))]
+    part = [*key_names, "_block"]
+    places, order = [F.col(c) for c in prev_cols], F.struct(F.col(sec_col), *[F.col(c) for c in prev_order])
+    block = F.floor(F.col(sec_col) / F.lit(block_seconds)).cast("long")
+    base = df.select(*[F.col(k).alias(n) for k, n in zip(keys, key_names)], block.alias("_block"),
+                     (F.col(sec_col) - block * block_seconds).cast("int").alias("_off"), F.struct(*df.columns).alias("_row"),
+                     *[c.alias(f"_p_{k}") for k, (c, _) in parts.items()],
+                     *([F.struct(*places).alias("_place"), order.alias("_order")] if prev_cols else []))
+    rows = base.withColumn("_kind", F.lit(2))
+
+    last = [F.max_by("_place", "_order").alias("_last")] if prev_cols else []
+    blocks = base.groupBy(*part).agg(*[F.sum(f"_p_{k}").alias(f"_b_{k}") for k in parts], *last, F.count(F.lit(1)).alias("_rows"))
+    w = Window.partitionBy(*key_names).orderBy("_block")
+    between = {f"_h_{k}": F.when(F.col("_block").isNotNull(), F.sum(f"_b_{k}").over(w.rangeBetween(1 - lookback // block_seconds, -1)))
+               for k, (_, lookback) in parts.items() if lookback > block_seconds}
+    headers = blocks.select(*part, F.lit(-1).alias("_off"), F.lit(0).alias("_kind"), *[c.alias(n) for n, c in between.items()],
+                            *([F.lag("_last").over(w).alias("_place")] if prev_cols else []))
+    merged = rows.unionByName(headers, allowMissingColumns=True)
+    lookbacks = sorted({lookback for _, lookback in parts.values()})
+    if lookbacks:
+        old = base.filter(F.col("_block").isNotNull()).withColumn("_back", F.explode(F.array(*[F.lit(x) for x in lookbacks]))).select(
+            *key_names, (F.col("_block") + (F.col("_back") / block_seconds).cast("long")).alias("_block"), "_off", F.lit(1).alias("_kind"),
+            *[F.when(F.col("_back") == lookback, F.col(f"_p_{k}")).alias(f"_o_{k}") for k, (_, lookback) in parts.items()])
+        any_part = F.lit(False)
+        for k in parts:
+            any_part = any_part | F.col(f"_o_{k}").isNotNull()
+        merged = merged.unionByName(old.filter(any_part), allowMissingColumns=True)
+
+    cols = {}
+    if prev_cols:
+        fine = Window.partitionBy(*part).orderBy("_off", "_kind", "_order").rowsBetween(Window.unboundedPreceding, -1)
+        cols["_before"] = F.last("_place", ignorenulls=True).over(fine)
+    up = Window.partitionBy(*part).orderBy("_off").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy(*part).orderBy(F.desc("_off")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    for k in parts:
+        cols[f"_u_{k}"] = F.sum(f"_p_{k}").over(up)
+        cols[f"_d_{k}"] = F.sum(f"_o_{k}").over(down)
+        if f"_h_{k}" in between:
+            cols[f"_m_{k}"] = F.max(f"_h_{k}").over(up)
+    out = merged.withColumns(cols).filter(F.col("_kind") == 2)
+
+    def total(k):
+        found = [F.col(f"_{x}_{k}") for x in "umd" if f"_{x}_{k}" in cols]
+        zero = F.lit(0)
+        every = sum((F.coalesce(c, zero) for c in found[1:]), F.coalesce(found[0], zero))
+        return F.when(F.coalesce(*found).isNotNull(), every)
+
+    made = {}
+    for i, s in enumerate(specs):
+        if s.agg == "count":
+            made[s.out] = F.coalesce(total(f"n{i}"), F.lit(0)).cast("long")
+        elif s.agg == "sum":
+            made[s.out] = total(f"s{i}")
+        else:
+            made[s.out] = F.try_divide(total(f"s{i}").cast("double"), total(f"n{i}").cast("double"))
+    made.update({f"{prev_prefix}{c}": F.col(f"_before.{c}") for c in prev_cols})
+    return out.select("_row.*", *[c.alias(n) for n, c in made.items()])
+
+
 def trailing_window_agg(df: DataFrame, group: Sequence[str] | str, seconds: int, how: str = "sum",
                         value: str | None = None, out: str = "trailing", *, ts_col: str = "timestamp",
                         tie_policy: str = "peers", tie_order: str | None = None,

@@ -56,9 +56,34 @@ def two_sample_counts(real: DataFrame, synth: DataFrame, cols: Sequence[str]) ->
     return both.groupBy("column", "value").agg(F.sum("c1").alias("c1"), F.sum("c2").alias("c2"))
 
 
+def _both(real: DataFrame, synth: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Both samples' columns as doubles, the second marked, written once."""
+    from tillguard.session import materialize
+    side = lambda d, second: d.select(*[F.col(c).cast("double").alias(c) for c in cols], F.lit(second).alias("_second"))
+    return materialize(side(real, False).unionByName(side(synth, True)))
+
+
+def _by_sort(exact: DataFrame, col: str):
+    return exact.filter(F.col("column") == col).first()
+
+
 def ks_statistics(real: DataFrame, synth: DataFrame, cols: Sequence[str], *,
                   n_buckets: int | None = None) -> DataFrame:
-    """VAL-3 statistic per column: D = max |F_real(x) - F_synth(x)|."""
+    """VAL-3 statistic per column: D = max |F_real(x) - F_synth(x)|, by
+    narrowing histograms; no value moves."""
+    from tillguard.operators.selection import ks
+    rows = []
+    for c, found in ks(_both(real, synth, cols), list(cols), "_second").items():
+        if found is None:
+            r = _by_sort(ks_by_sort(real, synth, [c], n_buckets=n_buckets), c)
+            found = (r.ks, r.n1, r.n2)
+        if found[1] or found[2]:
+            rows.append((c, *found))
+    return real.sparkSession.createDataFrame(rows, "column string, ks double, n1 long, n2 long")
+
+
+def ks_by_sort(real: DataFrame, synth: DataFrame, cols: Sequence[str], *, n_buckets: int | None = None) -> DataFrame:
+    """The same from running totals over the distinct values."""
     c = running_totals(two_sample_counts(real, synth, cols), "value", ["c1", "c2"], group="column",
                        n_buckets=n_buckets)
     d = F.abs(F.col("cum_c1") / F.col("tot_c1") - F.col("cum_c2") / F.col("tot_c2"))
@@ -74,17 +99,24 @@ def ks_statistic(real: DataFrame, synth: DataFrame, col: str, *, n_buckets: int
 def wasserstein_distances(real: DataFrame, synth: DataFrame, cols: Sequence[str], *,
                           n_buckets: int | None = None) -> DataFrame:
     """VAL-5 per column: W1 = integral |F_real - F_synth| dx, and W1 / sample
-    std of real (+inf when that std is 0)."""
+    std of real (+inf when that std is 0), by narrowing histograms."""
+    from tillguard.operators.selection import wasserstein as integral
+    both = _both(real, synth, cols)
+    sd = both.filter(~F.col("_second")).agg(*[F.stddev_samp(c).alias(c) for c in cols]).first()
+    rows = []
+    for c, raw in integral(both, list(cols), "_second").items():
+        raw = _by_sort(wasserstein_by_sort(real, synth, [c], n_buckets=n_buckets), c).raw_distance if raw is None else raw
+        rows.append((c, raw, raw / sd[c] if sd[c] is not None and sd[c] > 0 else float("inf")))
+    return real.sparkSession.createDataFrame(rows, "column string, raw_distance double, normalized_score double")
+
+
+def wasserstein_by_sort(real: DataFrame, synth: DataFrame, cols: Sequence[str], *, n_buckets: int | None = None) -> DataFrame:
+    """W1 from running totals over the distinct values."""
     c = running_totals(two_sample_counts(real, synth, cols), "value", ["c1", "c2"], group="column",
                        n_buckets=n_buckets, with_next=True)
     step = (F.abs(F.col("cum_c1") / F.col("tot_c1") - F.col("cum_c2") / F.col("tot_c2"))
             * (F.col("next_value") - F.col("value")))
-    raw = c.groupBy("column").agg(F.coalesce(F.sum(step), F.lit(0.0)).alias("raw_distance"))
-    sd = melt(real, cols).groupBy("column").agg(F.stddev_samp("value").alias("_sd"))
-    out = raw.join(F.broadcast(sd), "column", "left")  # one row per column: bounded
-    return out.select("column", "raw_distance",
-                      F.when(F.col("_sd") > 0, F.col("raw_distance") / F.col("_sd"))
-                       .otherwise(F.lit(float("inf"))).alias("normalized_score"))
+    return c.groupBy("column").agg(F.coalesce(F.sum(step), F.lit(0.0)).alias("raw_distance"))
 
 
 def wasserstein(real: DataFrame, synth: DataFrame, col: str, *, n_buckets: int | None = None) -> DataFrame:
@@ -148,10 +180,37 @@ def chi2_pvalue(stat: float, dof: int) -> float:
     return _gammaincc(dof / 2.0, stat / 2.0)
 
 
+#: Sample sizes (their product) up to which the two-sample p-value is exact.
+KS_EXACT_CELLS = 250_000
+
+
+def ks_pvalue_exact(d: float, n1: int, n2: int) -> float:
+    """P(D >= d) over all orders of two samples without ties: the share of the
+    lattice paths from (0, 0) to (n1, n2) that reach |i/n1 - j/n2| >= d.  The
+    paths that stay inside are counted row by row, in whole numbers."""
+    reach = round(d * n1 * n2)  # the statistic is a multiple of 1 / (n1 n2)
+    if reach <= 0:
+        return 1.0
+    inside = lambda i, j: abs(i * n2 - j * n1) < reach
+    row = [0] * (n2 + 1)
+    for j in range(n2 + 1):
+        if not inside(0, j):
+            break
+        row[j] = 1
+    for i in range(1, n1 + 1):
+        left = 0
+        for j in range(n2 + 1):
+            left = row[j] = row[j] + left if inside(i, j) else 0
+    total = math.comb(n1 + n2, n1)
+    return (total - row[n2]) / total
+
+
 def ks_pvalue(d: float, n1: int, n2: int) -> float:
-    """Asymptotic two-sample Kolmogorov p-value."""
+    """Two-sample Kolmogorov p-value: exact for small samples, else asymptotic."""
     if d is None or n1 == 0 or n2 == 0:
         return float("nan")
+    if n1 * n2 <= KS_EXACT_CELLS:
+        return ks_pvalue_exact(d, n1, n2)
     en = math.sqrt(n1 * n2 / (n1 + n2))
     lam = (en + 0.12 + 0.11 / en) * d
     if lam < 1e-3:
@@ -235,6 +294,25 @@ def validation_summary(results: DataFrame) -> DataFrame:
                    .agg(F.count_if(~F.col("passed")).alias("failed"), F.count(F.lit(1)).alias("checks")))
 
 
+#: Keys under which a level's checks stand in the results document.
+DOCUMENT_LEVELS = ("level1", "level3a", "level3b", "level3c", "level4", "level5")
+
+
+def results_document(results: DataFrame, approved: DataFrame | None = None) -> DataFrame:
+    """The nested results document as one row: for each level a map from
+    column to its metrics, rating and verdict, then the gate's decision
+    (``approved_for_training``, ``gate_failure_reasons``)."""
+    gate = (approve(results) if approved is None else approved).select(
+        F.col("approved").alias("approved_for_training"), F.col("reasons").alias("gate_failure_reasons"))
+    checks = results.groupBy("level", "column").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("metric", "value")))).alias("metrics"),
+        F.max("rating").alias("rating"), F.min("passed").alias("passed"))
+    entry = F.struct(F.col("column"), F.struct("metrics", "rating", "passed"))
+    levels = checks.agg(*[F.map_from_entries(F.collect_list(F.when(F.col("level") == v, entry))).alias(v) for v in DOCUMENT_LEVELS],
+                        gate.select(F.struct("*")).scalar().alias("_gate"))  # a few columns a level
+    return levels.select(*DOCUMENT_LEVELS, "_gate.*")
+
+
 def distribution_tables(real: DataFrame, synth: DataFrame, cols: Sequence[str] = FEATURE_COLUMNS,
                         bins: int = 20) -> DataFrame:
     """VAL-2 as data: equal-width density per column and dataset over the

@@ -9,9 +9,10 @@ Per transaction, over whole epoch seconds with inclusive trailing frames:
 * ``terminal_reversal_count``: fake reversals of the terminal in the last 24 h;
 * ``amount_vs_bin_avg_ratio``: amount / bin_spend_rate (NULL for a 0 base).
 
-Physical shape: rows are reduced to one per (key, second), the windows run
-over those, and the values join back on (key, second); no task's rows grow
-with a hot key, and there is no switch by size (see ``operators.trailing``).
+Physical shape: rows are dealt by (key, block of seconds), once for terminals
+and once for BINs, next to the sums that their windows need from earlier
+blocks; nothing joins back, a hot key is spread over its blocks, and there is
+no switch by size (see ``operators.trailing.trailing_blocks``).
 """
 
 from __future__ import annotations
@@ -68,16 +69,16 @@ def _terminal_stage_prefix(df: DataFrame, lag_bucket_seconds: int) -> DataFrame:
     return _terminal_stage(d.drop("_is_reversal"), "bucketed", lag_bucket_seconds, with_geo=True, specs=[])
 
 
-def build_features(tx: DataFrame, *, mode: str = "by_second", terminal_bucket_seconds: int = 2 * DAY,
+def build_features(tx: DataFrame, *, mode: str = "blocks", terminal_bucket_seconds: int = 2 * DAY,
                    bin_bucket_seconds: int = 4 * HOUR, bin_mode: str | None = None,
                    terminal_mode: str | None = None, lag_bucket_seconds: int = HOUR) -> DataFrame:
     """WIN-5: all five features, 10 output columns in the fixed order.
 
     Counts stay integral (bigint); ``to_feature_table`` casts to the declared
-    double schema at the table edge.  One lazy plan for every size: trailing
-    values per (key, second) (``operators.trailing.trailing_by_second``).
-    Other modes run only when asked for: ``'bucketed'`` and ``'plain'`` windows
-    over rows, ``'prefix'`` per-second prefix sums.
+    double schema at the table edge.  One lazy plan for every size: two-level
+    sums (``operators.trailing.trailing_blocks``).  Other modes run only when
+    asked for: ``'by_second'`` values joined back on (key, second),
+    ``'bucketed'`` and ``'plain'`` windows over rows, ``'prefix'`` sums.
     """
     d = with_epoch_seconds(tx.select("transaction_id", "terminal_id", "card_bin", "amount_ngn",
                                      "latitude", "longitude", "timestamp", "fraud_type"))
@@ -90,7 +91,7 @@ def build_features(tx: DataFrame, *, mode: str = "by_second", terminal_bucket_se
     return d.select(*FEATURE_OUTPUT)
 
 
-def with_velocity_1h(tx: DataFrame, *, mode: str = "by_second", bucket_seconds: int = 4 * HOUR) -> DataFrame:
+def with_velocity_1h(tx: DataFrame, *, mode: str = "blocks", bucket_seconds: int = 4 * HOUR) -> DataFrame:
     """WIN-1 alone."""
     d = with_epoch_seconds(tx)
     d = _terminal_stage(d, mode, bucket_seconds, with_geo=False,
@@ -98,19 +99,19 @@ def with_velocity_1h(tx: DataFrame, *, mode: str = "by_second", bucket_seconds:
     return d.drop(SEC)
 
 
-def with_geo_jump(tx: DataFrame, *, mode: str = "by_second", bucket_seconds: int = DAY) -> DataFrame:
+def with_geo_jump(tx: DataFrame, *, mode: str = "blocks", bucket_seconds: int = DAY) -> DataFrame:
     """WIN-2 alone."""
     d = with_epoch_seconds(tx)
     d = _terminal_stage(d, mode, bucket_seconds, with_geo=True, specs=[])
     return d.drop(SEC)
 
 
-def with_bin_spend_rate(tx: DataFrame, *, mode: str = "by_second", bucket_seconds: int = 4 * HOUR) -> DataFrame:
+def with_bin_spend_rate(tx: DataFrame, *, mode: str = "blocks", bucket_seconds: int = 4 * HOUR) -> DataFrame:
     """WIN-3 alone (the BIN key is hot: only a handful of BINs exist)."""
     return _bin_stage(with_epoch_seconds(tx), mode, bucket_seconds).drop(SEC)
 
 
-def with_terminal_reversal_count(tx: DataFrame, *, mode: str = "by_second",
+def with_terminal_reversal_count(tx: DataFrame, *, mode: str = "blocks",
                                  bucket_seconds: int = 2 * DAY) -> DataFrame:
     """WIN-4 alone."""
     d = with_epoch_seconds(tx)

@@ -41,13 +41,13 @@ def _row_hash(df: DataFrame, id_col: str, seed: int):
 
 def _class_position(df: DataFrame, label: str, id_col: str, seed: int) -> DataFrame:
     """Adds ``_pos``, each row's place (from 1) in its class's hash order, and
-    ``_tot``, the size of its class.  Rows of equal hash are numbered among
-    themselves: they are equal rows, so which is which does not matter."""
+    ``_tot``, the size of its class.  Rows of equal hash are numbered by all
+    their columns, so that a plan that runs twice numbers them alike."""
     d = df.withColumn("_h", _row_hash(df, id_col, seed))
     counts = d.groupBy(label, "_h").agg(F.count(F.lit(1)).alias("n"))
     cum = running_totals(counts, "_h", ["n"], group=label).select(
         F.col(label).alias("_l"), F.col("_h").alias("_g"), (F.col("cum_n") - F.col("n")).alias("_before"), F.col("tot_n").alias("_tot"))
-    rank = F.row_number().over(Window.partitionBy(label, "_h").orderBy(F.lit(0)))
+    rank = F.row_number().over(Window.partitionBy(label, "_h").orderBy(*[F.col(c) for c in df.columns]))
     return (d.join(cum, F.col(label).eqNullSafe(F.col("_l")) & (F.col("_h") == F.col("_g")))
              .withColumn("_pos", F.col("_before") + rank).drop("_l", "_g", "_h", "_before"))
 
@@ -133,6 +133,20 @@ def cross_validate(df: DataFrame, k: int = 5, features: Sequence[str] = FEATURE_
             "cv_folds_with_both_classes": len(aucs), "cv_n_splits": k}
 
 
+def training_pools(real: DataFrame, synthetic: DataFrame | None = None, label: str = "is_fraud") -> DataFrame:
+    """SET-1 / ML-5: every row with its ``pool``: ``test`` is 20 % of the real
+    rows; synthetic rows join the others, of which 20 % are ``val`` and the
+    rest ``train``.  ``origin`` says where a row is from."""
+    r = stratified_split(real, label, 0.2, out="_test").withColumn("origin", F.lit("real"))
+    pool = r.filter(~F.col("_test")).drop("_test")
+    if synthetic is not None:
+        s = synthetic.withColumn("origin", F.lit("synthetic"))
+        pool = pool.unionByName(s.select(*pool.columns))
+    tv = stratified_split(pool, label, 0.2, out="_val")
+    return tv.withColumn("pool", F.when(F.col("_val"), F.lit("val")).otherwise(F.lit("train"))).drop("_val").unionByName(
+        r.filter("_test").drop("_test").withColumn("pool", F.lit("test")))
+
+
 def train_with_holdout(real: DataFrame, synthetic: DataFrame | None = None, features: Sequence[str] = FEATURE_COLUMNS,
                        label: str = "is_fraud", **params) -> tuple[PipelineModel, DataFrame]:
     """ML-5: 20 % real-only test split first; synthetic rows join only the
@@ -140,13 +154,10 @@ def train_with_holdout(real: DataFrame, synthetic: DataFrame | None = None, feat
     refit on train+val; report at 0.5 and at the tuned threshold.
 
     Returns (final model, long-form metrics ``metric, value``)."""
-    r = stratified_split(real, label, 0.2, out="_test")
-    trainval = r.filter(~F.col("_test")).drop("_test")
-    test = r.filter(F.col("_test")).drop("_test")
-    if synthetic is not None:
-        trainval = trainval.unionByName(synthetic.select(*trainval.columns), allowMissingColumns=False)
-    tv = stratified_split(trainval, label, 0.2, out="_val", id_col="transaction_id")
-    train, val = tv.filter(~F.col("_val")).drop("_val"), tv.filter(F.col("_val")).drop("_val")
+    from tillguard.session import materialize
+    d = materialize(training_pools(real, synthetic, label))
+    trainval, test = d.filter(F.col("pool") != "test"), d.filter(F.col("pool") == "test")
+    train, val = d.filter(F.col("pool") == "train"), d.filter(F.col("pool") == "val")
     # the threshold model and the final model are independent fits: run them
     # as concurrent Spark jobs (as CrossValidator's ``parallelism`` does)
     m_thr, model = _fit_concurrently([train, trainval], features, label, params)

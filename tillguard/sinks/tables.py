@@ -126,6 +126,12 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_validation_results(document: DataFrame, path: str) -> None:
+    """SNK-8: the nested results document (``validation.results_document``, one
+    row) as JSON; ``read_validation_results`` reads it back."""
+    document.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
 def dataset_card(real: DataFrame, synth: DataFrame, label: str = "is_fraud") -> DataFrame:
     """SNK-8 card: record counts and fraud rates of both datasets."""
     def rates(d, name):

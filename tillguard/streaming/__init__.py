@@ -1,14 +1,16 @@
 """Structured Streaming jobs (STR-1..8).
 
-* ``transaction_stream`` / ``score_stream``: Kafka or JSON-file sources,
-  decoded with the declared schema (SRC-1, SRC-2, SRC-5, SRC-6).
+* ``transaction_stream`` / ``score_stream`` / ``read_alert_stream``: Kafka or
+  JSON-file sources, decoded with the declared schema (SRC-1, SRC-2, SRC-5,
+  SRC-6, SRC-8).
 * ``run_feature_stream``: source -> features -> idempotent feature table in
   ``foreachBatch`` (STR-1, STR-6).  ``history="batch"`` computes features
   inside each micro-batch only (STR-2, the reference behaviour);
   ``history="table"`` (default) also reads the last 24 h of already-stored
   transactions for the batch's terminals and BINs, so features over the
-  stream equal the batch features (STR-3) when events arrive in time order
-  (the stored table is the state; nothing is kept in driver memory).
+  stream equal the batch features when events arrive in time order (the
+  stored table is the state; nothing is kept in driver memory).  For events
+  in any order see ``streaming.corrected`` (STR-3, STR-7).
 * ``run_score_stream``: features -> blended scores -> score table (STR-4).
 * ``alert_stream``: stream-stream interval join with watermarks plus
   stream-static reference joins (STR-5, STR-7).
@@ -23,9 +25,9 @@ from pyspark.sql import functions as F
 
 from tillguard.plans.alerts import build_alerts
 from tillguard.plans.features import build_features
-from tillguard.schemas import SCORE_SCHEMA, TRANSACTION_SCHEMA
+from tillguard.schemas import ALERT_SCHEMA, SCORE_SCHEMA, TRANSACTION_SCHEMA
 from tillguard.sinks.tables import DATE_COL, _exists, append_idempotent, append_transactions
-from tillguard.sources.events import decode_json, wire_schema
+from tillguard.sources.events import decode_json, parse_timestamp, wire_schema
 
 DAY = 86400
 
@@ -43,6 +45,28 @@ def score_stream(spark: SparkSession, *, path: str | None = None, kafka: dict |
                          required=["transaction_id", "scored_at"]).filter("is_valid").drop("is_valid")
 
 
+def read_alert_stream(spark: SparkSession, *, path: str | None = None, kafka: dict | None = None,
+                      schema=ALERT_SCHEMA) -> DataFrame:
+    """SRC-8: alert events as a typed stream.  Their field names come in any
+    case and are lower-cased; unknown fields are dropped, missing or
+    unreadable ones are NULL, and so is every field of a malformed event,
+    which has no ``transaction_id`` and is dropped."""
+    if kafka is not None:
+        raw = spark.readStream.format("kafka").options(**kafka).load().select(F.col("value").cast("string").alias("value"))
+    elif path is not None:
+        raw = spark.readStream.schema("value string").format("text").load(path)
+    else:
+        raise ValueError("give a file path or kafka options")
+    entries = F.map_entries(F.from_json("value", "map<string,string>"))
+
+    def field(f):
+        named = F.filter(F.col("_e"), lambda e: F.lower(e["key"]) == f.name.lower())
+        v = F.try_element_at(named, F.lit(-1))["value"]
+        return (parse_timestamp(v) if f.dataType.typeName() == "timestamp" else v.try_cast(f.dataType)).alias(f.name.lower())
+
+    return raw.select(entries.alias("_e")).select(*[field(f) for f in schema.fields]).filter(F.col("transaction_id").isNotNull())
+
+
 def _typed_stream(spark, schema, *, path=None, kafka=None, max_files_per_trigger=None, required=None):
     if kafka is not None:
         raw = (spark.readStream.format("kafka").options(**kafka).load()
@@ -146,7 +170,8 @@ def run_feature_stream(stream: DataFrame, features_path: str, checkpoint: str, *
     behind the watermark; late-row counts that Spark reports for its
     stateful operators are summed by ``rows_dropped_by_watermark``).
     Without it every row is processed; a late row then gets features from
-    the stored history, and rows emitted earlier are not revised.
+    the stored history, and rows emitted earlier are not revised
+    (``streaming.corrected`` revises them).
     """
     if history not in ("table", "batch"):
         raise ValueError("history must be 'table' or 'batch'")
@@ -214,5 +239,5 @@ def stream_to_table(stream: DataFrame, path: str, checkpoint: str):
                   .outputMode("append").trigger(availableNow=True).start())
 
 
-__all__ = ["transaction_stream", "score_stream", "run_feature_stream", "run_score_stream", "alert_stream",
+__all__ = ["transaction_stream", "score_stream", "run_feature_stream", "run_score_stream", "alert_stream", "read_alert_stream",
            "dedupe_stream", "rows_dropped_by_watermark", "write_json_files", "stream_to_table", "append_transactions", "wire_schema"]
