@@ -3,6 +3,8 @@ import collections
 import hashlib
 import io
 import random
+import time
+import tracemalloc
 
 import pytest
 
@@ -39,6 +41,48 @@ def test_shared_lines_is_a_longest_common_subsequence():
             at = b.index(x, at) + 1
 
 
+def test_alignment_of_longer_lists_by_blocks_of_rows():
+    rnd = random.Random(7)
+    for n, letters in ((300, 40), (500, 500), (400, 3)):
+        a, b = ([rnd.randrange(letters) for _ in range(n + rnd.randrange(50))] for _ in range(2))
+        row = [0] * (len(b) + 1)
+        for x in a:
+            new = [0]
+            for j, y in enumerate(b):
+                new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+            row = new
+        kept, at = [x for x, s in zip(a, html_diff.shared_lines(a, b)) if s], 0
+        assert len(kept) == row[-1]
+        for x in kept:
+            at = b.index(x, at) + 1
+
+
+@pytest.mark.parametrize("page", ["<a " * 330_000, "<a " * 330_000 + "'\">\"", "<div>" * 200_000, "<div>" * 90_000 + "</p>" * 90_000, "<a '\"x>" * 140_000,
+                                  "<!--" * 250_000, "<!a " * 250_000, "<script>x" * 100_000, "<div class='" + "a " * 500_000 + "'>x", "<p>&amp;" * 120_000])
+def test_a_long_odd_page_takes_linear_time(page):
+    t0 = time.time()
+    html_diff.blocks(page)
+    assert time.time() - t0 < 10
+
+
+def test_many_lines_in_another_order_take_little_time_and_memory():
+    a = list(range(40_000))
+    b = a[:]
+    random.Random(1).shuffle(b)
+    t0 = time.time()
+    tracemalloc.start()
+    assert sum(html_diff.shared_lines(a, b)) > 300
+    assert tracemalloc.get_traced_memory()[1] < 300e6 and time.time() - t0 < 60
+    tracemalloc.stop()
+
+
+def test_tags_with_quotes_and_without_ends():
+    assert html_diff.blocks("<p title='a>b'>x</p><p title=\"it's\">y<p alt=it's>z") == [(t, html_diff.PLAIN) for t in ("x", "y", "z")]
+    assert html_diff.blocks("one <b two") == [("one <b two", html_diff.PLAIN)]
+    assert html_diff.blocks("<p>a<!-- <p>b</p> --><!x>c<3 d</p>e") == [("ac<3 d", html_diff.PLAIN), ("e", html_diff.PLAIN)]
+    assert html_diff.blocks("<script>a</b></script><p>x</p><textarea><p>y</textarea>z") == [("x", html_diff.PLAIN), ("z", html_diff.PLAIN)]
+
+
 @pytest.mark.parametrize("partitions", ["1", "7"])
 def test_pages_without_article_lose_what_neighbours_share(spark, partitions):
     old = spark.conf.get("spark.sql.shuffle.partitions")

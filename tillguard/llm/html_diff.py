@@ -30,6 +30,7 @@ are read whole; an empty table gives an empty table; extra columns are ignored.
 from __future__ import annotations
 
 import html
+import math
 import re
 from bisect import bisect_right
 from itertools import chain
@@ -55,7 +56,8 @@ NOISE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|me
                    r"cookies?|consent|notice|popup|modal|newsletter|subscribe|signup|login|share|social|related|"
                    r"comments?|disqus|replies|complementary|contentinfo|search)(?:$|[\s_-])", re.I)
 COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|replies|disqus|related|ads?)(?:$|[\s_-])", re.I)
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_UNQUOTED = re.compile(r"[^>\"']*")
 _MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true""", re.I)
 #: Zones of a block: what the markup says of it.
@@ -66,12 +68,87 @@ COPIES = 0.8
 PASSAGE = 200
 
 
+def tags(page: str):
+    """(start, end, closing, name, attributes) of a page's tags in order;
+    comments and declarations have an empty name.  Each character is passed
+    once: a quote without its partner is an ordinary character, and a tag
+    without an end is text, as is all that follows it."""
+    at = 0
+    while (at := page.find("<", at)) >= 0:
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            end = len(page) if end < 0 else end + 3
+            yield at, end, False, "", ""
+        elif page.startswith(("<!", "<?"), at):
+            end = page.find(">", at) + 1
+            if not end:
+                return
+            yield at, end, False, "", ""
+        else:
+            m = _NAME.match(page, at + 1)
+            if m is None:
+                at += 1
+                continue
+            end = m.end()
+            while (end := _UNQUOTED.match(page, end).end()) < len(page) and page[end] != ">":
+                close = page.find(page[end], end + 1)
+                end = close + 1 if close >= 0 else end + 1
+            if end >= len(page):
+                return
+            end += 1
+            name = m[2].lower()
+            yield at, end, bool(m[1]), name, page[m.end():end - 1]
+            if name in RAW and not m[1]:  # raw text ends at its own end tag only, and is no text
+                close = re.compile(f"</{name}(?=[\\s/>]|$)", re.I).search(page, end)
+                end = close.start() if close else len(page)
+                yield end, end, False, "", ""
+        at = end
+
+
+class _Open:
+    """Open elements, with what they say of the text inside kept at hand."""
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.count: dict[str, int] = {}
+        self.hard: list[int] = []      # places of elements that are noise whatever is in them,
+        self.soft: list[int] = []      # of those that are noise unless an article is in them,
+        self.articles: list[int] = []  # and of articles
+
+    def push(self, name: str, bad: int, article: bool) -> None:
+        place = len(self.names)
+        self.names.append(name)
+        self.count[name] = self.count.get(name, 0) + 1
+        if bad:
+            (self.hard if bad == 2 else self.soft).append(place)
+        if article:
+            self.articles.append(place)
+
+    def pop(self) -> str:
+        name = self.names.pop()
+        self.count[name] -= 1
+        for places in (self.hard, self.soft, self.articles):
+            if places and places[-1] == len(self.names):
+                places.pop()
+        return name
+
+    def close(self, name: str) -> None:
+        if self.count.get(name):
+            while self.pop() != name:
+                pass
+
+    def zone(self) -> int:
+        within = self.articles[-1] if self.articles else 0
+        if self.hard or (self.soft and self.soft[-1] >= within):
+            return NOISY
+        return ARTICLE if self.articles else PLAIN
+
+
 def blocks(page: str) -> list[tuple[str, int]]:
-    """Text blocks of a page in order, with their zones."""
+    """Text blocks of a page in order, with their zones; linear in its length."""
     out: list[tuple[str, int]] = []
-    stack: list[tuple[str, int, bool]] = []  # open elements: name, noise, article
+    stack = _Open()
     text: list[str] = []
-    noisy = inside = False
     at = 0
 
     def flush():
@@ -79,13 +156,13 @@ def blocks(page: str) -> list[tuple[str, int]]:
             words = html.unescape("".join(text)).split()
             text.clear()
             if words:
-                out.append((" ".join(words), NOISY if noisy else ARTICLE if inside else PLAIN))
+                out.append((" ".join(words), stack.zone()))
 
-    while m := TOKEN.search(page, at):
-        if at < m.start():
-            text.append(page[at:m.start()])
-        at = m.end()
-        name = (m[2] or "").lower()
+    raw = False
+    for start, end, closing, name, marks in tags(page):
+        if at < start and not raw:
+            text.append(page[at:start])
+        at, raw = end, name in RAW and not closing
         if not name:
             continue  # a comment or declaration
         if name in INLINE and name not in VOID:
@@ -98,33 +175,24 @@ def blocks(page: str) -> list[tuple[str, int]]:
                 flush()
             continue
         flush()
-        if not m[1]:
-            if m[3].endswith("/") and name in ("svg", "iframe"):
-                continue
-            marks = m[3]
-            # 2: noise whatever is in it; 1: unless an article is (a wrapper's class may name its parts)
-            bad = 2 if name in DROPPED or (marks and _HIDDEN.search(marks)) else 0
-            if not bad and marks and name not in ("html", "body", "article", "main"):
-                values = [x.strip("\"'") for x in _MARKS.findall(marks)]
-                bad = 2 if any(COMMENTS.search(x) for x in values) else int(any(NOISE.search(x) for x in values))
-            # a header inside an article holds its title
-            if name == "header" and inside:
-                bad = 0
-            if name == "p" or name == "li":  # these end themselves
-                while stack and stack[-1][0] == name:
-                    stack.pop()
-            stack.append((name, bad, name in ("article", "main")))
-            if name in RAW:  # raw text ends at its own end tag only, and is no text
-                close = re.compile(f"</{name}(?=[\\s/>]|$)", re.I).search(page, at)
-                at = close.start() if close else len(page)
-        else:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
-        inside = any(x[2] for x in stack)
-        within = max((i for i, x in enumerate(stack) if x[2]), default=0)
-        noisy = any(x[1] > (i < within) for i, x in enumerate(stack))
+        if closing:
+            stack.close(name)
+            continue
+        if marks.endswith("/") and name in ("svg", "iframe"):
+            raw = False
+            continue
+        # 2: noise whatever is in it; 1: unless an article is (a wrapper's class may name its parts)
+        bad = 2 if name in DROPPED or (marks and _HIDDEN.search(marks)) else 0
+        if not bad and marks and name not in ("html", "body", "article", "main"):
+            values = [x.strip("\"'") for x in _MARKS.findall(marks)]
+            bad = 2 if any(COMMENTS.search(x) for x in values) else int(any(NOISE.search(x) for x in values))
+        # a header inside an article holds its title
+        if name == "header" and stack.articles:
+            bad = 0
+        if name == "p" or name == "li":  # these end themselves
+            while stack.names and stack.names[-1] == name:
+                stack.pop()
+        stack.push(name, bad, name in ("article", "main"))
     text.append(page[at:])
     flush()
     return out
@@ -151,21 +219,45 @@ def shared_lines(a: list, b: list) -> list[bool]:
     rows = [i for i in range(lo, len(a) - hi) if a[i] in there]
     if not rows:
         return out
-    here = {a[i] for i in rows}
-    y = [x for x in b[lo:len(b) - hi] if x in here]
-    code = {x: i for i, x in enumerate(here)}
-    cols = np.array([code[x] for x in y])
-    table = np.zeros((len(rows) + 1, len(y) + 1), np.int32)
+    # one bit for each line of b: clear where the subsequence with the lines of
+    # a so far grows by it.  Of the rows of bits every step-th is kept, and the
+    # others are made again on the way back.
+    here, places, width = {a[i] for i in rows}, {}, 0
+    for x in b[lo:len(b) - hi]:
+        if x in here:
+            places.setdefault(x, []).append(width)
+            width += 1
+    often = {x: sum(1 << p for p in ps) for x, ps in places.items() if len(ps) > 64}  # few lines, so few masks
+    full, step = (1 << width) - 1, math.isqrt(len(rows)) + 1
+
+    def after(v, i):
+        mask = often.get(a[i])
+        if mask is None:
+            mask = 0
+            for p in places[a[i]]:
+                mask |= 1 << p
+        u = v & mask
+        return ((v + u) | (v - u)) & full
+
+    kept, v = [], full
     for r, i in enumerate(rows):
-        match = np.where(cols == code[a[i]], table[r, :-1] + 1, table[r, 1:])
-        table[r + 1, 1:] = np.maximum.accumulate(match)
-    c = len(y)
-    for r in range(len(rows), 0, -1):
-        while c and table[r, c] == table[r, c - 1]:
-            c -= 1
-        if table[r, c] != table[r - 1, c]:
-            out[rows[r - 1]] = True
-            c -= 1
+        if r % step == 0:
+            kept.append(v)
+        v = after(v, i)
+    c = width
+    for first in range(len(kept) - 1, -1, -1):
+        part = rows[first * step:(first + 1) * step]
+        made = [kept[first]]
+        for i in part:
+            made.append(after(made[-1], i))
+        made = [x.to_bytes(width // 8 + 1, "little") for x in made]
+        for r in range(len(part), 0, -1):
+            now, before = made[r], made[r - 1]
+            while c and now[(c - 1) >> 3] >> ((c - 1) & 7) & 1:
+                c -= 1
+            if c and before[(c - 1) >> 3] >> ((c - 1) & 7) & 1:
+                out[part[r - 1]] = True
+                c -= 1
     return out
 
 
@@ -200,8 +292,10 @@ def kept_lines(lines: list, zones: list[int], sizes: list[int], other: list | No
     return [z != NOISY and (not s or i in given) for i, (s, z) in enumerate(zip(shared, zones))], sum(shared), len(back)
 
 
-#: Keys that are sampled, by hash, to place the bounds of the ranges.
-SAMPLED_KEYS = 20_000
+#: Keys that are sampled, by hash, to place the bounds of the ranges, at least
+#: and for each range; bytes of pages that a range holds on average at most.
+SAMPLED_KEYS, SAMPLED_PER_RANGE = 20_000, 16
+RANGE_BYTES = 64 << 20
 KEY = ["host", "path", "id"]
 
 
@@ -222,9 +316,10 @@ def _ranges(pages: DataFrame, n: int) -> tuple[list[tuple], dict[tuple, list[int
     ranges: the last of the range before and the first of the range after
     (ranges without pages are passed over).  Both are bounded by ``n``."""
     keys = written(_keys(pages), "html-keys")
-    share = SAMPLED_KEYS / max(1, keys.count())
+    sampled = max(SAMPLED_KEYS, SAMPLED_PER_RANGE * n)
+    share = sampled / max(1, keys.count())
     sample = keys.filter(F.pmod(F.xxhash64(*KEY), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, share))))
-    sample = sorted(tuple(r) for r in sample.distinct().limit(4 * SAMPLED_KEYS).collect())
+    sample = sorted(tuple(r) for r in sample.distinct().limit(4 * sampled).collect())
     bounds = sorted({sample[len(sample) * i // n] for i in range(1, n)}) if sample else []
 
     def run(batches):
@@ -253,7 +348,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     bound_batches(spark)
     pages = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                          F.col(html_col).cast("string").alias("html"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    size = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), -(-size // RANGE_BYTES))
     bounds, guests = _ranges(pages, n)
 
     def parse(batches):
@@ -275,7 +371,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), KINDS)], NAMES)
 
-    rows = pages.mapInArrow(releasing(parse), LINES).repartition(n, "bin").sortWithinPartitions("bin", *KEY, "url", "hashes")
+    rows = pages.mapInArrow(releasing(parse), LINES).repartitionById(n, F.col("bin")).sortWithinPartitions("bin", *KEY, "url", "hashes")
 
     def pair(batches):
         import zstandard
