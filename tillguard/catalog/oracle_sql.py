@@ -603,6 +603,15 @@ def _checks(level: str, metric: str, value: str, cols, one) -> list[str]:
 
 ORACLES.update({
     "alert_stream_read": with_ctes("SELECT * FROM alerts"),
+    **{name: ORACLES["json_roundtrip"] for name in ("transactions_from_json", "transactions_from_table", "keyed_records", "stream_deduplicated")},
+    "alerts_with_defaults": with_ctes("""
+SELECT alert_id, transaction_id, terminal_id, merchant_id, card_bin, fraud_probability, alert_tier, CAST(NULL AS VARCHAR) AS state, true AS created_at
+FROM alerts"""),
+    "zero_jump_features": with_ctes(f"""{LABELED}
+SELECT {", ".join(f"{r6(c)} AS {c}" for c in FEATURES6 if c != 'geo_jump_km')}, is_fraud,
+       {r6('CASE WHEN ev_id % 3 = 0 THEN geo_jump_km ELSE 0.0e0 END')} AS geo_jump_km FROM lab"""),
+    "forest_training_rows": with_ctes(f"""{LABELED}
+SELECT CAST(velocity_1h AS BIGINT) AS velocity_1h, count(*) AS n, 0 AS n_fraud FROM lab WHERE is_fraud = 0 GROUP BY 1"""),
     # the rows; their seeded order is the engine's own
     "deterministic_shuffle": with_ctes(LABELED + "\nSELECT transaction_id, " + ", ".join(f"{r6(c)} AS {c}" for c in FEATURES6) + ", is_fraud FROM lab"),
     # per class, 20 % of the real rows, then 20 % of what is left and the synthetic ones

@@ -660,10 +660,9 @@ def feature_importance(spark, sf_dir):
 
 
 def _iforest(spark, sf_dir):
-    from pyspark.sql import functions as F
-    from tillguard.plans.isolation_forest import fit_isolation_forest
+    from tillguard.plans.isolation_forest import fit_isolation_forest, training_rows
     lab = _labeled(spark, sf_dir)
-    model = fit_isolation_forest(lab.filter(F.col("is_fraud") == 0))  # FLT-2: train on non-fraud rows
+    model = fit_isolation_forest(training_rows(lab))
     return model.transform(lab)
 
 
@@ -727,6 +726,94 @@ def scoring_request(spark, sf_dir):
     return with_scoring_ratio(proj(feat.build_features(_tx(spark, sf_dir))))
 
 
+@register("transactions_from_json")
+def transactions_from_json(spark, sf_dir):
+    """SRC-3: the transactions as wire JSON files, loaded with the declared
+    schema."""
+    from tillguard.sources.events import read_transactions, to_wire_json
+    base = _scratch(spark, "wire")
+    to_wire_json(_tx(spark, sf_dir)).write.text(base)
+    return read_transactions(spark, base)
+
+
+@register("transactions_from_table")
+def transactions_from_table(spark, sf_dir):
+    """SRC-4 + SNK-2 + SNK-3: appended to a table, one day rebuilt, then the
+    table replaced by a full recompute, and read back."""
+    from pyspark.sql import functions as F
+    from tillguard.sinks.tables import append_transactions, overwrite_dates, overwrite_table
+    from tillguard.sources.events import read_table
+    base = _scratch(spark, "table")
+    tx = _tx(spark, sf_dir)
+    append_transactions(tx, base)
+    overwrite_dates(tx.filter(F.to_date("timestamp") == F.lit("2024-01-10").cast("date")), base)
+    overwrite_table(read_table(spark, base).drop("event_date"), f"{base}-full")
+    overwrite_table(tx, f"{base}-full")  # replaced, not doubled
+    return read_table(spark, f"{base}-full").drop("event_date").unionByName(read_table(spark, base).drop("event_date")).distinct()
+
+
+@register("keyed_records")
+def keyed_records(spark, sf_dir):
+    """SRC-6: records whose id is the record key and not in the value."""
+    from pyspark.sql import functions as F
+    from tillguard.sources.events import decode_json
+    tx = _tx(spark, sf_dir)
+    stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp")
+    value = F.to_json(F.struct(*[stamp if c == "timestamp" else F.col(c) for c in tx.columns if c != "transaction_id"]))
+    return decode_json(tx.select(F.col("transaction_id").alias("key"), value.alias("value")), key_col="key").filter("is_valid").drop("is_valid")
+
+
+@register("alerts_with_defaults")
+def alerts_with_defaults(spark, sf_dir):
+    """SNK-6: alert events without id and time, appended twice (a replay) to
+    the alert table: ids are filled in and nothing is doubled."""
+    from pyspark.sql import functions as F
+    from tillguard.sinks.tables import append_alerts
+    base = _scratch(spark, "alert-table")
+    bare = _alerts(spark, sf_dir).select("transaction_id", "terminal_id", "merchant_id", "card_bin", "fraud_probability", "alert_tier")
+    for _ in range(2):
+        append_alerts(bare, base)
+    return spark.read.parquet(base).drop("event_date").withColumn("created_at", F.col("created_at").isNotNull())
+
+
+@register("zero_jump_features")
+def zero_jump_features(spark, sf_dir):
+    """PRJ-12: rows whose drawn jump flag is 0 get a jump of 0."""
+    from pyspark.sql import functions as F
+    flag = F.when(F.col("transaction_id").cast("long") % 3 == 0, F.lit(1)).otherwise(F.lit(0))
+    return _profile().enforce_zero_jump(_labeled(spark, sf_dir).withColumn("has_geo_jump", flag))
+
+
+@register("forest_training_rows")
+def forest_training_rows(spark, sf_dir):
+    """FLT-2: the rows that the isolation forest learns from, by velocity."""
+    from pyspark.sql import functions as F
+    from tillguard.plans.isolation_forest import training_rows
+    return training_rows(_labeled(spark, sf_dir)).groupBy(F.col("velocity_1h").cast("long").alias("velocity_1h")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("is_fraud").cast("long").alias("n_fraud"))
+
+
+@register("stream_deduplicated")
+def stream_deduplicated(spark, sf_dir):
+    """STR-6 + SNK-1: every fifth transaction is delivered again with the next
+    slice; the idempotent table holds each once."""
+    from pyspark.sql import functions as F
+    from tillguard.sinks.tables import append_idempotent
+    from tillguard.sources.events import to_wire_json
+    from tillguard.streaming import transaction_stream
+    base = _scratch(spark, "deduplicated")
+    again = F.col("transaction_id").cast("long") % 5 == 0
+    sent = F.explode(F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    tx = _tx(spark, sf_dir).withColumn("_late", sent)
+    slices, rows_of = _staged_slices(spark, tx, _time_slice() + F.col("_late"), f"{base}/staged")
+    for s in slices:
+        to_wire_json(rows_of(s).drop("_late")).write.mode("append").text(f"{base}/source")
+        (transaction_stream(spark, path=f"{base}/source").writeStream.option("checkpointLocation", f"{base}/checkpoint")
+         .foreachBatch(lambda d, _: append_idempotent(d, f"{base}/table", sidecar=True) and None)
+         .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.parquet(f"{base}/table").drop("event_date", "_group")
+
+
 @register("stream_scores")
 def stream_scores(spark, sf_dir):
     """STR-4 + SNK-7: a feature file stream scored per micro-batch
@@ -756,11 +843,10 @@ def stream_scores(spark, sf_dir):
 
 
 def _fitted_scorer(spark, lab):
-    from pyspark.sql import functions as F
     from tillguard.plans.ensemble import FittedScorer, flatten_classifier, flatten_forest
-    from tillguard.plans.isolation_forest import fit_isolation_forest
+    from tillguard.plans.isolation_forest import fit_isolation_forest, training_rows
     from tillguard.plans.training import train_classifier
-    gbt, forest = train_classifier(lab, maxIter=50), fit_isolation_forest(lab.filter(F.col("is_fraud") == 0))
+    gbt, forest = train_classifier(lab, maxIter=50), fit_isolation_forest(training_rows(lab))
     return gbt, FittedScorer(flatten_classifier(gbt), flatten_forest(forest))
 
 

@@ -4,13 +4,14 @@ ROC AUC, average precision, the F1-optimal threshold, the two-sample KS
 statistic, the Wasserstein distance, exact percentiles and the exact
 stratified split all need running sums over values in sorted order.  A
 ``Window.orderBy`` without a partition key moves every row into one task.
-Here the work is spread instead, and the plan stays lazy (no driver action):
+Here the work is spread instead:
 
 1. the input holds one row per distinct value (see ``weights_by_value``: a
    ``groupBy`` with map-side partial aggregation, so one very frequent value
    is harmless) per optional ``group`` (e.g. a column name);
-2. ``percentile_approx`` per group gives ``n_buckets - 1`` cut points; each
-   row's bucket is the number of cut points below its value;
+2. one range partitioning by (group, value) deals the rows to ``n_buckets``
+   buckets; the result is checkpointed at once (an eager job), since both
+   of the next steps read it;
 3. per (group, bucket) totals -> offsets of all earlier buckets and group
    totals, computed on that small table (at most groups x n_buckets rows)
    and broadcast back;

@@ -34,12 +34,20 @@ def _curve(df: DataFrame, score: str, label: str, sums, *, descending: bool = Fa
     are at most 10**decimals + 1 rows, and one window over them will do."""
     if decimals is None:
         return running_totals(score_counts(df, score, label), "score", sums, descending=descending, n_buckets=n_buckets)
-    s = F.col(score)
-    step = F.when((s < 0) | (s > 1), F.raise_error(F.lit("scores must lie in 0 to 1")).cast("double")).otherwise(F.round(s, decimals))
-    c = score_counts(df.withColumn(score, step), score, label)
+    # scores are grouped as whole numbers; rows without one weigh nothing (a
+    # filter on them would make Spark evaluate the score twice)
+    s = F.nanvl(F.col(score), F.lit(None).cast("double"))
+    step = F.when((s < 0) | (s > 1), F.raise_error(F.lit("scores must lie in 0 to 1")).cast("int")).otherwise(
+        F.round(s * 10 ** decimals).cast("int"))
+    d = df.select(step.alias("_step"), _label(label).alias("_y"))
+    here = F.col("_step").isNotNull()
+    c = d.groupBy("_step").agg(F.sum(F.when(here, F.col("_y")).otherwise(0)).alias("pos"),
+                               F.sum(F.when(here, 1 - F.col("_y")).otherwise(0)).alias("neg"))
+    c = c.select((F.col("_step") / float(10 ** decimals)).alias("score"), "pos", "neg")
     order = Window.orderBy(F.desc("score") if descending else F.asc("score")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     every = Window.partitionBy()
-    return c.withColumns({**{f"cum_{x}": F.sum(x).over(order) for x in sums}, **{f"tot_{x}": F.sum(x).over(every) for x in sums}})
+    c = c.withColumns({**{f"cum_{x}": F.sum(x).over(order) for x in sums}, **{f"tot_{x}": F.sum(x).over(every) for x in sums}})
+    return c.filter(F.col("score").isNotNull())
 
 
 def binary_metrics(df: DataFrame, score: str, label: str, threshold: float = 0.5) -> DataFrame:

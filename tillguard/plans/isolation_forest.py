@@ -117,6 +117,11 @@ class IsolationForestModel:
         return res.withColumnRenamed("raw_anomaly", out) if out != "raw_anomaly" else res
 
 
+def training_rows(df: DataFrame, label: str = "is_fraud") -> DataFrame:
+    """FLT-2: the forest learns from rows that are no fraud."""
+    return df.filter(F.col(label).cast("int") == 0)
+
+
 def fit_isolation_forest(df: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, *, n_trees: int = N_TREES,
                          sample_size: int = SAMPLE_SIZE, contamination: float = CONTAMINATION,
                          seed: int = 42) -> IsolationForestModel:

@@ -31,14 +31,19 @@ def with_event_date(df: DataFrame, ts_col: str) -> DataFrame:
 
 
 def append_idempotent(batch: DataFrame, path: str, key: str = "transaction_id", ts_col: str = "timestamp",
-                      replay_days: int | None = None) -> DataFrame:
+                      replay_days: int | None = None, sidecar: bool = False) -> DataFrame:
     """SNK-1/SNK-4: append only keys not yet in the table, whatever their date
     (replay-safe); duplicates inside the batch are dropped too.  Returns the
     appended rows.  ``replay_days``: replays come with dates at most this many
     days from the first's, so that only those partitions' keys are read; by
-    default the key column of the whole table is."""
+    default the key column of the whole table is.  ``sidecar`` keeps Bloom
+    filters of the keys beside the table (``sinks.key_index``; from its first
+    append on), and reads the keys of the file groups only that may hold one
+    of the batch."""
     spark = batch.sparkSession
     b = with_event_date(batch, ts_col).dropDuplicates([key])
+    if sidecar:
+        return _append_with_sidecar(b, path, key)
     if _exists(spark, path):
         target = spark.read.parquet(path)
         if replay_days is not None:
@@ -55,6 +60,31 @@ def append_idempotent(batch: DataFrame, path: str, key: str = "transaction_id",
     return b
 
 
+def _append_with_sidecar(b: DataFrame, path: str, key: str) -> DataFrame:
+    import uuid
+
+    from tillguard.session import materialize
+    from tillguard.sinks import key_index
+    spark = b.sparkSession
+    b = materialize(b)
+    held = key_index.read_filters(spark, path)
+    if held is None and _exists(spark, path):
+        raise ValueError("the table holds rows without filters: append to it without a sidecar")
+    if held is not None and _exists(spark, path):
+        groups = key_index.groups_that_may_hold(b, held, key).collect()  # file groups that may hold a key: few
+        if groups:
+            dates = {g.event_date for g in groups}
+            names = sorted({g[key_index.GROUP] for g in groups})
+            near = F.col(DATE_COL).isin([d for d in dates if d is not None])
+            near = near | F.col(DATE_COL).isNull() if None in dates else near
+            known = spark.read.parquet(path).filter(near & F.col(key_index.GROUP).isin(names)).select(key)
+            b = materialize(b.join(known, on=key, how="left_anti"))
+    b = b.withColumn(key_index.GROUP, F.lit(uuid.uuid4().hex))
+    key_index.write_filters(b, path, key)
+    b.write.mode("append").partitionBy(DATE_COL, key_index.GROUP).parquet(path)
+    return b.drop(key_index.GROUP)
+
+
 def overwrite_table(df: DataFrame, path: str, ts_col: str = "timestamp") -> None:
     """SNK-2: a full recompute replaces the table; dates it no longer has go."""
     (with_event_date(df, ts_col).write.mode("overwrite").option("partitionOverwriteMode", "static")

@@ -95,8 +95,8 @@ def model_outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def terminals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``customer`` as the terminal reference table; every 10th key (=7 mod 10)
-    is left out so the alert join has misses."""
+    """``customer`` as the terminal reference table, all of it; transactions of
+    terminals that it does not hold miss in the alert join."""
     apply_engine_conf(spark)
     c = read(spark, sf_dir, "customer")
     return c.select(
