@@ -184,6 +184,27 @@ def test_target_bytes_gives_enough_leaves(spark):
     assert len(out) == 5 and max(r.n for r in out) <= 2048
 
 
+def test_hundreds_of_leaves_are_balanced_and_within_target_bytes(spark):
+    import random
+    r = random.Random(2)
+    texts = ["x" * int(r.paretovariate(1.2) * 20 % 3000) + str(i) for i in range(1500)] + ["copy " * 30] * 300
+    docs = spark.createDataFrame([(i, t, f"l{i % 4}", f"s{i % 9}") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    for how in ({"shards": 300}, {"target_bytes": 700}):
+        out = sharding.assign(docs, **how).collect()
+        assert len(out) == len(texts)
+        leaf, held, home = collections.Counter(), collections.defaultdict(set), collections.defaultdict(set)
+        for row in out:
+            leaf[row.shard] += row.size
+            held[row.shard].add(texts[row.doc_id])
+            home[texts[row.doc_id]].add(row.shard)
+        assert all(len(x) == 1 for x in home.values())  # equal texts stay together
+        if "shards" in how:
+            mean = sum(leaf.values()) / 300
+            assert len(leaf) == 300 and sum(0.75 * mean <= b <= 1.25 * mean for b in leaf.values()) >= 250
+        else:
+            assert all(b <= 700 or len(held[s]) == 1 for s, b in leaf.items())
+
+
 def test_imatch_edits_and_equal_fingerprints(spark):
     texts = [" ".join(f"w{(i * j) % 211}" for j in range(1, 60)) for i in range(1, 60)] + [None, "", "é🙂x", "w1 w2"] * 2
     docs = spark.createDataFrame([(3 * i, t, 1) for i, t in enumerate(texts)] + [(None, "w1 w2", 2), (0, texts[0], 1)], "doc_id long, text string, h int")
