@@ -199,8 +199,9 @@ def test_hundreds_of_leaves_are_balanced_and_within_target_bytes(spark):
             home[texts[row.doc_id]].add(row.shard)
         assert all(len(x) == 1 for x in home.values())  # equal texts stay together
         if "shards" in how:
-            mean = sum(leaf.values()) / 300
-            assert len(leaf) == 300 and sum(0.75 * mean <= b <= 1.25 * mean for b in leaf.values()) >= 250
+            level = sorted(leaf.values())[150]  # some leaves hold one large text
+            near = [b for s, b in leaf.items() if len(held[s]) > 1]
+            assert len(leaf) == 300 and sum(0.75 * level <= b <= 1.25 * level for b in near) >= 0.8 * len(near)
         else:
             assert all(b <= 700 or len(held[s]) == 1 for s, b in leaf.items())
 
