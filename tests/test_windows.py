@@ -162,16 +162,16 @@ def test_blocks_equal_plain_at_every_edge_of_a_block(spark):
     import random
     from tillguard.operators.trailing import Trailing, trailing_blocks, trailing_aggregates, with_epoch_seconds
     rnd = random.Random(3)
-    edges = [0, 1, 299, 300, 301, 599, 600, 3599, 3600, 3601, 3899, 3900, 86399, 86400, 86401, 86700]
+    edges = [0, 1, 1799, 1800, 1801, 3599, 3600, 3601, 5399, 5400, 86399, 86400, 86401, 88200]
     rows = [{"id": i, "t": rnd.choice(edges) + rnd.choice([0, 86400, 600]), "terminal": rnd.choice(["A", "B"]), "lat": rnd.choice([None, rnd.random()]),
-             "amount": rnd.choice([None, rnd.uniform(0, 1e6), 1e-9])} for i in range(400)]
+             "amount": rnd.choice([None, rnd.uniform(0, 1e6), 1e-9]), "fraud_type": rnd.choice(["", "x", "yy"])} for i in range(400)]
     df = with_epoch_seconds(tx_rows(spark, rows))
-    specs = [Trailing("n", "count", "amount_ngn", 3600), Trailing("d", "sum", "amount_ngn", 86400), Trailing("m", "mean", "amount_ngn", 300)]
+    specs = [Trailing("n", "count", "amount_ngn", 3600), Trailing("d", "sum", "amount_ngn", 86400), Trailing("m", "mean", "amount_ngn", 1800), Trailing("r", "sum", F.length("fraud_type"), 5400)]
     how = dict(prev_cols=["latitude"], prev_order=["timestamp", "transaction_id"])
     got = {r.transaction_id: r for r in trailing_blocks(df, ["terminal_id"], specs, **how).collect()}
     for r in trailing_aggregates(df, ["terminal_id"], specs, mode="plain", **how).collect():
         g = got[r.transaction_id]
-        assert g.n == r.n and g.prev_latitude == r.prev_latitude
+        assert g.n == r.n and g.r == r.r and g.prev_latitude == r.prev_latitude
         for c in ("d", "m"):
             assert (g[c] is None) == (r[c] is None) and (r[c] is None or abs(g[c] - r[c]) <= 1e-9 * max(1, abs(r[c])))
 

@@ -207,7 +207,8 @@ def trailing_by_second(df: DataFrame, keys: Sequence[str], specs: Sequence[Trail
 
 
 #: Width of the blocks of ``trailing_blocks``; lookbacks are multiples of it.
-BLOCK_SECONDS = 300
+#: Narrower blocks spread a hotter key, and cost more small partitions.
+BLOCK_SECONDS = 1800
 
 
 def trailing_blocks(df: DataFrame, keys: Sequence[str], specs: Sequence[Trailing], *, sec_col: str = SEC,
@@ -221,8 +222,10 @@ def trailing_blocks(df: DataFrame, keys: Sequence[str], specs: Sequence[Trailing
     the rows of the block where its windows begin, and one header: the sums of
     the whole blocks between (a window over one row a block) and the key's
     last row before the block.  All frames only grow, so a partition takes
-    linear time; nothing is subtracted, so sums lose no digits; a hot key is
-    spread over its blocks.  NULL keys and NULL clocks are groups like others.
+    linear time; a hot key is spread over its blocks.  Only whole numbers are
+    subtracted (the end of the oldest block is its total less its beginning);
+    other sums run over that block backwards, so they lose no digits.  NULL
+    keys and NULL clocks are groups like others.
     """
     keys = list(keys)
     parts: dict[str, tuple[Column, int]] = {}
@@ -250,6 +253,10 @@ def trailing_blocks(df: DataFrame, keys: Sequence[str], specs: Sequence[Trailing
     w = Window.partitionBy(*key_names).orderBy("_block")
     between = {f"_h_{k}": F.when(F.col("_block").isNotNull(), F.sum(f"_b_{k}").over(w.rangeBetween(1 - lookback // block_seconds, -1)))
                for k, (_, lookback) in parts.items() if lookback > block_seconds}
+    never_null = {k for k in parts if not base.schema[f"_p_{k}"].nullable}
+    whole = {k for k in parts if k[0] == "n" or (k in never_null and base.schema[f"_p_{k}"].dataType.typeName() in ("long", "integer"))}
+    between.update({f"_e_{k}": F.when(F.col("_block").isNotNull(), F.sum(f"_b_{k}").over(w.rangeBetween(*[-(parts[k][1] // block_seconds)] * 2)))
+                    for k in whole})
     headers = blocks.select(*part, F.lit(-1).alias("_off"), F.lit(0).alias("_kind"), *[c.alias(n) for n, c in between.items()],
                             *([F.lag("_last").over(w).alias("_place")] if prev_cols else []))
     merged = rows.unionByName(headers, allowMissingColumns=True)
@@ -258,9 +265,11 @@ def trailing_blocks(df: DataFrame, keys: Sequence[str], specs: Sequence[Trailing
         old = base.filter(F.col("_block").isNotNull()).withColumn("_back", F.explode(F.array(*[F.lit(x) for x in lookbacks]))).select(
             *key_names, (F.col("_block") + (F.col("_back") / block_seconds).cast("long")).alias("_block"), "_off", F.lit(1).alias("_kind"),
             *[F.when(F.col("_back") == lookback, F.col(f"_p_{k}")).alias(f"_o_{k}") for k, (_, lookback) in parts.items()])
+        # a zero adds nothing; it is kept where a sum may also be NULL
         any_part = F.lit(False)
         for k in parts:
-            any_part = any_part | F.col(f"_o_{k}").isNotNull()
+            part_of = F.col(f"_o_{k}")
+            any_part = any_part | (part_of.isNotNull() & (part_of != 0) if k in never_null else part_of.isNotNull())
         merged = merged.unionByName(old.filter(any_part), allowMissingColumns=True)
 
     cols = {}
@@ -269,9 +278,13 @@ def trailing_blocks(df: DataFrame, keys: Sequence[str], specs: Sequence[Trailing
         cols["_before"] = F.last("_place", ignorenulls=True).over(fine)
     up = Window.partitionBy(*part).orderBy("_off").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     down = Window.partitionBy(*part).orderBy(F.desc("_off")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    early = Window.partitionBy(*part).orderBy("_off").rangeBetween(Window.unboundedPreceding, -1)
     for k in parts:
         cols[f"_u_{k}"] = F.sum(f"_p_{k}").over(up)
-        cols[f"_d_{k}"] = F.sum(f"_o_{k}").over(down)
+        if k in whole:  # no NULL where the block is not there: nothing is subtracted then
+            cols[f"_d_{k}"] = F.max(f"_e_{k}").over(up) - F.coalesce(F.sum(f"_o_{k}").over(early), F.lit(0))
+        else:
+            cols[f"_d_{k}"] = F.sum(f"_o_{k}").over(down)
         if f"_h_{k}" in between:
             cols[f"_m_{k}"] = F.max(f"_h_{k}").over(up)
     out = merged.withColumns(cols).filter(F.col("_kind") == 2)
