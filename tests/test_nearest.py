@@ -13,11 +13,11 @@ def test_nearest_exact_with_duplicates(spark):
     R[:100] = R[0]  # hot duplicate cluster
     Q = np.round(rng.normal(size=(300, 3)) * 1.3, 1)
     got = {tuple(r[:3]): r.nn_distance for r in nearest_distances(_df(spark, Q), _df(spark, R), ["a", "b", "c"],
-                                                                   max_leaves=8).collect()}
+                                                                   leaf_points=40).collect()}
     want = np.sqrt(((Q[:, None] - R[None]) ** 2).sum(2)).min(1)
     assert all(abs(got[tuple(q)] - w) < 1e-9 for q, w in zip(Q, want))
     self_d = {tuple(r[:3]): r.nn_distance for r in nearest_distances(_df(spark, R), _df(spark, R), ["a", "b", "c"],
-                                                                      exclude_self=True, max_leaves=8).collect()}
+                                                                      exclude_self=True, leaf_points=40).collect()}
     D = np.sqrt(((R[:, None] - R[None]) ** 2).sum(2))
     np.fill_diagonal(D, np.inf)
     assert all(abs(self_d[tuple(r)] - w) < 1e-9 for r, w in zip(R, D.min(1)))
@@ -27,7 +27,7 @@ def test_nearest_exact_with_duplicates(spark):
 def test_dnnr_identical_sets_is_memorisation(spark):
     rng = np.random.default_rng(2)
     R = np.round(rng.normal(size=(200, 3)), 3)
-    row = dnnr(_df(spark, R), _df(spark, R), ["a", "b", "c"], max_leaves=4).first()
+    row = dnnr(_df(spark, R), _df(spark, R), ["a", "b", "c"], leaf_points=60).first()
     assert row.median_d_sr == 0.0 and row.interpretation == "memorization_risk"
 
 
@@ -36,7 +36,7 @@ def test_nearest_salted_leaves_stay_exact(spark):
     R = np.round(rng.normal(size=(300, 3)), 2)
     Q = np.round(rng.normal(size=(200, 3)), 2)
     got = {tuple(r[:3]): r.nn_distance for r in nearest_distances(
-        _df(spark, Q), _df(spark, R), ["a", "b", "c"], max_leaves=4, max_queries_per_task=7).collect()}
+        _df(spark, Q), _df(spark, R), ["a", "b", "c"], leaf_points=60, max_queries_per_task=7).collect()}
     want = np.sqrt(((Q[:, None] - R[None]) ** 2).sum(2)).min(1)
     assert all(abs(got[tuple(q)] - w) < 1e-9 for q, w in zip(Q, want))
 
@@ -48,3 +48,40 @@ def test_large_leaf_is_searched_exactly():
     q = np.concatenate([np.round(rng.normal(size=(500, 3)) * 3, 2), p[:200]])
     for exclude in (False, True):
         assert np.allclose(_min_dist(q, p, exclude), _brute_dist(q, p, exclude))
+
+
+def test_rounds_visit_few_leaves_and_stay_exact(spark):
+    rng = np.random.default_rng(5)
+    R = np.unique(np.round(np.concatenate([rng.normal(size=(4000, 3)), rng.normal(size=(2000, 3)) * 0.01 + 5]), 4), axis=0)
+    Q = np.concatenate([np.round(rng.normal(size=(400, 3)), 4), np.round(rng.normal(size=(50, 3)) * 8, 4)])
+    rows = nearest_distances(_df(spark, Q), _df(spark, R), ["a", "b", "c"], leaf_points=60).collect()
+    got = {tuple(r[:3]): r for r in rows}
+    want = np.sqrt(((Q[:, None] - R[None]) ** 2).sum(2)).min(1)
+    assert len(got) == len(np.unique(Q, axis=0))
+    assert all(abs(got[tuple(q)].nn_distance - w) < 1e-9 for q, w in zip(Q, want))
+    visits = np.array([r.leaf_visits for r in rows])
+    assert visits.max() <= 100 and np.median(visits) < 20  # of 100 leaves
+
+
+def test_rows_without_whole_coordinates_are_kept(spark):
+    q = spark.createDataFrame([(0.0, 1.0), (None, 1.0), (float("nan"), 2.0), (float("inf"), 0.0), (None, 1.0)], "a double, b double")
+    p = spark.createDataFrame([(3.0, 5.0), (None, 1.0), (float("nan"), 2.0)], "a double, b double")
+    rows = nearest_distances(q, p, ["a", "b"]).collect()
+    assert sum(r.multiplicity for r in rows) == 5
+    assert [r.nn_distance for r in rows if r.a == 0.0] == [5.0]
+    assert sum(r.nn_distance is None for r in rows) == 3
+    none = nearest_distances(q, p.limit(0), ["a", "b"]).collect()
+    assert sum(r.multiplicity for r in none) == 5 and all(r.nn_distance is None for r in none)
+    alone = nearest_distances(p, p, ["a", "b"], exclude_self=True).filter("a = 3").first()
+    assert alone.nn_distance is None and alone.leaf_visits == 1
+
+
+def test_next_leaves_continues_in_order():
+    from tillguard.operators.nearest import next_leaves
+    lo = np.array([[0.0], [2.0], [4.0], [4.0]])
+    hi = lo + 1
+    x, inf = np.array([[0.5], [9.0]]), np.full(2, np.inf)
+    rows, at, after = next_leaves(x, inf, np.array([0, 0]), lo, hi, 1)
+    assert at.tolist() == [0, 2] and after.tolist() == [1.5, 4.0]  # ties by number
+    rows, at, after = next_leaves(x, np.array([2.0, np.inf]), np.array([1, 1]), lo, hi, 4)
+    assert list(zip(rows.tolist(), at.tolist())) == [(0, 1), (1, 3), (1, 1), (1, 0)] and np.isinf(after).all()

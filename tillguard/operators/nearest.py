@@ -9,16 +9,22 @@ comparing every query with every point:
    the "other point" variant: when the tuple occurs at least twice), found
    by an equi-join; this also removes clusters of identical rows, the usual
    source of skew.
-2. A k-d partition with at most ``max_leaves`` leaves is grown on the driver
-   from a sample of at most ``sample_size`` distinct points (bounded by
-   those parameters, whatever the data size) and broadcast.  Every point and
-   query is routed to its leaf.
-3. Upper bound: each query is compared with the points of its own leaf
-   (``cogroup(...).applyInPandas``, numpy; a leaf with many points is
-   partitioned again within the task, so its cost does not grow with their square).
-4. Candidates: leaves whose bounding box (from the data) is closer than the
-   upper bound; only those leaves are searched, again per leaf with numpy.
-   Only per-query minima leave a task, never pairs.
+2. A k-d partition with one leaf for each ``leaf_points`` distinct points is
+   grown on the driver from about ``sample_size`` of them (at most one leaf
+   for eight sampled points) and broadcast.  Every point is routed to its
+   leaf; the leaves' bounding boxes come from the data.
+3. Best-first rounds: each open query visits its 1, 2, 4, ... next leaves in
+   the order of their boxes' distance, as far as they are nearer than its best
+   distance so far (numpy within a leaf; a leaf with many points is
+   partitioned again within the task).  A query closes when its next box is
+   not nearer than its best distance.  The bound tightens between rounds, and
+   rounds number the logarithm of the most leaves that a query needs; only
+   leaves that some open query wants are read again.
+
+Only per-query minima leave a task, never pairs.  ``leaf_visits`` of the
+result says how many leaves a query visited.  Queries with a null or
+non-finite coordinate have a null distance and no visits; such points do not
+count.
 """
 
 from __future__ import annotations
@@ -84,13 +90,15 @@ BLOCK_CELLS = 20_000_000
 BRUTE_POINTS, LOCAL_LEAF = 2048, 256
 
 
-def _min_dist(q: np.ndarray, p: np.ndarray, exclude_equal: bool) -> np.ndarray:
-    """Min distance from each q to the points p.  Many points are partitioned
-    again within the task (leaves of about LOCAL_LEAF points, as many as the
-    points need), and only leaves whose box is nearer than the best distance so
-    far are searched, so a leaf that grows with the data stays cheap."""
+def _min_dist(q: np.ndarray, p: np.ndarray, exclude_equal: bool, best: np.ndarray | None = None) -> np.ndarray:
+    """Min distance from each q to the points p, or ``best`` where that is
+    less.  Many points are partitioned again within the task (leaves of about
+    LOCAL_LEAF points, as many as the points need), and only leaves whose box is
+    nearer than the best distance so far are searched, so a leaf that grows with
+    the data stays cheap."""
+    best = np.full(len(q), np.inf) if best is None else best
     if len(p) <= BRUTE_POINTS or len(q) == 0:
-        return _brute_dist(q, p, exclude_equal)
+        return np.minimum(best, _brute_dist(q, p, exclude_equal))
     tree = _grow_kd(p, len(p) // LOCAL_LEAF)
     leaf = _route(p, tree)
     order = np.argsort(leaf, kind="stable")
@@ -99,7 +107,7 @@ def _min_dist(q: np.ndarray, p: np.ndarray, exclude_equal: bool) -> np.ndarray:
     lo, hi = np.minimum.reduceat(p, starts), np.maximum.reduceat(p, starts)
     home = np.searchsorted(ids, _route(q, tree))
     home = np.where((home < len(ids)) & (ids[np.minimum(home, len(ids) - 1)] == _route(q, tree)), home, -1)
-    out = np.full(len(q), np.inf)
+    out = best.copy()
 
     def search(rows: np.ndarray, where: np.ndarray) -> None:
         by = np.argsort(where, kind="stable")
@@ -138,11 +146,35 @@ def _brute_dist(q: np.ndarray, p: np.ndarray, exclude_equal: bool) -> np.ndarray
     return out
 
 
+def next_leaves(x: np.ndarray, best: np.ndarray, visited: np.ndarray, lo: np.ndarray, hi: np.ndarray,
+                take: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Up to ``take`` next boxes of each row of ``x`` in the order of (distance,
+    number), after its first ``visited`` ones and nearer than ``best``: row and
+    box numbers, and of each row the distance of the box that would follow."""
+    rows, boxes, after = [], [], np.full(len(x), np.inf)
+    step = max(1, BLOCK_CELLS // max(1, lo.size))
+    for s in range(0, len(x), step):
+        xs = x[s:s + step]
+        gap = np.maximum(0.0, np.maximum(lo[None] - xs[:, None], xs[:, None] - hi[None]))
+        gap = np.sqrt((gap ** 2).sum(axis=2))
+        order = np.argsort(gap, axis=1, kind="stable")
+        gap = np.take_along_axis(gap, order, axis=1)
+        rank = np.arange(gap.shape[1])[None, :] - visited[s:s + step, None]
+        row, at = np.nonzero((rank >= 0) & (rank < take) & (gap < best[s:s + step, None]))
+        rows.append(row + s)
+        boxes.append(order[row, at])
+        follow = visited[s:s + step] + take
+        has = follow < gap.shape[1]
+        after[s:s + step][has] = gap[has, follow[has]]
+    none = np.zeros(0, dtype=int)
+    return np.concatenate(rows or [none]), np.concatenate(boxes or [none]), after
+
+
 def nearest_distances(queries: DataFrame, points: DataFrame, cols: Sequence[str], *, exclude_self: bool = False,
-                      max_leaves: int = 16384, sample_size: int = 200_000, seed: int = 42,
+                      leaf_points: int = 4096, sample_size: int = 200_000, seed: int = 42,
                       max_queries_per_task: int = 50_000) -> DataFrame:
     """Distance to the nearest point per distinct query tuple:
-    ``(<cols>, multiplicity, nn_distance)``.
+    ``(<cols>, multiplicity, nn_distance, leaf_visits)``.
 
     ``exclude_self``: queries and points are the same rows; a row's own
     tuple counts only when it occurs at least twice (distance 0).
@@ -151,109 +183,108 @@ def nearest_distances(queries: DataFrame, points: DataFrame, cols: Sequence[str]
 
     cols = list(cols)
     spark = points.sparkSession
+    as_double = [F.col(c).cast("double").alias(c) for c in cols]
+    whole = F.lit(True)
+    for c in cols:
+        whole = whole & F.coalesce(F.abs(F.col(c).cast("double")) < float("inf"), F.lit(False))  # NaN is above infinity
     # several passes read these: cut the lineage once (shared checkpoint dir)
-    P = materialize(points.select(*cols).dropna().groupBy(*cols).agg(F.count(F.lit(1)).alias("_pc")))
-    Q = materialize(queries.select(*cols).dropna().groupBy(*cols).agg(F.count(F.lit(1)).alias("multiplicity")))
+    P = materialize(points.select(*as_double).filter(whole).groupBy(*cols).agg(F.count(F.lit(1)).alias("_pc")))
+    asked = queries.select(*as_double).groupBy(*cols).agg(F.count(F.lit(1)).alias("multiplicity"))
+    asked = materialize(asked.withColumn("_whole", whole))
+    Q = asked.filter("_whole").drop("_whole")
+    unknown = asked.filter("not _whole").select(*cols, "multiplicity", F.lit(None).cast("double").alias("nn_distance"),
+                                                F.lit(0).cast("long").alias("leaf_visits"))
 
     # 1. exact matches (equi-join on the whole tuple)
     need = F.lit(2) if exclude_self else F.lit(1)
-    Qm = Q.join(P, cols, "left").withColumn("_zero", F.coalesce(F.col("_pc") >= need, F.lit(False))).drop("_pc")
+    Qm = materialize(Q.join(P, cols, "left").withColumn("_zero", F.coalesce(F.col("_pc") >= need, F.lit(False))).drop("_pc"))
 
     # 2. k-d partition from a bounded sample of distinct points
     n_p = P.count()
     frac = min(1.0, sample_size / max(n_p, 1))
-    sample = np.array([tuple(r) for r in hash_sample(P.select(*cols), frac, seed)
-                       .limit(sample_size).collect()], dtype=float)  # bounded by sample_size
-    if len(sample) == 0:
-        return Q.select(*cols, "multiplicity", F.lit(None).cast("double").alias("nn_distance"))
-    leaves_wanted = int(max(1, min(max_leaves, n_p // 256)))
-    tree = _grow_kd(sample, leaves_wanted)
-    btree = spark.sparkContext.broadcast(tree)
+    # about sample_size rows, a binomial count with a tail that is cut
+    sample = hash_sample(P.select(*cols), frac, seed).limit(2 * sample_size).toPandas().to_numpy(dtype=float)
+    if len(sample) == 0 and n_p:  # a sample of next to nothing: any point will do
+        sample = P.select(*cols).limit(1).toPandas().to_numpy(dtype=float)
+    if n_p == 0:
+        return Q.select(*cols, "multiplicity", F.lit(None).cast("double").alias("nn_distance"),
+                        F.lit(0).cast("long").alias("leaf_visits")).unionByName(unknown)
+    leaves_wanted = int(max(1, min(n_p // leaf_points, sample_size // 8)))
+    btree = spark.sparkContext.broadcast(_grow_kd(sample, leaves_wanted))
 
     def route(batches):
-        t = btree.value
         for pdf in batches:
             x = pdf[cols].to_numpy(dtype=float)
             pdf = pdf.copy()
-            pdf["_leaf"] = _route(x, t).astype("int32") if len(x) else np.zeros(0, dtype="int32")
+            pdf["_leaf"] = _route(x, btree.value).astype("int32") if len(x) else np.zeros(0, dtype="int32")
             yield pdf
 
-    def with_leaf(df):
-        schema = T.StructType(list(df.schema.fields) + [T.StructField("_leaf", T.IntegerType())])
-        return df.mapInPandas(route, schema)
-
-    Pl = with_leaf(P.select(*cols))
-    Ql = with_leaf(Qm.filter(~F.col("_zero")).select(*cols))
+    routed = T.StructType(list(P.select(*cols).schema.fields) + [T.StructField("_leaf", T.IntegerType())])
+    Pl = materialize(P.select(*cols).mapInPandas(route, routed))
+    boxes = Pl.groupBy("_leaf").agg(*[F.min(c).alias(f"_lo_{c}") for c in cols],
+                                    *[F.max(c).alias(f"_hi_{c}") for c in cols])
+    boxes = boxes.toPandas().sort_values("_leaf")  # one row a leaf: at most sample_size / 8
+    bboxes = spark.sparkContext.broadcast((boxes["_leaf"].to_numpy(dtype=int),
+                                           boxes[[f"_lo_{c}" for c in cols]].to_numpy(dtype=float),
+                                           boxes[[f"_hi_{c}" for c in cols]].to_numpy(dtype=float)))
+    state = ", ".join(f"`{c}` double" for c in cols) + ", _d double, _v long, _next double"
+
+    def wanted(take: int):
+        def run(batches):
+            leaf, lo, hi = bboxes.value
+            for pdf in batches:
+                rows, at, after = next_leaves(pdf[cols].to_numpy(dtype=float), pdf["_d"].to_numpy(dtype=float),
+                                              pdf["_v"].to_numpy(dtype=int), lo, hi, take)
+                out = pdf.iloc[rows].copy()
+                out["_next"] = after[rows]
+                out["_leaf"] = leaf[at].astype("int32")
+                yield out
+        return run
 
     def search(q_pdf: pd.DataFrame, p_pdf: pd.DataFrame) -> pd.DataFrame:
-        q = q_pdf[cols].to_numpy(dtype=float)
-        p = p_pdf[cols].to_numpy(dtype=float)
-        out = q_pdf[cols].copy()
-        out["_d"] = _min_dist(q, p, exclude_self)
+        out = q_pdf[[*cols, "_d", "_v", "_next"]].copy()
+        out["_d"] = _min_dist(q_pdf[cols].to_numpy(dtype=float), p_pdf[cols].to_numpy(dtype=float), exclude_self,
+                              q_pdf["_d"].to_numpy(dtype=float))
         return out
 
-    out_schema = ", ".join(f"`{c}` double" for c in cols) + ", _d double"
-
     def salted_search(qs: DataFrame) -> DataFrame:
-        """Search each query's leaf; a leaf with many queries is split into
+        """Search the leaf of each row; a leaf with many queries is split into
         sub-groups, each with a copy of that leaf's points, so no task holds
         more than about ``max_queries_per_task`` queries."""
         salts = (qs.groupBy("_leaf").agg(F.count(F.lit(1)).alias("_nq"))
                    .select("_leaf", F.greatest(F.lit(1), F.ceil(F.col("_nq") / F.lit(max_queries_per_task)))
                            .cast("int").alias("_ns")))
-        qsalt = (qs.join(F.broadcast(salts), "_leaf")  # one row per leaf: bounded by max_leaves
+        qsalt = (qs.join(F.broadcast(salts), "_leaf")  # one row per leaf: bounded by sample_size / 8
                    .withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.col("_ns")).cast("int"))
                    .drop("_ns"))
         psalt = (Pl.join(F.broadcast(salts), "_leaf")
                    .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_ns") - 1))).drop("_ns"))
         return (qsalt.groupBy("_leaf", "_salt").cogroup(psalt.groupBy("_leaf", "_salt"))
-                     .applyInPandas(search, out_schema))
-
-    # 3. upper bound from the home leaf
-    ub = salted_search(Ql)
-    ub = ub.withColumnRenamed("_d", "_ub")
-
-    # 4. candidate leaves: bounding box closer than the upper bound
-    boxes = Pl.groupBy("_leaf").agg(*[F.min(c).alias(f"_lo_{c}") for c in cols],
-                                    *[F.max(c).alias(f"_hi_{c}") for c in cols])
-    box_rows = boxes.collect()  # at most max_leaves rows
-    box_leaf = np.array([r["_leaf"] for r in box_rows], dtype=int)
-    box_lo = np.array([[r[f"_lo_{c}"] for c in cols] for r in box_rows], dtype=float).reshape(len(box_rows), len(cols))
-    box_hi = np.array([[r[f"_hi_{c}"] for c in cols] for r in box_rows], dtype=float).reshape(len(box_rows), len(cols))
-    bboxes = spark.sparkContext.broadcast((box_leaf, box_lo, box_hi))
-
-    def candidates(batches):
-        leaf_ids, lo, hi = bboxes.value
-        for pdf in batches:
-            x = pdf[cols].to_numpy(dtype=float)
-            u = pdf["_ub"].to_numpy(dtype=float)
-            home = pdf["_leaf"].to_numpy()
-            rows_q, rows_l = [], []
-            step = max(1, BLOCK_CELLS // max(1, lo.size))
-            for s in range(0, len(x), step):
-                xs = x[s:s + step]
-                gap = np.maximum(0.0, np.maximum(lo[None, :, :] - xs[:, None, :], xs[:, None, :] - hi[None, :, :]))
-                d2 = (gap ** 2).sum(axis=2)
-                ok = (d2 < (u[s:s + step, None] ** 2)) & (leaf_ids[None, :] != home[s:s + step, None])
-                qi, li = np.nonzero(ok)
-                rows_q.append(qi + s); rows_l.append(leaf_ids[li])
-            qi = np.concatenate(rows_q) if rows_q else np.zeros(0, dtype=int)
-            li = np.concatenate(rows_l) if rows_l else np.zeros(0, dtype=int)
-            out = pdf.iloc[qi][cols].copy()
-            out["_leaf"] = li.astype("int32")
-            yield out
-
-    qb = Ql.join(ub, cols)
-    cand_schema = T.StructType([f for f in Ql.schema.fields if f.name in cols]
-                               + [T.StructField("_leaf", T.IntegerType())])
-    cand = qb.mapInPandas(candidates, cand_schema)
-    far = salted_search(cand)
-    best = ub.withColumnRenamed("_ub", "_d").unionByName(far).groupBy(*cols).agg(F.min("_d").alias("_nn"))
+                     .applyInPandas(search, state))
+
+    # 3. best-first rounds over the open queries
+    todo = Qm.filter(~F.col("_zero")).select(*cols, F.lit(float("inf")).alias("_d"), F.lit(0).cast("long").alias("_v"),
+                                             F.lit(0.0).alias("_next"))
+    closed, take = [], 1
+    leaf_state = T._parse_datatype_string(state + ", _leaf int")
+    while True:
+        visits = materialize(todo.mapInPandas(wanted(take), leaf_state))
+        found = materialize(salted_search(visits).groupBy(*cols).agg(
+            F.min("_d").alias("_d"), (F.max("_v") + F.count(F.lit(1))).alias("_v"), F.max("_next").alias("_next")))
+        closed.append(found.filter("_next >= _d"))
+        todo = found.filter("_next < _d")
+        if todo.isEmpty():
+            break
+        take *= 2
+    best = closed[0]
+    for part in closed[1:]:
+        best = best.unionByName(part)
 
     res = Qm.join(best, cols, "left")
     nn = F.when(F.col("_zero"), F.lit(0.0)).otherwise(
-        F.when(F.col("_nn") == float("inf"), F.lit(None).cast("double")).otherwise(F.col("_nn")))
-    return res.select(*cols, "multiplicity", nn.alias("nn_distance"))
+        F.when(F.col("_d") == float("inf"), F.lit(None).cast("double")).otherwise(F.col("_d")))
+    return res.select(*cols, "multiplicity", nn.alias("nn_distance"),
+                      F.coalesce("_v", F.lit(0)).cast("long").alias("leaf_visits")).unionByName(unknown)
 
 
 def zscore(df: DataFrame, reference: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -277,7 +308,7 @@ def dnnr(real: DataFrame, synth: DataFrame, cols: Sequence[str], **kw) -> DataFr
     r, s = zscore(real, real, cols), zscore(synth, real, cols)
     d_sr = nearest_distances(s, r, cols, **kw).withColumn("which", F.lit("d_sr"))
     d_rr = nearest_distances(r, r, cols, exclude_self=True, **kw).withColumn("which", F.lit("d_rr"))
-    both = d_sr.unionByName(d_rr)
+    both = d_sr.unionByName(d_rr).filter(F.col("nn_distance").isNotNull())
     # weighted by multiplicity: expand counts through a per-value weight
     from tillguard.operators.cumulative import running_totals, weights_by_value
     counts = weights_by_value(both, "nn_distance", {"n": F.col("multiplicity")}, group=["which"])
