@@ -133,6 +133,28 @@ def test_ordinal_fit_orders_severity():
     assert all(b > a + 0.5 for a, b in zip(mean, mean[1:]))
 
 
+def test_secrets_of_one_case_and_names():
+    import random
+    import string
+
+    from tillguard.llm.common import tokenizer_path
+
+    encode = secrets._encoding(tokenizer_path(secrets.VOCABULARY)).encode_ordinary
+    rnd = random.Random(5)
+    draw = lambda letters, n: "".join(rnd.choice(letters) for _ in range(n))
+    # digests have 32 or 40 characters, so hexadecimal keys of other lengths
+    for letters, n, most in ((string.ascii_lowercase, 32, 0.08), (string.ascii_uppercase, 32, 0.02), ("0123456789abcdef", 24, 0.01),
+                             ("0123456789ABCDEF", 24, 0.01), (string.ascii_letters + string.digits, 32, 0.01),
+                             (string.ascii_letters + string.digits + "-_", 32, 0.01)):
+        missed = sum(not any(k == 3 for _, k, _ in secrets.scan(f"the value {draw(letters, n)} is here", encode)) for _ in range(300))
+        assert missed <= most * 300, (letters, missed)
+    licence = "-".join(draw(string.ascii_uppercase + string.digits, 5) for _ in range(5))
+    assert secrets.scan(licence, encode) == [(0, 3, 29)]
+    for name in ("LMP2023-04-Q3-rev12-final", "internationalization-of-things", "INTERNATIONALIZATIONOFTHINGS", "2023-04-01T12-00-00Z-run7",
+                 "donaudampfschiffahrtsgesellschaftskapitaen", "a-to-z-of-it-in-an-or-by-up", "----------------------"):
+        assert secrets.scan(name, encode) == [], name
+
+
 def test_secret_spans_equal_plain_patterns(spark):
     texts = ["password = 'abcd1234' token:short é api_key=\"A1b2C3d4E5\"", "AKIA" + "Z" * 12 + " AKIAB", "0123456789abcdef" * 2 + " " + "f" * 31,
              "key Zk3vQ9xLw2Rt7YpB5nHs8Dg4 end", "id 123e4567-e89b-12d3-a456-426614174000 word", "supercalifragilisticexpialidocious",

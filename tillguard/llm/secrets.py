@@ -3,8 +3,12 @@
 A run of key characters that mixes character classes and yields few characters
 per token under a tiktoken vocabulary is a random string: trained merges hold
 words, names and numbers together, but not keys.  Known digests (hexadecimal,
-of a digest's length) and identifiers (UUIDs, runs of letters in one case or in
-camel case, numbers) are excluded from that test; the base patterns stand.
+of a digest's length) and identifiers (UUIDs, numbers, runs of letters in one
+case or in camel case, unless 20 letters of one case stand together, which the
+test then tells from words) are excluded from that test; the base patterns stand.
+Other runs of hexadecimal digits have a limit of their own, since decimal digits
+share tokens.  A run with separators is random as a whole only if its segments
+that pass the test are as long as a key.
 
 A run that passes as a whole may hold a key next to words (a path, a prefixed
 name).  Its segments between / _ - + are tested each, and neighbours that are
@@ -40,13 +44,18 @@ ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 #: Candidates of the token test: maximal runs, and the most characters per token.
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}")
 MAX_CHARS_PER_TOKEN = 1.9
+#: The same for hexadecimal runs that are no digests.
+MAX_HEX_PER_TOKEN = 2.3
 DIGEST_LENGTHS = frozenset((32, 40, 48, 56, 64, 96, 128))
 #: Segments of a run: UUIDs, and what lies between separators.
 SEGMENT = re.compile(r"(?<![^/_+-])[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![^/_+-])|[^/_+-]+")
 #: Least characters of a candidate, of a segment that marks one, and most of a word that may be a piece of one.
 RUN_LEAST, SEGMENT_LEAST, SHORT = 16, 8, 3
+#: Letters of one case without separators are words below this length, whatever their tokens.
+ONE_CASE_LEAST = 20
 _hex_only = re.compile(r"[0-9a-f]+|[0-9A-F]+").fullmatch
 _uuid = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}").fullmatch
+_between = re.compile(r"[/_+-]").split
 _turns = re.compile(r"[a-z](?=[A-Z])|[A-Z](?=[a-z])").findall
 
 SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
@@ -72,8 +81,22 @@ def is_identifier(run: str) -> bool:
         return True
     if any(c.isdigit() for c in run):
         return False
-    # letters only: words, unless their case turns about as often as in random text
-    return len(_turns(run)) * 3 < len(letters)
+    # letters only: words, unless their case turns about as often as in random text or they are very long
+    return len(_turns(run)) * 3 < len(letters) and max(map(len, _between(run))) < ONE_CASE_LEAST
+
+
+def is_random(run: str, encode, most: float) -> bool:
+    """The token test."""
+    if _hex_only(run):
+        most = max(most, MAX_HEX_PER_TOKEN)
+    return len(run) <= most * len(encode(run))
+
+
+def holds_key(run: str, encode, most: float) -> bool:
+    """Whether the segments with letters that pass the token test are, with the
+    separators between them, as long as a key."""
+    random = [len(x) + 1 for x in _between(run) if not x.isdigit() and x and is_random(x, encode, most)]
+    return sum(random) - 1 >= RUN_LEAST
 
 
 def keys_within(run: str, encode, most: float) -> list[tuple[int, int]]:
@@ -89,7 +112,7 @@ def keys_within(run: str, encode, most: float) -> list[tuple[int, int]]:
         # all of them, else from the first to the last that is random, else each of these
         for spans in ([(held[0][0], held[-1][1])], [(sure[0][0], sure[-1][1])], sure) if sure else ():
             good = [(a, b) for a, b in spans if b - a >= RUN_LEAST and any(a <= x < b for x in marks)
-                    and not is_identifier(run[a:b]) and b - a <= most * len(encode(run[a:b]))]
+                    and not is_identifier(run[a:b]) and is_random(run[a:b], encode, most)]
             if good:
                 out.extend(good)
                 break
@@ -97,7 +120,7 @@ def keys_within(run: str, encode, most: float) -> list[tuple[int, int]]:
 
     for a, b, x in parts:
         known = _uuid(x) or (_hex_only(x) and b - a in DIGEST_LENGTHS)
-        random = not known and b - a <= most * len(encode(x))
+        random = not known and is_random(x, encode, most)
         if random or (b - a < SEGMENT_LEAST and not is_identifier(x)) or (held and b - a <= SHORT):
             held.append((a, b, random))
         else:
@@ -119,7 +142,7 @@ def scan(text: str, encode, most: float = MAX_CHARS_PER_TOKEN) -> list[tuple[int
         run = m[0]
         if is_identifier(run):
             continue
-        if len(run) <= most * len(encode(run)):
+        if is_random(run, encode, most) and holds_key(run, encode, most):
             out.append((m.start(), 3, m.end()))
         else:
             out += [(m.start() + a, 3, m.start() + b) for a, b in keys_within(run, encode, most)]
