@@ -6,6 +6,7 @@ import random
 import time
 import tracemalloc
 
+import numpy as np
 import pytest
 
 from tillguard.llm import html_diff, jaccard, warc
@@ -215,6 +216,54 @@ def test_jaccard_join_equals_brute_force(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept if r.doc_id is not None) == sorted({root(i) for i in range(len(texts))})
 
 
+def test_jaccard_repeated_rows_count_once_as_copies(spark):
+    a = " ".join(f"w{i}" for i in range(100))
+    b = a + " more"
+    docs = spark.createDataFrame([(1, a), (1, a), (2, b), (3, "x y z"), (3, "x y z")], "doc_id long, text string")
+    out = sorted((r.doc_id, r.class_id, r.n_links, r.n_text_links) for r in jaccard.join(docs).collect())
+    assert out == [(1, 1, 2, 1), (1, 1, 2, 1), (2, 1, 2, 1), (3, 3, 1, 0), (3, 3, 1, 0)]
+
+
+def test_jaccard_tiles_and_chunks(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(jaccard, "GROUP", 16)
+    monkeypatch.setattr(jaccard, "TILE_BYTES", 1000)
+    size = np.array([8] * 40 + [5000] + [8] * 9)
+    runs = jaccard.tiles(np.arange(50), size)
+    assert np.concatenate(runs).tolist() == list(range(50)) and max(len(r) for r in runs) <= 16
+    assert jaccard.tiles(np.zeros(0, int), size) == []
+    # pairs of tiles give the links of all pairs, and the forest joins what they join
+    rnd = np.random.default_rng(1)
+    sets = [np.unique(np.concatenate([np.arange(100 * (k % 3), 100 * (k % 3) + 60), rnd.integers(1 << 20, 1 << 30, k % 17)])).astype(np.uint64)
+            for k in range(50)]
+    size = np.array([len(x) for x in sets])
+    sig = jaccard.signatures(np.concatenate(sets), np.concatenate([[0], np.cumsum(size)]))
+    runs = jaccard.tiles(np.arange(50), 8 * size)
+    label, got, edges = np.arange(50), set(), []
+    for k, a in enumerate(runs):
+        for b in [None, *runs[k + 1:]]:
+            i, j = jaccard.linked(sig, sets, size, a, b)
+            got |= set(zip(i.tolist(), j.tolist()))
+            label, x, y = jaccard.hooked(label, i, j)
+            edges += list(zip(x.tolist(), y.tolist()))
+    want = {(i, j) for i in range(50) for j in range(i + 1, 50)
+            if 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))}
+    assert got == want and set(edges) <= want
+    assert len(edges) == 50 - len(set(label.tolist())) and all(label[i] == label[j] for i, j in want)
+    # a group of n rows is sent sqrt(n / GROUP) times, or as its bytes ask
+    rows = spark.range(1600).select(F.col("id").alias("node"), F.lit(1600).alias("size"))
+    dealt = jaccard._dealt(rows, "size", F.lit(1)).cache()
+    assert dealt.count() == 1600 * 10 and dealt.select("lo", "hi").distinct().count() == 55
+    assert jaccard._dealt(rows, "size", F.lit(40 * jaccard.CHUNK_BYTES)).count() == 1600 * 40
+    both = {}
+    for r in dealt.collect():
+        both.setdefault((r.lo, r.hi), []).append((r.node, r.chunk))
+    times = collections.Counter((min(a, b), max(a, b)) for of in both.values() for a, x in of for b, y in of
+                                if a < b < 200 and (x != y or len({c for _, c in of}) == 1))
+    assert len(times) == 199 * 100 and set(times.values()) == {1}  # every pair is compared once
+
+
 def test_pruning_keeps_pairs_at_the_threshold():
     least = jaccard.least_matches()
     assert len(least) == jaccard.VALUES // jaccard.STEP and (least[1:] >= least[:-1]).all()

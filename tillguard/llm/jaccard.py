@@ -8,8 +8,10 @@
    prior, binomial matches) is below a tolerance.  A bucket leaves only the
    edges of a spanning forest over its surviving pairs, never all pairs.
 3. Connected representatives meet once, with their shingles.  All pairs there
-   are pruned in the same way and the rest is verified exactly.  A group of
-   more than ``GROUP`` texts is dealt out to pairs of chunks.
+   are pruned in the same way and the rest is verified exactly, in tiles of
+   ``GROUP`` texts.  A bucket or group of n > ``GROUP`` texts is dealt out to
+   pairs of about sqrt(n / ``GROUP``) chunks, more where a chunk would exceed
+   ``CHUNK_BYTES``; each text is sent once for each chunk.
 4. Each task leaves a count of links for each text and a spanning forest of
    the verified links, from which classes follow.
 
@@ -30,7 +32,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bound_batches, releasing, sorted_groups, split_words, written
@@ -38,9 +40,10 @@ from .common import bound_batches, releasing, sorted_groups, split_words, writte
 SHINGLE, THRESHOLD = 5, (4, 5)  # the similarity as a fraction, compared in integers
 VALUES, BAND, STEP = 128, 4, 16
 TOLERANCE = 1e-7
-#: Texts of a bucket or component that meet in one task; larger ones are dealt
-#: out to pairs of chunks of this size.
+#: Texts of a bucket or component that meet in one task undivided, and of a tile.
 GROUP = 1024
+#: Bytes of signatures and shingles of a chunk on average, and of a tile.
+CHUNK_BYTES, TILE_BYTES = 32 << 20, 8 << 20
 
 _rng = np.random.default_rng(20240801)
 _MUL = _rng.integers(1, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -166,16 +169,68 @@ def common(sets: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def tiles(rows: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+    """``rows`` in runs of at most GROUP rows and about TILE_BYTES."""
+    if not len(rows):
+        return []
+    before = np.cumsum(size[rows]) - size[rows]
+    ends = (np.diff(np.arange(len(rows)) // GROUP) > 0) | (np.diff(before // TILE_BYTES) > 0)
+    return np.split(rows, np.nonzero(ends)[0] + 1)
+
+
+def linked(sig: np.ndarray, sets: list[np.ndarray], size: np.ndarray, left: np.ndarray, right: np.ndarray | None = None):
+    """Pairs (rows i, j) of two tiles, or of one, that reach the threshold."""
+    p, q = THRESHOLD
+    if right is None:
+        i, j = np.triu_indices(len(left), 1)
+        i, j = left[i], left[j]
+    else:
+        i, j = np.repeat(left, len(right)), np.tile(right, len(left))
+    alive = [lo + surviving(sig[i[lo:lo + 65536]], sig[j[lo:lo + 65536]]) for lo in range(0, len(i), 65536)]
+    alive = np.concatenate(alive) if alive else np.zeros(0, np.int64)
+    i, j = i[alive], j[alive]
+    if len(i):
+        used = np.unique(np.concatenate([i, j]))
+        both = common([sets[u] for u in used])[np.searchsorted(used, i), np.searchsorted(used, j)]
+        link = q * both >= p * (size[i] + size[j] - both)
+        i, j = i[link], j[link]
+    return i, j
+
+
+def hooked(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """New labels (the least row of a component) after the links (i, j), and
+    the links that joined components: a spanning forest of what is new."""
+    out_i, out_j = [], []
+    while True:
+        new = label[i] != label[j]
+        i, j = i[new], j[new]
+        if not len(i):
+            break
+        low, high = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
+        top, first = np.unique(high, return_index=True)
+        out_i.append(i[first])
+        out_j.append(j[first])
+        to = np.arange(len(label))
+        to[top] = low[first]
+        while (to[to] != to).any():
+            to = to[to]
+        label = to[label]
+    none = np.zeros(0, np.int64)
+    return label, np.concatenate(out_i or [none]), np.concatenate(out_j or [none])
+
+
 def _sorted_in(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(*[k for k in keys]).sortWithinPartitions(*keys, "node")
 
 
-def _dealt(df: DataFrame, size_col: str) -> DataFrame:
-    """Adds chunk, lo and hi: groups of more than GROUP rows are dealt to chunks,
-    and each chunk goes to every pair of chunks that it is part of."""
-    chunks = F.ceil(F.col(size_col) / GROUP).cast("int")
-    df = df.withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(3)), chunks).cast("int"))
-    df = df.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+def _dealt(df: DataFrame, rows: str, size: Column) -> DataFrame:
+    """Adds chunk, lo and hi to rows of groups with ``rows`` members of ``size``
+    bytes together: a large group is dealt to chunks, and each chunk goes to
+    every pair of chunks that it is part of."""
+    chunks = F.greatest(F.ceil(F.sqrt(F.col(rows) / GROUP)), F.ceil(size / CHUNK_BYTES)).cast("int")
+    df = df.withColumn("_chunks", chunks)
+    df = df.withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(3)), F.col("_chunks")).cast("int"))
+    df = df.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))).drop("_chunks")
     return df.withColumn("lo", F.least("chunk", "other")).withColumn("hi", F.greatest("chunk", "other")).drop("other")
 
 
@@ -207,8 +262,8 @@ def components(edges: DataFrame, name: str, rounds: int = 50) -> DataFrame:
 
 
 def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, h1, h2, sig): a 128-bit hash of the text and its signature
-    (null without words)."""
+    """(doc_id, h1, h2, sig, weight): a 128-bit hash of the text, its signature
+    (null without words) and its number of shingles."""
     import xxhash  # noqa: F401  (needed by the tasks)
 
     bound_batches(docs.sparkSession)
@@ -223,10 +278,11 @@ def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             has = np.diff(offsets) > 0
             digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest("t" + t if t is not None else "") for t in texts.to_pylist()), "<i8")
             sigs = pa.array([s.tobytes() if k else None for s, k in zip(sig, has)], pa.binary())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(digests[::2]), pa.array(digests[1::2]), sigs], ["doc_id", "h1", "h2", "sig"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(digests[::2]), pa.array(digests[1::2]), sigs, pa.array(np.diff(offsets))],
+                                             ["doc_id", "h1", "h2", "sig", "weight"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        releasing(run), "doc_id long, h1 long, h2 long, sig binary")
+        releasing(run), "doc_id long, h1 long, h2 long, sig binary, weight long")
 
 
 def _bands(reps: DataFrame) -> DataFrame:
@@ -265,61 +321,43 @@ def _bucket_edges(rows: DataFrame) -> DataFrame:
 def _verified(rows: DataFrame) -> DataFrame:
     """Links of each sorted group (root, lo, hi) of (node, n, chunk, sig,
     shingles): counts for each node, and edges of a spanning forest."""
-    p, q = THRESHOLD
-
     def run(batches):
         for group in sorted_groups(batches, ["root", "lo", "hi"]):
             starts = group["starts"]
-            out_a, out_b, out_l, out_t = [], [], [], []
             for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
                 if e - s < 2:
                     continue
-                node, copies, chunk = group["node"][s:e], group["n"][s:e], group["chunk"][s:e]
-                sig = np.frombuffer(b"".join(group["sig"][s:e]), np.uint16).reshape(-1, VALUES)
-                sets = [np.frombuffer(x, np.uint64) for x in group["shingles"][s:e]]
+                at = np.arange(s, e)
+                if (np.diff(group["node"][s:e]) == 0).any():  # repeated rows count once here
+                    at = np.array(sorted({(n, x): k for k, n, x in zip(at[::-1].tolist(), group["node"][at[::-1]].tolist(),
+                                                                       group["shingles"][s:e][::-1])}.values()))
+                m, node, copies, chunk = len(at), group["node"][at], group["n"][at], group["chunk"][at]
+                sig = np.frombuffer(b"".join([group["sig"][k] for k in at]), np.uint16).reshape(-1, VALUES)
+                sets = [np.frombuffer(group["shingles"][k], np.uint64) for k in at]
                 size = np.array([len(x) for x in sets])
-                i, j = np.triu_indices(e - s, 1)
-                if group["lo"][s] != group["hi"][s]:  # pairs within a chunk meet in the chunk's own group
-                    cross = chunk[i] != chunk[j]
-                    i, j = i[cross], j[cross]
-                alive = np.concatenate([lo + surviving(sig[i[lo:lo + 65536]], sig[j[lo:lo + 65536]]) for lo in range(0, len(i), 65536)] or [np.zeros(0, int)])
-                i, j = i[alive], j[alive]
-                if not len(i):
+                if group["lo"][s] == group["hi"][s]:
+                    runs = tiles(np.arange(m), 8 * size)
+                    pairs = [(a, None) for a in runs] + [(a, b) for k, a in enumerate(runs) for b in runs[k + 1:]]
+                else:  # pairs within a chunk meet in the chunk's own group
+                    low = chunk == group["lo"][s]
+                    pairs = [(a, b) for a in tiles(np.nonzero(low)[0], 8 * size) for b in tiles(np.nonzero(~low)[0], 8 * size)]
+                label, links, texts, edges = np.arange(m), np.zeros(m), np.zeros(m, np.int64), []
+                for a, b in pairs:
+                    i, j = linked(sig, sets, size, a, b)
+                    if len(i):
+                        links += np.bincount(i, copies[j], m) + np.bincount(j, copies[i], m)
+                        texts += np.bincount(i, minlength=m) + np.bincount(j, minlength=m)
+                        label, x, y = hooked(label, i, j)
+                        edges.append((x, y))
+                has = np.nonzero(texts)[0]
+                if not len(has):
                     continue
-                both = common(sets)[i, j]
-                link = q * both >= p * (size[i] + size[j] - both)
-                i, j = i[link], j[link]
-                m = e - s
-                out_a.append(node)
-                out_b.append(np.full(m, -1))
-                out_l.append(np.bincount(i, copies[j], m) + np.bincount(j, copies[i], m))
-                out_t.append(np.bincount(i, minlength=m) + np.bincount(j, minlength=m))
-                parent = list(range(m))
-
-                def find(x):
-                    while parent[x] != x:
-                        parent[x] = parent[parent[x]]
-                        x = parent[x]
-                    return x
-
-                tree = []
-                for x, y in zip(i.tolist(), j.tolist()):
-                    u, v = find(x), find(y)
-                    if u != v:
-                        parent[max(u, v)] = min(u, v)
-                        tree.append((x, y))
-                if tree:
-                    x, y = np.array(tree).T
-                    out_a.append(node[x])
-                    out_b.append(node[y])
-                    out_l.append(np.zeros(len(x)))
-                    out_t.append(np.zeros(len(x)))
-            if out_a:
-                b = np.concatenate(out_b).astype(np.int64)
-                edge = np.concatenate([np.full(len(x), k) for x, k in zip(out_b, [bool((x != -1).any()) for x in out_b])])
+                x, y = (np.concatenate(z) for z in zip(*edges))
+                zero = np.zeros(len(x), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out_a)), pa.array(b, mask=~edge.astype(bool)),
-                     pa.array(np.concatenate(out_l).astype(np.int64)), pa.array(np.concatenate(out_t).astype(np.int64))],
+                    [pa.array(np.concatenate([node[has], node[x]])),
+                     pa.array(np.concatenate([node[has], node[y]]), mask=np.arange(len(has) + len(x)) < len(has)),
+                     pa.array(np.concatenate([links[has].astype(np.int64), zero])), pa.array(np.concatenate([texts[has], zero]))],
                     ["node", "to", "links", "text_links"])
 
     return rows.mapInArrow(releasing(run), "node long, to long, links long, text_links long")
@@ -331,33 +369,32 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     (other documents linked, copies included), n_text_links (other texts)."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     known = written(signed(docs.filter(F.col("doc_id").isNotNull())), "jaccard-signatures")
-    reps = written(known.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "sig")).alias("r"), F.count("*").alias("n")).select(
-        "h1", "h2", F.col("r.doc_id").alias("node"), "n", F.col("r.sig").alias("sig")), "jaccard-texts")
+    reps = written(known.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "sig", "weight")).alias("r"), F.count("*").alias("n")).select(
+        "h1", "h2", F.col("r.doc_id").alias("node"), "n", F.col("r.sig").alias("sig"), F.col("r.weight").alias("weight")), "jaccard-texts")
     signed_reps = reps.filter(F.col("sig").isNotNull())
     bands = _bands(signed_reps.select("node", "sig"))
-    from pyspark.sql import Window
-
-    buckets = bands.withColumn("size", F.count("*").over(Window.partitionBy("key"))).filter("size > 1")
-    dealt = _dealt(buckets, "size").select("key", "lo", "hi", "node")
+    buckets = bands.join(bands.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "key")
+    dealt = _dealt(buckets, "size", F.col("size") * 2 * VALUES).select("key", "lo", "hi", "node")
     with_sig = dealt.join(signed_reps.select("node", "sig"), "node")
     edges = _bucket_edges(_sorted_in(with_sig, "key", "lo", "hi"))
     near = components(edges, "jaccard-near")
 
-    groups = near.join(near.groupBy("root").agg(F.count("*").alias("size")), "root").join(reps.select("node", "n"), "node")
-    groups = written(groups.select(F.col("node").alias("g_node"), "root", "size", "n"), "jaccard-groups")
-    meet = docs.join(groups, F.col("doc_id") == F.col("g_node")).select("doc_id", "text", "root", "size", "n")
+    members = written(near.join(reps.select("node", "n", "weight"), "node"), "jaccard-members")
+    sizes = members.groupBy("root").agg(F.count("*").alias("size"), F.sum(8 * F.col("weight") + 2 * VALUES).alias("bytes"))
+    groups = members.drop("weight").withColumnRenamed("node", "g_node").join(sizes, "root")
+    meet = docs.join(groups, F.col("doc_id") == F.col("g_node")).select("doc_id", "text", "root", "size", "bytes", "n")
 
     def hashed(batches):
         for b in batches:
             values, offsets = shingles(b.column("text"))
             sig = signatures(values, offsets)
             sets = [np.unique(values[s:e]).tobytes() for s, e in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays([b.column("root"), b.column("size"), b.column("doc_id"), b.column("n"),
+            yield pa.RecordBatch.from_arrays([b.column("root"), b.column("size"), b.column("bytes"), b.column("doc_id"), b.column("n"),
                                               pa.array([s.tobytes() for s in sig], pa.binary()), pa.array(sets, pa.binary())],
-                                             ["root", "size", "node", "n", "sig", "shingles"])
+                                             ["root", "size", "bytes", "node", "n", "sig", "shingles"])
 
-    sets = meet.mapInArrow(releasing(hashed), "root long, size long, node long, n long, sig binary, shingles binary")
-    sets = _dealt(sets, "size").select("root", "lo", "hi", "node", "n", "chunk", "sig", "shingles")
+    sets = meet.mapInArrow(releasing(hashed), "root long, size long, bytes long, node long, n long, sig binary, shingles binary")
+    sets = _dealt(sets, "size", F.col("bytes")).select("root", "lo", "hi", "node", "n", "chunk", "sig", "shingles")
     links = written(_verified(_sorted_in(sets, "root", "lo", "hi")), "jaccard-links")
     counts = links.filter(F.col("to").isNull()).groupBy("node").agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))
     classes = components(links.filter(F.col("to").isNotNull()).select(F.col("node").alias("a"), F.col("to").alias("b")), "jaccard-classes")
