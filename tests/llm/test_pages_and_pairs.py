@@ -253,9 +253,9 @@ def test_jaccard_tiles_and_chunks(spark, monkeypatch):
     assert len(edges) == 50 - len(set(label.tolist())) and all(label[i] == label[j] for i, j in want)
     # a group of n rows is sent sqrt(n / GROUP) times, or as its bytes ask
     rows = spark.range(1600).select(F.col("id").alias("node"), F.lit(1600).alias("size"))
-    dealt = jaccard._dealt(rows, "size", F.lit(1)).cache()
+    dealt = jaccard._dealt(rows, jaccard._chunks(F.col("size"), F.lit(1))).cache()
     assert dealt.count() == 1600 * 10 and dealt.select("lo", "hi").distinct().count() == 55
-    assert jaccard._dealt(rows, "size", F.lit(40 * jaccard.CHUNK_BYTES)).count() == 1600 * 40
+    assert jaccard._dealt(rows, jaccard._chunks(F.col("size"), F.lit(40 * jaccard.CHUNK_BYTES))).count() == 1600 * 40
     both = {}
     for r in dealt.collect():
         both.setdefault((r.lo, r.hi), []).append((r.node, r.chunk))

@@ -223,11 +223,14 @@ def _sorted_in(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(*[k for k in keys]).sortWithinPartitions(*keys, "node")
 
 
-def _dealt(df: DataFrame, rows: str, size: Column) -> DataFrame:
-    """Adds chunk, lo and hi to rows of groups with ``rows`` members of ``size``
-    bytes together: a large group is dealt to chunks, and each chunk goes to
-    every pair of chunks that it is part of."""
-    chunks = F.greatest(F.ceil(F.sqrt(F.col(rows) / GROUP)), F.ceil(size / CHUNK_BYTES)).cast("int")
+def _chunks(rows: Column, size: Column) -> Column:
+    """Number of chunks of a group of ``rows`` members of ``size`` bytes."""
+    return F.greatest(F.ceil(F.sqrt(rows / GROUP)), F.ceil(size / CHUNK_BYTES)).cast("int")
+
+
+def _dealt(df: DataFrame, chunks: Column) -> DataFrame:
+    """Adds chunk, lo and hi: the rows of a group are dealt to ``chunks`` chunks,
+    and each chunk goes to every pair of chunks that it is part of."""
     df = df.withColumn("_chunks", chunks)
     df = df.withColumn("chunk", F.pmod(F.xxhash64("node", F.lit(3)), F.col("_chunks")).cast("int"))
     df = df.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))).drop("_chunks")
@@ -374,27 +377,28 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     signed_reps = reps.filter(F.col("sig").isNotNull())
     bands = _bands(signed_reps.select("node", "sig"))
     buckets = bands.join(bands.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "key")
-    dealt = _dealt(buckets, "size", F.col("size") * 2 * VALUES).select("key", "lo", "hi", "node")
+    dealt = _dealt(buckets, _chunks(F.col("size"), F.col("size") * 2 * VALUES)).select("key", "lo", "hi", "node")
     with_sig = dealt.join(signed_reps.select("node", "sig"), "node")
     edges = _bucket_edges(_sorted_in(with_sig, "key", "lo", "hi"))
     near = components(edges, "jaccard-near")
 
     members = written(near.join(reps.select("node", "n", "weight"), "node"), "jaccard-members")
     sizes = members.groupBy("root").agg(F.count("*").alias("size"), F.sum(8 * F.col("weight") + 2 * VALUES).alias("bytes"))
-    groups = members.drop("weight").withColumnRenamed("node", "g_node").join(sizes, "root")
-    meet = docs.join(groups, F.col("doc_id") == F.col("g_node")).select("doc_id", "text", "root", "size", "bytes", "n")
+    groups = members.join(sizes, "root").select(F.col("node").alias("g_node"), "root", "n", _chunks(F.col("size"), F.col("bytes")).alias("chunks"))
+    groups = written(groups, "jaccard-groups")  # a table of known size: texts stay in place where it may be broadcast
+    meet = docs.join(groups, F.col("doc_id") == F.col("g_node")).select("doc_id", "text", "root", "chunks", "n")
 
     def hashed(batches):
         for b in batches:
             values, offsets = shingles(b.column("text"))
             sig = signatures(values, offsets)
             sets = [np.unique(values[s:e]).tobytes() for s, e in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays([b.column("root"), b.column("size"), b.column("bytes"), b.column("doc_id"), b.column("n"),
+            yield pa.RecordBatch.from_arrays([b.column("root"), b.column("chunks"), b.column("doc_id"), b.column("n"),
                                               pa.array([s.tobytes() for s in sig], pa.binary()), pa.array(sets, pa.binary())],
-                                             ["root", "size", "bytes", "node", "n", "sig", "shingles"])
+                                             ["root", "chunks", "node", "n", "sig", "shingles"])
 
-    sets = meet.mapInArrow(releasing(hashed), "root long, size long, bytes long, node long, n long, sig binary, shingles binary")
-    sets = _dealt(sets, "size", F.col("bytes")).select("root", "lo", "hi", "node", "n", "chunk", "sig", "shingles")
+    sets = meet.mapInArrow(releasing(hashed), "root long, chunks int, node long, n long, sig binary, shingles binary")
+    sets = _dealt(sets, F.col("chunks")).select("root", "lo", "hi", "node", "n", "chunk", "sig", "shingles")
     links = written(_verified(_sorted_in(sets, "root", "lo", "hi")), "jaccard-links")
     counts = links.filter(F.col("to").isNull()).groupBy("node").agg(F.sum("links").alias("links"), F.sum("text_links").alias("text_links"))
     classes = components(links.filter(F.col("to").isNotNull()).select(F.col("node").alias("a"), F.col("to").alias("b")), "jaccard-classes")
