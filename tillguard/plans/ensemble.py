@@ -13,6 +13,7 @@ of a fit with m trees, so one fit gives every tree count of a sweep.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import json
 import math
@@ -36,7 +37,7 @@ from tillguard.schemas import FEATURE_COLUMNS
 from tillguard.session import checkpoint_path
 
 #: Rows that walk the trees at once.
-WALK_ROWS = 1024
+WALK_ROWS = 256
 
 
 @dataclass(frozen=True)
@@ -52,17 +53,24 @@ class Ensemble:
     depth: int
     strict: bool = False
 
+    @functools.cached_property
+    def children(self) -> np.ndarray:
+        """Right and left child of each node, one after the other."""
+        return np.stack([self.right, self.left], axis=1).ravel()
+
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """Value of the leaf that each row reaches in each tree (rows by trees)."""
         out = np.empty((len(x), len(self.roots)))
+        width = x.shape[1]
         for i in range(0, len(x), WALK_ROWS):
-            part = x[i:i + WALK_ROWS]
-            rows = np.arange(len(part))[:, None]
+            part = np.ascontiguousarray(x[i:i + WALK_ROWS])
+            base, flat = np.arange(0, part.size, width, dtype=np.int32)[:, None], part.ravel()
             node = np.broadcast_to(self.roots, (len(part), len(self.roots)))
             for _ in range(self.depth):
-                at, cut = part[rows, self.feature[node]], self.threshold[node]
-                node = np.where(at < cut if self.strict else at <= cut, self.left[node], self.right[node])
-            out[i:i + WALK_ROWS] = self.value[node]
+                at, cut = flat.take(self.feature.take(node) + base), self.threshold.take(node)
+                down = at < cut if self.strict else at <= cut
+                node = self.children.take(2 * node + down)
+            out[i:i + WALK_ROWS] = self.value.take(node)
         return out
 
 
@@ -106,9 +114,11 @@ class BoostedTrees:
 
 def flatten_classifier(model: PipelineModel, features: Sequence[str] = FEATURE_COLUMNS, spark: SparkSession | None = None) -> BoostedTrees:
     """A fitted pipeline's boosted trees, read from the node table that the
-    model writes (one row a node: bounded by trees and depth)."""
+    model writes (one row a node: bounded by trees and depth).  A threshold
+    between two bins becomes the split candidate between them."""
     spark = spark or SparkSession.getActiveSession()
-    gbt = model.stages[-1]
+    gbt, splits = model.stages[-1], model.stages[0].getSplitsArray()
+    cut = lambda f, t: float(np.nextafter(splits[f][int(t) + 1], -math.inf))
     path = checkpoint_path(spark, f"models/flat-{uuid.uuid4().hex}")
     gbt.write().save(path)
     rows = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").orderBy("treeID", "id").collect()
@@ -119,7 +129,8 @@ def flatten_classifier(model: PipelineModel, features: Sequence[str] = FEATURE_C
             if r.id != i or r.split.numCategories not in (-1, 0):
                 raise ValueError("trees of continuous features, with nodes numbered in order, are expected")
             inner = r.leftChild >= 0
-            held.append((r.split.featureIndex if inner else -1, r.split.leftCategoriesOrThreshold[0] if inner else 0.0,
+            held.append((r.split.featureIndex if inner else -1,
+                         cut(r.split.featureIndex, r.split.leftCategoriesOrThreshold[0]) if inner else 0.0,
                          r.leftChild, r.rightChild, r.prediction))
         trees.append(held)
     return BoostedTrees(_flat(trees), np.array(gbt.treeWeights, np.float64), tuple(features))
@@ -158,7 +169,7 @@ def _matrix(columns) -> np.ndarray:
     return np.stack([c.cast(pa.float64()).to_numpy(zero_copy_only=False).astype(np.float64) for c in columns], axis=1)
 
 
-def _with_columns(df: DataFrame, names: Sequence[str], features: Sequence[str], values) -> DataFrame:
+def with_columns(df: DataFrame, names: Sequence[str], features: Sequence[str], values) -> DataFrame:
     """``df`` with double columns ``names``: ``values(matrix of features)``."""
     at = [df.columns.index(f) for f in features]
     kept = [f for f in df.schema.fields if f.name not in names]
@@ -188,7 +199,7 @@ class FittedScorer:
         gbt, forest = self.classifier, self.forest
         names = list(dict.fromkeys([*gbt.features, *forest.features]))
         a, b = [names.index(f) for f in gbt.features], [names.index(f) for f in forest.features]
-        return _with_columns(with_scoring_ratio(features), ["xgboost_score", "raw_anomaly"], names,
+        return with_columns(with_scoring_ratio(features), ["xgboost_score", "raw_anomaly"], names,
                              lambda x: np.stack([gbt.probabilities(x[:, a])[:, 0], forest.raw(x[:, b])], axis=1))
 
     def score(self, features: DataFrame, scored_at=None, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -246,7 +257,7 @@ def staged_sweep(df: DataFrame, grid: dict[str, Sequence] | None = None, k: int
         mine = [(p, m) for (p, g), m in zip(jobs, fitted) if g == f]
         names = [json.dumps({**p, "maxIter": c}, sort_keys=True) for p, _ in mine for c in counts]
         columns = [f"_p{i}" for i in range(len(names))]
-        part = _with_columns(d.filter(F.col("fold") == f), columns, list(features),
+        part = with_columns(d.filter(F.col("fold") == f), columns, list(features),
                              lambda x, mine=mine: np.concatenate([m.probabilities(x, counts) for _, m in mine], axis=1))
         combos = F.explode(F.array(*[F.struct(F.lit(n).alias("params"), F.col(c).alias("p")) for n, c in zip(names, columns)]))
         part = part.select("fold", F.col(label).cast("int").cast("long").alias("y"), combos.alias("c")).select("fold", "y", "c.*")

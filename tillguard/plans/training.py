@@ -4,16 +4,23 @@ Boosted trees are MLlib's ``GBTClassifier`` with the reference's
 hyper-parameters (200 rounds, depth 4, step 0.05, seed 42) and the
 negative/positive ratio as the weight of positive rows.  Metrics come from
 ``operators.metrics`` (distributed, exact).
+
+Trees see a feature only through the bin between two split candidates in which
+it lies.  So a fit bins the features first (MLlib's ``Bucketizer``) and sums the
+weights of rows with the same bins and label: each of the hundreds of passes of
+a fit then reads one row for each of these, at most one for each row given.
 """
 
 from __future__ import annotations
 
 import json
+import math
 from typing import Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,9 +84,54 @@ def with_class_weight(df: DataFrame, label: str = "is_fraud", out: str = "weight
     return df.withColumn(out, F.when(F.col(label).cast("int") == 1, F.lit(float(spw))).otherwise(F.lit(1.0))), spw
 
 
+#: Bins of a feature, and rows (about) of which more than that choose their bins.
+MAX_BINS, SPLIT_ROWS = 32, 100_000
+#: Rows of a partition that a fit passes over.
+FIT_ROWS = 25_000
+
+
+def bin_name(feature: str) -> str:
+    return f"_bin_{feature}"
+
+
+def split_candidates(values: np.ndarray, weights: np.ndarray, max_bins: int = MAX_BINS) -> list[float]:
+    """Up to ``max_bins - 1`` split candidates of a feature: midpoints between
+    all its distinct values, or those nearest to equal weights."""
+    distinct, at = np.unique(values, return_inverse=True)  # NaN last
+    held = np.bincount(at.ravel(), weights, len(distinct))
+    mid = [float(m) for m in (distinct[:-1] + distinct[1:]) / 2.0]
+    if len(mid) >= max_bins:
+        upto, stride, kept = np.cumsum(held), float(held.sum()) / max_bins, []
+        for i, m in enumerate(mid):
+            target = stride * (len(kept) + 1)
+            if abs(upto[i] - target) < abs(upto[i + 1] - target):
+                kept.append(m)
+        mid = kept
+    return sorted({m for m in mid if math.isfinite(m)})
+
+
+def feature_bins(df: DataFrame, features: Sequence[str], weight: str = "weight", seed: int = SEED) -> Bucketizer:
+    """Bins of the features by the split candidates of a bounded sample of
+    rows, as MLlib's trees choose theirs; all rows when they are few."""
+    n = df.count()
+    sample = df.select(*features, weight)
+    if n > SPLIT_ROWS:
+        sample = sample.sample(False, SPLIT_ROWS / n, seed).limit(2 * SPLIT_ROWS)
+    held = sample.toPandas()
+    w = held[weight].to_numpy(dtype=float)
+    splits = []
+    for f in features:
+        cuts = split_candidates(held[f].to_numpy(dtype=float), w, max(2, min(MAX_BINS, n)))
+        # a tree's left side holds its threshold, a bucket its lower bound
+        splits.append([-math.inf, *[float(np.nextafter(c, math.inf)) for c in cuts or [0.0]], math.inf])
+    return Bucketizer(inputCols=list(features), outputCols=[bin_name(f) for f in features], splitsArray=splits, handleInvalid="keep")
+
+
 def classifier_pipeline(features: Sequence[str] = FEATURE_COLUMNS, label: str = "is_fraud", **params) -> Pipeline:
-    p = {**GBT_PARAMS, **params}
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    """Boosted trees over the bins of the features."""
+    # every bin is a split candidate: room for all rows when MLlib looks for them
+    p = {**GBT_PARAMS, "maxBins": 1024, **params}
+    assembler = VectorAssembler(inputCols=[bin_name(f) for f in features], outputCol="features", handleInvalid="keep")
     gbt = GBTClassifier(featuresCol="features", labelCol=label, weightCol="weight", **p)
     return Pipeline(stages=[assembler, gbt])
 
@@ -87,8 +139,17 @@ def classifier_pipeline(features: Sequence[str] = FEATURE_COLUMNS, label: str =
 def train_classifier(df: DataFrame, features: Sequence[str] = FEATURE_COLUMNS, label: str = "is_fraud",
                      **params) -> PipelineModel:
     """ML-2."""
-    d, _ = with_class_weight(df.withColumn(label, F.col(label).cast("double")), label)
-    return classifier_pipeline(features, label, **params).fit(d)
+    from tillguard.session import materialize
+    d = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias(label)))
+    d, _ = with_class_weight(d, label)
+    bins = feature_bins(d, features)
+    names, nan = bins.getOutputCols(), [len(s) - 1.0 for s in bins.getSplitsArray()]
+    # a fit refuses NULL and NaN (its bin is one beyond the last), as MLlib does
+    binned = bins.transform(d).select(label, "weight", *[F.when(F.col(c) < at, F.col(c)).alias(c) for c, at in zip(names, nan)])
+    groups = materialize(binned.groupBy(label, *names).agg(F.sum("weight").alias("weight")))
+    n = groups.count()
+    groups = groups.repartition(max(1, math.ceil(n / FIT_ROWS)))
+    return PipelineModel([bins, *classifier_pipeline(features, label, **params).fit(groups).stages])
 
 
 #: concurrent fits (each persists its own training input while it runs)
@@ -105,8 +166,9 @@ def _fit_concurrently(frames: Sequence[DataFrame], features, label, params,
 
 
 def positive_probability(pred: DataFrame, out: str = "probability_1") -> DataFrame:
+    bins = [c for c in pred.columns if c.startswith(bin_name(""))]
     return pred.withColumn(out, vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability",
-                                                                      "prediction")
+                                                                      "prediction", *bins)
 
 
 def predict_proba(model: PipelineModel, df: DataFrame, out: str = "probability_1") -> DataFrame:
@@ -155,14 +217,14 @@ def train_with_holdout(real: DataFrame, synthetic: DataFrame | None = None, feat
 
     Returns (final model, long-form metrics ``metric, value``)."""
     from tillguard.session import materialize
-    d = materialize(training_pools(real, synthetic, label))
+    d = materialize(training_pools(materialize(real), synthetic, label))
     trainval, test = d.filter(F.col("pool") != "test"), d.filter(F.col("pool") == "test")
     train, val = d.filter(F.col("pool") == "train"), d.filter(F.col("pool") == "val")
     # the threshold model and the final model are independent fits: run them
     # as concurrent Spark jobs (as CrossValidator's ``parallelism`` does)
     m_thr, model = _fit_concurrently([train, trainval], features, label, params)
-    thr = metrics.best_threshold(predict_proba(m_thr, val), "probability_1", label).first()["threshold"]
-    p = predict_proba(model, test).cache()
+    thr = metrics.best_threshold(materialize(predict_proba(m_thr, val).select("probability_1", label)), "probability_1", label).first()["threshold"]
+    p = materialize(predict_proba(model, test).select("probability_1", label))
     out = []
     for name, t in (("default", 0.5), ("tuned", float(thr))):
         bm = metrics.binary_metrics(p, "probability_1", label, t).first()
@@ -171,7 +233,6 @@ def train_with_holdout(real: DataFrame, synthetic: DataFrame | None = None, feat
     out.append(("holdout_roc_auc", metrics.roc_auc(p, "probability_1", label).first()["roc_auc"]))
     out.append(("holdout_average_precision",
                 metrics.average_precision(p, "probability_1", label).first()["average_precision"]))
-    p.unpersist()
     spark = real.sparkSession
     return model, spark.createDataFrame([(k, None if v is None else float(v)) for k, v in out],
                                         "metric string, value double")
@@ -211,11 +272,13 @@ def tstr_vs_trtr(real: DataFrame, synthetic: DataFrame, features: Sequence[str]
                  label: str = "is_fraud", **params) -> dict:
     """VAL-6: AUC on a 30 % real test split of models trained on the other
     70 % real (TRTR) and on the synthetic rows (TSTR)."""
-    r = stratified_split(real, label, 0.3, out="_test")
+    from tillguard.session import materialize
+    r = materialize(stratified_split(materialize(real), label, 0.3, out="_test"))
     train, test = r.filter(~F.col("_test")).drop("_test"), r.filter(F.col("_test")).drop("_test")
     m_real, m_synth = _fit_concurrently([train, synthetic], features, label, params)
-    trtr = metrics.roc_auc(predict_proba(m_real, test), "probability_1", label).first()["roc_auc"]
-    tstr = metrics.roc_auc(predict_proba(m_synth, test), "probability_1", label).first()["roc_auc"]
+    scored = lambda m: materialize(predict_proba(m, test).select("probability_1", label))
+    trtr = metrics.roc_auc(scored(m_real), "probability_1", label).first()["roc_auc"]
+    tstr = metrics.roc_auc(scored(m_synth), "probability_1", label).first()["roc_auc"]
     gap = abs(tstr - trtr)
     verdict = auc_gap_verdict(gap)
     rate = test.agg(F.avg(F.col(label).cast("double"))).first()[0]
