@@ -7,7 +7,7 @@ rows; ``groupBy(tree).applyInPandas`` grows each tree with numpy (random
 feature, random split between the node's min and max, depth limit
 ceil(log2(sample_size))).  Only the sample is shuffled, never the full
 table.  The forest (n_trees x at most 2^(depth+1) nodes) is small and is
-broadcast to ``mapInPandas`` for scoring.
+broadcast for scoring, as arrays (``plans.ensemble``).
 
 Scores follow the usual definition: ``anomaly_score = -2^(-E[h(x)]/c(psi))``
 (lower is more anomalous); ``decision = anomaly_score - offset`` where the
@@ -72,20 +72,6 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int):
     return feat, thr, left, right, size
 
 
-def _path_lengths(x: np.ndarray, tree) -> np.ndarray:
-    feat, thr, left, right, size = (np.asarray(a) for a in tree)
-    node = np.zeros(len(x), dtype=int)
-    depth = np.zeros(len(x))
-    active = feat[node] >= 0
-    while active.any():
-        f = feat[node[active]]
-        go_left = x[active, f] < thr[node[active]]
-        node[active] = np.where(go_left, left[node[active]], right[node[active]])
-        depth[active] += 1
-        active = feat[node] >= 0
-    return depth + c_factor(size[node])
-
-
 @dataclass
 class IsolationForestModel:
     trees: list
@@ -93,28 +79,17 @@ class IsolationForestModel:
     features: Sequence[str]
     offset: float
 
-    def _score_fn(self):
-        trees, psi, feats, offset = self.trees, self.sample_size, list(self.features), self.offset
-        cn = float(c_factor([psi])[0])
-
-        def score(batches):
-            for pdf in batches:
-                x = pdf[feats].to_numpy(dtype=float)
-                x = np.nan_to_num(x, nan=0.0)
-                h = np.mean([_path_lengths(x, t) for t in trees], axis=0) if len(x) else np.zeros(0)
-                s = -np.power(2.0, -h / cn)
-                pdf = pdf.copy()
-                pdf["anomaly_score"] = s
-                pdf["raw_anomaly"] = np.where(s - offset < 0, -1.0, 1.0)
-                yield pdf
-        return score
-
     def transform(self, df: DataFrame, out: str = "raw_anomaly") -> DataFrame:
-        from pyspark.sql import types as T
-        schema = T.StructType(list(df.schema.fields) + [T.StructField("anomaly_score", T.DoubleType()),
-                                                        T.StructField("raw_anomaly", T.DoubleType())])
-        res = df.mapInPandas(self._score_fn(), schema)
-        return res.withColumnRenamed("raw_anomaly", out) if out != "raw_anomaly" else res
+        """Adds ``anomaly_score`` and the raw label; rows walk all trees at once
+        (``plans.ensemble``)."""
+        from tillguard.plans.ensemble import flatten_forest, with_columns
+        forest = flatten_forest(self)
+
+        def values(x):
+            s = forest.scores(x)
+            return np.stack([s, np.where(s - forest.offset < 0, -1.0, 1.0)], axis=1)
+
+        return with_columns(df, ["anomaly_score", out], list(self.features), values)
 
 
 def training_rows(df: DataFrame, label: str = "is_fraud") -> DataFrame:
@@ -127,14 +102,14 @@ def fit_isolation_forest(df: DataFrame, features: Sequence[str] = FEATURE_COLUMN
                          seed: int = 42) -> IsolationForestModel:
     """ML-11 (train on the rows given, e.g. non-fraud rows: FLT-2)."""
     feats = list(features)
-    n = df.count()
-    psi = int(min(sample_size, n))
-    pool = min(1.0, 1.5 * psi * n_trees / max(n, 1))
     from tillguard.session import hash_sample, materialize
     # every row has a position of its own (fixed by the checkpoint), so equal
     # rows are sampled apart from each other
     rows = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in feats])
                        .withColumn("_row", F.monotonically_increasing_id()))
+    n = rows.count()
+    psi = int(min(sample_size, n))
+    pool = min(1.0, 1.5 * psi * n_trees / max(n, 1))
     sample = materialize(hash_sample(rows, pool, seed, cols=["_row"]))
     m = max(1, sample.count())
     # each sampled row joins each tree with a probability that gives psi rows
@@ -161,7 +136,7 @@ def fit_isolation_forest(df: DataFrame, features: Sequence[str] = FEATURE_COLUMN
         .orderBy("tree").collect())  # n_trees small trees: bounded
     trees = [(r.feat, r.thr, r.left, r.right, r.size) for r in forest]
     model = IsolationForestModel(trees, psi, feats, 0.0)
-    scored = model.transform(df.select(*feats))
+    scored = model.transform(rows.drop("_row"))
     offset = exact_quantiles(scored, "anomaly_score", [contamination]).first()[0]
     model.offset = float(offset) if offset is not None else 0.0
     return model
