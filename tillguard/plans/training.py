@@ -199,7 +199,9 @@ def training_pools(real: DataFrame, synthetic: DataFrame | None = None, label: s
     """SET-1 / ML-5: every row with its ``pool``: ``test`` is 20 % of the real
     rows; synthetic rows join the others, of which 20 % are ``val`` and the
     rest ``train``.  ``origin`` says where a row is from."""
-    r = stratified_split(real, label, 0.2, out="_test").withColumn("origin", F.lit("real"))
+    from tillguard.session import materialize
+    # both splits read it several times
+    r = materialize(stratified_split(real, label, 0.2, out="_test").withColumn("origin", F.lit("real")))
     pool = r.filter(~F.col("_test")).drop("_test")
     if synthetic is not None:
         s = synthetic.withColumn("origin", F.lit("synthetic"))
