@@ -85,3 +85,18 @@ def test_next_leaves_continues_in_order():
     assert at.tolist() == [0, 2] and after.tolist() == [1.5, 4.0]  # ties by number
     rows, at, after = next_leaves(x, np.array([2.0, np.inf]), np.array([1, 1]), lo, hi, 4)
     assert list(zip(rows.tolist(), at.tolist())) == [(0, 1), (1, 3), (1, 1), (1, 0)] and np.isinf(after).all()
+
+
+def test_brute_distances_hold_a_small_block():
+    import tracemalloc
+
+    import numpy as np
+    from tillguard.operators.nearest import _brute_dist
+    rng = np.random.default_rng(2)
+    q, p = rng.normal(size=(3000, 6)), rng.normal(size=(2048, 6))
+    tracemalloc.start()
+    got = _brute_dist(q, p, False)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8_000_000
+    assert np.array_equal(got[:50], np.sqrt(((q[:50, None] - p[None]) ** 2).sum(axis=2).min(axis=1)))

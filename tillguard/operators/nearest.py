@@ -84,6 +84,8 @@ def _route(x: np.ndarray, tree) -> np.ndarray:
 
 #: numbers held in one numpy distance block (about 160 MB of doubles)
 BLOCK_CELLS = 20_000_000
+#: distances computed at once between points
+CACHE_CELLS = 65_536
 
 
 #: points of a leaf that are searched without a partition of their own
@@ -136,10 +138,14 @@ def _brute_dist(q: np.ndarray, p: np.ndarray, exclude_equal: bool) -> np.ndarray
     out = np.full(len(q), np.inf)
     if len(p) == 0 or len(q) == 0:
         return out
-    chunk = max(1, BLOCK_CELLS // (len(p) * max(1, q.shape[1])))
+    chunk = max(1, CACHE_CELLS // len(p))
     for s in range(0, len(q), chunk):
         qs = q[s:s + chunk]
-        d2 = ((qs[:, None, :] - p[None, :, :]) ** 2).sum(axis=2)
+        d2 = np.zeros((len(qs), len(p)))
+        for j in range(q.shape[1]):  # a dimension at a time: the block stays in the cache
+            gap = qs[:, j, None] - p[None, :, j]
+            gap *= gap
+            d2 += gap
         if exclude_equal:
             d2[d2 == 0.0] = np.inf
         out[s:s + chunk] = np.sqrt(d2.min(axis=1))
