@@ -69,3 +69,23 @@ def test_watermark_drops_late_duplicates(spark, scratch):
     ids = sorted(r[0] for r in spark.read.parquet(f"{scratch}/features").select("transaction_id").collect())
     assert ids == ["1", "2", "3"]
     assert rows_dropped_by_watermark(q) >= 0
+
+
+def test_context_rows_come_once_from_one_read_of_the_history(spark, scratch):
+    from tillguard.sinks.tables import append_idempotent
+    from tillguard.streaming import _with_history
+    # stored: same terminal and BIN as the batch's, same terminal, same BIN, neither
+    stored = [{"id": 1, "t": 0}, {"id": 2, "t": 5, "bin": "1"}, {"id": 3, "t": 9, "terminal": "TRM9"}, {"id": 4, "t": 9, "terminal": "TRM9", "bin": "1"}]
+    append_idempotent(tx_rows(spark, stored), f"{scratch}/history")
+    b = _with_history(tx_rows(spark, [{"id": 5, "t": 60}]), f"{scratch}/history", 1)
+    assert sorted(r.transaction_id for r in b.collect()) == ["1", "2", "3", "5"]
+    assert b._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_an_append_writes_few_files_a_date(spark, scratch):
+    import glob
+    from tillguard.sinks.tables import append_idempotent
+    rows = [{"id": i, "t": (i % 3) * 86400} for i in range(240)]
+    append_idempotent(tx_rows(spark, rows).repartition(8), f"{scratch}/table")
+    assert spark.read.parquet(f"{scratch}/table").count() == 240
+    assert len(glob.glob(f"{scratch}/table/*/*.parquet")) == 3

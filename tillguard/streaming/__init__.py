@@ -93,12 +93,13 @@ def _last_state_path(history_path: str, epoch_id: int) -> str:
     return f"{history_path.rstrip('/')}_last/epoch={epoch_id}"
 
 
-def _features_with_history(batch: DataFrame, history_path: str, epoch_id: int) -> DataFrame:
-    """Features of the batch rows, using as window context the stored
-    transactions of the previous 24 h (same terminals or BINs) and each
-    terminal's last stored row (for the previous-location lookup)."""
+def _with_history(batch: DataFrame, history_path: str, epoch_id: int) -> DataFrame:
+    """The batch rows with their window context: the stored transactions of
+    the previous 24 h (same terminals or BINs) and each terminal's last stored
+    row (for the previous-location lookup)."""
     spark = batch.sparkSession
     b = batch.select(*LAST_COLS)
+    of = lambda c: batch.select(c).distinct().withColumn(f"_of_{c}", F.lit(True))
     ctx = None
     if _exists(spark, history_path):
         lo = batch.agg(F.min("timestamp")).first()[0]  # one scalar
@@ -106,8 +107,8 @@ def _features_with_history(batch: DataFrame, history_path: str, epoch_id: int) -
         hist = (spark.read.parquet(history_path)
                      .filter((F.col(DATE_COL) >= F.to_date(start)) & (F.col("timestamp") >= start))
                      .select(*LAST_COLS))
-        ctx = (hist.join(batch.select("terminal_id").distinct(), "terminal_id", "left_semi")
-                   .unionByName(hist.join(batch.select("card_bin").distinct(), "card_bin", "left_semi")))
+        ctx = (hist.join(of("terminal_id"), "terminal_id", "left").join(of("card_bin"), "card_bin", "left")
+                   .filter("_of_terminal_id OR _of_card_bin").select(*LAST_COLS))
     prev_state = _last_state_path(history_path, epoch_id - 1)
     if _exists(spark, prev_state):
         last = (spark.read.parquet(prev_state).select(*LAST_COLS)
@@ -117,8 +118,7 @@ def _features_with_history(batch: DataFrame, history_path: str, epoch_id: int) -
         ctx = ctx.join(batch.select("transaction_id"), "transaction_id", "left_anti").dropDuplicates(
             ["transaction_id"])
         b = b.unionByName(ctx)
-    feats = build_features(b)
-    return feats.join(batch.select("transaction_id"), "transaction_id", "left_semi")
+    return b
 
 
 def _update_last_state(batch: DataFrame, history_path: str, epoch_id: int) -> None:
@@ -145,10 +145,13 @@ def feature_batch_writer(features_path: str, history_path: str | None,
                     _update_last_state(batch, history_path, epoch_id)
                 return
             if history_path is None:
-                feats = build_features(batch)
+                appended = append_idempotent(build_features(batch), features_path)
             else:
-                feats = _features_with_history(batch, history_path, epoch_id)
-            appended = append_idempotent(feats, features_path)
+                # kept: the feature plan reads these rows nine times
+                b = _with_history(batch, history_path, epoch_id).persist()
+                feats = build_features(b).join(batch.select("transaction_id"), "transaction_id", "left_semi")
+                appended = append_idempotent(feats, features_path)
+                b.unpersist()
             if history_path is not None:
                 append_idempotent(batch, history_path).unpersist()
                 _update_last_state(batch, history_path, epoch_id)
