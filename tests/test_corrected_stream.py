@@ -99,3 +99,53 @@ def test_late_row_across_a_bucket_edge_corrects_the_next_bucket(spark, scratch):
     done, got = _replay(spark, scratch, [first, late], horizon=edge)
     _same(_by_id(got), _by_id(build_features(tx_rows(spark, first + late))))
     assert done.filter("feature = 'bin_spend_rate' and kind = 'correction'").select(F.countDistinct("sec")).first()[0] == 39
+
+
+class _State:
+    """A group's state between calls, as Spark holds it."""
+    def __init__(self):
+        self.text, self.wake, self.hasTimedOut, self.watermark = None, None, False, 0
+
+    exists = property(lambda self: self.text is not None)
+    get = property(lambda self: (self.text,))
+
+    def update(self, row):
+        self.text = row[0]
+
+    def remove(self):
+        self.text = None
+
+    def getCurrentWatermarkMs(self):
+        return self.watermark
+
+    def setTimeoutTimestamp(self, at):
+        self.wake = at
+
+
+def _frame(rows):
+    import pandas as pd
+    return pd.DataFrame([(k, s, s * 1_000_000, f"{k}{s}", 4.0, 3.0, 1, 0.0) for k, s in rows],
+                        columns=["terminal_id", "_sec", "_micros", "transaction_id", "latitude", "longitude", "_n", "_s"])
+
+
+def test_terminals_share_a_state_and_keep_their_own_clocks():
+    from tillguard.streaming.corrected import _stepper
+    step, state, day = _stepper(TERMINALS, 3600, 86400), _State(), 86400
+    assert not list(step((7,), iter([_frame([("A", day), (None, day + 9000), ("B", day + 10000)])]), state))
+    state.hasTimedOut, state.watermark = True, (day + 5000 - 86400) * 1000 + 1  # the clock passed A's wait only
+    assert state.wake < state.watermark
+    out = list(step((7,), iter([]), state))
+    assert [sorted({(r.key, r.sec, r.version) for r in f.itertuples()}) for f in out] == [[("A", day, 1)]]
+    state.hasTimedOut = False  # a row for A; NULL and B have waited long enough
+    state.watermark = 20000 * 1000
+    out = list(step((7,), iter([_frame([("A", day + 30)])]), state))
+    assert len(out) == 1 and {(r.key, r.version) for r in out[0].itertuples()} == {("A", 2), (None, 1), ("B", 1)}
+    assert out[0].query("key == 'A' and feature == 'velocity_1h'").new_value.tolist() == [2.0]
+
+
+def test_work_on_touched_seconds_grows_with_seconds_not_with_their_windows():
+    import pandas as pd
+    asked, n = [], 2000
+    state, frame = KeyState(None), pd.DataFrame({"_sec": range(n), "_n": 1, "_s": 1.0})
+    changes = state.revise(BINS, state.add(BINS, frame, 0), 1 << 62, 0, lambda s: asked.append(s) or True)
+    assert len(changes) == n and len(asked) <= 2 * n

@@ -6,6 +6,8 @@ and not rows; only ``geo_jump_km`` needs rows, those that a late row may still
 come next to.  Two operators run on ``applyInPandasWithState``:
 
 * terminals, keyed by ``terminal_id``: velocity, reversals, previous place;
+  there are many, most with few rows, so a state holds a group of them and a
+  task's cost is in its rows, not in its calls;
 * card BINs, keyed by (``card_bin``, bucket of seconds): mean amount.  There
   are few BINs and one may hold a third of all rows, so a row goes to its
   bucket and, near its end, to the next one as context.
@@ -36,6 +38,7 @@ from dataclasses import dataclass
 from itertools import accumulate
 from typing import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,21 +68,27 @@ class Value:
 @dataclass(frozen=True)
 class Keyed:
     """A keyed operator: its key column, the width of its buckets (None: the
-    key is not cut), what its panes sum, its values, and whether it holds rows."""
+    key is not cut), what its panes sum, its values, whether it holds rows, and
+    the number of groups that its keys are dealt to (None: a key is a group)."""
     key: str
     bucket_seconds: int | None
     count_of: str
     sum_of: str
     values: tuple[Value, ...]
     places: bool = False
+    groups: int | None = None
 
     @property
     def lookback(self) -> int:
         return max(v.lookback for v in self.values)
 
+    @property
+    def row_columns(self) -> list[str]:
+        return ["_sec", "_n", "_s", *(["_micros", "transaction_id", "latitude", "longitude"] if self.places else [])]
+
 
 TERMINALS = Keyed("terminal_id", None, "transaction_id", "_reversal",
-                  (Value("velocity_1h", "count", HOUR), Value("terminal_reversal_count", "sum", DAY)), places=True)
+                  (Value("velocity_1h", "count", HOUR), Value("terminal_reversal_count", "sum", DAY)), places=True, groups=1024)
 BINS = Keyed("card_bin", 4 * HOUR, "amount_ngn", "amount_ngn", (Value("bin_spend_rate", "mean", HOUR),))
 
 
@@ -118,8 +127,12 @@ class KeyState:
 
     def add(self, op: Keyed, frame: pd.DataFrame, gone_out: int) -> set[int]:
         """Takes rows in; the seconds they touch.  Seconds before ``gone_out`` are late."""
+        return self.take(op, list(zip(*(frame[c].tolist() for c in op.row_columns))), gone_out)
+
+    def take(self, op: Keyed, rows: Sequence[tuple], gone_out: int) -> set[int]:
+        """``add`` for rows of ``op.row_columns``."""
         touched = set()
-        for sec, n, s in zip(frame["_sec"].tolist(), frame["_n"].tolist(), frame["_s"].tolist()):
+        for sec, n, s, *_ in rows:
             pane = self.panes.get(sec)
             if pane is None:
                 pane = self.panes[sec] = [0, 0]
@@ -130,8 +143,7 @@ class KeyState:
                 pane[1] += int(s * UNIT)
             touched.add(sec)
         if op.places:
-            new = zip(*(frame[c].tolist() for c in ("_sec", "_micros", "transaction_id", "latitude", "longitude")))
-            new = [(a, b, i, _plain(x), _plain(y)) for a, b, i, x, y in new]
+            new = [(a, b, i, _plain(x), _plain(y)) for a, _, _, b, i, x, y in rows]
             self.late_ids.update(r[2] for r in new if r[0] < gone_out)
             self.rows = sorted(self.rows + new, key=lambda r: r[:3])
         return touched
@@ -156,8 +168,11 @@ class KeyState:
         that a touched second changed; ``open_from``: earlier ones are closed."""
         changes, at = [], sorted(self.panes)
         ask = {s for s in at if open_from <= s < due and s not in self.out and own(s)}
-        for t in touched:
-            ask.update(s for s in at[bisect_left(at, t):bisect_right(at, t + op.lookback)] if open_from <= s < due and own(s))
+        done = 0  # panes before it were asked for: windows of near seconds share theirs
+        for t in sorted(touched):
+            upto = bisect_right(at, t + op.lookback)
+            ask.update(s for s in at[max(done, bisect_left(at, t)):upto] if open_from <= s < due and own(s))
+            done = max(done, upto)
         for sec, row in sorted(self.values(op, sorted(ask)).items()):
             old = self.out.get(sec)
             for i, v in enumerate(op.values):
@@ -189,41 +204,69 @@ class KeyState:
         self.rows = self.rows[max(0, closed - 1):]  # the last closed row is the next row's previous place
 
 
+def _held(text: str | None) -> dict:
+    """The keys of a group's state: {key: (wake, the key's state as text)}."""
+    if text is None:
+        return {}
+    head, *texts = text.split("\n")  # JSON text has no line ends of its own
+    return {k: (wake, t) for (k, wake), t in zip(json.loads(head), texts)}
+
+
+def _held_text(held: dict) -> str:
+    return "\n".join([json.dumps([[k, wake] for k, (wake, _) in held.items()]), *(t for _, t in held.values())])
+
+
 def _stepper(op: Keyed, delay: int | None, horizon: int):
-    def step(key, frames, state):
-        held = KeyState(state.get[0] if state.exists else None)
-        watermark = state.getCurrentWatermarkMs()
+    def one(text, rows, watermark, bucket):
+        """A key's state once ``rows`` came (none: its timer ran out), its next wake and its changes."""
+        held = KeyState(text)
         seen = watermark + horizon * 1000 if watermark > 0 else 0  # the greatest event time of earlier batches
         open_from = max(0, watermark) // 1000
         out_before = max(0, seen - (delay or 0) * 1000) // 1000  # seconds before this one are whole and out
-        bucket = key[1] if op.bucket_seconds else None
         own = (lambda s: s // op.bucket_seconds == bucket) if op.bucket_seconds else (lambda s: True)
-        touched: set[int] = set()
-        if not state.hasTimedOut:
-            for frame in frames:
-                touched |= held.add(op, frame, out_before)
+        touched = held.take(op, rows, out_before) if rows else set()
         due = out_before if delay is not None else 1 << 62
         changes = held.revise(op, touched, due, open_from, own)
         if changes:
             held.version += 1
         held.evict(op, open_from)
         if held.empty():
+            return None, None, held.version, changes
+        waiting = [s for s in held.panes if s >= due and own(s)]
+        if waiting:  # goes out when the clock has passed its second
+            wake = (min(waiting) + 1 + delay - horizon) * 1000
+        elif held.panes:  # shrinks when nothing can read its last pane
+            wake = (max(held.panes) + op.lookback + 1) * 1000
+        else:
+            wake = None
+        return held.text(), None if wake is None else max(wake, watermark + 1, 1), held.version, changes
+
+    def step(key, frames, state):
+        watermark = state.getCurrentWatermarkMs()
+        held = _held(state.get[0] if state.exists else None)
+        came: dict = {}
+        if not state.hasTimedOut:
+            for frame in frames:
+                for k, *row in zip(*(frame[c].tolist() for c in (op.key, *op.row_columns))):
+                    came.setdefault(k, []).append(row)
+        woken = [k for k, (wake, _) in held.items() if k not in came and wake is not None and wake < watermark]
+        out = []
+        for k in (*came, *woken):
+            text, wake, version, changes = one(held.pop(k, (None, None))[1], came.get(k), watermark, key[-1])
+            if text is not None:
+                held[k] = (wake, text)
+            out.extend((*change, k, version) for change in changes)
+        if not held:
             state.remove()
         else:
-            state.update((held.text(),))
-            waiting = [s for s in held.panes if s >= due and own(s)]
-            if waiting:  # goes out when the clock has passed its second
-                wake = (min(waiting) + 1 + delay - horizon) * 1000
-            elif held.panes:  # shrinks when nothing can read its last pane
-                wake = (max(held.panes) + op.lookback + 1) * 1000
-            else:
-                wake = None
-            if wake is not None:
-                state.setTimeoutTimestamp(max(wake, watermark + 1, 1))
-        if changes:
-            frame = pd.DataFrame(changes, columns=["feature", "sec", "transaction_id", "kind", "late", "old_value", "new_value"])
-            frame["key"], frame["version"] = key[0], held.version
-            yield frame[CHANGE_COLUMNS].astype({"old_value": "float64", "new_value": "float64"})
+            state.update((_held_text(held),))
+            wakes = [wake for wake, _ in held.values() if wake is not None]
+            if wakes:
+                state.setTimeoutTimestamp(max(min(wakes), watermark, 1))
+        if out:
+            columns = dict(zip(("feature", "sec", "transaction_id", "kind", "late", "old_value", "new_value", "key", "version"), zip(*out)))
+            columns.update({c: np.array([np.nan if v is None else v for v in columns[c]], float) for c in ("old_value", "new_value")})
+            yield pd.DataFrame(columns, columns=CHANGE_COLUMNS)
 
     return step
 
@@ -234,11 +277,13 @@ def value_changes(tx: DataFrame, op: Keyed, *, delay: int | None = None, horizon
         raise ValueError("delay must not go beyond the horizon")
     d = with_epoch_seconds(tx.withColumn("_reversal", is_reversal("fraud_type"))).withWatermark("timestamp", f"{horizon} seconds")
     keys = [op.key]
+    if op.groups:
+        d, keys = d.withColumn("_group", F.pmod(F.xxhash64(op.key), F.lit(op.groups))), ["_group"]
     if op.bucket_seconds:
         d = explode_to_buckets(d, "_sec", op.bucket_seconds, op.lookback)
         keys.append(BUCKET)
     places = ["transaction_id", "latitude", "longitude"] if op.places else []
-    d = d.select(*keys, "timestamp", "_sec", F.unix_micros("timestamp").alias("_micros"), *places,
+    d = d.select(*dict.fromkeys([*keys, op.key]), "timestamp", "_sec", F.unix_micros("timestamp").alias("_micros"), *places,
                  F.when(F.col(op.count_of).isNotNull(), F.lit(1)).otherwise(F.lit(0)).alias("_n"),
                  F.col(op.sum_of).cast("double").alias("_s"))
     return d.groupBy(*keys).applyInPandasWithState(_stepper(op, delay, horizon), CHANGES, "state string", "append",
