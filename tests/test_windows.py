@@ -190,3 +190,19 @@ def test_hot_bin_is_spread_over_its_blocks(spark):
     assert all(abs(a[k].bin_spend_rate - w.bin_spend_rate) < 1e-9 and a[k].velocity_1h == w.velocity_1h for k, w in b.items())
     from tillguard.operators.trailing import BLOCK_SECONDS
     assert max(sum(r["t"] // BLOCK_SECONDS == x for r in rows) for x in range(100)) <= BLOCK_SECONDS // 7 + 1  # own rows of a partition
+
+
+def test_prefix_features_join_each_value_once(spark):
+    from helpers import tx_rows
+    from tillguard.plans.features import build_features
+    rows = [{"id": i, "t": 700 * i, "terminal": f"TRM{i % 3}", "bin": str(i % 2), "amount": i + 0.5, "lat": 4.0 + i % 5,
+             "fraud_type": "fake_reversal" if i % 4 == 0 else ""} for i in range(60)]
+    tx = tx_rows(spark, rows)
+    got = build_features(tx, terminal_mode="prefix", bin_mode="prefix")
+    # previous place of an empty bucket, terminal sums, BIN sums; and the offsets of the two sums' buckets
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 5
+    want = {r.transaction_id: r for r in build_features(tx, mode="plain").collect()}
+    for r in got.collect():
+        w = want[r.transaction_id]
+        assert (r.velocity_1h, r.geo_jump_km, r.terminal_reversal_count) == (w.velocity_1h, w.geo_jump_km, w.terminal_reversal_count)
+        assert abs(r.bin_spend_rate - w.bin_spend_rate) < 1e-9

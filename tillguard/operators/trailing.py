@@ -368,7 +368,7 @@ def _row_policy(d: DataFrame, group, seconds, tie_order, mode, bucket_seconds) -
 
 
 def trailing_prefix(df: DataFrame, keys: Sequence[str], specs: Sequence[Trailing], *, sec_col: str = SEC,
-                    n_buckets: int | None = None) -> DataFrame:
+                    n_buckets: int | None = None, source: DataFrame | None = None) -> DataFrame:
     """Count/sum/mean trailing windows as differences of per-key prefix sums.
 
     value(t) = P(t) - P(t - lookback - 1), where P(x) sums the key's rows with
@@ -379,7 +379,9 @@ def trailing_prefix(df: DataFrame, keys: Sequence[str], specs: Sequence[Trailing
     No task ever holds a whole window of a hot key: work is split down to
     single seconds.  Sums use DECIMAL(38, 12), so differences of prefixes are
     exact (no floating-point cancellation) for finite values of at most twelve
-    decimals; it is used on request only, never chosen by size.
+    decimals; it is used on request only, never chosen by size.  ``source``:
+    the same rows without what joins added to ``df``, so that the sums do not
+    run those joins again.
     """
     from tillguard.operators.cumulative import running_totals
 
@@ -393,7 +395,7 @@ def trailing_prefix(df: DataFrame, keys: Sequence[str], specs: Sequence[Trailing
             w[f"_s{i}"] = F.coalesce(F.sum(v.cast("decimal(38,12)")), F.lit(0).cast("decimal(38,12)"))
         if s.agg not in ("count", "sum", "mean"):
             raise ValueError(f"prefix mode supports count/sum/mean, not {s.agg!r}")
-    per_sec = df.groupBy(*keys, sec_col).agg(*[c.alias(k) for k, c in w.items()])
+    per_sec = (df if source is None else source).groupBy(*keys, sec_col).agg(*[c.alias(k) for k, c in w.items()])
     data = per_sec.select(*keys, (F.col(sec_col) * 2).alias("_ok"), *w)
     lookbacks = sorted({s.lookback for s in specs})
     probes = None
@@ -405,13 +407,14 @@ def trailing_prefix(df: DataFrame, keys: Sequence[str], specs: Sequence[Trailing
     cum = running_totals(data.unionByName(probes), "_ok", list(w), group=keys, n_buckets=n_buckets)
     cum = cum.select(*keys, "_ok", *[F.col(f"cum_{k}").alias(k) for k in w])
 
-    out = null_safe_left_join(df, cum.filter(F.col("_ok") % 2 == 0).select(
-        *keys, (F.col("_ok") / 2).cast("long").alias(sec_col), *[F.col(k).alias(f"{k}_now") for k in w]), [*keys, sec_col])
-    for lb in lookbacks:
-        then = cum.filter(F.col("_ok") % 2 == 1).select(
-            *keys, ((F.col("_ok") - 1) / 2 + lb + 1).cast("long").alias(sec_col),
-            *[F.col(k).alias(f"{k}_then{lb}") for k in w])
-        out = null_safe_left_join(out, then, [*keys, sec_col])
+    # one pass: a point's sums go to its second, a probe's to the seconds that may ask for them, and meet in one row a second
+    point = F.col("_ok") % 2 == 0
+    to = F.when(point, F.array(F.struct((F.col("_ok") / 2).cast("long").alias("sec"), F.lit(0).alias("back")))).otherwise(
+        F.array(*[F.struct(((F.col("_ok") - 1) / 2 + lb + 1).cast("long").alias("sec"), F.lit(lb + 1).alias("back")) for lb in lookbacks]))
+    met = cum.withColumn("_to", F.explode(to)).groupBy(*keys, F.col("_to.sec").alias(sec_col)).agg(*[
+        F.max(F.when(F.col("_to.back") == back, F.col(k))).alias(f"{k}{name}")
+        for k in w for back, name in [(0, "_now"), *[(lb + 1, f"_then{lb}") for lb in lookbacks]]])
+    out = null_safe_left_join(df, met, [*keys, sec_col])
     cols = {}
     for i, s in enumerate(specs):
         def diff(k):

@@ -53,20 +53,23 @@ def _terminal_stage(df: DataFrame, mode: str, bucket_seconds: int | None, with_g
     return out.drop("_is_reversal")
 
 
-def _bin_stage(df: DataFrame, mode: str, bucket_seconds: int | None) -> DataFrame:
-    return trailing_aggregates(df, ["card_bin"], [Trailing("bin_spend_rate", "mean", "amount_ngn", HOUR)],
-                               mode=mode, bucket_seconds=bucket_seconds)
+def _bin_stage(df: DataFrame, mode: str, bucket_seconds: int | None, source: DataFrame | None = None) -> DataFrame:
+    specs = [Trailing("bin_spend_rate", "mean", "amount_ngn", HOUR)]
+    if mode == "prefix":
+        from tillguard.operators.trailing import trailing_prefix
+        return trailing_prefix(df, ["card_bin"], specs, source=source)
+    return trailing_aggregates(df, ["card_bin"], specs, mode=mode, bucket_seconds=bucket_seconds)
 
 
 def _terminal_stage_prefix(df: DataFrame, lag_bucket_seconds: int) -> DataFrame:
     """Hot-terminal form: counts/sums from per-second prefix sums, previous
     location from short buckets without context (exact fallback for gaps)."""
     from tillguard.operators.trailing import trailing_prefix
-    d = df.withColumn("_is_reversal", is_reversal("fraud_type"))
+    d = _terminal_stage(df, "bucketed", lag_bucket_seconds, with_geo=True, specs=[])
     d = trailing_prefix(d, ["terminal_id"], [Trailing("velocity_1h", "count", "transaction_id", HOUR),
-                                             Trailing("terminal_reversal_count", "sum", "_is_reversal", DAY)])
-    d = d.withColumn("terminal_reversal_count", F.col("terminal_reversal_count").cast("long"))
-    return _terminal_stage(d.drop("_is_reversal"), "bucketed", lag_bucket_seconds, with_geo=True, specs=[])
+                                             Trailing("terminal_reversal_count", "sum", "_is_reversal", DAY)],
+                        source=df.withColumn("_is_reversal", is_reversal("fraud_type")))
+    return d.withColumn("terminal_reversal_count", F.col("terminal_reversal_count").cast("long"))
 
 
 def build_features(tx: DataFrame, *, mode: str = "blocks", terminal_bucket_seconds: int = 2 * DAY,
@@ -80,13 +83,13 @@ def build_features(tx: DataFrame, *, mode: str = "blocks", terminal_bucket_secon
     asked for: ``'by_second'`` values joined back on (key, second),
     ``'bucketed'`` and ``'plain'`` windows over rows, ``'prefix'`` sums.
     """
-    d = with_epoch_seconds(tx.select("transaction_id", "terminal_id", "card_bin", "amount_ngn",
-                                     "latitude", "longitude", "timestamp", "fraud_type"))
+    base = d = with_epoch_seconds(tx.select("transaction_id", "terminal_id", "card_bin", "amount_ngn",
+                                            "latitude", "longitude", "timestamp", "fraud_type"))
     if terminal_mode == "prefix":
         d = _terminal_stage_prefix(d, lag_bucket_seconds)
     else:
         d = _terminal_stage(d, terminal_mode or mode, terminal_bucket_seconds)
-    d = _bin_stage(d, bin_mode or mode, bin_bucket_seconds)
+    d = _bin_stage(d, bin_mode or mode, bin_bucket_seconds, source=base)
     d = d.withColumn("amount_vs_bin_avg_ratio", amount_vs_bin_avg_ratio("amount_ngn", "bin_spend_rate"))
     return d.select(*FEATURE_OUTPUT)
 
