@@ -8,9 +8,11 @@ Results are long-form: ``(level, column, metric, value, rating)``.
 
 from __future__ import annotations
 
+import contextlib
 import math
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,30 +58,40 @@ def two_sample_counts(real: DataFrame, synth: DataFrame, cols: Sequence[str]) ->
     return both.groupBy("column", "value").agg(F.sum("c1").alias("c1"), F.sum("c2").alias("c2"))
 
 
-def _both(real: DataFrame, synth: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Both samples' columns as doubles, the second marked, written once."""
-    from tillguard.session import materialize
+@contextlib.contextmanager
+def _both(real: DataFrame, synth: DataFrame, cols: Sequence[str]):
+    """Both samples' columns as doubles, the second marked, computed once."""
     side = lambda d, second: d.select(*[F.col(c).cast("double").alias(c) for c in cols], F.lit(second).alias("_second"))
-    return materialize(side(real, False).unionByName(side(synth, True)))
+    both = side(real, False).unionByName(side(synth, True)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield both
+    finally:
+        both.unpersist()
 
 
 def _by_sort(exact: DataFrame, col: str):
     return exact.filter(F.col("column") == col).first()
 
 
+def _ks_rows(real, synth, found: dict, n_buckets) -> list[tuple]:
+    rows = []
+    for c, of in found.items():
+        if of is None:
+            r = _by_sort(ks_by_sort(real, synth, [c], n_buckets=n_buckets), c)
+            of = (r.ks, r.n1, r.n2)
+        if of[1] or of[2]:
+            rows.append((c, *of))
+    return rows
+
+
 def ks_statistics(real: DataFrame, synth: DataFrame, cols: Sequence[str], *,
                   n_buckets: int | None = None) -> DataFrame:
     """VAL-3 statistic per column: D = max |F_real(x) - F_synth(x)|, by
     narrowing histograms; no value moves."""
     from tillguard.operators.selection import ks
-    rows = []
-    for c, found in ks(_both(real, synth, cols), list(cols), "_second").items():
-        if found is None:
-            r = _by_sort(ks_by_sort(real, synth, [c], n_buckets=n_buckets), c)
-            found = (r.ks, r.n1, r.n2)
-        if found[1] or found[2]:
-            rows.append((c, *found))
-    return real.sparkSession.createDataFrame(rows, "column string, ks double, n1 long, n2 long")
+    with _both(real, synth, cols) as both:
+        found = ks(both, list(cols), "_second")
+    return real.sparkSession.createDataFrame(_ks_rows(real, synth, found, n_buckets), "column string, ks double, n1 long, n2 long")
 
 
 def ks_by_sort(real: DataFrame, synth: DataFrame, cols: Sequence[str], *, n_buckets: int | None = None) -> DataFrame:
@@ -96,18 +108,37 @@ def ks_statistic(real: DataFrame, synth: DataFrame, col: str, *, n_buckets: int
     return ks_statistics(real, synth, [col], n_buckets=n_buckets)
 
 
+def _real_std(both: DataFrame, cols: Sequence[str]):
+    return both.filter(~F.col("_second")).agg(*[F.stddev_samp(c).alias(c) for c in cols]).first()
+
+
+def _wasserstein_rows(real, synth, found: dict, sd, n_buckets) -> list[tuple]:
+    rows = []
+    for c, raw in found.items():
+        raw = _by_sort(wasserstein_by_sort(real, synth, [c], n_buckets=n_buckets), c).raw_distance if raw is None else raw
+        rows.append((c, raw, raw / sd[c] if sd[c] is not None and sd[c] > 0 else float("inf")))
+    return rows
+
+
 def wasserstein_distances(real: DataFrame, synth: DataFrame, cols: Sequence[str], *,
                           n_buckets: int | None = None) -> DataFrame:
     """VAL-5 per column: W1 = integral |F_real - F_synth| dx, and W1 / sample
     std of real (+inf when that std is 0), by narrowing histograms."""
     from tillguard.operators.selection import wasserstein as integral
-    both = _both(real, synth, cols)
-    sd = both.filter(~F.col("_second")).agg(*[F.stddev_samp(c).alias(c) for c in cols]).first()
-    rows = []
-    for c, raw in integral(both, list(cols), "_second").items():
-        raw = _by_sort(wasserstein_by_sort(real, synth, [c], n_buckets=n_buckets), c).raw_distance if raw is None else raw
-        rows.append((c, raw, raw / sd[c] if sd[c] is not None and sd[c] > 0 else float("inf")))
-    return real.sparkSession.createDataFrame(rows, "column string, raw_distance double, normalized_score double")
+    with _both(real, synth, cols) as both:
+        sd, found = _real_std(both, cols), integral(both, list(cols), "_second")
+    return real.sparkSession.createDataFrame(_wasserstein_rows(real, synth, found, sd, n_buckets),
+                                             "column string, raw_distance double, normalized_score double")
+
+
+def distances(real: DataFrame, synth: DataFrame, cols: Sequence[str], *,
+              n_buckets: int | None = None) -> tuple[list[tuple], list[tuple]]:
+    """The rows of ``ks_statistics`` and of ``wasserstein_distances``, from the
+    same passes over both samples."""
+    from tillguard.operators.selection import ks_and_wasserstein
+    with _both(real, synth, cols) as both:
+        sd, (gaps, areas) = _real_std(both, cols), ks_and_wasserstein(both, list(cols), "_second")
+    return _ks_rows(real, synth, gaps, n_buckets), _wasserstein_rows(real, synth, areas, sd, n_buckets)
 
 
 def wasserstein_by_sort(real: DataFrame, synth: DataFrame, cols: Sequence[str], *, n_buckets: int | None = None) -> DataFrame:
@@ -237,18 +268,17 @@ def validate(real: DataFrame, synth: DataFrame, *, continuous: Sequence[str] = C
     rows = []
     for r in summary_diff(real, synth, features).collect():  # one row per feature column
         rows.append(("level1", r["column"], "mean_pct_diff", r["mean_pct_diff"], r["flag"], r["flag"] != "fail"))
-    ks = {r["column"]: r for r in ks_statistics(real, synth, continuous).collect()}  # one row per column
-    ws = {r["column"]: r for r in wasserstein_distances(real, synth, continuous).collect()}
+    ks, ws = ({c: of for c, *of in rows} for rows in distances(real, synth, continuous))  # one row per column
     for c in continuous:
         k = ks.get(c)
-        d = None if k is None else k["ks"]
+        d = None if k is None else k[0]
         rating = _distance_band(d)
         rows.append(("level3a", c, "ks_statistic", d, rating, rating not in (None, "poor")))
-        rows.append(("level3a", c, "p_value", ks_pvalue(d, k["n1"], k["n2"]) if k else float("nan"), None, None))
+        rows.append(("level3a", c, "p_value", ks_pvalue(d, k[1], k[2]) if k else float("nan"), None, None))
         w = ws.get(c)
-        ns = None if w is None else w["normalized_score"]
+        ns = None if w is None else w[1]
         wr = _distance_band(ns)
-        rows.append(("level3c", c, "raw_distance", None if w is None else w["raw_distance"], None, None))
+        rows.append(("level3c", c, "raw_distance", None if w is None else w[0], None, None))
         rows.append(("level3c", c, "normalized_score", ns, wr, wr not in (None, "poor")))
     chis = {r["column"]: r for r in chi_squares(real, synth, categorical).collect()}
     for c in categorical:

@@ -89,6 +89,7 @@ def build_features(tx: DataFrame, *, mode: str = "blocks", terminal_bucket_secon
         d = _terminal_stage_prefix(d, lag_bucket_seconds)
     else:
         d = _terminal_stage(d, terminal_mode or mode, terminal_bucket_seconds)
+    d = d.drop("latitude", "longitude", "fraud_type")  # rows move again: what only terminals need stays behind
     d = _bin_stage(d, bin_mode or mode, bin_bucket_seconds, source=base)
     d = d.withColumn("amount_vs_bin_avg_ratio", amount_vs_bin_avg_ratio("amount_ngn", "bin_spend_rate"))
     return d.select(*FEATURE_OUTPUT)
