@@ -100,3 +100,44 @@ def test_brute_distances_hold_a_small_block():
     tracemalloc.stop()
     assert peak < 8_000_000
     assert np.array_equal(got[:50], np.sqrt(((q[:50, None] - p[None]) ** 2).sum(axis=2).min(axis=1)))
+
+
+def test_leaves_hold_like_numbers_of_points():
+    from tillguard.operators.nearest import _grow_kd, _route
+    rng = np.random.default_rng(7)
+    x = np.stack([np.where(rng.random(20000) < 0.97, 0.0, rng.integers(1, 5, 20000) * 9.0), rng.exponential(size=20000)], axis=1)
+    held = np.bincount(_route(x, _grow_kd(x, 64)))
+    assert held.max() < 2 * 20000 / 64  # an outlier takes no half of the leaves
+
+
+def test_next_leaves_looks_at_near_boxes_only():
+    import tracemalloc
+
+    from tillguard.operators.nearest import next_leaves
+    lo = np.stack(np.meshgrid(*[np.arange(16.0)] * 3), axis=-1).reshape(-1, 3)
+    x = np.random.default_rng(8).uniform(0, 16, (4000, 3))
+    tracemalloc.start()
+    rows, at, after = next_leaves(x, np.full(4000, 0.05), np.zeros(4000, dtype=int), lo, lo + 1, 8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40_000_000  # of 4,096 boxes few are within 0.05 of a row
+    gap = np.sqrt((np.maximum(0, np.maximum(lo[None] - x[:, None], x[:, None] - lo[None] - 1)) ** 2).sum(axis=2))
+    assert sorted(zip(rows.tolist(), at.tolist())) == [tuple(p) for p in np.argwhere(gap < 0.05).tolist()]
+
+
+def test_dnnr_weighs_copies_and_reads_the_points_once(spark, monkeypatch):
+    from tillguard.operators import nearest
+    rng = np.random.default_rng(9)
+    R = np.round(rng.normal(size=(300, 3)), 2)
+    S = np.round(rng.normal(size=(200, 3)), 2)
+    R, S = np.concatenate([R, R[:40]]), np.concatenate([S, S[:1].repeat(150, axis=0), R[:30]])
+    grown = []
+    monkeypatch.setattr(nearest, "_grow_kd", lambda x, n, grow=nearest._grow_kd: grown.append(n) or grow(x, n))
+    row = dnnr(_df(spark, R), _df(spark, S), ["a", "b", "c"], leaf_points=50)
+    got = row.first()
+    r, s = (R - R.mean(axis=0)) / R.std(axis=0), (S - R.mean(axis=0)) / R.std(axis=0)
+    sr = np.sqrt(((s[:, None] - r[None]) ** 2).sum(axis=2)).min(axis=1)
+    rr = np.sqrt(((r[:, None] - r[None]) ** 2).sum(axis=2))
+    np.fill_diagonal(rr, np.inf)
+    assert np.isclose(got.median_d_sr, np.median(sr)) and np.isclose(got.median_d_rr, np.median(rr.min(axis=1)))
+    assert len(grown) == 1  # one partition serves both kinds of queries
