@@ -6,6 +6,7 @@ runs the engine's operators; ``present`` only rounds for comparison.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -529,18 +530,71 @@ def stream_features_microbatch(spark, sf_dir):
     return _stream_features(spark, sf_dir, "batch")
 
 
+#: Transactions of a slice of the alert replay, about: what the state of the
+#: stream join holds of a slice, besides the rows that its watermark keeps.
+REPLAY_ROWS = 1_000_000
+
+
+def _slice_by_rows(tx, rows):
+    """A column expression of a timestamp: its slice, of ``rows`` transactions
+    about (equal times are in one slice); rows without a time are in the first."""
+    from pyspark.sql import functions as F
+    n = -(-tx.count() // rows)
+    cuts = tx.select(F.unix_micros("timestamp").cast("double").alias("t")).approxQuantile(
+        "t", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []  # a number a slice
+    at = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<double>")
+    return lambda ts: F.coalesce(F.size(F.filter(at, lambda c: c <= F.unix_micros(ts).cast("double"))), F.lit(0))
+
+
+def _staged_wire(df, slice_col, parts, path):
+    """Writes rows in their wire form once, by slice, each slice as up to
+    ``parts`` files; returns the slices."""
+    from pyspark.sql import functions as F
+    from tillguard.sources.events import to_wire_json
+    wire = to_wire_json(df.withColumn("_slice", slice_col), keep=("_slice",))
+    part = F.pmod(F.xxhash64("value"), F.lit(parts))
+    wire.repartition("_slice", part).write.partitionBy("_slice").text(path)
+    return [r[0] for r in df.sparkSession.read.schema("value string, _slice int").text(path).select("_slice").distinct().collect()]  # a folder each
+
+
+@contextlib.contextmanager
+def _conf(spark, values):
+    """Runtime settings within a block."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 @register("stream_alerts")
 def stream_alerts(spark, sf_dir):
     """STR-5: score and transaction file streams, watermarked interval join,
-    static reference joins, parquet sink; must equal the batch alerts."""
-    from tillguard.sources.events import to_wire_json
+    static reference joins, parquet sink; must equal the batch alerts.  Both
+    arrive in slices of time, cut at the same times, so that the watermark moves
+    and the join state holds a slice and not the whole table."""
+    from pyspark.sql import functions as F
     from tillguard.streaming import alert_stream, score_stream, stream_to_table, transaction_stream
     base = _scratch(spark, "alerts")
-    to_wire_json(_tx(spark, sf_dir)).write.text(f"{base}/tx")
-    to_wire_json(_scores(spark, sf_dir)).write.text(f"{base}/scores")
-    a = alert_stream(score_stream(spark, path=f"{base}/scores"), transaction_stream(spark, path=f"{base}/tx"),
-                     fx.terminals(spark, sf_dir), fx.merchants(spark, sf_dir))
-    stream_to_table(a, f"{base}/alerts", f"{base}/checkpoint").awaitTermination()
+    tx, scores = _tx(spark, sf_dir), _scores(spark, sf_dir)
+    slice_of = _slice_by_rows(tx, REPLAY_ROWS)
+    # a slice needs no more state stores, or files, than there are tasks to serve them
+    stores = min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(8, 2 * spark.sparkContext.defaultParallelism))
+    slices = {*_staged_wire(tx, slice_of("timestamp"), stores, f"{base}/staged-tx"),
+              *_staged_wire(scores, slice_of("scored_at"), stores, f"{base}/staged-scores")}
+    terminals, merchants = fx.terminals(spark, sf_dir), fx.merchants(spark, sf_dir)
+    for s in sorted(slices) or [0]:
+        for name in ("tx", "scores"):
+            staged = spark.read.schema("value string, _slice int").text(f"{base}/staged-{name}")
+            staged.filter(F.col("_slice") == s).select("value").write.mode("append").text(f"{base}/{name}")
+        # the state before a slice is read from its files if a task is run again, and not held beside the new one
+        with _conf(spark, {"spark.sql.shuffle.partitions": str(stores), "spark.sql.streaming.maxBatchesToRetainInMemory": "1"}):
+            a = alert_stream(score_stream(spark, path=f"{base}/scores"), transaction_stream(spark, path=f"{base}/tx"), terminals, merchants)
+            q = stream_to_table(a, f"{base}/alerts", f"{base}/checkpoint")
+        q.awaitTermination()
     return spark.read.parquet(f"{base}/alerts")
 
 

@@ -119,11 +119,12 @@ def _with_null_ids(df: DataFrame) -> DataFrame:
                            "timestamp": F.lit(None).cast("timestamp")})
 
 
-def to_wire_json(df: DataFrame) -> DataFrame:
-    """Rows as JSON text with ISO-8601 timestamps (the producer's wire form)."""
+def to_wire_json(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows as JSON text with ISO-8601 timestamps (the producer's wire form);
+    ``keep``: columns that stand beside the text and not in it."""
     cols = [F.date_format(F.col(f.name), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias(f.name)
-            if isinstance(f.dataType, T.TimestampType) else F.col(f.name) for f in df.schema.fields]
-    return df.select(F.to_json(F.struct(*cols)).alias("value"))
+            if isinstance(f.dataType, T.TimestampType) else F.col(f.name) for f in df.schema.fields if f.name not in keep]
+    return df.select(F.to_json(F.struct(*cols)).alias("value"), *keep)
 
 
 def gate_document(approved: bool, reasons: list[str]) -> str:
