@@ -138,3 +138,22 @@ def test_test_pool_holds_real_rows_only(spark):
     n = {(r.pool, r.origin): r["count"] for r in d.groupBy("pool", "origin").count().collect()}
     assert sum(n.values()) == 600 and ("test", "synthetic") not in n and abs(n["test", "real"] - 60) <= 1
     assert n["val", "synthetic"] > 0 and n["train", "synthetic"] > 0
+
+
+def test_gate_runs_levels_4_and_5_at_the_same_time(spark, monkeypatch):
+    import threading
+
+    import numpy as np
+    from tillguard.catalog import queries
+    from tillguard.operators import nearest
+    from tillguard.plans import training
+    from tillguard.schemas import FEATURE_COLUMNS
+    rows = np.random.default_rng(3).uniform(1, 2, (40, 6)).round(3).tolist()
+    frame = spark.createDataFrame([(str(i), *r, i % 2) for i, r in enumerate(rows)],
+                                  "transaction_id string, " + ", ".join(f"{c} double" for c in FEATURE_COLUMNS) + ", is_fraud int")
+    both = threading.Barrier(2, timeout=60)
+    monkeypatch.setattr(queries, "_real_synth", lambda *_: (frame, frame))
+    monkeypatch.setattr(training, "tstr_vs_trtr", lambda *_: both.wait() * 0 or {"auc_gap": 0.01})
+    monkeypatch.setattr(nearest, "dnnr", lambda *_: both.wait() * 0 or spark.createDataFrame([(2.0,)], "dnnr double"))
+    got = {r.level: r.failed for r in queries.QUERIES["validation_gate"](spark, "").collect()}
+    assert got["level4"] == got["level5"] == got["gate"] == 0
